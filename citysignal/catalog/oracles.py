@@ -42,7 +42,7 @@ DEC = f"""{EV},
                CASE WHEN global_score > 0.5
                     THEN list_transform(range(0, u % 4 + 1), lambda i: CAST(u + i AS VARCHAR))
                     ELSE CAST([] AS VARCHAR[]) END AS targets,
-               date_trunc('second', ts) AS at,
+               date_trunc('second', ts) AS made_at,
                strftime(ts, {CLOCK}) AS decision_time,
                strftime(ts + INTERVAL 5 MINUTE, {CLOCK}) AS display_time
         FROM blended)"""
@@ -195,14 +195,14 @@ _BOUND = r"[^\p{L}\p{N}]"
 _MENTIONS = f"regexp_matches(lower(text), '(^|{_BOUND})({'|'.join(V.KEYWORDS)})($|{_BOUND})')"
 _NEAR = km("52.2297", "21.0122", "lat", "lon") + " <= 20"
 
-_LEX = ", ".join(f"('{word}', CAST({valence} AS DOUBLE))" for word, valence in V.LEXICON)
+_LEX = ", ".join(f"('{word}', CAST({valence} AS DECIMAL(9, 4)))" for word, valence in V.LEXICON)
 LEXICON = f"""lexicon(word, valence) AS (VALUES {_LEX}),
     words AS (
         SELECT tweet_id,
                unnest(regexp_extract_all(lower(text), '\\p{{L}}+(?:''\\p{{L}}+)*')) AS word
         FROM posts),
     sums AS (
-        SELECT tweet_id, count(*) AS matches, sum(valence) AS valence
+        SELECT tweet_id, count(*) AS matches, CAST(sum(valence) AS DOUBLE) AS valence
         FROM words JOIN lexicon USING (word) GROUP BY tweet_id),
     polarity AS (
         SELECT tweet_id, coalesce(matches, 0) AS matches, coalesce(valence, 0.0) AS valence,
@@ -267,7 +267,7 @@ def _arc(select: str, table: str = "arc") -> str:
 
 
 def _corr(a: str, b: str) -> str:
-    value = "1.0" if a == b else f"round(corr({a}, {b}), 6)"
+    value = "max(1.0)" if a == b else f"round(corr({a}, {b}), 6)"
     return f"SELECT '{a}' AS score_a, '{b}' AS score_b, CAST({value} AS DOUBLE) AS corr FROM arc"
 
 
@@ -332,7 +332,7 @@ def _histogram() -> str:
         grid AS (SELECT *, CAST(unnest(range(0, 20)) AS INTEGER) AS bin FROM r)
         SELECT score, bin, round(lo + bin * width, 6) AS bin_lo,
                round(lo + (bin + 1) * width, 6) AS bin_hi, coalesce(n, 0) AS n,
-               round(mean, 6) AS mean, round(median, 6) AS median
+               round(mean, 9) AS mean, round(median, 6) AS median
         FROM grid LEFT JOIN c USING (score, bin)"""
 
 
@@ -377,14 +377,14 @@ ORACLES: dict[str, str] = {
     + f""" WHERE decision_id >= strftime({AS_OF} - INTERVAL 36 HOUR, {SECOND})
              AND decision_id < strftime({AS_OF}, {SECOND})""",
     "sample_decisions": f"""WITH {EV},
-        u AS (SELECT e, {START} + to_seconds(e) AS at,
+        u AS (SELECT e, {START} + to_seconds(e) AS made_at,
                      {_UNIFORM.format("traffic")} AS traffic_score,
                      {_UNIFORM.format("weather")} AS weather_score,
                      {_UNIFORM.format("sentiment")} AS sentiment_score FROM ev),
         b AS (SELECT *, {DOCUMENTED_BLEND} AS global_score FROM u)
-        SELECT strftime(at, {SECOND}) || '_' || e AS decision_id, {R_SCORES},
+        SELECT strftime(made_at, {SECOND}) || '_' || e AS decision_id, {R_SCORES},
                CASE WHEN global_score > 0.6 THEN 'SHOW_AD' ELSE 'NO_AD' END AS decision_result,
-               strftime(at, {CLOCK}) AS decision_time FROM b""",
+               strftime(made_at, {CLOCK}) AS decision_time FROM b""",
     # --- archive
     "archive_roundtrip": _arc(f"{ARC_OUT}, {R_SCORES}", "arc_once"),
     "archive_by_day": _arc(f"{ARC_OUT}, round(global_score, 6) AS global_score", "arc_once")
@@ -412,7 +412,7 @@ ORACLES: dict[str, str] = {
         SELECT row_key, seq, {rounded("temp_2m", "rain", "wind_gusts")}, cloud_cover
         FROM current""",
     "retention_filter": f"""WITH {DEC}, {POSTS}, {hours(V.WEATHER)}
-        SELECT 'decisions' AS feed, decision_id AS id FROM dec WHERE at >= {AS_OF} - INTERVAL 7 DAY
+        SELECT 'decisions' AS feed, decision_id AS id FROM dec WHERE made_at >= {AS_OF} - INTERVAL 7 DAY
         UNION ALL SELECT 'vehicles', CAST(e AS VARCHAR) FROM ev WHERE ts >= {AS_OF} - INTERVAL 24 HOUR
         UNION ALL SELECT 'tweets', tweet_id FROM posts WHERE ts >= {AS_OF} - INTERVAL 24 HOUR
         UNION ALL SELECT 'weather', row_key FROM keyed WHERE ts >= {AS_OF} - INTERVAL 48 HOUR""",
@@ -482,7 +482,7 @@ ORACLES: dict[str, str] = {
     "key_hour": f"""WITH {hours(V.WEATHER)}
         SELECT {_HOUR_TIME} AS time, {_HOUR_KEY} AS row_key FROM keyed""",
     "key_parse": f"""WITH {EV}
-        SELECT e, id || '_' || u AS row_key, strftime(ts, {CLOCK}) AS at
+        SELECT e, id || '_' || u AS row_key, strftime(ts, {CLOCK}) AS key_time
         FROM ev WHERE event_type <> 'error'""",
     "key_partitions": f"""WITH {EV}
         SELECT id AS decision_id, strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr FROM ev""",
@@ -648,7 +648,7 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY area ORDER BY decision_id DESC, seq DESC) = 1""",
     # --- reports
     "decision_distribution": _arc(
-        "decision_result, count(*) AS decisions, round(avg(global_score), 6) AS avg_score"
+        "decision_result, count(*) AS decisions, round(avg(global_score), 9) AS avg_score"
     )
     + " GROUP BY decision_result",
     "show_rate": _arc(
@@ -663,18 +663,18 @@ ORACLES: dict[str, str] = {
     + " GROUP BY dt ORDER BY dt DESC",
     "rush_vs_offpeak": _arc(
         "CASE WHEN hr IN ('07', '08', '09', '16', '17', '18') THEN 'Rush Hour'"
-        " ELSE 'Off-Peak' END AS period, round(avg(traffic_score), 6) AS avg_traffic,"
-        " round(avg(weather_score), 6) AS avg_weather, round(avg(global_score), 6) AS avg_global"
+        " ELSE 'Off-Peak' END AS period, round(avg(traffic_score), 9) AS avg_traffic,"
+        " round(avg(weather_score), 9) AS avg_weather, round(avg(global_score), 9) AS avg_global"
     )
     + " GROUP BY 1",
     "summary_by_decision": f"""WITH {ARC}
         SELECT decision_result, count(*) AS decisions,
-               round(count(*) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM arc), 6) AS pct,
-               {", ".join(f"round(avg({s}), 6) AS avg_{s}, round(stddev_samp({s}), 6) AS std_{s}"
+               round(count(*) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM arc), 9) AS pct,
+               {", ".join(f"round(avg({s}), 9) AS avg_{s}, round(stddev_samp({s}), 9) AS std_{s}"
                           for s in SCORES)}
         FROM arc GROUP BY decision_result""",
     "describe_scores": f"""WITH {ARC}, l AS ({LONG})
-        SELECT score, count(*) AS n, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+        SELECT score, count(*) AS n, round(avg(x), 9) AS mean, round(stddev_samp(x), 9) AS std,
                round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q25,
                round(quantile_cont(x, 0.5), 6) AS q50, round(quantile_cont(x, 0.75), 6) AS q75,
                round(max(x), 6) AS max FROM l GROUP BY score""",
@@ -699,9 +699,9 @@ ORACLES: dict[str, str] = {
     "score_timeseries": _arc(f"decision_id, decision_time, {R_SCORES}") + " ORDER BY decision_id",
     "hourly_pattern": _arc(
         "hr, count(*) AS decisions, "
-        + ", ".join(f"round(avg({s}), 6) AS avg_{s}" for s in SCORES)
+        + ", ".join(f"round(avg({s}), 9) AS avg_{s}" for s in SCORES)
         + ", round(count(*) FILTER (WHERE decision_result = 'SHOW_AD')"
-        " * CAST(100 AS DOUBLE) / count(*), 6) AS show_rate_pct"
+        " * CAST(100 AS DOUBLE) / count(*), 9) AS show_rate_pct"
     )
     + " GROUP BY hr ORDER BY hr",
     "most_triggered_days": _arc("dt, count(*) AS shown")
@@ -715,7 +715,7 @@ ORACLES: dict[str, str] = {
     "top10_scores": _arc("decision_id, round(global_score, 6) AS global_score, decision_result")
     + " ORDER BY round(arc.global_score, 6) DESC, decision_id LIMIT 10",
     "top5_days": _arc(
-        "dt, round(avg(global_score), 6) AS avg_score, round(max(global_score), 6) AS max_score,"
+        "dt, round(avg(global_score), 9) AS avg_score, round(max(global_score), 6) AS max_score,"
         " count(*) AS decisions"
     )
     + " GROUP BY dt ORDER BY avg(global_score) DESC, dt LIMIT 5",

@@ -29,6 +29,7 @@ ARCHIVE_DAY = "20240115"
 ARCHIVE_HOUR = "14"
 INGESTED = "2024-01-31 00:00:00"
 ROUND = 6
+AVERAGE_ROUND = 9
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -43,6 +44,12 @@ def rounded(*names: str) -> list:
     return [F.round(F.col(name), ROUND).alias(name) for name in names]
 
 
+def averaged(*names: str) -> list:
+    """Means need more places: their seventh is often an exact five, and summing
+    order would decide which way it rounds."""
+    return [F.round(F.col(name), AVERAGE_ROUND).alias(name) for name in names]
+
+
 def window_key(part: str = "start"):
     return keys.second_key(F.col(f"window.{part}")).alias(f"window_{part}")
 
@@ -401,9 +408,9 @@ def key_parse(spark, sf_dir):
     )
     rows = V.events(spark, sf_dir).select("e", key.alias("row_key"))
     return (
-        rows.withColumn("at", keys.key_timestamp(F.col("row_key")))
-        .filter(F.col("at").isNotNull())
-        .select("e", "row_key", clock("at"))
+        rows.withColumn("key_time", keys.key_timestamp(F.col("row_key")))
+        .filter(F.col("key_time").isNotNull())
+        .select("e", "row_key", clock("key_time"))
     )
 
 
@@ -710,7 +717,7 @@ def latest_state(spark, sf_dir):
 @query("decision_distribution")
 def decision_distribution(spark, sf_dir):
     rows = reports.decision_distribution(V.archive_view(spark, sf_dir))
-    return rows.select("decision_result", "decisions", *rounded("avg_score"))
+    return rows.select("decision_result", "decisions", *averaged("avg_score"))
 
 
 @query("show_rate")
@@ -727,26 +734,26 @@ def daily_show_rate(spark, sf_dir):
 @query("rush_vs_offpeak")
 def rush_vs_offpeak(spark, sf_dir):
     rows = reports.rush_vs_offpeak(V.archive_view(spark, sf_dir))
-    return rows.select("period", *rounded("avg_traffic", "avg_weather", "avg_global"))
+    return rows.select("period", *averaged("avg_traffic", "avg_weather", "avg_global"))
 
 
 @query("summary_by_decision")
 def summary_by_decision(spark, sf_dir):
     rows = reports.summary_by_decision(V.archive_view(spark, sf_dir))
     numbers = [f"{kind}_{score}" for score in schemas.SCORES for kind in ("avg", "std")]
-    return rows.select("decision_result", "decisions", *rounded("pct", *numbers))
+    return rows.select("decision_result", "decisions", *averaged("pct", *numbers))
 
 
 @query("describe_scores")
 def describe_scores(spark, sf_dir):
     rows = reports.describe_scores(V.archive_view(spark, sf_dir))
-    return rows.select("score", "n", *rounded("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return rows.select("score", "n", *averaged("mean", "std"), *rounded("min", "q25", "q50", "q75", "max"))
 
 
 @query("score_histogram")
 def score_histogram(spark, sf_dir):
     rows = reports.score_histogram(V.archive_view(spark, sf_dir))
-    return rows.select("score", "bin", *rounded("bin_lo", "bin_hi"), "n", *rounded("mean", "median"))
+    return rows.select("score", "bin", *rounded("bin_lo", "bin_hi"), "n", *averaged("mean"), *rounded("median"))
 
 
 @query("score_boxplot")
@@ -787,7 +794,7 @@ def score_timeseries(spark, sf_dir):
 def hourly_pattern(spark, sf_dir):
     rows = reports.hourly_pattern(V.archive_view(spark, sf_dir))
     averages = [f"avg_{score}" for score in schemas.SCORES]
-    return rows.select("hr", "decisions", *rounded(*averages, "show_rate_pct"))
+    return rows.select("hr", "decisions", *averaged(*averages, "show_rate_pct"))
 
 
 @query("most_triggered_days")
@@ -809,7 +816,7 @@ def top10_scores(spark, sf_dir):
 @query("top5_days")
 def top5_days(spark, sf_dir):
     rows = reports.top_days(V.archive_view(spark, sf_dir))
-    return rows.select("dt", *rounded("avg_score", "max_score"), "decisions")
+    return rows.select("dt", *averaged("avg_score"), *rounded("max_score"), "decisions")
 
 
 # --- Streaming ----------------------------------------------------------------

@@ -25,10 +25,11 @@ def score_text(
 
     ``lexicon`` is a table ``(word, valence)`` with unique words. It is broadcast
     only after counting it; a larger one is joined by shuffle on the word, where
-    the adaptive planner splits the rows of very common words.
+    the adaptive planner splits the rows of very common words. Valences are summed
+    as decimals with four places, so the result does not depend on the order.
     """
     size = lexicon.limit(broadcast_words + 1).count()
-    words = lexicon.select("word", "valence")
+    words = lexicon.select("word", F.col("valence").cast("decimal(9,4)").alias("valence"))
     if size <= broadcast_words:
         words = F.broadcast(words)
     tokens = docs.select(id, F.explode_outer(sentiment.words(F.col(text))).alias("word"))
@@ -37,7 +38,7 @@ def score_text(
         .groupBy(id)
         .agg(
             F.count("valence").alias("matches"),
-            F.coalesce(F.sum("valence"), F.lit(0.0)).alias("valence"),
+            F.coalesce(F.sum("valence").cast("double"), F.lit(0.0)).alias("valence"),
         )
     )
     return summed.withColumn("compound", sentiment.compound_of(F.col("valence")))
