@@ -362,7 +362,9 @@ ORACLES: dict[str, str] = {
                     WHEN event_type = 'signup' THEN '{{"result":[]}}'
                     ELSE '{{"result":[' || {_VEHICLE_JSON} || ']}}' END AS json,
                strftime(ts, {CLOCK}) AS kafka_ts FROM ev""",
-    "scan_key_range": _arc("decision_id, decision_result, round(global_score, 6) AS global_score")
+    "scan_key_range": _arc(
+        "decision_id, decision_result, round(global_score, 6) AS global_score", "arc_once"
+    )
     + f" WHERE decision_id >= '{Q.RANGE[0]}' AND decision_id < '{Q.RANGE[1]}'",
     "get_by_key": f"""WITH {hours(V.WEATHER)}
         SELECT row_key, {rounded("temp_2m", "wind_speed")}, weather_code, seq
@@ -372,7 +374,8 @@ ORACLES: dict[str, str] = {
     )
     + " ORDER BY decision_id LIMIT 5",
     "load_recent": _arc(
-        f"decision_id, {R_SCORES}, decision_result, target_locations, decision_time, display_time"
+        f"decision_id, {R_SCORES}, decision_result, target_locations, decision_time, display_time",
+        "arc_once",
     )
     + f""" WHERE decision_id >= strftime({AS_OF} - INTERVAL 36 HOUR, {SECOND})
              AND decision_id < strftime({AS_OF}, {SECOND})""",

@@ -75,7 +75,8 @@ def src_envelopes(spark, sf_dir):
 
 @query("scan_key_range")
 def scan_key_range(spark, sf_dir):
-    rows = scans.scan_range(V.archive_view(spark, sf_dir), *RANGE, key="decision_id")
+    stored = archive.read(spark, _archive_path(spark, sf_dir))
+    rows = scans.scan_range(stored, *RANGE, key="decision_id")
     return rows.select("decision_id", "decision_result", *rounded("global_score"))
 
 
@@ -98,7 +99,7 @@ def scan_limit(spark, sf_dir):
 
 @query("load_recent")
 def load_recent(spark, sf_dir):
-    stored = V.archive_view(spark, sf_dir).withColumns(
+    stored = archive.read(spark, _archive_path(spark, sf_dir)).withColumns(
         {score: F.col(score).cast("string") for score in schemas.SCORES}
     )
     return scans.load_recent(stored, V.AS_OF, "36 hours").select(
@@ -208,15 +209,15 @@ def upsert_latest(spark, sf_dir):
 
 @query("compact_latest")
 def compact_latest(spark, sf_dir):
-    """Every forecast poll is a write; half are compacted, the rest read from the log."""
+    """Three writes: the first half is compacted, then everything, the rest stays logged."""
     table = store.KeyedTable(spark, scratch(spark, "forecast"), "row_key", ["seq"])
     rows = V.forecast(spark, sf_dir)
-    middle = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
-    table.upsert(rows.filter(middle), 0)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    table.upsert(rows.filter(early), 0)
     table.compact()
-    table.upsert(rows.filter(~middle), 1)
-    table.upsert(rows, 2)
+    table.upsert(rows.filter(~early), 1)
     table.compact()
+    table.upsert(rows, 2)
     return table.latest().select("row_key", "seq", *rounded("temp_2m", "rain"))
 
 

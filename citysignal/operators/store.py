@@ -2,12 +2,14 @@
 
 A table is a folder::
 
-    log/batch_id=N/     rows of one write, replaced as a whole when it is repeated
-    snapshot/v=M/       compacted state up to a batch
-    commits/            one small row per finished snapshot
-
-Readers take the newest committed snapshot plus the log batches after it, so a
-snapshot that was never committed is never seen.
+    log/batch_id=N/dt=D/    rows of one write, replaced as a whole when it is repeated
+    snapshot/v=M/dt=D/      compacted rows of one day
+    commits/                one small row per day and finished snapshot
+
+``dt`` is the date the keys start with. Compaction rewrites only days that were
+written to since the last one; readers take the newest committed snapshot of
+each day plus the log batches after it, so a snapshot that was never committed
+is never seen, and key ranges prune days on both sides.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citysignal import config as C
+from citysignal.functions import keys
 from citysignal.sources import scans
 
 
@@ -30,10 +33,10 @@ def latest_per_key(
     ``order`` must be unique within a key. Whole rows compete in one aggregate,
     so each task sends at most one row per key however often a key was written.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [name for name in changes.columns if name not in keys]
+    by = [key] if isinstance(key, str) else list(key)
+    rest = [name for name in changes.columns if name not in by]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("newest")
-    return changes.groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*changes.columns)
+    return changes.groupBy(*by).agg(newest).select(*by, "newest.*").select(*changes.columns)
 
 
 def retained(
@@ -51,7 +54,7 @@ def retained(
 
 
 class KeyedTable:
-    """Upserts, reads and compaction of one keyed table."""
+    """Upserts, reads and compaction of one table with time-ordered keys."""
 
     def __init__(
         self, spark: SparkSession, path: str, key: str = "row_key", order: Sequence[str] = ("seq",)
@@ -59,84 +62,97 @@ class KeyedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
-        self.order = [*order]
+        # Later batches win over earlier ones; within a batch ``order`` decides.
+        self.order = ["batch_id", *order]
 
     @property
     def log_path(self) -> str:
         return f"{self.path}/log"
 
+    @property
+    def snapshot_path(self) -> str:
+        return f"{self.path}/snapshot"
+
     def upsert(self, rows: DataFrame, batch_id: int) -> None:
         """Write one batch. Repeating a batch id replaces that batch only."""
-        rows.write.mode("overwrite").parquet(f"{self.log_path}/batch_id={batch_id}")
+        (
+            rows.withColumn("dt", keys.key_date(F.col(self.key)))
+            .hint("rebalance", "dt")
+            .write.mode("overwrite")
+            .partitionBy("dt")
+            .parquet(f"{self.log_path}/batch_id={batch_id}")
+        )
 
-    def _read(self, path: str) -> DataFrame | None:
+    def _read(self, base: str, paths: Sequence[str] | None = None) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(path)
+            return self.spark.read.option("basePath", base).parquet(*(paths or [base]))
         except AnalysisException as missing:
             if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
 
     def log(self) -> DataFrame | None:
-        """All logged rows with their ``batch_id``."""
-        return self._read(self.log_path)
+        """All logged rows with their ``batch_id`` and ``dt``."""
+        rows = self._read(self.log_path)
+        return None if rows is None else rows.withColumn("dt", F.col("dt").cast("string"))
 
-    def _committed(self) -> tuple[int, int] | None:
-        """Version and last batch of the newest finished snapshot."""
+    def _committed(self) -> tuple[int, int, dict[str, int]]:
+        """Newest version, last compacted batch, and the current version of each day."""
         commits = self._read(f"{self.path}/commits")
         if commits is None:
-            return None
-        newest = commits.agg(F.max(F.struct("version", "upto_batch")).alias("c")).first()["c"]
-        return newest["version"], newest["upto_batch"]
+            return 0, -1, {}
+        newest = commits.groupBy("dt").agg(F.max("version").alias("v"), F.max("upto").alias("upto"))
+        days = newest.collect()  # one row per day
+        return max(d["v"] for d in days), max(d["upto"] for d in days), {d["dt"]: d["v"] for d in days}
 
     def changes(self) -> DataFrame:
-        """Rows a read has to reconcile: the snapshot and the batches after it.
-
-        Later batches win over earlier ones, within a batch ``order`` decides.
-        """
+        """Rows a read has to reconcile: current snapshots and the batches after them."""
         log = self.log()
-        commit = self._committed()
-        if commit is None:
-            if log is None:
-                raise ValueError(f"nothing was written to {self.path} yet")
+        if log is None:
+            raise ValueError(f"nothing was written to {self.path} yet")
+        _, upto, days = self._committed()
+        if not days:
             return log
-        version, upto = commit
-        snapshot = self._read(f"{self.path}/snapshot/v={version}")
-        fresh = log.filter(F.col("batch_id") > upto)
-        return fresh.unionByName(snapshot.select(*log.columns))
+        current = [f"{self.snapshot_path}/v={v}/dt={dt}" for dt, v in days.items()]
+        snapshot = self._read(self.snapshot_path, current)
+        snapshot = snapshot.withColumn("dt", F.col("dt").cast("string")).select(*log.columns)
+        return log.filter(F.col("batch_id") > upto).unionByName(snapshot)
 
-    def _latest_with_batch(self) -> DataFrame:
-        return latest_per_key(self.changes(), self.key, ["batch_id", *self.order])
+    def _reconcile(self, rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, self.key, self.order).drop("batch_id", "dt")
 
     def latest(self) -> DataFrame:
         """Current row of every key."""
-        return self._latest_with_batch().drop("batch_id")
+        return self._reconcile(self.changes())
 
     def get(self, value: str) -> DataFrame:
         """Current row of one key; the key test reaches the scan, not just the result."""
-        rows = scans.get_row(self.changes(), value, self.key)
-        return latest_per_key(rows, self.key, ["batch_id", *self.order]).drop("batch_id")
+        return self._reconcile(scans.get_row(self.changes(), value, self.key))
 
     def scan(self, start: str, stop: str) -> DataFrame:
         """Current rows of a key range, in no particular order."""
-        rows = scans.scan_range(self.changes(), start, stop, self.key)
-        return latest_per_key(rows, self.key, ["batch_id", *self.order]).drop("batch_id")
+        return self._reconcile(scans.scan_range(self.changes(), start, stop, self.key))
 
     def compact(self) -> int:
-        """Fold the log into a new snapshot, range-clustered by key, and commit it."""
-        log = self.log()
-        upto = log.agg(F.max("batch_id")).first()[0]
-        commit = self._committed()
-        version = 1 if commit is None else commit[0] + 1
-        snapshot = self._latest_with_batch()
+        """Fold new batches into fresh snapshots of the days they touch, then commit."""
+        version, upto, _ = self._committed()
+        fresh = self.log().filter(F.col("batch_id") > upto)
+        touched = fresh.groupBy("dt").agg(F.max("batch_id").alias("upto")).collect()
+        if not touched:
+            return version
+        version += 1
+        dates = [day["dt"] for day in touched]
+        rows = self.changes().filter(F.col("dt").isin(dates))
         (
-            snapshot.repartitionByRange(self.key)
-            .sortWithinPartitions(self.key)
+            latest_per_key(rows, self.key, self.order)
+            .repartitionByRange("dt", self.key)
+            .sortWithinPartitions("dt", self.key)
             .write.mode("overwrite")
-            .parquet(f"{self.path}/snapshot/v={version}")
-        )
-        done = self.spark.range(1).select(
-            F.lit(version).alias("version"), F.lit(upto).cast("bigint").alias("upto_batch")
+            .partitionBy("dt")
+            .parquet(f"{self.snapshot_path}/v={version}")
         )
-        done.write.mode("append").parquet(f"{self.path}/commits")
+        done = max(day["upto"] for day in touched)
+        self.spark.createDataFrame(
+            [(dt, version, done) for dt in dates], "dt STRING, version BIGINT, upto BIGINT"
+        ).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return version
