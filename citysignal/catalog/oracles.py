@@ -740,6 +740,14 @@ ORACLES: dict[str, str] = {
                round(traffic_score, 6) AS traffic_score
         FROM traffic
         WHERE ws + INTERVAL 10 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "stream_rain_congestion": f"""WITH {MOVING}, {hours(V.WEATHER)},
+        wet AS (SELECT date_trunc('day', ts) AS ws, max(rain) AS rain FROM hours GROUP BY 1),
+        newest AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(ts) FROM hours)) AS ts)
+        SELECT strftime(ws, {SECOND}) AS window_start, round(rain, 6) AS rain, congested,
+               round(traffic_score, 6) AS traffic_score
+        FROM traffic JOIN wet USING (ws)
+        WHERE rain > 0 AND congested > 0
+          AND ws + INTERVAL 1 DAY <= (SELECT ts - INTERVAL 10 MINUTE FROM newest)""",
     "stream_late_data": f"""WITH {_NUMBERED}
         SELECT strftime(ws, {SECOND}) AS window_start,
                count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late

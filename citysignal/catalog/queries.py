@@ -449,15 +449,11 @@ def default_fill(spark, sf_dir):
 
 @query("quarantine_rows")
 def quarantine_rows(spark, sf_dir):
-    messages = V.vehicle_messages(spark, sf_dir)
-    good, bad_messages = parse.quarantine_messages(messages)
-    vehicles, bad_vehicles = parse.quarantine_vehicles(parse.parse_vehicles(good, "bus"))
-    accepted = vehicles.select(F.lit("accepted").alias("reason"), F.col("row_key").alias("detail"))
-    return (
-        accepted.unionByName(bad_vehicles.select("reason", F.col("row_key").alias("detail")))
-        .unionByName(
-            bad_messages.select("reason", F.date_format("kafka_ts", keys.CLOCK_TIME).alias("detail"))
-        )
+    rows = parse.judged_vehicles(V.vehicle_messages(spark, sf_dir), "bus")
+    arrived = F.date_format("kafka_ts", keys.CLOCK_TIME)
+    return rows.select(
+        F.coalesce("reason", F.lit("accepted")).alias("reason"),
+        F.when(F.col("json").isNotNull(), arrived).otherwise(F.col("row_key")).alias("detail"),
     )
 
 
@@ -823,10 +819,13 @@ def top5_days(spark, sf_dir):
 # --- Streaming ----------------------------------------------------------------
 
 
+def _stream(spark, sf_dir, name) -> DataFrame:
+    schema = V.table(spark, sf_dir, name).schema
+    return envelopes.read_table_stream(spark, f"{sf_dir}/{name}.parquet", schema)
+
+
 def _event_stream(spark, sf_dir) -> DataFrame:
-    schema = V.table(spark, sf_dir, "events").schema
-    stream = envelopes.read_table_stream(spark, f"{sf_dir}/events.parquet", schema)
-    return V.from_events(stream)
+    return V.from_events(_stream(spark, sf_dir, "events"))
 
 
 def _vehicle_stream(spark, sf_dir) -> DataFrame:
@@ -879,6 +878,20 @@ def stream_sliding_traffic(spark, sf_dir):
     )
 
 
+@query("stream_rain_congestion")
+def stream_rain_congestion(spark, sf_dir):
+    """Vehicle and forecast streams joined on their day."""
+    rain = V.forecast_of(V.polls_of(_stream(spark, sf_dir, "orders"))).select("ts", "rain")
+    joined = windows.stream_rain_congestion(
+        V.positions_of(_event_stream(spark, sf_dir)), rain, V.DAY
+    )
+    out = scratch(spark, "joined")
+    windows.run_to_files(joined, out, scratch(spark, "checkpoint"))
+    return spark.read.parquet(out).select(
+        window_key(), *rounded("rain"), "congested", *rounded("traffic_score")
+    )
+
+
 ARRIVALS = ("2024-01-09", "2024-01-17", "2024-01-25", None)
 
 

@@ -15,7 +15,7 @@ from citysignal.functions import decision, keys, sentiment
 from citysignal.operators import traffic
 from citysignal.plans import archive
 from citysignal.session import configure
-from citysignal.sources.envelopes import envelopes
+from citysignal.sources.envelopes import envelopes, spread
 
 AS_OF = "2024-01-31 00:00:00"
 DAY = "1 day"
@@ -178,24 +178,30 @@ def archive_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archive_rows(decisions(spark, sf_dir))
 
 
-def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast polls: one per order, each covering a few consecutive hours."""
-    return table(spark, sf_dir, "orders").select(
+def polls_of(rows: DataFrame) -> DataFrame:
+    return rows.select(
         F.col("o_orderkey").alias("k"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("priority"),
     )
 
 
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast polls: one per order, each covering a few consecutive hours."""
+    return polls_of(table(spark, sf_dir, "orders"))
+
+
 def _hour_of(formula: str = POLL_HOUR):
     return F.timestamp_seconds(F.lit(EPOCH_2024) + F.expr(formula) * 3600)
 
 
 def forecast(spark: SparkSession, sf_dir: str, formulas: dict[str, str] = WEATHER) -> DataFrame:
     """Forecast rows with repeated hours; the highest ``seq`` of an hour is current."""
-    hours = polls(spark, sf_dir).withColumn(
-        "j", F.explode(F.sequence(F.lit(0), F.lit(POLL_HOURS - 1)))
-    )
+    return forecast_of(polls(spark, sf_dir), formulas)
+
+
+def forecast_of(polled: DataFrame, formulas: dict[str, str] = WEATHER) -> DataFrame:
+    hours = polled.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(POLL_HOURS - 1))))
     return hours.select(
         keys.hour_key(_hour_of()).alias("row_key"),
         _hour_of().alias("ts"),
@@ -236,7 +242,7 @@ def hourly_messages(
             array = F.when(F.col("status") == "O", F.array(*values[:-1])).otherwise(array)
         arrays.append(array.alias(field))
     body = F.to_json(F.struct(F.struct(*arrays).alias("hourly")))
-    raw = polls(spark, sf_dir).select(
+    raw = spread(polls(spark, sf_dir)).select(
         body.alias("value"),
         F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("k")).alias("timestamp"),
     )
@@ -284,7 +290,7 @@ def vehicle_records(rows: DataFrame) -> DataFrame:
 
 
 def vehicle_messages(spark: SparkSession, sf_dir: str, trolleys: bool | None = None) -> DataFrame:
-    rows = events(spark, sf_dir)
+    rows = spread(events(spark, sf_dir))
     if trolleys is not None:
         is_trolley = F.col("event_type") == "view"
         rows = rows.filter(is_trolley if trolleys else ~is_trolley)
@@ -293,7 +299,7 @@ def vehicle_messages(spark: SparkSession, sf_dir: str, trolleys: bool | None = N
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with text: one per document, texts whole."""
-    rows = table(spark, sf_dir, "documents").select(
+    rows = spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("d"), "text", "lang", "source", "n_chars"
     )
     age = F.expr(POST_AGE_SECONDS)

@@ -36,21 +36,23 @@ def parse_vehicles(
     reported (``gps``), the message arrival (``arrival``) or the time of
     processing (``processing``).
     """
+    opened = vehicle_bodies(messages).select(F.explode("body.result").alias("v"), "kafka_ts")
+    columns = _vehicle_columns(vehicle_type, event_time, _stamp(ingested_at), tz)
+    return opened.select(*columns)
+
+
+def _vehicle_columns(
+    vehicle_type: str | Column, event_time: str, ingested: Column, tz: str
+) -> list[Column]:
     kind = F.lit(vehicle_type) if isinstance(vehicle_type, str) else vehicle_type
-    rows = vehicle_bodies(messages).select(
-        F.explode("body.result").alias("v"),
-        "kafka_ts",
-        kind.alias("vehicle_type"),
-        _stamp(ingested_at).alias("ingestion_timestamp"),
-    )
     instant = {
         "gps": F.try_to_timestamp(F.col("v.Time"), F.lit(keys.CLOCK_TIME)),
         "arrival": F.col("kafka_ts"),
-        "processing": F.col("ingestion_timestamp"),
+        "processing": ingested,
     }[event_time]
     # Only GPS times are already wall-clock strings; the others are instants.
     zone = "UTC" if event_time == "gps" else tz
-    return rows.select(
+    return [
         keys.vehicle_key(instant, F.col("v.VehicleNumber"), zone).alias("row_key"),
         F.col("v.Lines").alias("lines"),
         F.col("v.VehicleNumber").alias("vehicle_number"),
@@ -58,9 +60,36 @@ def parse_vehicles(
         F.col("v.Time").alias("gps_time"),
         F.col("v.Lat").alias("lat"),
         F.col("v.Lon").alias("lon"),
-        "vehicle_type",
-        "ingestion_timestamp",
+        kind.alias("vehicle_type"),
+        ingested.alias("ingestion_timestamp"),
+    ]
+
+
+def judged_vehicles(
+    messages: DataFrame,
+    vehicle_type: str | Column,
+    *,
+    event_time: str = "gps",
+    ingested_at: str | Column | None = None,
+    tz: str = "UTC",
+) -> DataFrame:
+    """Vehicle rows and unreadable messages in one pass over the messages.
+
+    ``reason`` is null for accepted rows; an unreadable message comes as one row
+    that keeps its ``json`` and has no vehicle columns.
+    """
+    opened = (
+        vehicle_bodies(messages)
+        .filter(F.coalesce(F.size("body.result") > 0, F.lit(True)))
+        .select("json", "kafka_ts", F.explode_outer("body.result").alias("v"), "body")
+        .withColumn("readable", F.col("body.result").isNotNull())
     )
+    columns = _vehicle_columns(vehicle_type, event_time, _stamp(ingested_at), tz)
+    rows = opened.select(
+        "kafka_ts", "readable", F.when(~F.col("readable"), F.col("json")).alias("json"), *columns
+    )
+    checks = {"unreadable": F.col("readable"), **_vehicle_checks()}
+    return _judged(rows, checks).drop("readable")
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:
@@ -169,6 +198,14 @@ def normalize_tweets(messages: DataFrame, *, acquired_on: str | Column) -> DataF
     )
 
 
+def _judged(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    failed = [
+        F.when(F.coalesce(condition, F.lit(False)), F.lit(None)).otherwise(F.lit(reason))
+        for reason, condition in checks.items()
+    ]
+    return df.withColumn("reason", F.coalesce(*failed))
+
+
 def quarantine(
     df: DataFrame, checks: Mapping[str, Column]
 ) -> tuple[DataFrame, DataFrame]:
@@ -177,11 +214,7 @@ def quarantine(
     ``checks`` maps a reason to the condition a good row fulfils; a rejected row
     carries the first reason that applies. A null condition counts as failed.
     """
-    failed = [
-        F.when(F.coalesce(condition, F.lit(False)), F.lit(None)).otherwise(F.lit(reason))
-        for reason, condition in checks.items()
-    ]
-    judged = df.withColumn("reason", F.coalesce(*failed))
+    judged = _judged(df, checks)
     good = judged.filter(F.col("reason").isNull()).drop("reason")
     return good, judged.filter(F.col("reason").isNotNull())
 
@@ -194,15 +227,16 @@ def quarantine_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.drop("body"), bad.drop("body")
 
 
+def _vehicle_checks() -> dict[str, Column]:
+    return {
+        "no_vehicle": F.col("vehicle_number") != "",
+        "bad_time": F.try_to_timestamp(F.col("gps_time"), F.lit(keys.CLOCK_TIME)).isNotNull(),
+        "no_position": F.col("lat").isNotNull() & F.col("lon").isNotNull(),
+    }
+
+
 def quarantine_vehicles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return quarantine(
-        rows,
-        {
-            "no_vehicle": F.col("vehicle_number") != "",
-            "bad_time": F.try_to_timestamp(F.col("gps_time"), F.lit(keys.CLOCK_TIME)).isNotNull(),
-            "no_position": F.col("lat").isNotNull() & F.col("lon").isNotNull(),
-        },
-    )
+    return quarantine(rows, _vehicle_checks())
 
 
 def quarantine_keyed(rows: DataFrame, key: str = "row_key") -> tuple[DataFrame, DataFrame]:

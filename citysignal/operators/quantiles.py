@@ -26,7 +26,7 @@ def _order_statistics(rows: DataFrame, keys: list[str], wanted: DataFrame) -> Da
 
     ``skip`` counts the rows of the group that lie below the interval.
     """
-    open_ = cut_lineage(wanted.withColumn("skip", F.lit(0).cast("bigint")))
+    open_ = wanted.withColumn("skip", F.lit(0).cast("bigint"))
     done = open_.filter("lo = hi")
     open_ = open_.filter("lo < hi")
     while True:

@@ -19,23 +19,32 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citysignal import config as C
 from citysignal.functions import keys
 from citysignal.sources import scans
 
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def latest_per_key(
     changes: DataFrame, key: str | Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The last write of every key.
 
-    ``order`` must be unique within a key. Whole rows compete in one aggregate,
-    so each task sends at most one row per key however often a key was written.
+    ``order`` must be unique within a key. Each task sends at most one row per
+    key however often a key was written. With a single order column and only
+    fixed-width values every column competes on its own, which stays in the hash
+    aggregate; otherwise whole rows compete, which sorts by key first.
     """
     by = [key] if isinstance(key, str) else list(key)
-    rest = [name for name in changes.columns if name not in by]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("newest")
+    rest = [field for field in changes.schema.fields if field.name not in by]
+    names = [field.name for field in rest]
+    if len(order) == 1 and all(isinstance(field.dataType, FIXED_WIDTH) for field in rest):
+        newest = [F.max_by(name, order[0]).alias(name) for name in names]
+        return changes.groupBy(*by).agg(*newest).select(*changes.columns)
+    newest = F.max_by(F.struct(*names), F.struct(*order)).alias("newest")
     return changes.groupBy(*by).agg(newest).select(*by, "newest.*").select(*changes.columns)
 
 

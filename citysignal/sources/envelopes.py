@@ -58,3 +58,14 @@ def read_table_stream(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the source has fewer splits than there are cores.
+
+    For batch reads ahead of costly per-row work, where a handful of files would
+    otherwise keep most of the cluster idle. A source with enough splits is
+    returned as it is, without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

@@ -188,3 +188,14 @@ def test_scan_bounds_are_half_open_and_prune(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters: [IsNotNull(row_key)" in plan
     assert [r["row_key"] for r in scans.get_row(stored, ids[3]).collect()] == [ids[3]]
     assert [r["row_key"] for r in scans.scan_limit(stored, 2).collect()] == ids[:2]
+
+
+def test_one_pass_judgement_agrees_with_the_two_step_split(spark, rows):
+    cases = [{**BUS}, {**BUS, "VehicleNumber": None}, {**BUS, "Time": "later"}, {**BUS, "Lat": None}]
+    df = messages(spark, "{not json", {"result": "down"}, {"result": []}, {"result": cases})
+    judged = parse.judged_vehicles(df, "bus", ingested_at=AT)
+    good, bad_messages = parse.quarantine_messages(df)
+    accepted, bad_rows = parse.quarantine_vehicles(parse.parse_vehicles(good, "bus", ingested_at=AT))
+    assert rows(judged.filter("reason IS NULL").select(accepted.columns)) == rows(accepted)
+    assert rows(judged.filter("reason = 'unreadable'"), "json") == rows(bad_messages, "json")
+    assert rows(judged.filter("reason <> 'unreadable'"), "reason") == rows(bad_rows, "reason")

@@ -232,3 +232,10 @@ def test_latest_state(spark):
         "MEDIUM",
         False,
     )
+
+
+def test_numbers_alone_are_compared_without_sorting(spark, rows):
+    df = spark.createDataFrame([("a", 1, 5.0), ("a", 3, None), ("b", 2, 7.0)], "k STRING, seq BIGINT, x DOUBLE")
+    latest = latest_per_key(df, "k", ["seq"])
+    assert rows(latest) == [("a", 3, None), ("b", 2, 7.0)]
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
