@@ -607,9 +607,8 @@ def slowest_vehicles(spark, sf_dir):
 
 @query("target_top5")
 def target_top5(spark, sf_dir):
-    return traffic.targets(_moving(spark, sf_dir)).select(
-        window_key(), F.array_join("targets", "|").alias("targets")
-    )
+    aims = traffic.targets(_moving(spark, sf_dir)).filter(F.size("targets") > 0)
+    return aims.select(window_key(), F.array_join("targets", "|").alias("targets"))
 
 
 @query("sliding_traffic")

@@ -44,17 +44,16 @@ def with_global_score(signals: DataFrame, config: C.ScoringConfig = C.DEFAULT) -
 
 def decide(
     signals: DataFrame,
-    targets: DataFrame,
     config: C.ScoringConfig = C.DEFAULT,
     on: str = "instant",
     tz: str = "UTC",
 ) -> DataFrame:
-    """Decision rows; targets are kept only where the ad is shown."""
+    """Decision rows of signals with ``targets``, kept only where the ad is shown."""
     scored = with_global_score(signals, config).withColumn(
         "decision_result", decision.result(F.col("global_score"), config)
     )
     none = F.array().cast("array<string>")
-    aimed = scored.join(targets, on, "left").withColumn(
+    aimed = scored.withColumn(
         "targets",
         F.when(
             F.col("decision_result") == C.SHOW_AD, F.coalesce(F.col("targets"), none)

@@ -90,10 +90,15 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     copied into the overlapping windows. ``length`` must be a multiple of
     ``slide``.
     """
-    steps = sightings(reports, slide)
+    steps = sightings(reports, slide).withColumnRenamed("window", "step")
+    at = F.window_time("step")
+    if not reports.isStreaming:
+        # Never null, and said so here: a derived null test that is pushed to the
+        # scan in one use of this plan but not in another would keep the uses from
+        # sharing a shuffle. Streams need the bare column, which has the watermark.
+        at = F.coalesce(at, F.timestamp_seconds(F.lit(0)))
     spread = (
-        steps.withColumnRenamed("window", "step")
-        .withColumn("window", F.window(F.window_time("step"), length, slide))
+        steps.withColumn("window", F.window(at, length, slide))
         .withColumn("shift", _seconds_since(F.col("window.start"), F.col("step.start")))
         .withColumn("first", _shift_seconds(F.col("first_order"), F.col("shift")))
         .withColumn("last", _shift_seconds(F.col("last_order"), F.col("shift")))
@@ -150,22 +155,36 @@ def slowest(moving: DataFrame) -> DataFrame:
 
 
 def targets(moving: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
-    """Ordered ids of the slowest few congested vehicles per window.
+    """Ordered ids of the slowest few congested vehicles, one row per window.
 
     Ranking is limited on both sides of the shuffle, so a window sends at most
-    that many rows per task and collects at most that many rows.
+    that many rows per task and collects at most that many rows. Windows without
+    congestion have an empty list.
     """
-    order = Window.partitionBy("window").orderBy("speed_kmh", "first_ts", "vn")
+    order = Window.partitionBy("window").orderBy(
+        F.desc("congested"), "speed_kmh", "first_ts", "vn"
+    )
     ranked = (
-        moving.filter("congested")
-        .select("window", "vn", "speed_kmh", "first_ts")
+        moving.select("window", "vn", "speed_kmh", "first_ts", "congested")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= config.targets_per_decision)
     )
-    few = F.array_sort(F.collect_list(F.struct("rank", "vn")))
+    few = F.array_sort(F.collect_list(F.when(F.col("congested"), F.struct("rank", "vn"))))
     return ranked.groupBy("window").agg(F.transform(few, lambda t: t["vn"]).alias("targets"))
 
 
+def scores_with_targets(moving: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
+    """Traffic score and targets of every window.
+
+    Both sides have all windows, so this is an inner join on a window that is
+    rebuilt to be never null: no filter gets derived for one side only, the plans
+    below stay equal, and the reports are read and shuffled once for both.
+    """
+    bounds = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"))
+    moving = moving.withColumn("window", bounds)
+    return traffic_scores(moving).join(targets(moving, config), "window")
+
+
 def tumbling_traffic(
     reports: DataFrame, length: str, config: C.ScoringConfig = C.DEFAULT
 ) -> DataFrame:

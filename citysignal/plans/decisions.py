@@ -34,12 +34,12 @@ def decision_plan(
     moving = traffic.speeds(ends, config)
 
     instant = F.col("window.end").alias("instant")
-    by_traffic = traffic.traffic_scores(moving).select(instant, "traffic_score")
+    driving = traffic.scores_with_targets(moving, config)
+    by_traffic = driving.select(instant, "traffic_score", "targets")
     by_mood = negative.select(instant, F.col("sentiment_ratio").alias("sentiment_score"))
-    aims = traffic.targets(moving, config).select(instant, "targets")
 
     instants = by_traffic.join(by_mood, "instant", "full")
     signals = combine.fill_signals(
         weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
     )
-    return combine.decide(signals, aims, config, tz=tz)
+    return combine.decide(signals, config, tz=tz)

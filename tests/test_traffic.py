@@ -191,23 +191,21 @@ def test_decisions(spark):
     signals = combine.fill_signals(
         spark.createDataFrame(
             [
-                (T0, 1.0, 0.25, 0.0),
-                (T0 + timedelta(hours=1), 1.0, 1.0, 1.0),
-                (T0 + timedelta(hours=2), 1.0, 1.0, 1.0),
+                (T0, 1.0, 0.25, 0.0, ["1"]),
+                (T0 + timedelta(hours=1), 1.0, 1.0, 1.0, ["2", "3"]),
+                (T0 + timedelta(hours=2), 1.0, 1.0, 1.0, []),
+                (T0 + timedelta(hours=3), None, 1.0, 1.0, None),
             ],
-            "instant TIMESTAMP, traffic_score DOUBLE, weather_score DOUBLE, sentiment_score DOUBLE",
+            "instant TIMESTAMP, traffic_score DOUBLE, weather_score DOUBLE,"
+            " sentiment_score DOUBLE, targets ARRAY<STRING>",
         )
     )
-    targets = spark.createDataFrame(
-        [(T0, ["1"]), (T0 + timedelta(hours=1), ["2", "3"])],
-        "instant TIMESTAMP, targets ARRAY<STRING>",
-    )
-    made = combine.decide(signals, targets).orderBy("decision_id").collect()
-    assert [r["decision_id"] for r in made] == [f"20260101_{h}0000" for h in ("08", "09", "10")]
+    made = combine.decide(signals).orderBy("decision_id").collect()
+    assert [r["decision_id"] for r in made] == [f"20260101_{h}0000" for h in ("08", "09", "10", "11")]
     # 0.4 + 0.1 is exactly the cut.
-    assert [r["decision_result"] for r in made] == ["NO_AD", "SHOW_AD", "SHOW_AD"]
-    assert [r["campaign_type"] for r in made] == ["", "ESCAPISM_NOW", ""]
-    assert [r["targets"] for r in made] == [[], ["2", "3"], []]
+    assert [r["decision_result"] for r in made] == ["NO_AD"] + ["SHOW_AD"] * 3
+    assert [r["campaign_type"] for r in made] == ["", "ESCAPISM_NOW", "", ""]
+    assert [r["targets"] for r in made] == [[], ["2", "3"], [], []]
     assert (made[0]["display_time"] - made[0]["decision_time"]) == timedelta(minutes=5)
 
 
@@ -273,3 +271,16 @@ def test_search(spark):
     assert ids(**words, **place, order="top") == ["3", "5", "1"]
     assert ids(**words, **place, **day, order="top") == ["5", "1"]
     assert ids(limit=1) == ["1"]
+
+
+def test_scores_and_targets_share_one_shuffle_of_the_reports(spark):
+    df = spark.createDataFrame(random_reports(6), SCHEMA)
+    moods = df.select("ts", F.col("seq").cast("int").alias("sentiment_score"))
+    columns = "temp_2m apparent_temp rain snowfall snow_depth wind_speed".split()
+    hourly = spark.createDataFrame(
+        [], "row_key STRING, weather_code INT, " + ", ".join(f"{c} DOUBLE" for c in columns)
+    )
+    for length in ("1 hour", None):
+        made = decision_plan(df, moods, hourly, length=length)
+        made.collect()
+        assert "ReusedExchange [window" in plan(made)
