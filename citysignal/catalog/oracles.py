@@ -336,6 +336,37 @@ def _histogram() -> str:
         FROM grid LEFT JOIN c USING (score, bin)"""
 
 
+def decisions(vehicle_windows: str, message_window: str, length: str, final: str = "") -> str:
+    return f"""WITH {EV}, {POS}, {ends("pos", vehicle_windows)}, {MOOD}, {SCORED_HOURS},
+        placed_mood AS (SELECT bucket, {message_window} AS ws FROM mood),
+        talk AS (SELECT ws, count(*) FILTER (WHERE bucket < 4) / count(*) AS sentiment_score
+                 FROM placed_mood GROUP BY 1),
+        aims AS (SELECT ws, string_agg(vn, '|' ORDER BY speed_kmh, first_ts, vn) AS targets
+                 FROM (SELECT * FROM moving WHERE is_congested
+                       QUALIFY row_number() OVER (PARTITION BY ws
+                                                  ORDER BY speed_kmh, first_ts, vn) <= 5)
+                 GROUP BY ws),
+        signals AS (
+            SELECT coalesce(t.ws, m.ws) + {length} AS instant, coalesce(t.ws, m.ws) AS ws,
+                   coalesce(traffic_score, 0) AS traffic_score,
+                   coalesce(sentiment_score, 0) AS sentiment_score
+            FROM traffic t FULL JOIN talk m ON t.ws = m.ws),
+        weathered AS (
+            SELECT s.*, coalesce(h.weather_score, 0) AS weather_score, a.targets
+            FROM signals s LEFT JOIN scored_hours h
+                 ON h.row_key = strftime(s.instant, '%Y%m%d_%H') LEFT JOIN aims a ON a.ws = s.ws),
+        summed AS (SELECT *, {BLEND} AS global_score FROM weathered),
+        made AS (SELECT *, global_score > 0.5 AS show_ad FROM summed)
+        SELECT strftime(instant, {SECOND}) AS decision_id, {R_SCORES},
+               CASE WHEN show_ad THEN 'SHOW_AD' ELSE 'NO_AD' END AS decision_result,
+               CASE WHEN show_ad AND targets IS NOT NULL THEN 'ESCAPISM_NOW' ELSE '' END
+                   AS campaign_type,
+               CASE WHEN show_ad THEN coalesce(targets, '') ELSE '' END AS targets,
+               strftime(instant, {CLOCK}) AS decision_time,
+               strftime(instant + INTERVAL 5 MINUTE, {CLOCK}) AS display_time
+        FROM made {final}"""
+
+
 _EXPLAIN = """concat_ws(', ',
     printf('temp=%.1f°C', apparent_temp),
     printf('rain=%.1fmm', rain),
@@ -613,34 +644,11 @@ ORACLES: dict[str, str] = {
         SELECT strftime(ws, {SECOND}) AS window_start, round(rain, 6) AS rain, congested,
                round(traffic_score, 6) AS traffic_score
         FROM traffic JOIN wet USING (ws) WHERE rain > 0 AND congested > 0""",
-    "decide": f"""WITH {MOVING}, {MOOD}, {SCORED_HOURS},
-        talk AS (SELECT date_trunc('day', ts) AS ws,
-                        count(*) FILTER (WHERE bucket < 4) / count(*) AS sentiment_score
-                 FROM mood GROUP BY 1),
-        aims AS (SELECT ws, string_agg(vn, '|' ORDER BY speed_kmh, first_ts, vn) AS targets
-                 FROM (SELECT * FROM moving WHERE is_congested
-                       QUALIFY row_number() OVER (PARTITION BY ws
-                                                  ORDER BY speed_kmh, first_ts, vn) <= 5)
-                 GROUP BY ws),
-        signals AS (
-            SELECT coalesce(t.ws, m.ws) + INTERVAL 1 DAY AS instant, coalesce(t.ws, m.ws) AS ws,
-                   coalesce(traffic_score, 0) AS traffic_score,
-                   coalesce(sentiment_score, 0) AS sentiment_score
-            FROM traffic t FULL JOIN talk m ON t.ws = m.ws),
-        weathered AS (
-            SELECT s.*, coalesce(h.weather_score, 0) AS weather_score, a.targets
-            FROM signals s LEFT JOIN scored_hours h
-                 ON h.row_key = strftime(s.instant, '%Y%m%d_%H') LEFT JOIN aims a ON a.ws = s.ws),
-        summed AS (SELECT *, {BLEND} AS global_score FROM weathered),
-        made AS (SELECT *, global_score > 0.5 AS show_ad FROM summed)
-        SELECT strftime(instant, {SECOND}) AS decision_id, {R_SCORES},
-               CASE WHEN show_ad THEN 'SHOW_AD' ELSE 'NO_AD' END AS decision_result,
-               CASE WHEN show_ad AND targets IS NOT NULL THEN 'ESCAPISM_NOW' ELSE '' END
-                   AS campaign_type,
-               CASE WHEN show_ad THEN coalesce(targets, '') ELSE '' END AS targets,
-               strftime(instant, {CLOCK}) AS decision_time,
-               strftime(instant + INTERVAL 5 MINUTE, {CLOCK}) AS display_time
-        FROM made""",
+    "decide": decisions(DAILY, "date_trunc('day', ts)", "INTERVAL 1 DAY"),
+    "decide_sliding": decisions(
+        SLIDING, "unnest(list_transform(range(0, 10), lambda b:"
+        " date_trunc('minute', ts) - to_minutes(b)))", "INTERVAL 10 MINUTE"
+    ),
     "latest_state": f"""WITH {DEC}
         SELECT area, decision_id,
                {STATE_LEVEL.format("traffic_score")} AS congestion_level,
@@ -740,6 +748,12 @@ ORACLES: dict[str, str] = {
                round(traffic_score, 6) AS traffic_score
         FROM traffic
         WHERE ws + INTERVAL 10 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
+    "stream_decide": decisions(
+        DAILY,
+        "date_trunc('day', ts)",
+        "INTERVAL 1 DAY",
+        "WHERE instant <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+    ),
     "stream_rain_congestion": f"""WITH {MOVING}, {hours(V.WEATHER)},
         wet AS (SELECT date_trunc('day', ts) AS ws, max(rain) AS rain FROM hours GROUP BY 1),
         newest AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(ts) FROM hours)) AS ts)

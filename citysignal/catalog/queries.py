@@ -14,7 +14,7 @@ from citysignal.functions import decision, geo, keys, sentiment, text
 from citysignal.operators import combine, parse, search, state, store, traffic, weather
 from citysignal.operators import sentiment as mood
 from citysignal.plans import archive, reports
-from citysignal.plans.decisions import decision_plan
+from citysignal.plans.decisions import decide_windows, decision_plan
 from citysignal.session import configure, scratch
 from citysignal.sinks import layers, publish
 from citysignal.sources import envelopes, samples, scans
@@ -682,13 +682,7 @@ def rain_congestion_join(spark, sf_dir):
     )
 
 
-@query("decide")
-def decide(spark, sf_dir):
-    """The flagship: three feeds to daily decisions with their targets."""
-    current = store.latest_per_key(V.forecast(spark, sf_dir), "row_key", ["seq"])
-    made = decision_plan(
-        V.positions(spark, sf_dir), V.moods(spark, sf_dir), current, length=V.DAY
-    )
+def _decisions_out(made: DataFrame) -> DataFrame:
     return made.select(
         "decision_id",
         *rounded(*schemas.SCORES),
@@ -700,6 +694,24 @@ def decide(spark, sf_dir):
     )
 
 
+def _forecast(spark, sf_dir):
+    return store.latest_per_key(V.forecast(spark, sf_dir), "row_key", ["seq"])
+
+
+@query("decide")
+def decide(spark, sf_dir):
+    """The flagship: three feeds to daily decisions with their targets."""
+    reports_, talk = V.positions(spark, sf_dir), V.moods(spark, sf_dir)
+    return _decisions_out(decision_plan(reports_, talk, _forecast(spark, sf_dir), length=V.DAY))
+
+
+@query("decide_sliding")
+def decide_sliding(spark, sf_dir):
+    """The same over the configured look-back window, a decision every minute."""
+    reports_, talk = V.positions(spark, sf_dir), V.moods(spark, sf_dir)
+    return _decisions_out(decision_plan(reports_, talk, _forecast(spark, sf_dir)))
+
+
 @query("latest_state")
 def latest_state(spark, sf_dir):
     district = F.concat(F.lit("district_"), F.pmod("user_id", F.lit(V.DISTRICTS)).cast("string"))
@@ -894,6 +906,23 @@ def stream_rain_congestion(spark, sf_dir):
 ARRIVALS = ("2024-01-09", "2024-01-17", "2024-01-25", None)
 
 
+@query("stream_decide")
+def stream_decide(spark, sf_dir):
+    """Vehicle and message streams write their closed windows, decisions follow."""
+    rows = _event_stream(spark, sf_dir)
+    streams = {
+        "speeds": windows.stream_speeds(V.positions_of(rows), V.DAY),
+        "moods": windows.stream_negative_share(V.moods_of(rows), V.DAY),
+    }
+    emitted = []
+    for name, stream in streams.items():
+        out = scratch(spark, name)
+        windows.run_to_files(stream, out, scratch(spark, "checkpoint"))
+        emitted.append(spark.read.parquet(out))
+    made = decide_windows(*windows.decidable(*emitted), _forecast(spark, sf_dir))
+    return _decisions_out(made)
+
+
 @query("stream_late_data")
 def stream_late_data(spark, sf_dir):
     """Events arrive ``value`` minutes after they happened, in four deliveries.

@@ -8,10 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citysignal.functions import sentiment
-
-# A lexicon up to this many words is small enough to send to every executor.
-BROADCAST_WORDS = 200_000
-
+from citysignal.operators.joins import SMALL_ROWS, small_side
 
 def score_text(
     docs: DataFrame,
@@ -19,7 +16,7 @@ def score_text(
     *,
     id: str,
     text: str = "text",
-    broadcast_words: int = BROADCAST_WORDS,
+    broadcast_words: int = SMALL_ROWS,
 ) -> DataFrame:
     """``(id, matches, valence, compound)`` of every document.
 
@@ -28,10 +25,8 @@ def score_text(
     the adaptive planner splits the rows of very common words. Valences are summed
     as decimals with four places, so the result does not depend on the order.
     """
-    size = lexicon.limit(broadcast_words + 1).count()
     words = lexicon.select("word", F.col("valence").cast("decimal(9,4)").alias("valence"))
-    if size <= broadcast_words:
-        words = F.broadcast(words)
+    words = small_side(words, broadcast_words)
     tokens = docs.select(id, F.explode_outer(sentiment.words(F.col(text))).alias("word"))
     summed = (
         tokens.join(words, "word", "left")

@@ -31,8 +31,18 @@ def decision_plan(
     else:
         ends = traffic.sliding_sightings(reports, config.window, config.slide)
         negative = sentiment.negative_share(tweets, config.window, config.slide)
-    moving = traffic.speeds(ends, config)
+    return decide_windows(traffic.speeds(ends, config), negative, forecast, config, tz=tz)
 
+
+def decide_windows(
+    moving: DataFrame,
+    negative: DataFrame,
+    forecast: DataFrame,
+    config: C.ScoringConfig = C.DEFAULT,
+    *,
+    tz: str = "UTC",
+) -> DataFrame:
+    """Decisions from vehicle speeds and negative shares that are final per window."""
     instant = F.col("window.end").alias("instant")
     driving = traffic.scores_with_targets(moving, config)
     by_traffic = driving.select(instant, "traffic_score", "targets")

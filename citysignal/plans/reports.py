@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citysignal import config as C
+from citysignal.operators.joins import small_side
 from citysignal.operators.quantiles import exact_quantiles
 from citysignal.schemas import SCORES
 
@@ -127,6 +128,7 @@ def score_histogram(archive: DataFrame, bins: int = BINS) -> DataFrame:
         )
         .otherwise(F.col("guess"))
     )
+    # One row per score column, so the broadcast has a fixed size.
     counted = (
         rows.join(F.broadcast(ranges.select("score", "lo", "hi", "width")), "score")
         .withColumn("guess", guess)
@@ -163,9 +165,8 @@ def score_boxplot(archive: DataFrame) -> DataFrame:
     )
     inside_low = F.col("x") >= F.col("low_fence")
     inside_high = F.col("x") <= F.col("high_fence")
-    # Four scores times the decision values: the fences are a handful of rows.
     spread = (
-        rows.join(F.broadcast(fences), keys)
+        rows.join(small_side(fences), keys)
         .groupBy(*keys, "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside_low, F.col("x"))).alias("low"),

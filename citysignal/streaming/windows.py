@@ -24,6 +24,34 @@ def stream_traffic(
     return traffic.sliding_traffic(timely, config)
 
 
+def stream_speeds(
+    reports: DataFrame,
+    length: str | None = None,
+    lateness: str = LATENESS,
+    config: C.ScoringConfig = C.DEFAULT,
+) -> DataFrame:
+    """Speed per vehicle and closed window; the input of ``plans.decide_windows``."""
+    timely = reports.withWatermark("ts", lateness)
+    if length:
+        ends = traffic.sightings(timely, length)
+    else:
+        ends = traffic.sliding_sightings(timely, config.window, config.slide)
+    return traffic.speeds(ends, config)
+
+
+def decidable(moving: DataFrame, negative: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cut both emitted tables to the windows that are final in either stream.
+
+    The streams advance on their own; a window that only one of them has passed
+    waits for the other.
+    """
+    ends = [df.agg(F.max("window.end").alias("end")) for df in (moving, negative)]
+    both = F.when(F.count("end") == 2, F.min("end"))
+    upto = ends[0].unionAll(ends[1]).agg(both).first()[0]
+    final = F.col("window.end") <= F.lit(upto)
+    return moving.filter(final), negative.filter(final)
+
+
 def stream_negative_share(
     tweets: DataFrame, length: str, slide: str | None = None, lateness: str = LATENESS
 ) -> DataFrame:

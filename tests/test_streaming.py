@@ -211,3 +211,14 @@ def test_negative_share(spark):
     got = sentiment.negative_share(df, "1 hour").orderBy("window").collect()
     assert [(r["tweets"], r["negative"]) for r in got] == [(3, 1), (1, 1)]
     assert got[0]["sentiment_ratio"] == pytest.approx(1 / 3)
+
+
+def test_decidable_windows_are_final_in_both_streams(spark):
+    def emitted(*hours):
+        data = [((T0 + timedelta(hours=h), T0 + timedelta(hours=h + 1)), h) for h in hours]
+        return spark.createDataFrame(data, "window STRUCT<start: TIMESTAMP, end: TIMESTAMP>, h INT")
+
+    moving, moods = windows.decidable(emitted(0, 1, 2), emitted(0, 3))
+    assert (moving.count(), [r["h"] for r in moods.collect()]) == (3, [0])
+    moving, moods = windows.decidable(emitted(0, 1), emitted())
+    assert (moving.count(), moods.count()) == (0, 0)
