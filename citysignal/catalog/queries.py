@@ -701,14 +701,16 @@ def _forecast(spark, sf_dir):
 @query("decide")
 def decide(spark, sf_dir):
     """The flagship: three feeds to daily decisions with their targets."""
-    reports_, talk = V.positions(spark, sf_dir), V.moods(spark, sf_dir)
+    rows = V.events(spark, sf_dir)
+    reports_, talk = V.positions_of(rows), V.moods_of(rows)
     return _decisions_out(decision_plan(reports_, talk, _forecast(spark, sf_dir), length=V.DAY))
 
 
 @query("decide_sliding")
 def decide_sliding(spark, sf_dir):
     """The same over the configured look-back window, a decision every minute."""
-    reports_, talk = V.positions(spark, sf_dir), V.moods(spark, sf_dir)
+    rows = V.events(spark, sf_dir)
+    reports_, talk = V.positions_of(rows), V.moods_of(rows)
     return _decisions_out(decision_plan(reports_, talk, _forecast(spark, sf_dir)))
 
 

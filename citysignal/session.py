@@ -32,6 +32,7 @@ def build_session(
         SparkSession.builder.appName(app)
         .master(f"local[{cores}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
     )
@@ -40,21 +41,24 @@ def build_session(
     return configure(builder.getOrCreate())
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder, since there the
     driver and the executors are one process on one machine.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF
-    )
+    context = spark.sparkContext
+    configured = context.getConf().get(CHECKPOINT_CONF) or spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
-    spark.conf.set(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="citysignal-"))
-    return spark.conf.get(CHECKPOINT_CONF)
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="citysignal-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
