@@ -189,7 +189,8 @@ def archive_incremental(spark, sf_dir):
     # A run that wrote its rows but never got to move the mark.
     lost = scans.scan_range(rows, "20240110_000000", "20240119_123456", key="decision_id")
     latest = store.latest_per_key(lost, "decision_id", ["seq"])
-    archive.append(archive.archive_rows(latest), path, archive.high_water_mark(spark, f"{path}/_marks"))
+    start = archive.high_water_mark(spark, f"{path}/_marks")
+    archive.append(archive.archive_rows(latest), path, start, hours=240)
     archive.archive_increment(spark, rows, path, "20240120_123456")
     archive.archive_increment(spark, rows, path, "20240201_000000")
     return archive.read(spark, path).select(

@@ -18,6 +18,7 @@ from citysignal.operators.store import latest_per_key
 from citysignal.sources import scans
 
 FIRST_KEY = "00000000_000000"
+HOURS_PER_TASK = 24
 
 
 def archive_rows(decisions: DataFrame) -> DataFrame:
@@ -44,11 +45,24 @@ def with_partitions(rows: DataFrame) -> DataFrame:
     )
 
 
-def append(rows: DataFrame, path: str, run: str) -> None:
-    """Write one run. Rebalancing by partition avoids both tiny files and one huge task."""
+def append(rows: DataFrame, path: str, run: str, hours: int = 1) -> None:
+    """Write one run that covers about ``hours`` hours.
+
+    A regular run touches few folders: it is rebalanced by folder, which avoids
+    tiny files and splits an hour that is too big for one task. A backfill opens
+    so many files that opening them is the work: it is cut into key ranges of
+    equal size, a day's worth of folders or less per task, and a crowded hour
+    spans several ranges.
+    """
+    if hours <= HOURS_PER_TASK:
+        placed = rows.hint("rebalance", "dt", "hr")
+    else:
+        session = rows.sparkSession
+        configured = int(session.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(configured, -(-hours // HOURS_PER_TASK))
+        placed = rows.repartitionByRange(tasks, "decision_id")
     (
-        rows.withColumn("run", F.lit(run))
-        .hint("rebalance", "dt", "hr")
+        placed.withColumn("run", F.lit(run))
         .sortWithinPartitions("dt", "hr", "run", "decision_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -57,6 +71,15 @@ def append(rows: DataFrame, path: str, run: str) -> None:
     )
 
 
+def _hours_covered(rows: DataFrame) -> int:
+    """Hours from the first to the last key; reads the key column only."""
+    ends = rows.agg(F.min("decision_id").alias("first"), F.max("decision_id").alias("last"))
+    seconds = F.unix_timestamp(keys.key_timestamp(F.col("last"))) - F.unix_timestamp(
+        keys.key_timestamp(F.col("first"))
+    )
+    return (ends.select(F.coalesce(seconds, F.lit(0))).first()[0] // 3600) + 1
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The archive without its run column; partition values stay strings."""
     schema = f"{schemas.ARCHIVE_COLUMNS}, dt STRING, hr STRING, run STRING"
@@ -83,9 +106,10 @@ def archive_increment(spark: SparkSession, decisions: DataFrame, path: str, stop
     marks = f"{path}/_marks"
     start = high_water_mark(spark, marks)
     fresh = scans.scan_range(decisions, start, stop, key="decision_id")
+    hours = _hours_covered(fresh)
     if "seq" in fresh.columns:
         fresh = latest_per_key(fresh, "decision_id", ["seq"])
-    append(archive_rows(fresh), path, start)
+    append(archive_rows(fresh), path, start, hours)
     spark.range(1).select(F.lit(start).alias("start"), F.lit(stop).alias("stop")).write.mode(
         "append"
     ).parquet(marks)

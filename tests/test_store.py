@@ -239,3 +239,25 @@ def test_numbers_alone_are_compared_without_sorting(spark, rows):
     latest = latest_per_key(df, "k", ["seq"])
     assert rows(latest) == [("a", 3, None), ("b", 2, 7.0)]
     assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_backfill_of_many_hours_with_a_crowded_one(spark, tmp_path, rows):
+    start = datetime(2026, 1, 1)
+    times = [start + timedelta(hours=h) for h in range(60)]
+    times += [start + timedelta(hours=30, seconds=s) for s in range(1, 1200)]
+    made = [(f"{t:%Y%m%d_%H%M%S}", t, t, i) for i, t in enumerate(times)]
+    df = spark.createDataFrame(
+        made, "decision_id STRING, decision_time TIMESTAMP, display_time TIMESTAMP, seq BIGINT"
+    )
+    for score in ("traffic_score", "weather_score", "sentiment_score", "global_score"):
+        df = df.withColumn(score, F.lit(0.5))
+    df = df.withColumn("decision_result", F.lit("NO_AD")).withColumn(
+        "targets", F.array().cast("array<string>")
+    )
+    path = str(tmp_path / "archive")
+    archive.archive_increment(spark, df, path, "20270101_000000")
+    stored = archive.read(spark, path)
+    assert ids(stored) == sorted(m[0] for m in made)
+    assert stored.select("dt", "hr").distinct().count() == 60
+    crowded = list((tmp_path / "archive/dt=20260102/hr=06").glob("run=*/part-*.parquet"))
+    assert len(crowded) > 1
