@@ -51,13 +51,18 @@ def bucketed(scored: DataFrame, compound: str = "compound") -> DataFrame:
 
 
 def negative_share(tweets: DataFrame, length: str, slide: str | None = None) -> DataFrame:
-    """Share of negative messages per window, over rows ``(ts, sentiment_score)``."""
-    period = F.window("ts", length, slide) if slide else F.window("ts", length)
+    """Share of negative messages per window, over rows ``(ts, sentiment_score)``.
+
+    Sliding windows add up the counts of their steps, so messages are counted once.
+    """
     negative = sentiment.is_negative(F.col("sentiment_score"))
-    return (
-        tweets.groupBy(period.alias("window"))
-        .agg(F.count("*").alias("tweets"), F.count_if(negative).alias("negative"))
-        .withColumn(
-            "sentiment_ratio", (F.col("negative") / F.col("tweets")).cast("double")
-        )
+    counted = tweets.groupBy(F.window("ts", slide or length).alias("window")).agg(
+        F.count("*").alias("tweets"), F.count_if(negative).alias("negative")
     )
+    if slide:
+        covering = F.window(F.window_time("window"), length, slide).alias("window")
+        counted = counted.groupBy(covering).agg(
+            F.sum("tweets").alias("tweets"), F.sum("negative").alias("negative")
+        )
+    share = (F.col("negative") / F.col("tweets")).cast("double")
+    return counted.withColumn("sentiment_ratio", share)

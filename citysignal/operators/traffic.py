@@ -89,17 +89,19 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     Reports are reduced once per slide step, and only those reduced rows are
     copied into the overlapping windows. ``length`` must be a multiple of
     ``slide``.
+
+    In batch the steps are placed by vehicle before they are copied, so the copies
+    meet where they are and are never shuffled. By then a vehicle has one row per
+    step at most, whatever it sent.
     """
     steps = sightings(reports, slide).withColumnRenamed("window", "step")
-    at = F.window_time("step")
-    if not reports.isStreaming:
-        # Never null, and said so here: a derived null test that is pushed to the
-        # scan in one use of this plan but not in another would keep the uses from
-        # sharing a shuffle. Streams need the bare column, which has the watermark.
-        at = F.coalesce(at, F.timestamp_seconds(F.lit(0)))
+    if reports.isStreaming:
+        # Only the built-in window keeps the watermark.
+        copied = steps.withColumn("window", F.window(F.window_time("step"), length, slide))
+    else:
+        copied = steps.repartition("vn").withColumn("window", _covering("step", length, slide))
     spread = (
-        steps.withColumn("window", F.window(at, length, slide))
-        .withColumn("shift", _seconds_since(F.col("window.start"), F.col("step.start")))
+        copied.withColumn("shift", _seconds_since(F.col("window.start"), F.col("step.start")))
         .withColumn("first", _shift_seconds(F.col("first_order"), F.col("shift")))
         .withColumn("last", _shift_seconds(F.col("last_order"), F.col("shift")))
     )
@@ -109,6 +111,16 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     )
 
 
+def _covering(step: str, length: str, slide: str) -> Column:
+    """All sliding windows that hold a slide step, one row each."""
+    span, every = F.expr(f"INTERVAL {length}"), F.expr(f"INTERVAL {slide}")
+    start = F.col(f"{step}.start")
+    starts = F.sequence(start - span + every, start, every)
+    return F.explode(
+        F.transform(starts, lambda at: F.struct(at.alias("start"), (at + span).alias("end")))
+    )
+
+
 def speeds(ends: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
     """Speed between the first and last report; null when no time passed."""
     elapsed = _second_of(F.col("last_order")) - _second_of(F.col("first_order"))

@@ -222,3 +222,27 @@ def test_decidable_windows_are_final_in_both_streams(spark):
     assert (moving.count(), [r["h"] for r in moods.collect()]) == (3, [0])
     moving, moods = windows.decidable(emitted(0, 1), emitted())
     assert (moving.count(), moods.count()) == (0, 0)
+
+
+def test_sliding_share_in_batch_and_on_a_stream(spark, tmp_path):
+    data = [(T0 + timedelta(seconds=37 * i), i % 10) for i in range(100)]
+    schema = "ts TIMESTAMP, sentiment_score INT"
+    df = spark.createDataFrame(data, schema)
+    want = {}
+    for i, (ts, score) in enumerate(data):
+        for back in range(10):
+            start = ts.replace(second=0) - timedelta(minutes=back)
+            tweets, negative = want.get(start, (0, 0))
+            want[start] = (tweets + 1, negative + (score < 4))
+
+    def found(rows):
+        return {r["window"]["start"]: (r["tweets"], r["negative"]) for r in rows.collect()}
+
+    assert found(sentiment.negative_share(df, "10 minutes", "1 minute")) == want
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df.write.parquet(path)
+    stream = read_table_stream(spark, path, schema)
+    share = windows.stream_negative_share(stream, "10 minutes", "1 minute")
+    windows.run_to_files(share, out, str(tmp_path / "c"))
+    closed = data[-1][0] - timedelta(minutes=20)
+    assert found(spark.read.parquet(out)) == {s: n for s, n in want.items() if s <= closed}

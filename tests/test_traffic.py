@@ -283,4 +283,13 @@ def test_scores_and_targets_share_one_shuffle_of_the_reports(spark):
     for length in ("1 hour", None):
         made = decision_plan(df, moods, hourly, length=length)
         made.collect()
-        assert "ReusedExchange [window" in plan(made)
+        reused = [line for line in plan(made).splitlines() if "ReusedExchange" in line]
+        assert any(" vn#" in line for line in reused)
+
+
+def test_copies_into_sliding_windows_are_not_shuffled(spark):
+    df = traffic.sliding_sightings(spark.createDataFrame(random_reports(3), SCHEMA), "10 minutes", "1 minute")
+    text = plan(df)
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    # By step and vehicle for the partial results, then by vehicle; none by window.
+    assert len(shuffles) == 2 and "hashpartitioning(vn" in shuffles[0]
