@@ -401,6 +401,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     Pairs are grouped by their first set, in stars of about ``STAR`` partners, so that an
     array travels once a star.
     """
+    pairs = written(pairs, "jaccard-candidates")
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("stars"))
     split = pairs.join(degree, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("stars")).alias("star")
