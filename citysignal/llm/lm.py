@@ -45,8 +45,8 @@ STRENGTH, DISCOUNT = 1.0, 0.8
 ROOT_STRENGTH, ROOT_DISCOUNT = 1.0, 0.7
 BURN_IN, SAMPLES = 1, 3
 FIRST_SWEEPS = 2
-PART_TOKENS = 4_000_000
-FLUSH_TOKENS = 3_000_000
+PART_TOKENS = 2_000_000
+FLUSH_TOKENS = 1_000_000
 HEAVY = 0.25  # of a part
 SEED = 29
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
@@ -170,8 +170,8 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
             held.clear()
             part = shared.value.of(context, token)
             names, where = np.unique(np.concatenate([context, token]), return_inverse=True)
-            a, b = where[: len(context)].astype(np.uint64), where[len(context) :].astype(np.uint64)
-            key = (a << np.uint64(32)) | b
+            key = (where[: len(context)].astype(np.uint64) << np.uint64(32)) | where[len(context) :].astype(np.uint64)
+            del context, token, where
             keys = (row, key, part) if with_rows else (key, part)
             order = np.lexsort(keys)
             key, part, row, n = key[order], part[order], row[order], n[order]
