@@ -295,28 +295,26 @@ def bounded_pairs(ids, sizes, bits, split: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray):
-    """A breadth-first forest of the pairs, each tree from its smallest id."""
-    from collections import defaultdict
-
-    near = defaultdict(list)
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        near[a].append(b)
-        near[b].append(a)
-    seen: set[int] = set()
-    for root in sorted(near, key=lambda k: ids[k]):
-        if root in seen:
+    """A breadth-first forest of the pairs, each tree from its smallest id, as two arrays."""
+    source, target = np.concatenate([i, j]), np.concatenate([j, i])
+    target = target[np.argsort(source, kind="stable")]
+    degree = np.bincount(source, minlength=n)
+    ends = np.cumsum(degree)
+    seen = degree == 0
+    parents, children = [], []
+    for root in np.argsort(ids, kind="stable").tolist():
+        if seen[root]:
             continue
-        seen.add(root)
+        seen[root] = True
         layer = [root]
-        while layer:
-            following = []
-            for a in layer:
-                for b in near[a]:
-                    if b not in seen:
-                        seen.add(b)
-                        following.append(b)
-                        yield a, b
-            layer = following
+        for node in layer:
+            near = target[ends[node] - degree[node] : ends[node]]
+            fresh = near[~seen[near]]
+            seen[fresh] = True
+            parents += [node] * len(fresh)
+            children += fresh.tolist()
+            layer += fresh.tolist()
+    return np.array(parents, np.int64), np.array(children, np.int64)
 
 
 def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | None) -> DataFrame:
@@ -358,9 +356,7 @@ def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | Non
             apart = label[i] != label[j]
             i, j = i[apart], j[apart]
         else:
-            chosen = list(spanning(len(ids), i, j, ids))
-            i = np.array([a for a, _ in chosen], np.int64)
-            j = np.array([b for _, b in chosen], np.int64)
+            i, j = spanning(len(ids), i, j, ids)
         return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
 
     return rows.groupBy("tile").applyInArrow(compare, "a bigint, b bigint").distinct()
