@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from citysignal.llm.common import NO_SPACES, UPPER, cut_lineage, only, text_of, words_of
 
 SAMPLE_ROWS = 20_000
+FIT_PARTITIONS = 4
 TREES = 12
 DEPTH = 3
 LASSO = 0.002
@@ -135,7 +136,9 @@ def fit(
     texts = only(docs, "doc_id", "text").join(
         F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id")
     )
-    known = cut_lineage(statistics(texts, "label").select("label", "s.*"))
+    # The sample is small by its bound: a few partitions keep the many passes of fitting short.
+    known = statistics(texts, "label").select("label", "s.*").repartition(FIT_PARTITIONS)
+    known = cut_lineage(known)
     shares = known.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean")).first()
     if not shares.n or shares.mean in (0.0, 1.0):
         mean = min(max(shares.mean if shares.n else 0.5, 1e-6), 1 - 1e-6)
@@ -158,7 +161,7 @@ def fit(
         .select("label", "fired")
     )
     weighed = LogisticRegression(
-        featuresCol="fired", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=60
+        featuresCol="fired", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=40
     ).fit(fired)
     kept = [(r, float(w)) for r, w in zip(rules, weighed.coefficients, strict=True) if w]
     return Ensemble(float(weighed.intercept), kept)
