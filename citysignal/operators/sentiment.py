@@ -24,16 +24,20 @@ def score_text(
     only after counting it; a larger one is joined by shuffle on the word, where
     the adaptive planner splits the rows of very common words. Valences are summed
     as decimals with four places, so the result does not depend on the order.
+
+    A feed that is polled again repeats messages: copies of an id are counted, and the
+    sums are divided by their number, so that a repeated message scores as one.
     """
     words = lexicon.select("word", F.col("valence").cast("decimal(9,4)").alias("valence"))
     words = small_side(words, broadcast_words)
-    tokens = docs.select(id, F.explode_outer(sentiment.words(F.col(text))).alias("word"))
+    tokens = docs.select(id, F.posexplode_outer(sentiment.words(F.col(text))).alias("at", "word"))
+    copies = F.count_if(F.coalesce("at", F.lit(0)) == 0)
     summed = (
         tokens.join(words, "word", "left")
         .groupBy(id)
         .agg(
-            F.count("valence").alias("matches"),
-            F.coalesce(F.sum("valence").cast("double"), F.lit(0.0)).alias("valence"),
+            (F.count("valence") / copies).cast("bigint").alias("matches"),
+            (F.coalesce(F.sum("valence").cast("double"), F.lit(0.0)) / copies).alias("valence"),
         )
     )
     return summed.withColumn("compound", sentiment.compound_of(F.col("valence")))

@@ -94,6 +94,11 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     meet where they are and are never shuffled. By then a vehicle has one row per
     step at most, whatever it sent.
     """
+    uneven = reports.sparkSession.range(1).select(
+        F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {length}) % unix_micros(timestamp_micros(0) + INTERVAL {slide})")
+    )
+    if uneven.first()[0]:
+        raise ValueError(f"the window ({length}) must be a multiple of the slide ({slide})")
     steps = sightings(reports, slide).withColumnRenamed("window", "step")
     if reports.isStreaming:
         # Only the built-in window keeps the watermark.

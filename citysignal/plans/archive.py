@@ -100,8 +100,8 @@ def high_water_mark(spark: SparkSession, marks: str) -> str:
 def archive_increment(spark: SparkSession, decisions: DataFrame, path: str, stop: str) -> None:
     """Archive decisions from the last mark up to ``stop``, then move the mark.
 
-    Several writes of one decision are reduced to one row, ordered by the rows'
-    ``seq`` column where they have one.
+    Several writes of one decision are reduced to one row: by the rows' ``seq`` column
+    where they have one, else the greatest row, so that a repeated run leaves no copies.
     """
     marks = f"{path}/_marks"
     start = high_water_mark(spark, marks)
@@ -109,6 +109,10 @@ def archive_increment(spark: SparkSession, decisions: DataFrame, path: str, stop
     hours = _hours_covered(fresh)
     if "seq" in fresh.columns:
         fresh = latest_per_key(fresh, "decision_id", ["seq"])
+    else:
+        whole = F.struct(*(c for c in fresh.columns if c != "decision_id"))
+        fresh = fresh.groupBy("decision_id").agg(F.max(whole).alias("row"))
+        fresh = fresh.select("decision_id", "row.*")
     append(archive_rows(fresh), path, start, hours)
     spark.range(1).select(F.lit(start).alias("start"), F.lit(stop).alias("stop")).write.mode(
         "append"

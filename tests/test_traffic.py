@@ -293,3 +293,9 @@ def test_copies_into_sliding_windows_are_not_shuffled(spark):
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     # By step and vehicle for the partial results, then by vehicle; none by window.
     assert len(shuffles) == 2 and "hashpartitioning(vn" in shuffles[0]
+
+
+def test_a_window_that_is_no_multiple_of_the_slide_is_refused(spark):
+    reports = spark.createDataFrame([], "vn string, ts timestamp, seq long, lat double, lon double")
+    with pytest.raises(ValueError, match="multiple"):
+        traffic.sliding_sightings(reports, "10 minutes", "3 minutes")
