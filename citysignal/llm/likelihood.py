@@ -29,6 +29,7 @@ from citysignal.llm.common import (
     small_side,
     text_of,
     words_of,
+    written,
 )
 
 BUCKETS = 16_384
@@ -166,4 +167,6 @@ def filtered(docs: DataFrame, ratio: list[int], threshold: int = THRESHOLD) -> D
     """The rows of ``docs`` that are kept, with all their columns."""
     inner = shielded(docs, "text")
     names = [f"c{i}" for i in range(len(docs.columns))]
-    return restored(verdicts(inner, ratio, threshold, *names).where("kept"), docs.columns)
+    # Stored first: a filter pushed into the measures would compute them again and again.
+    judged = written(verdicts(inner, ratio, threshold, *names), "quality")
+    return restored(judged.where("kept"), docs.columns)
