@@ -15,15 +15,15 @@ log(1 - exp(-exp(log_prob - threshold))).
 
 Pieces never run over a boundary between a character and a following space mark or over a
 line end, so the sum over the lattice is a product over chunks, each kept in a bounded memo of
-its worker; a document is walked as arrays over its chunks, whole, at any length. The
-random numbers are seeded by the row's key: repeated rows are sampled alike, null keys share
+its worker; a document is walked as arrays over its chunks, whole, at any length. Chunks new to
+the memo, and the draws of many texts, are worked on side by side as arrays. The random
+numbers are seeded by the row's key: repeated rows are sampled alike, null keys share
 a seed. Null and empty texts have one segmentation, the empty one. Texts with fewer than k
 segmentations give all of them.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import heapq
 import math
@@ -40,9 +40,15 @@ ALPHA = 2.0
 SEED = 17
 MEMO = 400_000
 EDGES = 20_000
-# Longest chunk whose products of weights stay far from underflow; most segmentations listed.
-SHORT = 24
-LISTED = 600
+# Widths to which chunks are padded to be worked on side by side; longer ones go one by one.
+WIDTHS = (4, 8, 12, 16, 24)
+SHORT = WIDTHS[-1]
+SLICE = 8192
+# Characters of texts searched together.
+TOGETHER = 1_000_000
+# Not a code point: fills chunks up to their width. Edges without a piece of their own.
+PAD = 0x110000
+NOTHING, BYTES = -1, -2
 MARK = "▁"
 STOPS = ".,;:!?"
 _MODELS: dict[tuple[str, float], Lattice] = {}
@@ -70,6 +76,20 @@ class Lattice:
             for c in self.pieces[i]:
                 at = at.setdefault(c, {})
             at[""] = (i, weight(n))
+        moves: dict[tuple[int, int], int] = {}
+        ends = {}
+        for n, i in enumerate(ranks):
+            state = 0
+            for c in self.pieces[i]:
+                state = moves.setdefault((state, ord(c)), len(moves) + 1)
+            ends[state] = (i, weight(n))
+        keys = np.array([state << 21 | code for state, code in moves], np.int64)
+        order = np.argsort(keys)
+        self.move_keys, self.move_to = keys[order], np.array(list(moves.values()), np.int64)[order]
+        self.weight_of, self.id_of = np.zeros(len(moves) + 1), np.full(len(moves) + 1, NOTHING, np.int32)
+        for state, (i, w) in ends.items():
+            self.id_of[state], self.weight_of[state] = i, w
+        self.longest = max((len(self.pieces[i]) for i in ranks), default=1)
         for i, p in enumerate(model.pieces):
             if p.type == 6:
                 self.bytes_of[int(p.piece[1:-1], 16)] = i
@@ -91,11 +111,15 @@ class Lattice:
         self.index: dict[str, int] = {}
         self.names: list[str] = []
         self.edges: dict[int, tuple] = {}
-        self.lists: dict[int, tuple | None] = {}
-        self.asked: dict[int, int] = {}
-        self.p_best: list[float] = []
-        self.several: list[bool] = []
-        self.best: list[np.ndarray] = []
+        # By chunk: probability of the best segmentation, its logarithm, whether there are
+        # others, and where its ids are.
+        self.p_best, self.log_best = np.zeros(0), np.zeros(0)
+        self.several = np.zeros(0, bool)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def best(self, i: int) -> tuple:
+        return tuple(self.flat[self.starts[i] : self.starts[i] + self.sizes[i]].tolist())
 
     def edges_of(self, chunk: str):
         """Edges by their end, (start, ids, weight), and the forward sums."""
@@ -134,40 +158,76 @@ class Lattice:
             sums[s] * w * math.exp(scale[s] - scale[end]) / sums[end] for s, _, w in into[end]
         ]
 
-    def best_of(self, chunk: str) -> tuple[list[int], float, bool]:
-        """The best segmentation, its probability, and whether there are others."""
-        n, trie = len(chunk), self.trie
-        if n > SHORT:
-            return self._best_of_long(chunk)
-        sums, best, back, edges = [1.0] + [0.0] * n, [1.0] + [0.0] * n, [None] * (n + 1), 0
-        for start in range(n):
-            at, end, single, here, top = trie, start, False, sums[start], best[start]
-            while end < n:
-                at = at.get(chunk[end])
-                if at is None:
+    def forward(self, chunks: list[str], width: int, keep: bool = False) -> dict:
+        """Sums over segmentations and the best ones' last edges, by end, of short chunks side by side.
+
+        Padding is an edge of weight 1 a position. With ``keep``, weights and ids of all edges
+        by their end and length.
+        """
+        n = len(chunks)
+        lengths = np.fromiter(map(len, chunks), np.int64, n)
+        codes = np.full((n, width), PAD, np.int64)
+        inside = np.arange(width) < lengths[:, None]
+        codes[inside] = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
+        sums, best = np.zeros((width + 1, n)), np.zeros((width + 1, n))
+        sums[0] = best[0] = 1.0
+        back, back_id = np.zeros((width + 1, n), np.int64), np.full((width + 1, n), NOTHING, np.int32)
+        several = np.zeros(n, bool)
+        reach = [min(end, self.longest) for end in range(width + 1)]
+        weights = [np.zeros((r, n)) for r in reach] if keep else None
+        ids = [np.full((r, n), NOTHING, np.int32) for r in reach] if keep else None
+
+        def edges(start, end, rows, w, i):
+            sums[end, rows] += sums[start, rows] * w
+            value = best[start, rows] * w
+            better = value > best[end, rows]
+            at = rows[better]
+            best[end, at], back[end, at] = value[better], end - start
+            back_id[end, at] = i[better]
+            if keep:
+                weights[end][end - start - 1, rows] = w
+                ids[end][end - start - 1, rows] = i
+
+        for start in range(width):
+            rows = np.flatnonzero(lengths > start)
+            state, single = np.zeros(len(rows), np.int64), np.zeros(n, bool)
+            for end in range(start + 1, min(width, start + self.longest) + 1):
+                wanted = state << 21 | codes[rows, end - 1]
+                at = np.searchsorted(self.move_keys, wanted)
+                at[at == len(self.move_keys)] = 0
+                hit = self.move_keys[at] == wanted
+                rows, state = rows[hit], self.move_to[at[hit]]
+                if not len(rows):
                     break
-                end += 1
-                if "" in at:
-                    i, w = at[""]
-                    edges += 1
-                    single |= end == start + 1
-                    sums[end] += here * w
-                    if top * w > best[end]:
-                        best[end], back[end] = top * w, (start, (i,))
-            if not single:
-                ids = tuple(self.bytes_of[b] for b in chunk[start].encode())
-                w = self.byte_weight ** len(ids)
-                edges += 1
-                sums[start + 1] += here * w
-                if top * w > best[start + 1]:
-                    best[start + 1], back[start + 1] = top * w, (start, ids)
-        if best[n] < 1e-280:
-            return self._best_of_long(chunk)
-        parts, end = [], n
-        while end:
-            end, ids = back[end]
-            parts.append(ids)
-        return [x for part in reversed(parts) for x in part], best[n] / sums[n], edges > n
+                w = self.weight_of[state]
+                full = w > 0.0
+                to = rows[full]
+                if len(to):
+                    edges(start, end, to, w[full], self.id_of[state[full]])
+                    (single if end == start + 1 else several)[to] = True
+            rows = np.flatnonzero(~single)
+            code = codes[rows, start]
+            pad = code == PAD
+            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+            w = np.where(pad, 1.0, self.byte_weight**size)
+            edges(start, start + 1, rows, w, np.where(pad, NOTHING, BYTES).astype(np.int32))
+        return {
+            "codes": codes, "sums": sums, "best": best, "back": back, "back_id": back_id,
+            "several": several, "weights": weights, "ids": ids,
+        }
+
+    def spelled(self, marks: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids row by row and their numbers; ``marks`` has an edge's id in the column of its end."""
+        size = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        counts = np.where(marks == BYTES, size, marks >= 0)
+        flat = np.repeat(marks.ravel(), counts.ravel()).astype(np.int32)
+        cells = np.flatnonzero(marks.ravel() == BYTES)
+        if len(cells):
+            first = np.cumsum(counts.ravel()) - counts.ravel()
+            for at, code in zip(first[cells].tolist(), codes.ravel()[cells].tolist(), strict=True):
+                own = [self.bytes_of[b] for b in chr(code).encode()]
+                flat[at : at + len(own)] = own
+        return flat, counts.sum(axis=1)
 
     def _best_of_long(self, chunk: str) -> tuple[list[int], float, bool]:
         into, sums, scale = self.edges_of(chunk)
@@ -185,47 +245,101 @@ class Lattice:
         share = math.exp(score[n] - math.log(sums[n]) - scale[n])
         return [x for part in reversed(parts) for x in part], share, any(len(e) > 1 for e in into)
 
-    def add(self, chunk: str) -> None:
-        ids, share, several = self.best_of(chunk)
-        self.index[chunk] = len(self.names)
-        self.names.append(chunk)
-        self.p_best.append(min(share, 1.0) if several else 1.0)
-        self.several.append(several)
-        self.best.append(np.array(ids, np.int32))
-
-    def listed(self, i: int) -> tuple[list, list, list] | None:
-        """All segmentations of a short chunk but the best, with probabilities and their sums.
-
-        Made when a chunk is asked for the second time; None for chunks with too many. What
-        is below a 2**-50 part of the whole is below the sums' own rounding and left out.
+    def add(self, chunks: list[str]) -> None:
+        """Take new chunks up, with their best segmentations."""
+        shares, several, flats, sizes = [self.p_best], [self.several], [self.flat], [self.sizes]
+
+        def put(names, share, more, flat, counts):
+            for name in names:
+                self.index[name] = len(self.names)
+                self.names.append(name)
+            shares.append(np.where(more, np.minimum(share, 1.0), 1.0))
+            several.append(np.asarray(more, bool))
+            flats.append(np.asarray(flat, np.int32))
+            sizes.append(np.asarray(counts, np.int64))
+
+        alone = [c for c in chunks if len(c) > SHORT]
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            fitting = [c for c in chunks if low < len(c) <= width]
+            for begin in range(0, len(fitting), SLICE):
+                names = fitting[begin : begin + SLICE]
+                known = self.forward(names, width)
+                good = known["best"][width] >= 1e-280
+                alone += [names[r] for r in np.flatnonzero(~good).tolist()]
+                marks = np.full((len(names), width), NOTHING, np.int32)
+                at = np.full(len(names), width)
+                for end in range(width, 0, -1):
+                    rows = np.flatnonzero(at == end)
+                    marks[rows, end - 1] = known["back_id"][end, rows]
+                    at[rows] -= known["back"][end, rows]
+                flat, counts = self.spelled(marks[good], known["codes"][good])
+                kept = [names[r] for r in np.flatnonzero(good).tolist()]
+                share = known["best"][width, good] / known["sums"][width, good]
+                put(kept, share, known["several"][good], flat, counts)
+        for name in alone:
+            ids, share, more = self._best_of_long(name)
+            put([name], [share], [more], ids, [len(ids)])
+        self.p_best, self.several = np.concatenate(shares), np.concatenate(several)
+        self.log_best = np.log(np.maximum(self.p_best, 1e-300))
+        self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def others(self, asked: np.ndarray, seeds: np.ndarray) -> list[tuple[tuple, float] | None]:
+        """For each chunk asked for, a segmentation other than the best one, and its probability.
+
+        The best one is excluded by construction: the step that leaves its path, going
+        backward, is drawn from what that path leaves over. None where the shares' rounding
+        allowed no other; the caller then draws by ``other``.
         """
-        found = self.lists.get(i)
-        if found is not None or i in self.lists:
-            return found
-        self.asked[i] = self.asked.get(i, 0) + 1
-        if self.asked[i] < 2 and len(self.names[i]) > 10:
-            return None
-        if len(self.lists) >= EDGES:
-            self.lists.clear()
-        into, sums, scale = self.edges_of(self.names[i])
-        if len(into) > SHORT or scale[-1]:
-            self.lists[i] = None
-            return None
-        paths: list = [[((), 1.0)]]
-        for end in range(1, len(into)):
-            paths.append([(ids + more, p * w) for s, more, w in into[end] for ids, p in paths[s]])
-            if len(paths[end]) > LISTED:
-                self.lists[i] = None
-                return None
-        whole, best = sums[-1], tuple(self.best[i].tolist())
-        rest = sorted(((p / whole, ids) for ids, p in paths[-1] if ids != best), reverse=True)
-        rest = [x for x in rest if x[0] > 2.0**-50]
-        total, cumulated = 0.0, []
-        for p, _ in rest:
-            total += p
-            cumulated.append(total)
-        self.lists[i] = ([ids for _, ids in rest], [p for p, _ in rest], cumulated)
-        return self.lists[i]
+        out: list = [None] * len(asked)
+        lengths = np.fromiter((len(self.names[i]) for i in asked.tolist()), np.int64, len(asked))
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            fitting = np.flatnonzero((lengths > low) & (lengths <= width))
+            fitting = fitting[np.argsort(asked[fitting], kind="stable")]
+            for begin in range(0, len(fitting), SLICE):
+                part = fitting[begin : begin + SLICE]
+                self._others(part, asked[part], seeds[part], width, out)
+        return out
+
+    def _others(self, part, asked, seeds, width: int, out: list) -> None:
+        own, where = np.unique(asked, return_inverse=True)
+        known = self.forward([self.names[i] for i in own.tolist()], width, keep=True)
+        sums, n = known["sums"], len(asked)
+        at, marks = np.full(n, width), np.full((n, width), NOTHING, np.int32)
+        kept, p, follow = np.ones(n), np.ones(n), np.ones(n, bool)
+        # The draw lies above the probability of the whole best path; it says where to leave it.
+        leave = self.p_best[asked]
+        leave = leave + (1.0 - leave) * uniform(seeds, 0)
+        usable = sums[width][where] >= 1e-280
+        for end in range(width, 0, -1):
+            rows = np.flatnonzero((at == end) & usable)
+            if not len(rows):
+                continue
+            d, column = where[rows], np.arange(len(rows))
+            weights = known["weights"][end]
+            reach = len(weights)
+            share = weights[:, d] * sums[end - reach : end][::-1][:, d] / sums[end, d]
+            step = known["back"][end, d] - 1
+            on, best = follow[rows], share[step, column]
+            rest = share.copy()
+            rest[step[on], column[on]] = 0.0
+            summed = np.cumsum(rest, axis=0)
+            stay = on & ((leave[rows] <= kept[rows] * best) | (summed[-1] <= 0.0))
+            pick = (summed <= uniform(seeds[rows], end) * summed[-1]).sum(axis=0)
+            last = reach - 1 - np.argmax(rest[::-1] > 0.0, axis=0)
+            step = np.where(stay, step, np.minimum(pick, last))
+            taken = share[step, column]
+            p[rows] *= taken
+            kept[rows] *= np.where(stay, taken, 1.0)
+            follow[rows] = stay
+            marks[rows, end - 1] = known["ids"][end][step, d]
+            at[rows] -= step + 1
+        flat, counts = self.spelled(marks, known["codes"][where])
+        good, values, begin = (usable & ~follow).tolist(), flat.tolist(), 0
+        for r, count in enumerate(counts.tolist()):
+            if good[r]:
+                out[part[r]] = (tuple(values[begin : begin + count]), float(p[r]))
+            begin += count
 
     def known(self, i: int) -> tuple:
         """Edges of chunk ``i``; a few of the last ones are kept."""
@@ -242,13 +356,7 @@ class Lattice:
         The best one is excluded by construction: the step that leaves its path is drawn
         from what that path leaves over. Others in ``without`` are drawn again.
         """
-        best = tuple(self.best[i].tolist())
-        if len(without) == 1 and best in without:
-            listed = self.listed(i)
-            if listed and listed[2]:
-                ids, shares, cumulated = listed
-                at = bisect.bisect_left(cumulated, rng.random() * cumulated[-1])
-                return ids[at], shares[at]
+        best = self.best(i)
         known = self.known(i)
         into = known[0]
         for _ in range(2000):
@@ -302,29 +410,54 @@ class Lattice:
                 return k
         return max(k for k, x in enumerate(share) if x > 0.0)
 
-    def split(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int64)
-        marked = text.replace(" ", MARK)
-        chunks = self.chunks.findall(MARK + marked if self.dummy_prefix else marked)
-        new = {c for c in chunks if c not in self.index}
+    def split(self, texts: list[str]) -> list[np.ndarray]:
+        """The chunks' numbers of each text; all stay valid until the next call."""
+        found, new = [], set()
+        for text in texts:
+            marked = text.replace(" ", MARK)
+            if text and self.dummy_prefix:
+                marked = MARK + marked
+            found.append(self.chunks.findall(marked))
+            new.update(c for c in found[-1] if c not in self.index)
+        if len(self.names) + len(new) > MEMO and self.names:
+            self.reset()
+            new = {c for chunks in found for c in chunks}
         if new:
-            if len(self.names) + len(new) > MEMO and self.names:
-                self.reset()
-                new = set(chunks)
-            for c in sorted(new):
-                self.add(c)
-        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+            self.add(sorted(new))
+        return [np.fromiter(map(self.index.__getitem__, c), np.int64, len(c)) for c in found]
+
+    def samples(self, texts: list[str], keys: list[int], k: int) -> list[list[dict]]:
+        """Up to ``k`` distinct segmentations of each text, by falling perturbed log probability.
+
+        The texts' searches take turns, so that what they draw is drawn together; each has
+        its own random numbers, and its result does not depend on the others.
+        """
+        searches = [self.search(at, key, k) for at, key in zip(self.split(texts), keys, strict=True)]
+        done: list = [None] * len(texts)
+        answers: dict = dict.fromkeys(range(len(texts)))
+        while answers:
+            asked = {}
+            for i, answer in answers.items():
+                try:
+                    asked[i] = searches[i].send(answer)
+                except StopIteration as end:
+                    done[i] = end.value
+            answers, begin = {}, 0
+            if asked:
+                drawn = self.others(*map(np.concatenate, zip(*asked.values(), strict=True)))
+                for i, (chunks, _) in asked.items():
+                    answers[i] = drawn[begin : begin + len(chunks)]
+                    begin += len(chunks)
+        return done
 
     def sample(self, text: str, key: int, k: int) -> list[dict]:
-        """Up to ``k`` distinct segmentations, by falling perturbed log probability."""
+        return self.samples([text], [key], k)[0]
+
+    def search(self, at: np.ndarray, key: int, k: int):
+        """The search of one text: gives chunks and seeds out, takes ``others`` of them in."""
         rng = np.random.Generator(np.random.Philox(key=key))
-        at = self.split(text)
         count = len(at)
-        own, where = np.unique(at, return_inverse=True)
-        p_own = np.array([self.p_best[i] for i in own.tolist()], float)
-        free_own = np.array([self.several[i] for i in own.tolist()], bool)
-        p_best, free = p_own[where], free_own[where]
+        p_best, log_best, free = self.p_best[at], self.log_best[at], self.several[at]
         top = float(-np.log(-np.log(rng.random())))
         # A set: (-largest value, tie, prefix's path, position, log mass of the prefix, excluded, their mass)
         queue: list = [(-top, 0, None, 0, 0.0, frozenset(), 0.0)]
@@ -336,27 +469,34 @@ class Lattice:
                 out.append({"perturbed": -value})
                 break
             changed = {} if path is None else {j: x for j, x in path["changed"].items() if j < start}
-            log_p = np.empty(count)
+            log_p = log_best.copy()
             if path is not None:
                 log_p[:start] = path["log_p"][:start]
-            first = start
-            if without:
-                found = self.other(int(at[start]), rng, without)
-                if found is None:
-                    continue
-                changed[start] = found[0]
-                log_p[start] = math.log(max(found[1], 1e-300))
-                first = start + 1
+            first = start + bool(without)
             u = rng.random(count - first)
             leaves = first + np.flatnonzero((u >= p_best[first:]) & free[first:])
-            log_p[first:] = np.log(p_best[first:])
-            for j in leaves.tolist():
-                i = int(at[j])
-                best = tuple(self.best[i].tolist())
-                found = self.other(i, rng, {best})
+            plain = bool(without) and without == {self.best(int(at[start]))}
+            if plain:
+                leaves = np.concatenate([[start], leaves])
+            drawn = []
+            if len(leaves):
+                drawn = yield at[leaves], rng.integers(0, 2**64, len(leaves), np.uint64)
+            leaves = leaves.tolist()
+            if without and not plain:
+                leaves, drawn = [start, *leaves], [None, *drawn]
+            empty = False
+            for j, found in zip(leaves, drawn, strict=True):
+                if found is None:
+                    held = without if without and j == start else {self.best(int(at[j]))}
+                    found = self.other(int(at[j]), rng, held)
                 if found is not None:
                     changed[j] = found[0]
                     log_p[j] = math.log(max(found[1], 1e-300))
+                elif without and j == start:
+                    empty = True
+                    break
+            if empty:
+                continue
             here = {"changed": changed, "log_p": log_p}
             out.append(here | {"perturbed": -value, "log_prob": float(log_p.sum())})
             # What is left at each position from ``start`` on, with values below this one's.
@@ -371,13 +511,11 @@ class Lattice:
             with np.errstate(over="ignore"):
                 cut = mass - np.log(noise + np.exp(np.minimum(mass + value, 700.0)))
             wanted = k + 1 - len(out)
-            order = np.argsort(-cut, kind="stable")[: wanted + 1].tolist()
-            for j in order:
+            for j in largest(cut, wanted + 1):
                 if not math.isfinite(cut[j]):
                     continue
                 position = start + j
-                i = int(at[position])
-                chosen = changed.get(position, tuple(self.best[i].tolist()))
+                chosen = changed.get(position) or self.best(int(at[position]))
                 held = (without if j == 0 else frozenset()) | {chosen}
                 ties += 1
                 heapq.heappush(
@@ -386,7 +524,7 @@ class Lattice:
                 )
         threshold = out.pop()["perturbed"] if out and "log_prob" not in out[-1] else -math.inf
         for sample in out:
-            sample["ids"] = self.ids(own, where, sample.pop("changed"))
+            sample["ids"] = self.ids(at, sample.pop("changed"))
             sample.pop("log_p")
             gap = sample["log_prob"] - threshold
             sample["log_inclusion"] = (
@@ -394,24 +532,20 @@ class Lattice:
             )
         return out
 
-    def ids(self, own: np.ndarray, where: np.ndarray, changed: dict[int, tuple]) -> np.ndarray:
+    def ids(self, at: np.ndarray, changed: dict[int, tuple]) -> np.ndarray:
         """All ids of a text: the best ones of its chunks but where the sample differs."""
-        if not len(where):
+        if not len(at):
             return np.zeros(0, np.int32)
-        table = [self.best[i] for i in own.tolist()]
-        pick = where
-        if changed:
-            pick = where.copy()
-            for j, ids in changed.items():
-                pick[j] = len(table)
-                table.append(np.array(ids, np.int32))
-        lengths = np.fromiter(map(len, table), np.int64, len(table))
-        starts = np.cumsum(lengths) - lengths
-        flat = np.concatenate(table)
-        each = lengths[pick]
-        ends = np.cumsum(each)
-        at = np.arange(ends[-1]) + np.repeat(starts[pick] - (ends - each), each)
-        return flat[at]
+        sizes = self.sizes[at]
+        for j, ids in changed.items():
+            sizes[j] = len(ids)
+        begins = np.cumsum(sizes) - sizes
+        total = int(begins[-1] + sizes[-1])
+        pick = np.arange(total) + np.repeat(self.starts[at] - begins, sizes)
+        out = self.flat[np.minimum(pick, len(self.flat) - 1)]
+        for j, ids in changed.items():
+            out[begins[j] : begins[j] + len(ids)] = ids
+        return out
 
     def decode(self, ids) -> str:
         """The text of a segmentation."""
@@ -432,6 +566,23 @@ def loaded(path: str, alpha: float = ALPHA) -> Lattice:
     return _MODELS[path, alpha]
 
 
+def uniform(seeds: np.ndarray, step: int) -> np.ndarray:
+    """Numbers in [0, 1), one a seed and step, by a mixing function of 64 bits."""
+    x = seeds + np.uint64((step + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+def largest(values: np.ndarray, n: int) -> list[int]:
+    """Where the ``n`` largest values are, falling, the first of equal ones first."""
+    at = np.arange(len(values))
+    if len(values) > 4 * n:
+        least = np.partition(values, len(values) - n)[len(values) - n]
+        at = np.flatnonzero(values >= least)
+    return at[np.argsort(-values[at], kind="stable")][:n].tolist()
+
+
 def row_key(key, seed: int) -> int:
     raw = f"{seed}:{'' if key is None else key}".encode()
     return int.from_bytes(hashlib.blake2b(raw, digest_size=16).digest(), "little")
@@ -452,6 +603,7 @@ def encode(
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         lattice = loaded(model, alpha)
         types = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
@@ -465,15 +617,21 @@ def encode(
 
         for batch in batches:
             source, rows, values, held = batch.column("doc_id"), [], [], 0
-            texts = batch.column("text")
-            for r in range(len(batch)):
-                samples = lattice.sample(texts[r].as_py(), row_key(source[r].as_py(), seed), k)
-                for n, s in enumerate(samples, 1):
-                    ids = s["ids"]
-                    shown = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() if digest else ids
-                    rows.append(r)
-                    values.append((n, len(ids), s["log_prob"], s["perturbed"], s["log_inclusion"], shown))
-                    held += 100 if digest else len(ids)
+            ends = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False))
+            begin = 0
+            while begin < len(batch):
+                before = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+                texts = batch.column("text").slice(begin, end - begin).to_pylist()
+                keys = [row_key(x, seed) for x in source.slice(begin, end - begin).to_pylist()]
+                for r, samples in enumerate(lattice.samples(texts, keys, k), begin):
+                    for n, s in enumerate(samples, 1):
+                        ids = s["ids"]
+                        shown = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() if digest else ids
+                        rows.append(r)
+                        values.append((n, len(ids), s["log_prob"], s["perturbed"], s["log_inclusion"], shown))
+                        held += 100 if digest else len(ids)
+                begin = end
                 if held > 1_000_000:
                     yield batch_of(source, rows, values)
                     rows, values, held = [], [], 0
