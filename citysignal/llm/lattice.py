@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import math
 
 import numpy as np
@@ -109,6 +110,10 @@ class Lattice:
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
+        # Words by number, and the chunks' numbers of each.
+        self.words: dict[str, int] = {}
+        self.word_flat = np.zeros(0, np.int64)
+        self.word_starts, self.word_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.names: list[str] = []
         self.edges: dict[int, tuple] = {}
         # By chunk: probability of the best segmentation, its logarithm, whether there are
@@ -411,20 +416,53 @@ class Lattice:
         return max(k for k, x in enumerate(share) if x > 0.0)
 
     def split(self, texts: list[str]) -> list[np.ndarray]:
-        """The chunks' numbers of each text; all stay valid until the next call."""
-        found, new = [], set()
+        """The chunks' numbers of each text; all stay valid until the next call.
+
+        Where spaces are single, chunks lie within words: those of a word are looked up by it.
+        """
+        cut, new_words, new = [], set(), set()
         for text in texts:
-            marked = text.replace(" ", MARK)
-            if text and self.dummy_prefix:
-                marked = MARK + marked
-            found.append(self.chunks.findall(marked))
-            new.update(c for c in found[-1] if c not in self.index)
-        if len(self.names) + len(new) > MEMO and self.names:
+            if text[:1] in ("", " ") or not self.dummy_prefix or "  " in text or MARK in text:
+                marked = text.replace(" ", MARK)
+                chunks = self.chunks.findall(MARK + marked if text and self.dummy_prefix else marked)
+                new.update(itertools.filterfalse(self.index.__contains__, chunks))
+                cut.append((None, chunks))
+            else:
+                words = text.split(" ")
+                new_words.update(itertools.filterfalse(self.words.__contains__, words))
+                cut.append((words, None))
+        parts = {w: self.chunks.findall(MARK + w) for w in new_words}
+        new.update(c for chunks in parts.values() for c in chunks if c not in self.index)
+        if max(len(self.names) + len(new), len(self.words) + len(parts)) > MEMO and self.names:
             self.reset()
-            new = {c for chunks in found for c in chunks}
+            words = {w for words, _ in cut for w in words or ()}
+            parts = {w: self.chunks.findall(MARK + w) for w in words}
+            new = {c for _, chunks in cut for c in chunks or ()}
+            new.update(c for chunks in parts.values() for c in chunks)
         if new:
             self.add(sorted(new))
-        return [np.fromiter(map(self.index.__getitem__, c), np.int64, len(c)) for c in found]
+        if parts:
+            for w in parts:
+                self.words[w] = len(self.words)
+            sizes = np.fromiter(map(len, parts.values()), np.int64, len(parts))
+            within = itertools.chain.from_iterable(parts.values())
+            numbers = np.fromiter(map(self.index.__getitem__, within), np.int64, int(sizes.sum()))
+            self.word_flat = np.concatenate([self.word_flat, numbers])
+            self.word_sizes = np.concatenate([self.word_sizes, sizes])
+            self.word_starts = np.cumsum(self.word_sizes) - self.word_sizes
+        return [
+            np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+            if words is None
+            else self.within(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+            for words, chunks in cut
+        ]
+
+    def within(self, words: np.ndarray) -> np.ndarray:
+        """The chunks' numbers of words given by number."""
+        sizes = self.word_sizes[words]
+        begins = np.cumsum(sizes) - sizes
+        pick = np.arange(int(sizes.sum())) + np.repeat(self.word_starts[words] - begins, sizes)
+        return self.word_flat[pick]
 
     def samples(self, texts: list[str], keys: list[int], k: int) -> list[list[dict]]:
         """Up to ``k`` distinct segmentations of each text, by falling perturbed log probability.
