@@ -336,7 +336,10 @@ def _histogram() -> str:
         FROM grid LEFT JOIN c USING (score, bin)"""
 
 
-def decisions(vehicle_windows: str, message_window: str, length: str, final: str = "") -> str:
+def decisions(
+    vehicle_windows: str, message_window: str, length: str, final: str = "", alone: str = "[]"
+) -> str:
+    """Decisions wherever any source has data; ``alone`` lists the ends within a forecast hour."""
     return f"""WITH {EV}, {POS}, {ends("pos", vehicle_windows)}, {MOOD}, {SCORED_HOURS},
         placed_mood AS (SELECT bucket, {message_window} AS ws FROM mood),
         talk AS (SELECT ws, count(*) FILTER (WHERE bucket < 4) / count(*) AS sentiment_score
@@ -346,11 +349,17 @@ def decisions(vehicle_windows: str, message_window: str, length: str, final: str
                        QUALIFY row_number() OVER (PARTITION BY ws
                                                   ORDER BY speed_kmh, first_ts, vn) <= 5)
                  GROUP BY ws),
+        instants AS (
+            SELECT ws + {length} AS instant FROM traffic UNION
+            SELECT ws + {length} FROM talk UNION
+            SELECT unnest(CAST({alone} AS TIMESTAMP[])) FROM scored_hours
+            WHERE weather_score IS NOT NULL),
         signals AS (
-            SELECT coalesce(t.ws, m.ws) + {length} AS instant, coalesce(t.ws, m.ws) AS ws,
+            SELECT instant, instant - {length} AS ws,
                    coalesce(traffic_score, 0) AS traffic_score,
                    coalesce(sentiment_score, 0) AS sentiment_score
-            FROM traffic t FULL JOIN talk m ON t.ws = m.ws),
+            FROM instants LEFT JOIN traffic t ON t.ws = instant - {length}
+                 LEFT JOIN talk m ON m.ws = instant - {length}),
         weathered AS (
             SELECT s.*, coalesce(h.weather_score, 0) AS weather_score, a.targets
             FROM signals s LEFT JOIN scored_hours h
@@ -644,10 +653,16 @@ ORACLES: dict[str, str] = {
         SELECT strftime(ws, {SECOND}) AS window_start, round(rain, 6) AS rain, congested,
                round(traffic_score, 6) AS traffic_score
         FROM traffic JOIN wet USING (ws) WHERE rain > 0 AND congested > 0""",
-    "decide": decisions(DAILY, "date_trunc('day', ts)", "INTERVAL 1 DAY"),
+    "decide": decisions(
+        DAILY,
+        "date_trunc('day', ts)",
+        "INTERVAL 1 DAY",
+        alone="CASE WHEN hour(ts) = 0 THEN [date_trunc('day', ts)] ELSE [] END",
+    ),
     "decide_sliding": decisions(
         SLIDING, "unnest(list_transform(range(0, 10), lambda b:"
-        " date_trunc('minute', ts) - to_minutes(b)))", "INTERVAL 10 MINUTE"
+        " date_trunc('minute', ts) - to_minutes(b)))", "INTERVAL 10 MINUTE",
+        alone="list_transform(range(0, 60), lambda m: date_trunc('hour', ts) + to_minutes(m))",
     ),
     "latest_state": f"""WITH {DEC}
         SELECT area, decision_id,

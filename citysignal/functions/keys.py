@@ -29,6 +29,12 @@ def hour_key(ts: Column, tz: str = "UTC") -> Column:
     return F.date_format(wall_clock(ts, tz), HOUR_KEY)
 
 
+def hour_start(key: Column, tz: str = "UTC") -> Column:
+    """When the hour of an hour key begins, null when the key is not one."""
+    local = F.try_to_timestamp(key, F.lit(HOUR_KEY))
+    return local if tz == "UTC" else F.to_utc_timestamp(local, tz)
+
+
 def vehicle_key(ts: Column, vehicle: Column, tz: str = "UTC") -> Column:
     """Second key plus vehicle number; the bare second key when that is null."""
     return F.concat_ws("_", second_key(ts, tz), vehicle)

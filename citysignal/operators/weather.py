@@ -57,6 +57,24 @@ def weather_at(
     )
 
 
+def scored_instants(
+    forecast: DataFrame, step: str, config: C.ScoringConfig = C.DEFAULT, tz: str = "UTC"
+) -> DataFrame:
+    """The ``instant``s on the grid of ``step`` inside the forecast's hours with a score."""
+    span = F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {step}"))
+    begin = F.unix_seconds(keys.hour_start(F.col("row_key"), tz))
+    late = begin + span - 1
+    first, last = late - F.pmod(late, span), begin + 3599
+    # A sequence that would begin behind its end is an error, so such hours have none.
+    seconds = F.when(first <= last, F.sequence(first, last, span))
+    scored = scores(forecast, config=config).filter("weather_score IS NOT NULL")
+    return (
+        scored.select(F.explode(seconds).alias("second"))
+        .select(F.timestamp_seconds("second").alias("instant"))
+        .distinct()
+    )
+
+
 def with_air_quality(weather: DataFrame, air: DataFrame, how: str = "inner") -> DataFrame:
     """Weather and air quality of the same hour; both tables share their key."""
     extra = [name for name in air.columns if name not in weather.columns]

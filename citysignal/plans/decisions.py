@@ -18,7 +18,9 @@ def decision_plan(
     length: str | None = None,
     tz: str = "UTC",
 ) -> DataFrame:
-    """Decisions at the end of every window.
+    """Decisions at the end of every window for which any one source has data.
+
+    Where only the forecast has data, windows end on the same grid within its hours.
 
     ``reports``  vehicle positions (``traffic.positions``)
     ``tweets``   rows ``(ts, sentiment_score)``
@@ -31,7 +33,9 @@ def decision_plan(
     else:
         ends = traffic.sliding_sightings(reports, config.window, config.slide)
         negative = sentiment.negative_share(tweets, config.window, config.slide)
-    return decide_windows(traffic.speeds(ends, config), negative, forecast, config, tz=tz)
+    return decide_windows(
+        traffic.speeds(ends, config), negative, forecast, config, tz=tz, step=length or config.slide
+    )
 
 
 def decide_windows(
@@ -41,15 +45,20 @@ def decide_windows(
     config: C.ScoringConfig = C.DEFAULT,
     *,
     tz: str = "UTC",
+    step: str | None = None,
 ) -> DataFrame:
-    """Decisions from vehicle speeds and negative shares that are final per window."""
+    """Decisions from vehicle speeds and negative shares that are final per window.
+
+    With ``step``, the distance of window ends, also at those ends that lie in hours with
+    a weather score but have neither vehicles nor messages.
+    """
     instant = F.col("window.end").alias("instant")
     driving = traffic.scores_with_targets(moving, config)
     by_traffic = driving.select(instant, "traffic_score", "targets")
     by_mood = negative.select(instant, F.col("sentiment_ratio").alias("sentiment_score"))
 
     instants = by_traffic.join(by_mood, "instant", "full")
-    signals = combine.fill_signals(
-        weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
-    )
-    return combine.decide(signals, config, tz=tz)
+    if step:
+        instants = instants.join(weather.scored_instants(forecast, step, config, tz=tz), "instant", "full")
+    weathered = weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
+    return combine.decide(combine.fill_signals(weathered), config, tz=tz)

@@ -244,6 +244,32 @@ def test_sliding_decision_plan_agrees_with_its_parts(spark):
         assert len(row["targets"]) == (min(stuck, 5) if row["decision_result"] == "SHOW_AD" else 0)
 
 
+def test_any_one_source_is_enough_for_a_decision(spark):
+    no_reports = spark.createDataFrame([], SCHEMA)
+    no_moods = spark.createDataFrame([], "ts TIMESTAMP, sentiment_score INT")
+    hourly = spark.createDataFrame(
+        [("20260101_08", 60.0), ("20260102_00", 10.0), ("odd", 1.0)],
+        "row_key STRING, wind_speed DOUBLE",
+    )
+    for name in ("temp_2m", "apparent_temp", "rain", "snowfall", "snow_depth"):
+        hourly = hourly.withColumn(name, F.lit(None).cast("double"))
+    hourly = hourly.withColumn("weather_code", F.lit(None).cast("int"))
+    minutes = decision_plan(no_reports, no_moods, hourly).orderBy("decision_id").collect()
+    assert [r["decision_id"] for r in minutes] == [
+        f"{hour}{m:02d}00" for hour in ("20260101_08", "20260102_00") for m in range(60)
+    ]
+    assert [r["weather_score"] for r in minutes[:60]] == pytest.approx([0.24] * 60)
+    assert {(r["traffic_score"], r["sentiment_score"]) for r in minutes} == {(0.0, 0.0)}
+    days = decision_plan(no_reports, no_moods, hourly, length="1 day").collect()
+    assert [r["decision_id"] for r in days] == ["20260102_000000"]
+    local = decision_plan(no_reports, no_moods, hourly, length="1 hour", tz="Europe/Warsaw")
+    assert sorted(r["decision_id"] for r in local.collect()) == ["20260101_080000", "20260102_000000"]
+    quiet = hourly.filter("false")
+    assert decision_plan(no_reports, no_moods, quiet).count() == 0
+    mood = spark.createDataFrame([(T0, 1)], "ts TIMESTAMP, sentiment_score INT")
+    assert decision_plan(no_reports, mood, quiet).count() == 10
+
+
 def test_search(spark):
     posts = spark.createDataFrame(
         [
