@@ -768,6 +768,7 @@ ORACLES: dict[str, str] = {
         "date_trunc('day', ts)",
         "INTERVAL 1 DAY",
         "WHERE instant <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+        alone="CASE WHEN hour(ts) = 0 THEN [date_trunc('day', ts)] ELSE [] END",
     ),
     "stream_rain_congestion": f"""WITH {MOVING}, {hours(V.WEATHER)},
         wet AS (SELECT date_trunc('day', ts) AS ws, max(rain) AS rain FROM hours GROUP BY 1),
@@ -781,6 +782,10 @@ ORACLES: dict[str, str] = {
         SELECT strftime(ws, {SECOND}) AS window_start,
                count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late
         FROM judged GROUP BY ws
-        HAVING count(*) FILTER (WHERE NOT late) > 0
-           AND ws + INTERVAL 1 HOUR <= (SELECT mark FROM final)""",
+        HAVING ws + INTERVAL 1 HOUR <= (SELECT mark FROM final)""",
 }
+# However many writers fed a table, its current rows are the same.
+ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
+ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]
+ORACLES["stream_ingest_air"] = f"""WITH {hours(V.AIR)}
+    SELECT row_key, seq, {rounded(*V.AIR)} FROM current"""

@@ -215,9 +215,9 @@ def compact_latest(spark, sf_dir):
     rows = V.forecast(spark, sf_dir)
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
     table.upsert(rows.filter(early), 0)
-    table.compact()
+    table = table.compact_into(scratch(spark, "forecast"))
     table.upsert(rows.filter(~early), 1)
-    table.compact()
+    table = table.compact_into(scratch(spark, "forecast"))
     table.upsert(rows, 2)
     return table.latest().select("row_key", "seq", *rounded("temp_2m", "rain"))
 
@@ -862,16 +862,46 @@ def stream_ingest(spark, sf_dir):
 
 @query("stream_replay_idempotent")
 def stream_replay_idempotent(spark, sf_dir):
-    """The stream is replayed from the start under the same batch ids."""
+    """The stream is replayed from the start by the same writer, under the same batch ids."""
     table = store.KeyedTable(spark, scratch(spark, "vehicles"))
     rows = _vehicle_stream(spark, sf_dir)
     for _ in range(2):
-        ingest.ingest_all(rows, table, scratch(spark, "checkpoint"))
+        ingest.ingest_all(rows, table, scratch(spark, "checkpoint"), writer="vehicles")
     return table.log().agg(
         F.count("*").alias("logged"), F.countDistinct("row_key", "seq").alias("distinct_writes")
     )
 
 
+@query("stream_shared_table")
+def stream_shared_table(spark, sf_dir):
+    """Two feeds write one table; one of them restarts on a fresh checkpoint."""
+    table = store.KeyedTable(spark, scratch(spark, "vehicles"))
+    rows = _vehicle_stream(spark, sf_dir)
+    odd = F.pmod(F.xxhash64("vehicle_number"), F.lit(2)) == 1
+    for feed in (rows.filter(odd), rows.filter(~odd), rows.filter(~odd)):
+        ingest.ingest_all(feed, table, scratch(spark, "checkpoint"))
+    return table.latest().select(*STORED)
+
+
+def _ingested_forecast(spark, sf_dir, formulas) -> DataFrame:
+    """Forecast rows as they stream in; a later poll of an hour overwrites it."""
+    rows = V.forecast_of(V.polls_of(_stream(spark, sf_dir, "orders")), formulas)
+    table = store.KeyedTable(spark, scratch(spark, "forecast"))
+    return ingest.ingest_all(rows, table, scratch(spark, "checkpoint")).latest()
+
+
+@query("stream_ingest_weather")
+def stream_ingest_weather(spark, sf_dir):
+    return _ingested_forecast(spark, sf_dir, V.WEATHER).select(
+        "row_key", "seq", *rounded("temp_2m", "rain", "wind_gusts"), "cloud_cover"
+    )
+
+
+@query("stream_ingest_air")
+def stream_ingest_air(spark, sf_dir):
+    return _ingested_forecast(spark, sf_dir, V.AIR).select("row_key", "seq", *rounded(*V.AIR))
+
+
 @query("stream_traffic")
 def stream_traffic(spark, sf_dir):
     scored = windows.stream_traffic(V.positions_of(_event_stream(spark, sf_dir)), V.DAY)
@@ -917,12 +947,14 @@ def stream_decide(spark, sf_dir):
         "speeds": windows.stream_speeds(V.positions_of(rows), V.DAY),
         "moods": windows.stream_negative_share(V.moods_of(rows), V.DAY),
     }
-    emitted = []
+    emitted, marks = [], []
     for name, stream in streams.items():
         out = scratch(spark, name)
-        windows.run_to_files(stream, out, scratch(spark, "checkpoint"))
+        marks.append(windows.run_to_files(stream, out, scratch(spark, "checkpoint")))
         emitted.append(spark.read.parquet(out))
-    made = decide_windows(*windows.decidable(*emitted), _forecast(spark, sf_dir))
+    until = windows.earliest(marks)
+    final = windows.decidable(*emitted, until)
+    made = decide_windows(*final, _forecast(spark, sf_dir), step=V.DAY, until=until)
     return _decisions_out(made)
 
 
@@ -938,7 +970,7 @@ def stream_late_data(spark, sf_dir):
     )
     rows = V.events(spark, sf_dir).select("e", "ts", arrival.alias("arrival"))
     inbox, out, checkpoint = (scratch(spark, p) for p in ("inbox", "counted", "checkpoint"))
-    after = None
+    after = mark = None
     for until in ARRIVALS:
         part = rows
         if after:
@@ -952,7 +984,7 @@ def stream_late_data(spark, sf_dir):
             .groupBy(F.window("ts", V.HOUR).alias("window"))
             .agg(F.count("*").alias("n"))
         )
-        windows.run_to_files(counted, out, checkpoint)
+        mark = windows.run_to_files(counted, out, checkpoint) or mark
         after = until
-    emitted = spark.read.parquet(out)
-    return windows.late_rows(emitted, rows, V.HOUR).select(window_key(), "on_time", "late")
+    late = windows.late_rows(spark.read.parquet(out), rows, V.HOUR, until=mark)
+    return late.select(window_key(), "on_time", "late")

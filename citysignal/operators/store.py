@@ -1,28 +1,29 @@
 """Keyed tables on Parquet with last-write-wins reads.
 
-A table is a folder::
+A table is a folder of change batches::
 
-    log/batch_id=N/dt=D/    rows of one write, replaced as a whole when it is repeated
-    snapshot/v=M/dt=D/      compacted rows of one day
-    commits/                one small row per day and finished snapshot
+    log/writer=W/batch_id=N/dt=D/    rows of one write, replaced as a whole when it is repeated
 
-``dt`` is the date the keys start with. Compaction rewrites only days that were
-written to since the last one; readers take the newest committed snapshot of
-each day plus the log batches after it, so a snapshot that was never committed
-is never seen, and key ranges prune days on both sides.
+``dt`` is the date the keys start with, so key ranges prune days. Several writers can feed
+one table: batch ids count per writer, and every row carries the time of its write. The last
+write of a key wins, as in a key-value store; within a write the order columns decide.
+Compaction is a plain job: it writes the current rows into a new table that the caller
+names, after which the old folder can be removed.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citysignal import config as C
 from citysignal.functions import keys
+from citysignal.operators import packed
 from citysignal.sources import scans
 
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -33,21 +34,33 @@ def latest_per_key(
 ) -> DataFrame:
     """The last write of every key.
 
-    ``order`` must be unique within a key. Each task sends at most one row per
-    key however often a key was written. With a single order column and only
-    fixed-width values every column competes on its own, which stays in the hash
-    aggregate; otherwise whole rows compete, which sorts by key first.
+    ``order`` must be unique within a key; a null in it counts as lowest. Each task sends
+    at most one row per key however often a key was written. With a single whole-number
+    or decimal order column and only fixed-width values every column competes on its own,
+    which stays in the hash aggregate; otherwise whole rows compete, which sorts by key first.
     """
     by = [key] if isinstance(key, str) else list(key)
     rest = [field for field in changes.schema.fields if field.name not in by]
     names = [field.name for field in rest]
-    if len(order) == 1 and all(isinstance(field.dataType, FIXED_WIDTH) for field in rest):
-        newest = [F.max_by(name, order[0]).alias(name) for name in names]
+    lowest = _lowest(changes.schema[order[0]].dataType) if len(order) == 1 else None
+    if lowest is not None and all(isinstance(field.dataType, FIXED_WIDTH) for field in rest):
+        rank = F.coalesce(F.col(order[0]), lowest)
+        newest = [F.max_by(name, rank).alias(name) for name in names]
         return changes.groupBy(*by).agg(*newest).select(*changes.columns)
     newest = F.max_by(F.struct(*names), F.struct(*order)).alias("newest")
     return changes.groupBy(*by).agg(newest).select(*by, "newest.*").select(*changes.columns)
 
 
+def _lowest(kind: T.DataType) -> Column | None:
+    """The lowest value of a whole-number or decimal type."""
+    if isinstance(kind, T.IntegralType):
+        return F.lit(packed.LOWEST)
+    if isinstance(kind, T.DecimalType):
+        whole, places = "9" * (kind.precision - kind.scale), "9" * kind.scale
+        return F.lit(f"-{whole or 0}.{places or 0}").cast(kind)
+    return None
+
+
 def retained(
     rows: DataFrame, feed: str, as_of: str, ts: str = "ts", partition: str | None = None
 ) -> DataFrame:
@@ -71,97 +84,80 @@ class KeyedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
-        # Later batches win over earlier ones; within a batch ``order`` decides.
-        self.order = ["batch_id", *order]
+        self.order = list(order)
 
     @property
     def log_path(self) -> str:
         return f"{self.path}/log"
 
-    @property
-    def snapshot_path(self) -> str:
-        return f"{self.path}/snapshot"
+    def upsert(self, rows: DataFrame, batch_id: int, writer: str = "main") -> None:
+        """Write one batch. Repeating a writer's batch id replaces that batch only.
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch. Repeating a batch id replaces that batch only."""
-        (
-            rows.withColumn("dt", keys.key_date(F.col(self.key)))
-            .hint("rebalance", "dt")
-            .write.mode("overwrite")
-            .partitionBy("dt")
-            .parquet(f"{self.log_path}/batch_id={batch_id}")
-        )
+        Rows without a key are refused: the write fails and leaves nothing.
+        """
+        stamped = rows.withColumn("written_at", F.lit(time.time_ns() // 1000).cast("bigint"))
+        self._dated(stamped).hint("rebalance", "dt").write.mode("overwrite").partitionBy(
+            "dt"
+        ).parquet(f"{self.log_path}/writer={writer}/batch_id={batch_id}")
 
-    def _read(self, base: str, paths: Sequence[str] | None = None) -> DataFrame | None:
+    def _dated(self, rows: DataFrame) -> DataFrame:
+        key = F.col(self.key)
+        missing = F.raise_error(F.lit(f"a row has no {self.key}")).cast("string")
+        return rows.withColumn("dt", F.when(key.isNotNull(), keys.key_date(key)).otherwise(missing))
+
+    def log(self) -> DataFrame | None:
+        """All logged rows with their ``writer``, ``batch_id`` and ``dt``."""
         try:
-            return self.spark.read.option("basePath", base).parquet(*(paths or [base]))
+            rows = self.spark.read.parquet(self.log_path)
         except AnalysisException as missing:
             if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
             raise
-
-    def log(self) -> DataFrame | None:
-        """All logged rows with their ``batch_id`` and ``dt``."""
-        rows = self._read(self.log_path)
-        return None if rows is None else rows.withColumn("dt", F.col("dt").cast("string"))
-
-    def _committed(self) -> tuple[int, int, dict[str, int]]:
-        """Newest version, last compacted batch, and the current version of each day."""
-        commits = self._read(f"{self.path}/commits")
-        if commits is None:
-            return 0, -1, {}
-        newest = commits.groupBy("dt").agg(F.max("version").alias("v"), F.max("upto").alias("upto"))
-        days = newest.collect()  # one row per day
-        return max(d["v"] for d in days), max(d["upto"] for d in days), {d["dt"]: d["v"] for d in days}
+        return rows.withColumns({name: F.col(name).cast("string") for name in ("writer", "dt")})
 
     def changes(self) -> DataFrame:
-        """Rows a read has to reconcile: current snapshots and the batches after them."""
+        """Rows a read has to reconcile."""
         log = self.log()
         if log is None:
             raise ValueError(f"nothing was written to {self.path} yet")
-        _, upto, days = self._committed()
-        if not days:
-            return log
-        current = [f"{self.snapshot_path}/v={v}/dt={dt}" for dt, v in days.items()]
-        snapshot = self._read(self.snapshot_path, current)
-        snapshot = snapshot.withColumn("dt", F.col("dt").cast("string")).select(*log.columns)
-        return log.filter(F.col("batch_id") > upto).unionByName(snapshot)
+        return log
 
-    def _reconcile(self, rows: DataFrame) -> DataFrame:
-        return latest_per_key(rows, self.key, self.order).drop("batch_id", "dt")
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        """Last row of every key with the time of its write."""
+        rows = rows.drop("writer", "batch_id", "dt")
+        if len(self.order) == 1 and isinstance(rows.schema[self.order[0]].dataType, T.IntegralType):
+            rank = packed.pack(F.col("written_at"), F.col(self.order[0]))
+            ranked = rows.withColumn("write_order", rank)
+            return latest_per_key(ranked, self.key, ["write_order"]).drop("write_order")
+        return latest_per_key(rows, self.key, ["written_at", *self.order])
 
     def latest(self) -> DataFrame:
         """Current row of every key."""
-        return self._reconcile(self.changes())
+        return self._newest(self.changes()).drop("written_at")
 
     def get(self, value: str) -> DataFrame:
         """Current row of one key; the key test reaches the scan, not just the result."""
-        return self._reconcile(scans.get_row(self.changes(), value, self.key))
+        return self._newest(scans.get_row(self.changes(), value, self.key)).drop("written_at")
 
     def scan(self, start: str, stop: str) -> DataFrame:
         """Current rows of a key range, in no particular order."""
-        return self._reconcile(scans.scan_range(self.changes(), start, stop, self.key))
-
-    def compact(self) -> int:
-        """Fold new batches into fresh snapshots of the days they touch, then commit."""
-        version, upto, _ = self._committed()
-        fresh = self.log().filter(F.col("batch_id") > upto)
-        touched = fresh.groupBy("dt").agg(F.max("batch_id").alias("upto")).collect()
-        if not touched:
-            return version
-        version += 1
-        dates = [day["dt"] for day in touched]
-        rows = self.changes().filter(F.col("dt").isin(dates))
+        rows = scans.scan_range(self.changes(), start, stop, self.key)
+        return self._newest(rows).drop("written_at")
+
+    def compact_into(self, path: str) -> KeyedTable:
+        """A new table at ``path`` that holds only the current rows, sorted by key.
+
+        It takes further writes; move the writers there and then drop the old folder. An
+        interrupted compaction leaves the old table as it was; use another path for the
+        next attempt.
+        """
+        fresh = KeyedTable(self.spark, path, self.key, self.order)
         (
-            latest_per_key(rows, self.key, self.order)
+            self._dated(self._newest(self.changes()))
             .repartitionByRange("dt", self.key)
             .sortWithinPartitions("dt", self.key)
-            .write.mode("overwrite")
+            .write.mode("errorifexists")
             .partitionBy("dt")
-            .parquet(f"{self.snapshot_path}/v={version}")
+            .parquet(f"{fresh.log_path}/writer=compacted/batch_id=0")
         )
-        done = max(day["upto"] for day in touched)
-        self.spark.createDataFrame(
-            [(dt, version, done) for dt in dates], "dt STRING, version BIGINT, upto BIGINT"
-        ).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-        return version
+        return fresh

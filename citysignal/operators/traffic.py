@@ -2,11 +2,12 @@
 
 Positions are rows ``(vn, ts, lat, lon, seq)``. A report overwrites an earlier
 one of the same vehicle and second when its ``seq`` is higher, as in a keyed
-store. The first and the last report of a window are picked by one BIGINT that
-packs the second within the window and the write sequence: it is unique per
-report, so latitude and longitude always come from the same row, and being a
-plain number it keeps the aggregation in the hash aggregate, with partial
-results merged before the shuffle however many rows one vehicle has.
+store; a null ``seq`` is lower than any other. The first and the last report of a
+window are picked by one number that packs the second within the window and the
+write sequence: it is unique per report, so latitude and longitude always come
+from the same row, and being a plain number it keeps the aggregation in the hash
+aggregate, with partial results merged before the shuffle however many rows one
+vehicle has. Windows may have any length and ``seq`` any BIGINT.
 """
 
 from __future__ import annotations
@@ -16,9 +17,7 @@ from pyspark.sql import functions as F
 
 from citysignal import config as C
 from citysignal.functions.geo import haversine_km
-
-SEQ_BITS = 46
-_SEQ_LIMIT = 1 << SEQ_BITS
+from citysignal.operators import packed
 
 
 def positions(
@@ -38,19 +37,6 @@ def _seconds_since(origin: Column, ts: Column) -> Column:
     return F.unix_seconds(ts) - F.unix_seconds(origin)
 
 
-def _shift_seconds(order: Column, seconds: Column) -> Column:
-    return order + seconds * F.lit(_SEQ_LIMIT)
-
-
-def _second_of(order: Column) -> Column:
-    return F.shiftright(order, SEQ_BITS)
-
-
-def _checked_seq(seq: Column) -> Column:
-    problem = F.raise_error(F.lit(f"seq must lie in [0, 2^{SEQ_BITS})")).cast("bigint")
-    return F.when((seq >= 0) & (seq < _SEQ_LIMIT), seq).otherwise(problem)
-
-
 def _ends(first: str, last: str, lat_lon_first: tuple[str, str], lat_lon_last: tuple[str, str]):
     return [
         F.min_by(lat_lon_first[0], first).alias("first_lat"),
@@ -68,15 +54,13 @@ def sightings(reports: DataFrame, length: str) -> DataFrame:
     A report without a position still makes its vehicle count as seen.
     """
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    placed = reports.withColumn("window", F.window("ts", length)).withColumn(
-        "offset", _shift_seconds(F.lit(0), _seconds_since(F.col("window.start"), F.col("ts")))
-    )
+    placed = reports.withColumn("window", F.window("ts", length))
+    second = _seconds_since(F.col("window.start"), F.col("ts"))
     ranked = placed.withColumn(
-        "last", F.when(located, F.col("offset") + _checked_seq(F.col("seq")))
+        "last", F.when(located, packed.pack(second, F.col("seq")))
     ).withColumn(
         # Within a second the later write wins, so it must also come first.
-        "first",
-        F.when(located, F.col("offset") + F.lit(_SEQ_LIMIT - 1) - F.col("seq")),
+        "first", F.when(located, packed.pack_descending(second, F.col("seq")))
     )
     return ranked.groupBy("window", "vn").agg(
         *_ends("first", "last", ("lat", "lon"), ("lat", "lon")), F.count("*").alias("reports")
@@ -107,8 +91,9 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
         copied = steps.repartition("vn").withColumn("window", _covering("step", length, slide))
     spread = (
         copied.withColumn("shift", _seconds_since(F.col("window.start"), F.col("step.start")))
-        .withColumn("first", _shift_seconds(F.col("first_order"), F.col("shift")))
-        .withColumn("last", _shift_seconds(F.col("last_order"), F.col("shift")))
+        .withColumn("shift", packed.raised(F.col("shift")))
+        .withColumn("first", (F.col("first_order") + F.col("shift")).cast(packed.PACKED))
+        .withColumn("last", (F.col("last_order") + F.col("shift")).cast(packed.PACKED))
     )
     return spread.groupBy("window", "vn").agg(
         *_ends("first", "last", ("first_lat", "first_lon"), ("last_lat", "last_lon")),
@@ -128,14 +113,14 @@ def _covering(step: str, length: str, slide: str) -> Column:
 
 def speeds(ends: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
     """Speed between the first and last report; null when no time passed."""
-    elapsed = _second_of(F.col("last_order")) - _second_of(F.col("first_order"))
+    elapsed = packed.high_of(F.col("last_order")) - packed.high_of(F.col("first_order"))
     distance = haversine_km(
         F.col("first_lat"), F.col("first_lon"), F.col("last_lat"), F.col("last_lon")
     )
 
     def instant(order: str) -> Column:
         start = F.unix_seconds(F.col("window.start"))
-        return F.timestamp_seconds(start + _second_of(F.col(order)))
+        return F.timestamp_seconds(start + packed.high_of(F.col(order)))
 
     speed = F.col("speed_kmh")
     return (

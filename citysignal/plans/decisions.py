@@ -46,11 +46,12 @@ def decide_windows(
     *,
     tz: str = "UTC",
     step: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
     """Decisions from vehicle speeds and negative shares that are final per window.
 
     With ``step``, the distance of window ends, also at those ends that lie in hours with
-    a weather score but have neither vehicles nor messages.
+    a weather score but have neither vehicles nor messages; ``until`` leaves out later ends.
     """
     instant = F.col("window.end").alias("instant")
     driving = traffic.scores_with_targets(moving, config)
@@ -60,5 +61,7 @@ def decide_windows(
     instants = by_traffic.join(by_mood, "instant", "full")
     if step:
         instants = instants.join(weather.scored_instants(forecast, step, config, tz=tz), "instant", "full")
+    if until:
+        instants = instants.filter(F.col("instant") <= F.lit(until).cast("timestamp"))
     weathered = weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
     return combine.decide(combine.fill_signals(weathered), config, tz=tz)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from citysignal.operators.store import KeyedTable
 
 
-def batch_writer(table: KeyedTable) -> Callable[[DataFrame, int], None]:
+def writer_of(checkpoint: str) -> str:
+    """Name of the writer that a checkpoint stands for: a fresh one is another writer."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def batch_writer(table: KeyedTable, writer: str = "main") -> Callable[[DataFrame, int], None]:
     """Upsert of a micro-batch. Executors write; nothing is brought to the driver.
 
     A failure is left to end the query. On restart Spark repeats the batch under
@@ -20,7 +26,7 @@ def batch_writer(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        table.upsert(batch, batch_id)
+        table.upsert(batch, batch_id, writer)
 
     return write
 
@@ -31,19 +37,27 @@ def ingest(
     checkpoint: str,
     *,
     every: str | None = "30 seconds",
+    writer: str | None = None,
 ) -> StreamingQuery:
-    """Start ingesting; ``every=None`` works off what is there and stops."""
-    writer = (
-        rows.writeStream.foreachBatch(batch_writer(table))
+    """Start ingesting; ``every=None`` works off what is there and stops.
+
+    Batches are filed under ``writer``, by default one per checkpoint folder. Name it to
+    replay a stream from its start in place of what it wrote before.
+    """
+    named = writer or writer_of(checkpoint)
+    started = (
+        rows.writeStream.foreachBatch(batch_writer(table, named))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
     if every is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=every).start()
+        return started.trigger(availableNow=True).start()
+    return started.trigger(processingTime=every).start()
 
 
-def ingest_all(rows: DataFrame, table: KeyedTable, checkpoint: str) -> KeyedTable:
+def ingest_all(
+    rows: DataFrame, table: KeyedTable, checkpoint: str, writer: str | None = None
+) -> KeyedTable:
     """Work off everything available, then return the table."""
-    ingest(rows, table, checkpoint, every=None).awaitTermination()
+    ingest(rows, table, checkpoint, every=None, writer=writer).awaitTermination()
     return table

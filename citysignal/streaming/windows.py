@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from citysignal import config as C
 from citysignal.operators import combine, sentiment, traffic
 
 LATENESS = "10 minutes"
+NOT_BEGUN = "1970-01-01T00:00:00.000Z"
 
 
 def stream_traffic(
@@ -39,19 +42,29 @@ def stream_speeds(
     return traffic.speeds(ends, config)
 
 
-def decidable(moving: DataFrame, negative: DataFrame) -> tuple[DataFrame, DataFrame]:
+def decidable(
+    moving: DataFrame, negative: DataFrame, until: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Cut both emitted tables to the windows that are final in either stream.
 
     The streams advance on their own; a window that only one of them has passed
-    waits for the other.
+    waits for the other. ``until`` is the lower of the streams' watermarks
+    (``earliest``): a stream that emits nothing then holds nothing back. Without it
+    the last emitted windows stand for the watermarks.
     """
-    ends = [df.agg(F.max("window.end").alias("end")) for df in (moving, negative)]
-    both = F.when(F.count("end") == 2, F.min("end"))
-    upto = ends[0].unionAll(ends[1]).agg(both).first()[0]
-    final = F.col("window.end") <= F.lit(upto)
+    if until is None:
+        ends = [df.agg(F.max("window.end").alias("end")) for df in (moving, negative)]
+        both = F.when(F.count("end") == 2, F.min("end"))
+        until = ends[0].unionAll(ends[1]).agg(both).first()[0]
+    final = F.col("window.end") <= F.lit(until).cast("timestamp")
     return moving.filter(final), negative.filter(final)
 
 
+def earliest(watermarks: Sequence[str | None]) -> str:
+    """The lowest of several streams' watermarks; a stream without one has not begun."""
+    return min(mark or NOT_BEGUN for mark in watermarks)
+
+
 def stream_negative_share(
     tweets: DataFrame, length: str, slide: str | None = None, lateness: str = LATENESS
 ) -> DataFrame:
@@ -77,27 +90,39 @@ def stream_rain_congestion(
     return combine.rain_with_congestion(wet, stream_traffic(reports, length, lateness, config))
 
 
-def run_to_files(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Work off everything available into a Parquet folder (append mode)."""
-    (
+def run_to_files(df: DataFrame, path: str, checkpoint: str) -> str | None:
+    """Work off everything available into a Parquet folder (append mode).
+
+    Returns the watermark of the last batch, up to which windows are final; None where no
+    batch ran or the stream has no watermark.
+    """
+    query = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
-        .awaitTermination()
     )
+    query.awaitTermination()
+    progress = query.lastProgress
+    return progress["eventTime"].get("watermark") if progress else None
 
 
-def late_rows(counted: DataFrame, raw: DataFrame, length: str, ts: str = "ts") -> DataFrame:
+def late_rows(
+    counted: DataFrame, raw: DataFrame, length: str, ts: str = "ts", until: str | None = None
+) -> DataFrame:
     """Rows per closed window that came too late to be counted.
 
     ``counted`` is what the stream emitted, ``(window, n)``; ``raw`` everything
-    that arrived.
+    that arrived; ``until`` the watermark that the stream reached, by default the end of
+    its last emitted window. A window all of whose rows were late has none on time.
     """
+    if until is None:
+        until = counted.agg(F.max("window.end")).first()[0]
     arrived = raw.groupBy(F.window(ts, length).alias("window")).agg(F.count("*").alias("arrived"))
+    on_time = F.coalesce("n", F.lit(0).cast("bigint"))
     return (
-        counted.join(arrived, "window")
-        .withColumn("late", F.col("arrived") - F.col("n"))
-        .select("window", F.col("n").alias("on_time"), "late")
+        arrived.filter(F.col("window.end") <= F.lit(until).cast("timestamp"))
+        .join(counted, "window", "left")
+        .select("window", on_time.alias("on_time"), (F.col("arrived") - on_time).alias("late"))
     )

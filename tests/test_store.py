@@ -52,28 +52,48 @@ def test_get_and_scan(spark, table, rows):
     assert [r[0] for r in rows(table.scan("20260102_00", "20260104_00"))] == ["20260102_00", "20260103_00"]
 
 
-def test_compaction_keeps_reads_and_touches_only_changed_days(spark, table, rows, tmp_path):
+def test_compaction_into_a_new_table(spark, table, rows, tmp_path):
     table.upsert(frame(spark, ("20260101_00", "a", 1), ("20260102_00", "b", 1)), 0)
-    assert table.compact() == 1
     table.upsert(frame(spark, ("20260102_00", "c", 1), ("20260103_00", "d", 1)), 1)
     want = [("20260101_00", "a", 1), ("20260102_00", "c", 1), ("20260103_00", "d", 1)]
-    assert rows(table.latest()) == want
-    assert table.compact() == 2
-    assert rows(table.latest()) == want
-    days = sorted(p.name for p in (tmp_path / "table/snapshot/v=2").glob("dt=*"))
-    assert days == ["dt=20260102", "dt=20260103"]
-    # Nothing new: nothing to do.
-    assert table.compact() == 2
-    table.upsert(frame(spark, ("20260101_00", "e", 0)), 2)
-    assert rows(table.get("20260101_00")) == [("20260101_00", "e", 0)]
-
-
-def test_uncommitted_snapshot_is_invisible(spark, table, rows):
-    table.upsert(frame(spark, ("20260101_00", "a", 1)), 0)
-    table.compact()
-    junk = frame(spark, ("20260101_00", "junk", 9)).withColumn("batch_id", F.lit(0))
-    junk.write.parquet(f"{table.snapshot_path}/v=2/dt=20260101")
-    assert rows(table.latest()) == [("20260101_00", "a", 1)]
+    small = table.compact_into(str(tmp_path / "small"))
+    assert rows(small.latest()) == rows(table.latest()) == want
+    assert small.log().count() == 3
+    # Later writes win, whatever their batch id and order column.
+    small.upsert(frame(spark, ("20260101_00", "e", 0)), 0)
+    assert rows(small.get("20260101_00")) == [("20260101_00", "e", 0)]
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        table.compact_into(str(tmp_path / "small"))
+
+
+def test_writers_do_not_overwrite_each_other(spark, table, rows):
+    table.upsert(frame(spark, ("20260101_00", "bus", 5)), 0, writer="buses")
+    table.upsert(frame(spark, ("20260101_01", "tram", 5)), 0, writer="trams")
+    assert [r[1] for r in rows(table.latest())] == ["bus", "tram"]
+    # A writer that starts afresh counts from zero; its write is the last one.
+    table.upsert(frame(spark, ("20260101_00", "again", 1)), 0, writer="buses2")
+    assert [r[1] for r in rows(table.latest())] == ["again", "tram"]
+
+
+def test_rows_without_key_are_refused(spark, table):
+    with pytest.raises(Exception, match="a row has no row_key"):
+        table.upsert(frame(spark, (None, "x", 1)), 0)
+    assert table.log() is None
+
+
+def test_null_order_is_lowest_for_plain_numbers_and_text(spark, rows):
+    plain = spark.createDataFrame([("k", 7, None)], "k STRING, v INT, seq BIGINT")
+    text = spark.createDataFrame([("k", "7", None)], "k STRING, v STRING, seq BIGINT")
+    assert rows(latest_per_key(plain, "k", ["seq"])) == [("k", 7, None)]
+    assert rows(latest_per_key(text, "k", ["seq"])) == [("k", "7", None)]
+
+
+def test_tables_of_numbers_are_reduced_by_hashing(spark, tmp_path, rows):
+    table = KeyedTable(spark, str(tmp_path / "plain"))
+    data = [("20260101_00", 1.0, 5), ("20260101_00", 2.0, None), ("20260101_00", 3.0, 4)]
+    table.upsert(spark.createDataFrame(data, "row_key STRING, v DOUBLE, seq BIGINT"), 0)
+    assert rows(table.latest()) == [("20260101_00", 1.0, 5)]
+    assert "SortAggregate" not in table.latest()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_reading_an_unwritten_table_says_so(table):

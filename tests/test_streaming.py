@@ -55,12 +55,22 @@ def test_replay_from_the_start_changes_nothing(spark, tmp_path, rows):
     table = KeyedTable(spark, str(tmp_path / "table"))
     for second in range(3):
         send(spark, topic, vehicle_message("1", second), vehicle_message("2", 0, lat=52 + second))
-    ingest.ingest_all(vehicle_stream(spark, topic), table, str(tmp_path / "c1"))
+    ingest.ingest_all(vehicle_stream(spark, topic), table, str(tmp_path / "c1"), "bus")
     first = rows(table.latest())
-    ingest.ingest_all(vehicle_stream(spark, topic), table, str(tmp_path / "c2"))
+    ingest.ingest_all(vehicle_stream(spark, topic), table, str(tmp_path / "c2"), "bus")
     assert rows(table.latest()) == first and table.log().count() == 6
 
 
+def test_a_fresh_checkpoint_is_another_writer(spark, tmp_path, rows):
+    """What an earlier checkpoint wrote under the same batch id stays."""
+    table = KeyedTable(spark, str(tmp_path / "table"))
+    for i, vehicle in enumerate("12"):
+        topic = str(tmp_path / f"topic{i}")
+        send(spark, topic, vehicle_message(vehicle, 0))
+        ingest.ingest_all(vehicle_stream(spark, topic), table, str(tmp_path / f"c{i}"))
+    assert [r[0] for r in rows(table.latest(), "vehicle_number")] == ["1", "2"]
+
+
 def test_empty_batches_are_skipped(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "table"))
     ingest.batch_writer(table)(spark.createDataFrame([], SCHEMA), 0)
@@ -126,17 +136,22 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
             .groupBy(F.window("ts", "5 minutes").alias("window"))
             .agg(F.count("*").alias("n"))
         )
-        windows.run_to_files(counted, out, check)
+        return windows.run_to_files(counted, out, check)
 
     deliver(0, 1, 16)
-    deliver(3, 7, 40)
+    mark = deliver(3, 7, 40)
+    assert mark.endswith(":30:00.000Z")
+    deliver(21, 22)
     raw = spark.read.parquet(inbox)
-    got = windows.late_rows(spark.read.parquet(out), raw, "5 minutes").orderBy("window").collect()
+    late = windows.late_rows(spark.read.parquet(out), raw, "5 minutes", until=mark)
+    got = late.orderBy("window").collect()
     # 08:03 comes when 08:00-08:05 is final; 08:07 is still in time.
     assert [(r["window"]["start"].minute, r["on_time"], r["late"]) for r in got] == [
         (0, 2, 1),
         (5, 1, 0),
         (15, 1, 0),
+        # All of this window came after it was final.
+        (20, 0, 2),
     ]
 
 
@@ -222,6 +237,12 @@ def test_decidable_windows_are_final_in_both_streams(spark):
     assert (moving.count(), [r["h"] for r in moods.collect()]) == (3, [0])
     moving, moods = windows.decidable(emitted(0, 1), emitted())
     assert (moving.count(), moods.count()) == (0, 0)
+    # With watermarks a quiet stream holds nothing back.
+    until = windows.earliest([f"{T0:%Y-%m-%dT%H:%M:%S}.000Z", None])
+    assert until == windows.NOT_BEGUN
+    until = f"{T0 + timedelta(hours=2):%Y-%m-%dT%H:%M:%S}.000Z"
+    moving, moods = windows.decidable(emitted(0, 1, 2), emitted(), until)
+    assert (moving.count(), moods.count()) == (2, 0)
 
 
 def test_sliding_share_in_batch_and_on_a_stream(spark, tmp_path):

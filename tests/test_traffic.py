@@ -82,10 +82,25 @@ def test_unplaced_report_is_skipped_not_its_vehicle(spark):
     assert moving(df).first()["speed_kmh"] == pytest.approx(7)
 
 
-def test_sequence_outside_the_packed_range_is_refused(spark):
-    df = spark.createDataFrame([("a", T0, 1.0, 1.0, 1 << 46)], SCHEMA)
-    with pytest.raises(Exception, match="seq must lie in"):
-        moving(df).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_long_windows_and_any_sequence(spark, ansi):
+    """A week is one window; sequences span BIGINT, and one is missing."""
+    top, week = (1 << 63) - 1, datetime(2026, 1, 1)
+    data = [
+        ("a", week, 1.0, 1.0, None),
+        ("a", week, 2.0, 2.0, -top - 1 + 5),
+        ("a", week + timedelta(days=6), 3.0, 3.0, top - 1),
+        ("a", week + timedelta(days=6), 4.0, 4.0, top),
+    ]
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        ends = traffic.sightings(spark.createDataFrame(data, SCHEMA), "7 days")
+        row = traffic.speeds(ends).first()
+        assert "SortAggregate" not in ends._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert (row["first_lat"], row["first_lon"], row["last_lat"], row["last_lon"]) == (2, 2, 4, 4)
+    assert (row["first_ts"], row["last_ts"]) == (data[0][1], data[2][1])
 
 
 def test_windows_are_half_open(spark):
