@@ -3,7 +3,9 @@
 Words and pairs of neighbouring words fall into ``BUCKETS`` hash buckets. Two
 multinomials over the buckets are counted from all documents: the corpus, and the
 trusted target in it. A document's score is the mean over its n-grams of the log ratio
-of the two. Ratios are kept as whole millionths, so a score never depends on the order of
+of the two. Counted by rows, copies without labels move their text away from the target;
+counted ``by_text``, a text counts once however many copies it has, and is trusted if any
+copy is. Ratios are kept as whole millionths, so a score never depends on the order of
 summing, and every document is decided by the same fixed threshold.
 
 Nulls, empty texts and texts without words have no n-grams: their score is 0 and the base
@@ -35,6 +37,8 @@ from citysignal.llm.common import (
 BUCKETS = 16_384
 PSEUDO_COUNT = 1.0
 SCALE = 1_000_000
+# Digests, with two numbers each, that may be broadcast: some 130 bytes each.
+TEXT_ROWS = 500_000
 # Mean log ratio in millionths below which a document is unlike the trusted ones.
 THRESHOLD = -50_000
 SPACE_CHARS = " \t\n\x0b\x0c\r"
@@ -60,23 +64,67 @@ def buckets_of(h: str, buckets: int) -> Column:
     )
 
 
-def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
+def by_digest(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """text, ``copies`` of it in the table, and ``hit``: whether any of them is trusted."""
+    digest = F.unhex(F.sha2(text_of(), 256)).alias("digest")
+    known = (
+        docs.select("doc_id", digest)
+        .join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
+        .groupBy("digest")
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.max(F.col("trusted_id").isNotNull().cast("long")).alias("hit"),
+        )
+        .where("copies > 1 or hit = 1")
+    )
+    # Other texts have one copy and are not trusted.
+    known = small_side(written(known, "known-texts"), TEXT_ROWS)
+    return (
+        docs.select("text", digest)
+        .join(known, "digest", "left")
+        .select(
+            "text",
+            F.coalesce("copies", F.lit(1)).alias("copies"),
+            F.coalesce("hit", F.lit(0)).alias("hit"),
+        )
+    )
+
+
+def weights(
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, by_text: bool = False
+) -> list[int]:
     """Log ratio of target to corpus by bucket, in millionths.
 
     ``trusted`` has the ids of the target. Counts cover all documents and are summed in
-    each task before the shuffle; the driver gets one row a bucket at most.
+    each task before the shuffle; the driver gets one row a bucket at most. With
+    ``by_text`` they are summed by the number of copies as well and divided by it.
     """
     ids = only(trusted, "doc_id").select(F.col("doc_id").alias("trusted_id")).distinct()
     ids = small_side(ids, ID_ROWS)
-    counted = (
-        only(docs, "doc_id", "text")
-        .join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
-        .transform(lambda df: hashed(df, F.col("trusted_id").isNotNull().cast("long").alias("hit")))
-        .select("hit", F.explode(buckets_of("h", buckets)).alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("hit").alias("target"))
-        .collect()
+    docs = only(docs, "doc_id", "text")
+    if by_text:
+        marked = by_digest(docs, ids)
+    else:
+        marked = docs.join(ids, F.col("doc_id") == F.col("trusted_id"), "left").select(
+            "text", F.lit(1).alias("copies"), F.col("trusted_id").isNotNull().cast("long").alias("hit")
+        )
+    grams = hashed(marked, F.col("copies"), F.col("hit")).select(
+        "copies", "hit", F.explode(buckets_of("h", buckets)).alias("bucket")
     )
+    if by_text:
+        counted = (
+            grams.groupBy("bucket", "copies")
+            .agg(F.count(F.lit(1)).alias("raw"), F.sum("hit").alias("target"))
+            .groupBy("bucket")
+            .agg(*(F.expr(f"sum({x} div copies)").alias(x) for x in ("raw", "target")))
+            .collect()
+        )
+    else:
+        counted = (
+            grams.groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("raw"), F.sum("hit").alias("target"))
+            .collect()
+        )
     raw_all = sum(r.raw for r in counted) + PSEUDO_COUNT * buckets
     target_all = sum(r.target for r in counted)
     if not target_all:

@@ -18,7 +18,8 @@ from citysignal.session import configure
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return likelihood.filtered(docs, likelihood.weights(docs, trusted(spark, sf_dir)))
+    ratio = likelihood.weights(docs, trusted(spark, sf_dir), by_text=True)
+    return likelihood.filtered(docs, ratio)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -300,6 +300,21 @@ def test_quality_rules_match_brute_force(spark, texts):
             assert r.kept == (not failed and mean * 1e6 >= likelihood.THRESHOLD)
 
 
+def test_copies_of_clean_texts_are_kept(spark):
+    """Copies without labels, or with one label among them, leave the pipeline's verdicts as they were."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+    kept = corpus_pipeline.quality_rules(spark, docs, SF)
+    clean = kept.join(docs.join(good, "doc_id"), "text", "left_anti").orderBy("doc_id").first()
+    hot = docs.where(F.col("doc_id") == clean.doc_id).drop("doc_id").crossJoin(spark.range(10_000, 10_300).toDF("doc_id"))
+    many = docs.unionByName(hot)
+    left = corpus_pipeline.quality_rules(spark, many, SF)
+    assert left.where("doc_id >= 10000").count() == 300 and left.count() == kept.count() + 300
+    one, copy = (spark.createDataFrame([(i,)], "doc_id long") for i in (clean.doc_id, 10_007))
+    ratio = likelihood.weights(docs, good.union(one), by_text=True)
+    assert likelihood.weights(many, good.union(copy), by_text=True) == ratio != likelihood.weights(docs, good, by_text=True)
+
+
 # --- 6 rule ensemble
 
 
