@@ -14,8 +14,9 @@ Arguments are parsed as variants, checked against the tool's schema, and written
 sorted keys and without spaces. No Python runs on rows, and no conversation is gathered
 into one task: grouping is by call, summed before the shuffle.
 
-Null bodies are invalid JSON. Rows with a null conv_id or call_id are linked to nothing
-but kept: calls as ``unanswered``, results as ``orphan``. Empty tables give no rows.
+Null bodies are invalid JSON. Rows with a null conv_id, turn or call_id are linked to nothing
+but kept, each as a row of its own: calls as ``unanswered``, results as ``orphan``. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -141,9 +142,10 @@ def ordered(calls: DataFrame) -> DataFrame:
 def link(messages: DataFrame, schema: Schema) -> DataFrame:
     """One row a call (and one an orphan result): status, order, errors, canonical JSON."""
     body = lambda *names: F.struct("turn", *names)
+    keyed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull() & F.col("call_id").isNotNull()
 
     def earliest(kind: str, *names: str) -> DataFrame:
-        rows = messages.where(F.col("kind") == kind)
+        rows = messages.where((F.col("kind") == kind) & keyed)
         return rows.groupBy("conv_id", "call_id").agg(
             F.min(body(*names)).alias("first"), F.count(F.lit(1)).alias("copies")
         )
@@ -158,17 +160,29 @@ def link(messages: DataFrame, schema: Schema) -> DataFrame:
         F.col("first.body").alias("result_body"),
         F.col("copies").alias("result_copies"),
     )
-    places = ordered(calls.where("conv_id is not null and call_id is not null"))
+    places = ordered(calls)
     joined = (
         calls.withColumn("is_call", F.lit(True))
         .join(results.hint("shuffle_hash"), ["conv_id", "call_id"], "full")
         .join(places, ["conv_id", "call_id"], "left")
-        .withColumn("parsed", F.try_parse_json("body"))
     )
+    # Grouping would put all null keys together; these rows go past it.
+    is_call = F.col("kind") == "call"
+    single = messages.where(F.col("kind").isin("call", "result") & ~keyed).select(
+        "conv_id",
+        "call_id",
+        *(F.when(is_call, F.col(name)).alias(name) for name in ("turn", "name", "body", "needs")),
+        F.when(is_call, F.lit(1)).alias("copies"),
+        F.when(is_call, F.lit(True)).alias("is_call"),
+        *(F.when(~is_call, F.col(name)).alias(f"result_{name}") for name in ("turn", "body")),
+        F.when(~is_call, F.lit(1)).alias("result_copies"),
+    )
+    joined = joined.unionByName(single, allowMissingColumns=True)
+    joined = joined.withColumn("parsed", F.try_parse_json("body"))
     status = (
         F.when(F.col("is_call").isNull(), "orphan")
         .when(F.coalesce("circular", F.lit(False)), "circular")
-        .when(F.col("result_turn").isNull(), "unanswered")
+        .when(F.col("result_copies").isNull(), "unanswered")
         .when(F.col("result_turn") <= F.col("turn"), "answered_early")
         .otherwise("linked")
     )
@@ -212,7 +226,7 @@ SEARCH: Schema = {
 def from_conversations(conversations: DataFrame) -> DataFrame:
     """Turns as tool messages: a user's turn calls ``search``, a system's ``instruct``, an
     assistant's turn is the result of the turn before it; each call needs the one two turns back."""
-    at = lambda n: F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - n).cast("string"))  # noqa: E731,E501
+    at = lambda n: F.concat(F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - n).cast("string"))  # noqa: E731,E501
     text = text_of()
     call = F.col("role") != "assistant"
     search = F.struct(

@@ -255,6 +255,25 @@ def test_calls_are_ordered_validated_and_canonical(spark):
     assert toolcalls.link(spark.createDataFrame([], kind), toolcalls.SEARCH).count() == 0
 
 
+def test_rows_with_null_keys_stay_apart(spark):
+    kind = "conv_id long, turn long, role string, text string"
+    keyed = [(1, 1, "user", "a question that is long enough"), (1, 2, "assistant", "an answer")]
+    none = [(c, t, role, f"{role} {c} {t} {i}") for c, t in ((None, 1), (2, None), (None, None)) for role in ("user", "assistant") for i in range(3)]
+    none += [none[0]]
+    messages = toolcalls.from_conversations(spark.createDataFrame(keyed + none, kind))
+    got = toolcalls.link(messages, toolcalls.SEARCH)
+    rows = [r for r in got.collect() if r.call_id != "1-1"]
+    assert got.count() == 1 + len(none) and len(rows) == len(none)
+    assert all(r.call_id is None and r.copies == 1 for r in rows)
+    for _, _, role, text in none:
+        mine = [r for r in rows if f'"{text}"' in r.record]
+        assert len(mine) == none.count(none[0]) if text == none[0][3] else len(mine) == 1
+        assert {r.status for r in mine} == {"unanswered" if role == "user" else "orphan"}
+    raw = messages.select("conv_id", "turn", "kind", F.when(F.col("conv_id") == 1, "x").alias("call_id"), "name", "body", "needs")
+    assert toolcalls.link(raw, toolcalls.SEARCH).count() == 1 + len(none)
+    assert [r.status for r in got.where("call_id = '1-1'").collect()] == ["linked"]
+
+
 # --- 5 quality rules
 
 
