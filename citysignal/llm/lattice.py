@@ -95,6 +95,12 @@ class Lattice:
             if p.type == 6:
                 self.bytes_of[int(p.piece[1:-1], 16)] = i
         self.byte_value = {i: b for b, i in self.bytes_of.items()}
+        # What each id is in a text, then the same for ids that begin one.
+        inside = [
+            bytes([self.byte_value[i]]) if i in self.byte_value else p.replace(MARK, " ").encode()
+            for i, p in enumerate(self.pieces)
+        ]
+        self.spellings = inside + [x.removeprefix(b" ") if self.dummy_prefix else x for x in inside]
         used = [self.pieces[i] for i in ranks]
         if any("\n" in p or MARK in p.lstrip(MARK) for p in used):
             raise ValueError("pieces run over chunk boundaries")
@@ -585,6 +591,28 @@ class Lattice:
             out[begins[j] : begins[j] + len(ids)] = ids
         return out
 
+    def decoded(self, flat: np.ndarray, sizes: np.ndarray):
+        """The texts of segmentations, as an Arrow array; ``flat`` has their ids in a row."""
+        import pyarrow as pa
+
+        ends = np.cumsum(sizes)
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.pieces)):
+            raise ValueError("ids outside the vocabulary")
+        pick = flat.astype(np.int64)
+        pick[(ends - sizes)[sizes > 0]] += len(self.pieces)
+        spelled = pa.array(self.spellings, pa.large_binary()).take(pa.array(pick))
+        _, offsets, data = spelled.buffers()
+        at = np.frombuffer(offsets, np.int64)[: len(pick) + 1] if len(pick) else np.zeros(1, np.int64)
+        bounds = at[np.concatenate([[0], ends]).astype(np.int64)]
+        whole = [pa.py_buffer(bounds.tobytes()), data if data is not None else pa.py_buffer(b"")]
+        texts = pa.Array.from_buffers(pa.large_string(), len(sizes), [None, *whole])
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            raw = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, *whole])
+            texts = pa.array([x.decode("utf-8", "replace") for x in raw.to_pylist()], pa.large_string())
+        return texts
+
     def decode(self, ids) -> str:
         """The text of a segmentation."""
         raw = bytearray()
@@ -627,16 +655,18 @@ def row_key(key, seed: int) -> int:
 
 
 def encode(
-    docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA, seed: int = SEED, digest: bool = False
+    docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA, seed: int = SEED, digest: bool = False,
+    verify: bool = False,
 ) -> DataFrame:
     """doc_id, sample (1 to k), n_pieces, log_prob, perturbed, log_inclusion and ids, or with
-    ``digest`` the SHA-256 of the ids as little-endian 32-bit numbers."""
+    ``digest`` the SHA-256 of the ids as little-endian 32-bit numbers. With ``verify`` every
+    sample is decoded, and ``round_trip`` is whether that gives the text."""
     narrow = only(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     last = "ids_sha256 string" if digest else "ids array<int>"
     schema = (
         f"doc_id {kind}, sample int, n_pieces bigint, log_prob double, perturbed double, "
-        f"log_inclusion double, {last}"
+        f"log_inclusion double, {last}" + ", round_trip boolean" * verify
     )
 
     def run(batches):
@@ -646,6 +676,7 @@ def encode(
         lattice = loaded(model, alpha)
         types = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         types.append(pa.string() if digest else pa.list_(pa.int32()))
+        types += [pa.bool_()] * verify
         names = ["doc_id", *(part.split()[0] for part in schema.split(", ")[1:])]
 
         def batch_of(source, rows, values):
@@ -662,12 +693,21 @@ def encode(
                 end = max(begin + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
                 texts = batch.column("text").slice(begin, end - begin).to_pylist()
                 keys = [row_key(x, seed) for x in source.slice(begin, end - begin).to_pylist()]
-                for r, samples in enumerate(lattice.samples(texts, keys, k), begin):
+                sampled = lattice.samples(texts, keys, k)
+                same = iter(())
+                if verify:
+                    every = [s["ids"] for samples in sampled for s in samples]
+                    sizes = np.fromiter(map(len, every), np.int64, len(every))
+                    flat = np.concatenate(every) if every else np.zeros(0, np.int32)
+                    wanted = [t for t, samples in zip(texts, sampled, strict=True) for _ in samples]
+                    same = iter(pc.equal(lattice.decoded(flat, sizes), pa.array(wanted, pa.large_string())).to_pylist())
+                for r, samples in enumerate(sampled, begin):
                     for n, s in enumerate(samples, 1):
                         ids = s["ids"]
                         shown = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() if digest else ids
                         rows.append(r)
-                        values.append((n, len(ids), s["log_prob"], s["perturbed"], s["log_inclusion"], shown))
+                        value = (n, len(ids), s["log_prob"], s["perturbed"], s["log_inclusion"], shown)
+                        values.append((*value, next(same)) if verify else value)
                         held += 100 if digest else len(ids)
                 begin = end
                 if held > 1_000_000:
@@ -677,3 +717,29 @@ def encode(
                 yield batch_of(source, rows, values)
 
     return narrow.mapInArrow(run, schema)
+
+
+def decode(encoded: DataFrame, model: str) -> DataFrame:
+    """The rows of ``encoded`` with ``text``, decoded from ``ids``, in place of the ids; null
+    ids give a null text, and ids that are no UTF-8 its replacement character."""
+    schema = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "ids"
+    )
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lattice = loaded(model)
+        for batch in batches:
+            for begin in range(0, len(batch), 500):
+                part = batch.slice(begin, 500)
+                ids = part.column("ids")
+                sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = pc.list_flatten(ids).to_numpy(zero_copy_only=False)
+                texts = lattice.decoded(flat, sizes).cast(pa.string())
+                texts = pc.if_else(ids.is_valid(), texts, pa.scalar(None, pa.string()))
+                names = [n for n in part.schema.names if n != "ids"]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), texts], [*names, "text"])
+
+    return encoded.mapInArrow(run, f"{schema}, text string" if schema else "text string")

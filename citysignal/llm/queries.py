@@ -36,7 +36,7 @@ def op1_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path(PIECES)
-    return lattice.encode(read_table(spark, sf_dir, "documents"), model, digest=True)
+    return lattice.encode(read_table(spark, sf_dir, "documents"), model, verify=True)
 
 
 def op3_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Quality rules drop documents, near duplicates leave one document a group, benchmark
 passages are cut out (documents that are mostly benchmark go), secrets are replaced by a mark,
-and the last stage samples segmentations of what is left. All stages but the last return
+and the last stage gives the ids of sampled segmentations of what is left. All stages but the last return
 the columns of ``documents``.
 """
 
@@ -35,7 +35,7 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lattice.encode(docs, public_tokenizers.path(PIECES), digest=True)
+    return lattice.encode(docs, public_tokenizers.path(PIECES))
 
 
 STAGES = [

@@ -205,6 +205,25 @@ def test_samples_follow_gumbel_top_k():
         assert second[path] / n == pytest.approx(after, abs=0.03)
 
 
+def test_ids_are_returned_and_decoded(spark, texts, awkward):
+    model = public_tokenizers.path(PIECES)
+    found = QUERIES["op2_sampled_segmentations"](spark, SF)
+    rows = found.collect()
+    assert all(r.round_trip and len(r.ids) == r.n_pieces for r in rows)
+    decoded = lattice.decode(found, model)
+    assert decoded.columns == [*(c for c in found.columns if c != "ids"), "text"]
+    got = decoded.collect()
+    assert len(got) == len(rows) >= len(texts) and all(r.text == texts[r.doc_id] for r in got)
+    stage = dict(corpus_pipeline.STAGES)["segmentations"]
+    odd = lattice.decode(stage(spark, awkward, SF), model).toPandas()
+    wanted = {r.doc_id: r.text or "" for r in awkward.where("doc_id is not null").collect()}
+    assert all(r.text == wanted[int(r.doc_id)] for r in odd.dropna(subset="doc_id").itertuples())
+    own = lattice.loaded(model)
+    broken = [[own.bytes_of[0xFF], own.bytes_of[0x41]], None, []]
+    table = spark.createDataFrame([(i, x) for i, x in enumerate(broken)], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in lattice.decode(table, model).collect()} == {0: "\ufffdA", 1: None, 2: ""}
+
+
 # --- 3 secrets
 
 
