@@ -71,6 +71,8 @@ def log_stirling_at(c: np.ndarray, t: np.ndarray, d: float) -> np.ndarray:
 def draw_tables(c, p, others, strength: float, d: float, rng) -> np.ndarray:
     """Tables for each dish, given its customers, its parent's probability, other tables."""
     out = np.ones(len(c), np.int64)
+    if not len(c):
+        return out
     table = log_stirling(d)
     order = np.argsort(c, kind="stable")
     sizes, begin = np.unique(c[order], return_index=True)
