@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from citysignal.llm import secrets, toolcalls
+from citysignal.llm import queries, secrets, toolcalls
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -160,10 +160,37 @@ def jaccard_groups() -> str:
     JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""  # noqa: E501
 
 
+def url_verdicts() -> str:
+    rules = ", ".join(
+        f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}', {len(r.text)})" for r in queries.URL_RULES
+    )
+    named = f"(^|[.-])({'|'.join(queries.SUSPECT_WORDS)})([.-]|$)"
+    return f"""
+    WITH cut AS (
+      SELECT row_number() OVER () AS row, page_id,
+             translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path
+      FROM pages),
+    bad AS (SELECT host, path, count(*) OVER (PARTITION BY host) AS n FROM cut WHERE regexp_matches(host, '{named}')),
+    entries AS (SELECT DISTINCT CASE WHEN n >= {queries.SUSPECT_PAGES} THEN host ELSE host || path END AS entry FROM bad),
+    labels AS (SELECT row, host, path, string_split(host, '.') AS l FROM cut),
+    names AS (
+      SELECT row, 0 AS rank, host || path AS name FROM cut
+      UNION ALL SELECT row, i, array_to_string(l[i:], '.') FROM labels, unnest(range(1, len(l) + 1)) AS u(i)),
+    found AS (SELECT row, arg_min(entry, rank) AS listed FROM names JOIN entries ON entry = name GROUP BY row),
+    rules AS (SELECT * FROM (VALUES {rules}) AS r(rule, rule_host, rule_path, rule_verdict, size)),
+    fits AS (
+      SELECT row, arg_max(rule, size) AS rule, arg_max(rule_verdict, size) AS rule_verdict FROM cut JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY row)
+    SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN listed IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed
+    FROM cut LEFT JOIN fits USING (row) LEFT JOIN found USING (row)"""  # noqa: E501
+
+
 ORACLES: dict[str, str] = {
     "op3_linked_secrets": linked_secrets(),
     "op4_linked_calls": linked_calls(),
     "op7_benchmark_hits": benchmark_hits(),
     "op8_salvaged_archives": salvaged_archives(),
     "op10_jaccard_groups": jaccard_groups(),
+    "op11_url_verdicts": url_verdicts(),
 }

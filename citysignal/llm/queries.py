@@ -18,6 +18,7 @@ from citysignal.llm import (
     secrets,
     tokencache,
     toolcalls,
+    urls,
     warc,
 )
 from citysignal.llm.common import fold, read_table, scratch
@@ -28,6 +29,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+SUSPECT_WORDS = ("adult", "bets", "casino", "pills", "spam")
+SUSPECT_PAGES = 5
 
 
 def op1_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +131,12 @@ def op10_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.grouped(read_table(spark, sf_dir, "documents"))
 
 
+def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    listed = urls.stored_list(urls.suspects(pages, SUSPECT_WORDS, SUSPECT_PAGES))
+    return urls.judged(pages, URL_RULES, listed)
+
+
 OPERATORS: tuple[Query, ...] = (
     op1_pitman_yor_scores,
     op2_sampled_segmentations,
@@ -132,6 +148,7 @@ OPERATORS: tuple[Query, ...] = (
     op8_salvaged_archives,
     op9_cached_token_counts,
     op10_jaccard_groups,
+    op11_url_verdicts,
 )
 
 
