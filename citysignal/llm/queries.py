@@ -14,6 +14,7 @@ from citysignal.llm import (
     lattice,
     likelihood,
     lm,
+    merkle,
     rules,
     secrets,
     tokencache,
@@ -137,6 +138,10 @@ def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(pages, URL_RULES, listed)
 
 
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 OPERATORS: tuple[Query, ...] = (
     op1_pitman_yor_scores,
     op2_sampled_segmentations,
@@ -149,6 +154,7 @@ OPERATORS: tuple[Query, ...] = (
     op9_cached_token_counts,
     op10_jaccard_groups,
     op11_url_verdicts,
+    op13_merkle_proofs,
 )
 
 
