@@ -204,9 +204,9 @@ def merkle_proofs() -> str:
              CASE WHEN {checksum} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut FROM documents, crc),
     leaves AS (
       SELECT row, doc_id, source, sha256(head || {encoded("text")}) AS leaf, sha256(head || {encoded("cut")}) AS other FROM docs),
-    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at FROM leaves),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot FROM leaves),
     trees(source, level, nodes) AS (
-      SELECT source, 0, list(leaf ORDER BY at) FROM placed GROUP BY source
+      SELECT source, 0, list(leaf ORDER BY spot) FROM placed GROUP BY source
       UNION ALL SELECT source, level + 1, {climb} FROM trees WHERE len(nodes) > 1),
     subroots AS (
       SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place
@@ -217,7 +217,7 @@ def merkle_proofs() -> str:
     whole AS (SELECT nodes[1] AS root FROM crown WHERE len(nodes) = 1),
     steps AS (
       SELECT row, false AS upper, level, {side("b + 1", "i")} AS before, {side("i + 2", "b + 3")} AS after
-      FROM (SELECT row, level, nodes, (at // (3 ** level)::BIGINT)::BIGINT AS i, i // 3 * 3 AS b
+      FROM (SELECT row, level, nodes, (spot // (3 ** level)::BIGINT)::BIGINT AS i, i // 3 * 3 AS b
             FROM placed p JOIN trees t ON p.source IS NOT DISTINCT FROM t.source WHERE len(nodes) > 1)
       UNION ALL
       SELECT row, true, level, {side("b + 1", "i")}, {side("i + 2", "b + 3")}

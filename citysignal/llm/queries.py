@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citysignal.llm import (
+    align,
     decontam,
     jaccard,
     lattice,
@@ -29,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
 TOKEN_LIMIT = 2048
 URL_RULES = [
     urls.Rule("allow", "org", "/"),
@@ -138,6 +140,11 @@ def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(pages, URL_RULES, listed)
 
 
+def op12_aligned_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return align.alignment(docs, public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
@@ -154,6 +161,7 @@ OPERATORS: tuple[Query, ...] = (
     op9_cached_token_counts,
     op10_jaccard_groups,
     op11_url_verdicts,
+    op12_aligned_tokens,
     op13_merkle_proofs,
 )
 
