@@ -784,6 +784,28 @@ ORACLES: dict[str, str] = {
         FROM judged GROUP BY ws
         HAVING ws + INTERVAL 1 HOUR <= (SELECT mark FROM final)""",
 }
+ORACLES["stream_ingest_tweets"] = f"""WITH {POSTS},
+    sent AS (
+        SELECT * FROM posts UNION ALL
+        SELECT * REPLACE (substr(text, 1, length(text) // 2) AS text, ts + INTERVAL {V.EDITED_AFTER} AS ts)
+        FROM posts WHERE lang = 'fr'),
+    keyed AS (SELECT *, strftime(ts, {SECOND}) || '_' || tweet_id AS row_key FROM sent),
+    words AS (
+        SELECT row_key,
+               unnest(regexp_extract_all(lower(text), '\\p{{L}}+(?:''\\p{{L}}+)*')) AS word
+        FROM keyed),
+    lexicon(word, valence) AS (VALUES {_LEX}),
+    sums AS (
+        SELECT row_key, count(*) AS matches, CAST(sum(valence) AS DOUBLE) AS valence
+        FROM words JOIN lexicon USING (word) GROUP BY row_key),
+    judged AS (
+        SELECT row_key, tweet_id, coalesce(matches, 0) AS matches, length(text) AS chars,
+               coalesce(valence / sqrt(valence * valence + 15), 0.0) AS polarity
+        FROM keyed LEFT JOIN sums USING (row_key))
+    SELECT row_key, tweet_id, matches, chars, round(polarity, 4) AS compound,
+           least(greatest(CAST(trunc((polarity + 1) * CAST(4.5 AS DOUBLE)) AS INTEGER), 0), 9)
+               AS sentiment_score
+    FROM judged"""
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

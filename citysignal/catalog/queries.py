@@ -318,8 +318,7 @@ def _ddl(df: DataFrame) -> str:
 @query("batch_layer_tweets")
 def batch_layer_tweets(spark, sf_dir):
     rows = parse.parse_tweets(V.tweet_messages(spark, sf_dir), ingested_at=INGESTED)
-    scored = mood.score_text(rows, V.lexicon(spark), id="tweet_id")
-    judged = rows.join(mood.bucketed(scored).select("tweet_id", "sentiment_score"), "tweet_id")
+    judged = mood.bucketed(mood.score_rows(rows, V.lexicon(spark)))
     layer = layers.tweets_layer(judged, F.col("data_acquisition_date"))
     path = layers.write_layer(layer, scratch(spark, "layer"), "tweets")
     read = spark.read.orc(path).withColumn("date", F.col("date").cast("string"))
@@ -536,7 +535,7 @@ def sentiment_bucket(spark, sf_dir):
 
 @query("lexicon_sentiment")
 def lexicon_sentiment(spark, sf_dir):
-    scored = mood.score_text(V.posts(spark, sf_dir), V.lexicon(spark), id="tweet_id")
+    scored = mood.score_rows(V.posts(spark, sf_dir), V.lexicon(spark))
     return mood.bucketed(scored).select(
         "tweet_id", "matches", F.round("valence", 4).alias("valence"), F.round("compound", 4).alias("compound")
     )
@@ -902,6 +901,25 @@ def stream_ingest_air(spark, sf_dir):
     return _ingested_forecast(spark, sf_dir, V.AIR).select("row_key", "seq", *rounded(*V.AIR))
 
 
+@query("stream_ingest_tweets")
+def stream_ingest_tweets(spark, sf_dir):
+    """Messages scored on the way into their table; some ids come twice with another text."""
+    posted = V.with_edits(V.posts_of(_stream(spark, sf_dir, "documents")))
+    rows = parse.parse_tweets(V.tweet_messages_of(posted), ingested_at=INGESTED)
+    good, _ = parse.quarantine_keyed(rows)
+    scored = mood.bucketed(mood.score_rows(good, V.lexicon(spark)))
+    table = store.KeyedTable(spark, scratch(spark, "tweets"), order=["data_acquisition_date"])
+    ingest.ingest_all(scored, table, scratch(spark, "checkpoint"))
+    return table.latest().select(
+        "row_key",
+        "tweet_id",
+        "matches",
+        "sentiment_score",
+        F.round("compound", 4).alias("compound"),
+        F.char_length("text").alias("chars"),
+    )
+
+
 @query("stream_traffic")
 def stream_traffic(spark, sf_dir):
     scored = windows.stream_traffic(V.positions_of(_event_stream(spark, sf_dir)), V.DAY)

@@ -299,9 +299,12 @@ def vehicle_messages(spark: SparkSession, sf_dir: str, trolleys: bool | None = N
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with text: one per document, texts whole."""
-    rows = spread(table(spark, sf_dir, "documents")).select(
-        F.col("doc_id").alias("d"), "text", "lang", "source", "n_chars"
-    )
+    return posts_of(spread(table(spark, sf_dir, "documents")))
+
+
+def posts_of(documents: DataFrame) -> DataFrame:
+    """Works on a batch or a streaming read of the documents table."""
+    rows = documents.select(F.col("doc_id").alias("d"), "text", "lang", "source", "n_chars")
     age = F.expr(POST_AGE_SECONDS)
     return rows.select(
         F.col("d").cast("string").alias("tweet_id"),
@@ -313,7 +316,26 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EDITED_AFTER = "1 hour"
+
+
+def with_edits(posted: DataFrame) -> DataFrame:
+    """The posts and, for those in French, a second delivery with the first half of the text."""
+    first = F.struct(F.col("ts"), F.col("text"))
+    later = F.struct(
+        (F.col("ts") + F.expr(f"INTERVAL {EDITED_AFTER}")).alias("ts"),
+        F.left("text", F.floor(F.char_length("text") / 2).cast("int")).alias("text"),
+    )
+    both = F.when(F.col("lang") == "fr", F.array(first, later)).otherwise(F.array(first))
+    rest = [name for name in posted.columns if name not in ("ts", "text")]
+    return posted.select(*rest, F.inline(both))
+
+
 def tweet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tweet_messages_of(posts(spark, sf_dir))
+
+
+def tweet_messages_of(posted: DataFrame) -> DataFrame:
     """The posts as JSON messages of the current API version."""
     tags = (
         F.when(F.col("lang") == "de", F.array().cast("array<struct<text:string>>"))
@@ -336,7 +358,7 @@ def tweet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("reply_count").alias("replyCount"),
         F.col("view_count").alias("viewCount"),
     )
-    return posts(spark, sf_dir).select(
+    return posted.select(
         F.to_json(F.struct(F.array(post).alias("tweets"))).alias("json"),
         F.col("ts").alias("kafka_ts"),
     )
