@@ -806,6 +806,12 @@ ORACLES["stream_ingest_tweets"] = f"""WITH {POSTS},
            least(greatest(CAST(trunc((polarity + 1) * CAST(4.5 AS DOUBLE)) AS INTEGER), 0), 9)
                AS sentiment_score
     FROM judged"""
+ORACLES["stream_decide_chained"] = decisions(
+    DAILY,
+    "date_trunc('day', ts)",
+    "INTERVAL 1 DAY",
+    "WHERE instant <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
+)
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

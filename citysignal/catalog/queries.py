@@ -976,6 +976,18 @@ def stream_decide(spark, sf_dir):
     return _decisions_out(made)
 
 
+@query("stream_decide_chained")
+def stream_decide_chained(spark, sf_dir):
+    """Both streams meet inside one streaming query, which emits the decisions themselves."""
+    rows = _event_stream(spark, sf_dir)
+    made = windows.stream_decisions(
+        V.positions_of(rows), V.moods_of(rows), _forecast(spark, sf_dir), V.DAY
+    )
+    out = scratch(spark, "decided")
+    windows.run_to_files(made, out, scratch(spark, "checkpoint"))
+    return _decisions_out(spark.read.parquet(out))
+
+
 @query("stream_late_data")
 def stream_late_data(spark, sf_dir):
     """Events arrive ``value`` minutes after they happened, in four deliveries.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citysignal import config as C
-from citysignal.operators import combine, sentiment, traffic
+from citysignal.operators import combine, sentiment, traffic, weather
 
 LATENESS = "10 minutes"
 NOT_BEGUN = "1970-01-01T00:00:00.000Z"
@@ -42,6 +42,76 @@ def stream_speeds(
     return traffic.speeds(ends, config)
 
 
+# Windows are reduced in this many parts by vehicle before they are put together.
+LANES = 64
+
+
+def stream_scores_with_targets(
+    moving: DataFrame, config: C.ScoringConfig = C.DEFAULT, lanes: int = LANES
+) -> DataFrame:
+    """``(window, vehicles, congested, traffic_score, targets)`` as chained aggregates of a stream.
+
+    Ranks need a sort that streams do not have, so each lane of vehicles keeps its slowest few, and a
+    window puts the lanes' few together: a group holds the congested vehicles of one lane.
+    """
+    slow = F.when(F.col("congested"), F.struct("speed_kmh", "first_ts", "vn"))
+    few = lambda listed: F.slice(F.array_sort(listed), 1, config.targets_per_decision)
+    lane = F.pmod(F.xxhash64("vn"), F.lit(lanes)).alias("lane")
+    by_lane = moving.groupBy("window", lane).agg(
+        F.count("*").alias("vehicles"),
+        F.count_if(F.col("congested")).alias("congested"),
+        few(F.collect_list(slow)).alias("few"),
+    )
+    whole = by_lane.groupBy("window").agg(
+        F.sum("vehicles").alias("vehicles"),
+        F.sum("congested").alias("congested"),
+        few(F.flatten(F.collect_list("few"))).alias("few"),
+    )
+    share = (F.col("congested") / F.col("vehicles")).cast("double")
+    return whole.select(
+        "window",
+        "vehicles",
+        "congested",
+        F.least(share, F.lit(1.0)).alias("traffic_score"),
+        F.transform("few", lambda t: t["vn"]).alias("targets"),
+    )
+
+
+def stream_decisions(
+    reports: DataFrame,
+    tweets: DataFrame,
+    forecast: DataFrame,
+    length: str | None = None,
+    lateness: str | None = LATENESS,
+    config: C.ScoringConfig = C.DEFAULT,
+    tz: str = "UTC",
+) -> DataFrame:
+    """Decisions of two streams in one query: vehicles by window, windows, and a full outer join.
+
+    A window is decided once the watermarks of both streams have passed it; one that only one of
+    them has rows for counts the other as zero. ``lateness=None`` says that the streams carry
+    watermarks already: set them before filters, then a stream whose rows are all filtered out
+    still lets time pass. ``forecast`` is a table with the latest row of each hour. Windows with a
+    forecast but neither vehicles nor messages are no rows of a stream; ``plans.decide_windows`` adds them
+    in batch.
+    """
+    if lateness:
+        reports, tweets = (rows.withWatermark("ts", lateness) for rows in (reports, tweets))
+    if length:
+        ends = traffic.sightings(reports, length)
+        negative = sentiment.negative_share(tweets, length)
+    else:
+        ends = traffic.sliding_sightings(reports, config.window, config.slide)
+        negative = sentiment.negative_share(tweets, config.window, config.slide)
+    driving = stream_scores_with_targets(traffic.speeds(ends, config), config)
+    joined = driving.select("window", "traffic_score", "targets").join(
+        negative.select("window", F.col("sentiment_ratio").alias("sentiment_score")), "window", "full"
+    )
+    instants = joined.select(F.col("window.end").alias("instant"), *joined.columns[1:])
+    weathered = weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
+    return combine.decide(combine.fill_signals(weathered), config, tz=tz)
+
+
 def decidable(
     moving: DataFrame, negative: DataFrame, until: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
