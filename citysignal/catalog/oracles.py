@@ -55,7 +55,7 @@ ARC = f"""{DEC},
     arc AS (
         SELECT decision_id, traffic_score, weather_score, sentiment_score, global_score,
                decision_result, {_RENDERED} AS target_locations, decision_time, display_time,
-               substr(decision_id, 1, 8) AS dt, substr(decision_id, 10, 2) AS hr, seq
+               campaign_type, substr(decision_id, 1, 8) AS dt, substr(decision_id, 10, 2) AS hr, seq
         FROM dec),
     arc_once AS (
         SELECT * FROM arc
@@ -337,10 +337,16 @@ def _histogram() -> str:
 
 
 def decisions(
-    vehicle_windows: str, message_window: str, length: str, final: str = "", alone: str = "[]"
+    vehicle_windows: str,
+    message_window: str,
+    length: str,
+    final: str = "",
+    alone: str = "[]",
+    feeds: str = "",
 ) -> str:
     """Decisions wherever any source has data; ``alone`` lists the ends within a forecast hour."""
-    return f"""WITH {EV}, {POS}, {ends("pos", vehicle_windows)}, {MOOD}, {SCORED_HOURS},
+    given = f"{EV}, {POS}, {ends('pos', vehicle_windows)}, {MOOD}, {SCORED_HOURS}"
+    return f"""WITH {feeds or given},
         placed_mood AS (SELECT bucket, {message_window} AS ws FROM mood),
         talk AS (SELECT ws, count(*) FILTER (WHERE bucket < 4) / count(*) AS sentiment_score
                  FROM placed_mood GROUP BY 1),
@@ -439,9 +445,13 @@ ORACLES: dict[str, str] = {
         f"SELECT '{name}' AS column_name, '{kind}' AS data_type,"
         f" {'true' if name in ('dt', 'hr', 'run') else 'false'} AS is_partition,"
         f" count({'*' if name == 'run' else name}) AS n_filled FROM arc_once"
-        for name, kind in {**_OVERVIEW_TYPES, "run": "string"}.items()
+        for name, kind in {**_OVERVIEW_TYPES, "campaign_type": "string", "run": "string"}.items()
     ),
     "archive_partitions": f"WITH {ARC} SELECT DISTINCT dt, hr FROM arc",
+    "archive_campaigns": _arc(
+        "decision_id, decision_result, target_locations, campaign_type, dt, hr", "arc_once"
+    )
+    + f" WHERE dt = '{Q.ARCHIVE_DAY}'",
     "archive_incremental": _arc(
         "decision_id, decision_result, dt, hr, round(global_score, 6) AS global_score", "arc_once"
     ),
@@ -812,6 +822,40 @@ ORACLES["stream_decide_chained"] = decisions(
     "INTERVAL 1 DAY",
     "WHERE instant <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)",
 )
+_READ_WEATHER = weather_score(
+    "coalesce(apparent_temp, temp_2m)",
+    "rain",
+    "snowfall",
+    "snow_depth",
+    "wind_speed",
+    "weather_code",
+    "CAST(substr(row_key, 10, 2) AS INTEGER)",
+)
+_FROM_MESSAGES = f"""{REPORTS},
+    drove AS (
+        SELECT vehicle_number AS vn, strptime(gps_time, {CLOCK}) AS ts, epoch_us(ts) AS seq, lat, lon
+        FROM reports WHERE vehicle_number IS NOT NULL AND lat IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY reports.ts DESC) = 1),
+    {ends("drove", DAILY)}, {POSTS}, {LEXICON},
+    mood AS (SELECT ts, sentiment_score AS bucket FROM posts JOIN buckets USING (tweet_id)),
+    {hours(V.WEATHER)},
+    received AS (
+        SELECT {_HOUR_KEY} AS row_key, seq, ts, {", ".join(parsed(schemas.WEATHER))} FROM keyed
+        WHERE {_HOUR_KEY} IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY seq DESC) = 1),
+    scored_hours AS (
+        SELECT row_key, ts, {_READ_WEATHER["weather_score"]} AS weather_score FROM received)"""
+ORACLES["end_to_end"] = f"""
+    SELECT * EXCLUDE (targets),
+           CASE WHEN targets = '' THEN '[]' ELSE '[' || chr(39)
+                || replace(targets, '|', chr(39) || ', ' || chr(39)) || chr(39) || ']' END AS target_locations
+    FROM ({decisions(
+        DAILY,
+        "date_trunc('day', ts)",
+        "INTERVAL 1 DAY",
+        alone="CASE WHEN hour(ts) = 0 THEN [date_trunc('day', ts)] ELSE [] END",
+        feeds=_FROM_MESSAGES,
+    )})"""
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

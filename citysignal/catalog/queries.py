@@ -13,7 +13,7 @@ from citysignal.catalog import views as V
 from citysignal.functions import decision, geo, keys, sentiment, text
 from citysignal.operators import combine, parse, search, state, store, traffic, weather
 from citysignal.operators import sentiment as mood
-from citysignal.plans import archive, reports
+from citysignal.plans import archive, feeds, reports
 from citysignal.plans.decisions import decide_windows, decision_plan
 from citysignal.session import configure, scratch
 from citysignal.sinks import layers, publish
@@ -180,6 +180,18 @@ def archive_partitions(spark, sf_dir):
     return archive.partitions(spark, _archive_table(spark, sf_dir))
 
 
+@query("archive_campaigns")
+def archive_campaigns(spark, sf_dir):
+    """The view's rows beside the campaigns that only the table keeps."""
+    table = _archive_table(spark, sf_dir)
+    archive.create_view(spark, f"{table}_view", table)
+    shown = spark.table(f"{table}_view").filter(F.col("dt") == ARCHIVE_DAY)
+    campaigns = spark.table(table).filter(F.col("dt") == ARCHIVE_DAY)
+    return shown.join(campaigns.select("decision_id", "campaign_type"), "decision_id").select(
+        "decision_id", "decision_result", "target_locations", "campaign_type", "dt", "hr"
+    )
+
+
 @query("archive_incremental")
 def archive_incremental(spark, sf_dir):
     """Three runs, the middle one repeated as after a timeout."""
@@ -190,7 +202,7 @@ def archive_incremental(spark, sf_dir):
     lost = scans.scan_range(rows, "20240110_000000", "20240119_123456", key="decision_id")
     latest = store.latest_per_key(lost, "decision_id", ["seq"])
     start = archive.high_water_mark(spark, f"{path}/_marks")
-    archive.append(archive.archive_rows(latest), path, start, hours=240)
+    archive.append(archive.archive_rows(latest, campaign=True), path, start, hours=240)
     archive.archive_increment(spark, rows, path, "20240120_123456")
     archive.archive_increment(spark, rows, path, "20240201_000000")
     return archive.read(spark, path).select(
@@ -714,6 +726,30 @@ def decide_sliding(spark, sf_dir):
     return _decisions_out(decision_plan(reports_, talk, _forecast(spark, sf_dir)))
 
 
+@query("end_to_end")
+def end_to_end(spark, sf_dir):
+    """Raw messages of three feeds, parsed, scored, stored, decided by day and archived."""
+    root = scratch(spark, "city")
+    feeds.store_feeds(
+        root,
+        vehicles=V.vehicle_messages(spark, sf_dir),
+        tweets=V.tweet_messages(spark, sf_dir),
+        weather=V.hourly_messages(spark, sf_dir, schemas.WEATHER, V.WEATHER),
+        lexicon=V.lexicon(spark),
+    )
+    made = feeds.decide_stored(spark, root, length=V.DAY)
+    archive.archive_increment(spark, made, f"{root}/archive", "20250101_000000")
+    return archive.read_base(spark, f"{root}/archive").select(
+        "decision_id",
+        *rounded(*schemas.SCORES),
+        "decision_result",
+        "campaign_type",
+        "target_locations",
+        "decision_time",
+        "display_time",
+    )
+
+
 @query("latest_state")
 def latest_state(spark, sf_dir):
     district = F.concat(F.lit("district_"), F.pmod("user_id", F.lit(V.DISTRICTS)).cast("string"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,9 +144,16 @@ def parse_hourly(
 
 
 def parse_tweets(
-    messages: DataFrame, *, ingested_at: str | Column | None = None, tz: str = "UTC"
+    messages: DataFrame,
+    *,
+    ingested_at: str | Column | None = None,
+    tz: str = "UTC",
+    keep: Sequence[Column] = (),
 ) -> DataFrame:
-    """One row per message post, keyed by arrival second and post id."""
+    """One row per message post, keyed by arrival second and post id.
+
+    ``keep`` adds columns made of the message, such as its arrival.
+    """
     body = F.from_json("json", schemas.TWEETS_JSON)
     posts = (
         messages.select(body["tweets"].alias("tweets"), "kafka_ts")
@@ -172,6 +179,7 @@ def parse_tweets(
         ),
         processed.alias("ingestion_timestamp"),
         processed.alias("analysis_timestamp"),
+        *keep,
     )
 
 

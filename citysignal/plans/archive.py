@@ -21,8 +21,11 @@ FIRST_KEY = "00000000_000000"
 HOURS_PER_TASK = 24
 
 
-def archive_rows(decisions: DataFrame) -> DataFrame:
-    """Decisions in the archive's nine columns plus its partition columns."""
+def archive_rows(decisions: DataFrame, campaign: bool = False) -> DataFrame:
+    """Decisions in the archive's nine columns plus its partition columns.
+
+    ``campaign`` adds the campaign, as the stored table has it.
+    """
     rendered = decisions
     if "target_locations" not in decisions.columns:
         rendered = decisions.select(
@@ -32,8 +35,9 @@ def archive_rows(decisions: DataFrame) -> DataFrame:
             text.quoted_list(F.col("targets")).alias("target_locations"),
             F.date_format("decision_time", keys.CLOCK_TIME).alias("decision_time"),
             F.date_format("display_time", keys.CLOCK_TIME).alias("display_time"),
+            *(name for name in ("campaign_type",) if name in decisions.columns),
         )
-    return with_partitions(scans.with_defaults(rendered))
+    return with_partitions(scans.with_defaults(rendered, campaign))
 
 
 def with_partitions(rows: DataFrame) -> DataFrame:
@@ -81,8 +85,13 @@ def _hours_covered(rows: DataFrame) -> int:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The archive without its run column; partition values stay strings."""
-    schema = f"{schemas.ARCHIVE_COLUMNS}, dt STRING, hr STRING, run STRING"
+    """The archive's nine columns, ``dt`` and ``hr``; partition values stay strings."""
+    return read_base(spark, path).drop("campaign_type")
+
+
+def read_base(spark: SparkSession, path: str) -> DataFrame:
+    """All stored columns but the run. Files of before campaigns were kept have none there."""
+    schema = f"{schemas.ARCHIVE_BASE_COLUMNS}, dt STRING, hr STRING, run STRING"
     return spark.read.schema(schema).parquet(path).drop("run")
 
 
@@ -113,7 +122,7 @@ def archive_increment(spark: SparkSession, decisions: DataFrame, path: str, stop
         whole = F.struct(*(c for c in fresh.columns if c != "decision_id"))
         fresh = fresh.groupBy("decision_id").agg(F.max(whole).alias("row"))
         fresh = fresh.select("decision_id", "row.*")
-    append(archive_rows(fresh), path, start, hours)
+    append(archive_rows(fresh, campaign=True), path, start, hours)
     spark.range(1).select(F.lit(start).alias("start"), F.lit(stop).alias("stop")).write.mode(
         "append"
     ).parquet(marks)
@@ -124,7 +133,7 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(
         f"""
         CREATE TABLE IF NOT EXISTS {name} (
-            {schemas.ARCHIVE_COLUMNS}, dt STRING, hr STRING, run STRING)
+            {schemas.ARCHIVE_BASE_COLUMNS}, dt STRING, hr STRING, run STRING)
         USING PARQUET
         PARTITIONED BY (dt, hr, run)
         LOCATION '{path}'
@@ -132,6 +141,13 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
     )
 
 
+def create_view(spark: SparkSession, name: str, table: str) -> None:
+    """The nine columns and partitions of the table; partition filters reach the files."""
+    columns = [column.split()[0] for column in schemas.ARCHIVE_COLUMNS.split(",")]
+    listed = ", ".join([*columns, *schemas.ARCHIVE_PARTITIONS])
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {table}")
+
+
 def refresh_partitions(spark: SparkSession, name: str) -> None:
     """Make folders that were added since visible to the table."""
     spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -99,6 +99,8 @@ ARCHIVE_COLUMNS = """
     sentiment_score DOUBLE, global_score DOUBLE, decision_result STRING,
     target_locations STRING, decision_time STRING, display_time STRING
 """
+# The stored table also keeps the campaign; the nine columns are a view of it.
+ARCHIVE_BASE_COLUMNS = f"{ARCHIVE_COLUMNS.rstrip()}, campaign_type STRING"
 ARCHIVE_PARTITIONS = ("dt", "hr")
 
 SCORES = ("traffic_score", "weather_score", "sentiment_score", "global_score")

@@ -58,8 +58,15 @@ def scan_limit(df: DataFrame, n: int, key: str = "row_key") -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
-def with_defaults(rows: DataFrame) -> DataFrame:
-    """Typed decision rows from a store of strings, gaps filled with the neutral value."""
+def with_defaults(rows: DataFrame, campaign: bool = False) -> DataFrame:
+    """Typed decision rows from a store of strings, gaps filled with the neutral value.
+
+    ``campaign`` adds ``campaign_type``, empty where the rows have none.
+    """
+    extra = []
+    if campaign:
+        known = F.col("campaign_type") if "campaign_type" in rows.columns else F.lit("")
+        extra = [F.coalesce(known.cast("string"), F.lit("")).alias("campaign_type")]
 
     def score(name: str) -> Column:
         return F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).alias(name)
@@ -74,6 +81,7 @@ def with_defaults(rows: DataFrame) -> DataFrame:
         text("target_locations", "[]"),
         text("decision_time", ""),
         text("display_time", ""),
+        *extra,
     )
 
 
