@@ -97,6 +97,14 @@ def test_awkward_texts(spark, monkeypatch):
     assert align.alignment(docs.limit(0), *paths).count() == 0
 
 
+def test_texts_are_cut_at_single_spaces():
+    texts = ["", "word", "a b c", "a  b", "ü b", "a b ", " a b", "a \t b c d", "x" * 50, "one two three four five six"]
+    for text in texts:
+        assert " ".join(align.parts_of(text, 2)) == text
+    assert align.parts_of("one two  three ü four five", 2) == ["one", "two  three ü four", "five"]
+    assert len(align.parts_of("a" * 3_000_000)) == 1
+
+
 def test_tasks_send_pairs_in_flushes(spark, monkeypatch):
     rows = [(i, [i % 7, 7 + i % 5], [1, 2]) for i in range(100)]
     stored = spark.createDataFrame(rows, "doc_id long, pairs array<bigint>, times array<int>").coalesce(1)
