@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citysignal import config as C
+from citysignal.operators import quantiles
 from citysignal.operators.joins import small_side
-from citysignal.operators.quantiles import exact_quantiles
 from citysignal.schemas import SCORES
+from citysignal.session import cut_lineage
 
 PARTS = SCORES[:3]
 QUARTILES = (0.25, 0.5, 0.75)
@@ -77,71 +78,68 @@ def summary_by_decision(archive: DataFrame) -> DataFrame:
 
 
 def describe_scores(archive: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of each score."""
+    """Count, mean, deviation, extremes and quartiles of each score; two scans."""
     rows = long_scores(archive)
-    base = rows.groupBy("score").agg(
-        F.count("x").alias("n"),
+    base = quantiles.sketched(
+        rows,
+        ["score"],
+        F.count("x").alias("n_filled"),
         F.avg("x").alias("mean"),
         F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
     )
-    return base.join(_quartiles(rows, ["score"]), "score")
+    quartiles = _pivoted(quantiles.exact_quantiles(rows, ["score"], QUARTILES, base), ["score"])
+    base = base.select("score", F.col("n_filled").alias("n"), "mean", "std", "min", "max")
+    return base.join(quartiles, "score")
 
 
-def _quartiles(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    quantiles = exact_quantiles(rows, keys, QUARTILES)
+def _pivoted(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     picked = [
         F.max(F.when(F.col("prob") == prob, F.col("quantile"))).alias(f"q{round(prob * 100)}")
         for prob in QUARTILES
     ]
-    return quantiles.groupBy(*keys).agg(*picked)
+    return found.groupBy(*keys).agg(*picked)
 
 
 def score_histogram(archive: DataFrame, bins: int = BINS) -> DataFrame:
-    """Equal-width bins between minimum and maximum; the last bin is closed.
+    """Equal-width bins between minimum and maximum; the last bin is closed. Two scans.
 
     Empty bins are listed, and each row repeats the mean and median of its score.
     A score with a single value gets one unit-wide range around it.
     """
-    rows = long_scores(archive)
-    base = rows.groupBy("score").agg(
-        F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean")
+    rows, keys = long_scores(archive), ["score"]
+    base = quantiles.sketched(
+        rows, keys, F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean")
     )
     flat = F.col("min") == F.col("max")
-    ranges = base.withColumn("lo", F.when(flat, F.col("min") - 0.5).otherwise(F.col("min")))
-    ranges = ranges.withColumn("hi", F.when(flat, F.col("max") + 0.5).otherwise(F.col("max")))
-    ranges = ranges.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(bins))
+    ranges = base.withColumn("left", F.when(flat, F.col("min") - 0.5).otherwise(F.col("min")))
+    ranges = ranges.withColumn("right", F.when(flat, F.col("max") + 0.5).otherwise(F.col("max")))
+    ranges = ranges.withColumn("width", (F.col("right") - F.col("left")) / F.lit(bins))
+    ranges = ranges.select("score", "left", "right", "width", "mean")
 
     def edge(i: Column) -> Column:
-        return F.col("lo") + i * F.col("width")
+        return F.col("left") + i * F.col("width")
 
     # Division may land one bin off where a value sits on an edge.
     guess = F.least(
-        F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1)
+        F.floor((F.col("x") - F.col("left")) / (F.col("right") - F.col("left")) * bins),
+        F.lit(bins - 1),
     )
     bin_ = (
-        F.when(F.col("x") < edge(F.col("guess")), F.col("guess") - 1)
-        .when(
-            (F.col("x") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1),
-            F.col("guess") + 1,
-        )
-        .otherwise(F.col("guess"))
-    )
-    # One row per score column, so the broadcast has a fixed size.
-    counted = (
-        rows.join(F.broadcast(ranges.select("score", "lo", "hi", "width")), "score")
-        .withColumn("guess", guess)
-        .groupBy("score", bin_.cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
+        F.when(F.col("x") < edge(guess), guess - 1)
+        .when((F.col("x") >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
+        .otherwise(guess)
     )
+    positions = cut_lineage(quantiles.positions_of(base, keys, [0.5]))
+    spans = quantiles.spans_of(positions, keys).join(ranges.drop("mean"), "score")
+    counts = quantiles.counted(rows, keys, spans, bin_of=bin_)
+    binned = counts.filter("span = 'bin'").select("score", F.col("side").alias("bin"), "n")
+    median = quantiles.picked(rows, keys, positions, counts.filter("span <> 'bin'"))
     every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    median = exact_quantiles(rows, ["score"], [0.5]).select(
-        "score", F.col("quantile").alias("median")
-    )
     return (
-        every.join(counted, ["score", "bin"], "left")
-        .join(median, "score")
+        every.join(binned, ["score", "bin"], "left")
+        .join(median.select("score", F.col("quantile").alias("median")), "score")
         .select(
             "score",
             "bin",
@@ -155,23 +153,70 @@ def score_histogram(archive: DataFrame, bins: int = BINS) -> DataFrame:
 
 
 def score_boxplot(archive: DataFrame) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers and outlier count per decision and score."""
+    """Quartiles, 1.5 IQR whiskers and outlier count per decision and score; two scans.
+
+    The spans that hold the quartiles also bound the fences, so values around a fence are
+    counted with the quartiles, before the fence itself is known.
+    """
     keys = ["decision_result", "score"]
     rows = long_scores(archive, keep=["decision_result"])
-    boxes = _quartiles(rows, keys)
+    positions = cut_lineage(quantiles.positions_of(quantiles.sketched(rows, keys), keys, QUARTILES))
+    around = positions.groupBy(*keys).agg(
+        *(
+            F.max(F.when(F.col("prob") == prob, F.col(side))).alias(f"{side}_{name}")
+            for prob, name in ((0.25, "q25"), (0.75, "q75"))
+            for side in ("low", "high")
+        )
+    )
+    least, most = (  # of the distance between the quartiles, one and a half times
+        F.lit(1.5) * (F.col(a) - F.col(b)) for a, b in (("low_q75", "high_q25"), ("high_q75", "low_q25"))
+    )
+    least = F.greatest(least, F.lit(0.0))
+    fences = around.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.lit("low").alias("span"), (F.col("low_q25") - most).alias("low"), (F.col("high_q25") - least).alias("high")),
+                F.struct(F.lit("high").alias("span"), (F.col("low_q75") + least).alias("low"), (F.col("high_q75") + most).alias("high")),
+            )
+        ),
+    )
+    counts = quantiles.counted(
+        rows, keys, quantiles.spans_of(positions, keys).unionByName(fences)
+    )
+    by_quartile = counts.filter(~F.col("span").isin("low", "high"))
+    boxes = _pivoted(quantiles.picked(rows, keys, positions, by_quartile), keys)
     reach = (F.col("q75") - F.col("q25")) * F.lit(1.5)
-    fences = boxes.withColumn("low_fence", F.col("q25") - reach).withColumn(
+    boxes = boxes.withColumn("low_fence", F.col("q25") - reach).withColumn(
         "high_fence", F.col("q75") + reach
     )
-    inside_low = F.col("x") >= F.col("low_fence")
-    inside_high = F.col("x") <= F.col("high_fence")
+    around_fences = counts.filter(F.col("span").isin("low", "high"))
+    held = boxes.join(fences.groupBy(*keys).agg(
+        *(F.max(F.when(F.col("span") == span, F.col(side))).alias(f"{span}_{side}") for span in ("low", "high") for side in ("low", "high"))
+    ), keys)
+    astray = held.filter(
+        ~(F.col("low_fence").between(F.col("low_low"), F.col("low_high")) & F.col("high_fence").between(F.col("high_low"), F.col("high_high")))
+    )
+    if not astray.isEmpty():
+        # A sketch was off by more than its bound: count around the fences themselves.
+        exact = boxes.select(*keys, F.inline(F.array(*(
+            F.struct(F.lit(span).alias("span"), F.col(f"{span}_fence").alias("low"), F.col(f"{span}_fence").alias("high"))
+            for span in ("low", "high")
+        ))))
+        around_fences = quantiles.counted(rows, keys, exact)
+    # Rows of a side lie between its least and greatest value; those inside a span are by value.
+    at_low = F.col("span") == "low"
+    in_low = at_low & ((F.col("side") == quantiles.ABOVE) | (F.col("value") >= F.col("low_fence")))
+    in_high = ~at_low & ((F.col("side") == quantiles.BELOW) | (F.col("value") <= F.col("high_fence")))
     spread = (
-        rows.join(small_side(fences), keys)
+        around_fences.join(small_side(boxes), keys)
         .groupBy(*keys, "q25", "q50", "q75")
         .agg(
-            F.min(F.when(inside_low, F.col("x"))).alias("low"),
-            F.max(F.when(inside_high, F.col("x"))).alias("high"),
-            F.count_if(~inside_low | ~inside_high).alias("outliers"),
+            F.min(F.when(in_low, F.col("least"))).alias("low"),
+            F.max(F.when(in_high, F.col("greatest"))).alias("high"),
+            F.coalesce(
+                F.sum(F.when(~F.coalesce(in_low | in_high, F.lit(False)), F.col("n"))), F.lit(0)
+            ).alias("outliers"),
         )
     )
     return spread.select(

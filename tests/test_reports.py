@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from citysignal.operators import quantiles
 from citysignal.operators.quantiles import exact_quantiles
@@ -175,3 +176,61 @@ def test_tops_and_overview(archive, frame):
     assert {r["decision_result"]: r["decisions"] for r in reports.decision_distribution(archive).collect()} == (
         frame.decision_result.value_counts().to_dict()
     )
+
+
+@pytest.fixture
+def scans(spark):
+    """A frame whose rows count themselves each time they are read."""
+    counter = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def read(x):
+        counter.add(1)
+        return x
+
+    def counting(df):
+        return df.withColumn("traffic_score", read.asNondeterministic()("traffic_score"))
+
+    return counting, counter
+
+
+@pytest.mark.parametrize("report", [reports.describe_scores, reports.score_histogram, reports.score_boxplot])
+def test_quantile_reports_scan_twice(spark, scans, report):
+    counting, counter = scans
+    rows = spark.range(0, 20_000, numPartitions=3).select(
+        F.col("id").cast("string").alias("decision_id"),
+        F.when(F.col("id") % 3 == 0, "SHOW_AD").otherwise("NO_AD").alias("decision_result"),
+        *[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(100_003)) / 100_003).alias(s) for i, s in enumerate(reports.SCORES)],
+    )
+    stored = rows.cache()
+    want = sorted(map(tuple, report(stored).collect()), key=repr)
+    before = counter.value
+    got = sorted(map(tuple, report(counting(stored)).collect()), key=repr)
+    assert counter.value - before == 2 * stored.count() and got == want
+    pdf = stored.toPandas()
+    if report is reports.score_boxplot:
+        by = {(r[0], r[1]): r for r in got}
+        for (result, score), row in by.items():
+            xs = pdf[pdf.decision_result == result][score]
+            q1, q2, q3 = np.quantile(xs, [0.25, 0.5, 0.75])
+            inside = xs[(xs >= q1 - 1.5 * (q3 - q1)) & (xs <= q3 + 1.5 * (q3 - q1))]
+            assert row[2:7] == pytest.approx((q1, q2, q3, inside.min(), inside.max()))
+            assert row[7] == len(xs) - len(inside)
+    stored.unpersist()
+
+
+def test_ranks_outside_their_span_are_found_in_the_rows(spark, monkeypatch):
+    """Also with sketches that bound nothing."""
+    monkeypatch.setattr(quantiles, "SKETCH_K", 8)
+    monkeypatch.setattr(quantiles, "SLACK", -0.2)
+    df = spark.range(5000).select(F.lit("g").alias("g"), F.pmod(F.xxhash64("id"), F.lit(977)).cast("double").alias("x"))
+    want = df.toPandas().x.quantile([0.1, 0.5, 0.93])
+    got = found(exact_quantiles(df, ["g"], [0.1, 0.5, 0.93]))
+    assert [got["g", p] for p in (0.1, 0.5, 0.93)] == pytest.approx(list(want))
+
+
+def test_whiskers_with_outliers(spark):
+    xs = [0.0, 1.0, *[10 + i / 10 for i in range(40)], 30.0, 31.0]
+    rows = spark.createDataFrame([("A", *[x] * 4) for x in xs], "decision_result STRING, " + ", ".join(f"{s} DOUBLE" for s in reports.SCORES))
+    row = reports.score_boxplot(rows).first()
+    assert (row.whisker_low, row.whisker_high, row.outliers) == (10.0, 13.9, 4)
