@@ -856,6 +856,19 @@ ORACLES["end_to_end"] = f"""
         alone="CASE WHEN hour(ts) = 0 THEN [date_trunc('day', ts)] ELSE [] END",
         feeds=_FROM_MESSAGES,
     )})"""
+# Partials come from the archive, which holds every decision once.
+_ONCE_FROM = {
+    "partial_distribution": "decision_distribution",
+    "partial_show_rate": "show_rate",
+    "partial_daily_show_rate": "daily_show_rate",
+    "partial_rush_vs_offpeak": "rush_vs_offpeak",
+    "partial_summary": "summary_by_decision",
+    "partial_correlation": "score_correlation",
+}
+for _name, _of in _ONCE_FROM.items():
+    ORACLES[_name] = f"WITH {ARC} " + ORACLES[_of].removeprefix(f"WITH {ARC}").replace(
+        "FROM arc", "FROM arc_once"
+    )
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

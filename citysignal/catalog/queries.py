@@ -13,7 +13,7 @@ from citysignal.catalog import views as V
 from citysignal.functions import decision, geo, keys, sentiment, text
 from citysignal.operators import combine, parse, search, state, store, traffic, weather
 from citysignal.operators import sentiment as mood
-from citysignal.plans import archive, feeds, reports
+from citysignal.plans import archive, feeds, partials, reports
 from citysignal.plans.decisions import decide_windows, decision_plan
 from citysignal.session import configure, scratch
 from citysignal.sinks import layers, publish
@@ -824,6 +824,58 @@ def corr_with_global(spark, sf_dir):
     return reports.corr_with_global(V.archive_view(spark, sf_dir)).select("score", *rounded("corr"))
 
 
+_PARTIALS: dict[tuple[str, str], str] = {}
+STOPS = ("20240110_000000", "20240120_123456", "20240201_000000")
+
+
+def _partials(spark, sf_dir) -> DataFrame:
+    """Partials kept by three archive runs, once per session and input."""
+    configure(spark)
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _PARTIALS:
+        path = scratch(spark, "partials")
+        rows = V.decisions(spark, sf_dir)
+        for stop in STOPS:
+            partials.archive_increment(spark, rows, f"{path}/archive", f"{path}/hours", stop)
+        _PARTIALS[place] = f"{path}/hours"
+    return partials.read(spark, _PARTIALS[place])
+
+
+@query("partial_distribution")
+def partial_distribution(spark, sf_dir):
+    rows = partials.decision_distribution(_partials(spark, sf_dir))
+    return rows.select("decision_result", "decisions", *averaged("avg_score"))
+
+
+@query("partial_show_rate")
+def partial_show_rate(spark, sf_dir):
+    return partials.show_rate(_partials(spark, sf_dir)).select("total", *rounded("show_rate_pct"))
+
+
+@query("partial_daily_show_rate")
+def partial_daily_show_rate(spark, sf_dir):
+    return partials.daily_show_rate(_partials(spark, sf_dir))
+
+
+@query("partial_rush_vs_offpeak")
+def partial_rush_vs_offpeak(spark, sf_dir):
+    rows = partials.rush_vs_offpeak(_partials(spark, sf_dir))
+    return rows.select("period", *averaged("avg_traffic", "avg_weather", "avg_global"))
+
+
+@query("partial_summary")
+def partial_summary(spark, sf_dir):
+    rows = partials.summary_by_decision(_partials(spark, sf_dir))
+    numbers = [f"{kind}_{score}" for score in schemas.SCORES for kind in ("avg", "std")]
+    return rows.select("decision_result", "decisions", *averaged("pct", *numbers))
+
+
+@query("partial_correlation")
+def partial_correlation(spark, sf_dir):
+    rows = partials.score_correlation(_partials(spark, sf_dir))
+    return rows.select("score_a", "score_b", *rounded("corr"))
+
+
 @query("scatter_pairs")
 def scatter_pairs(spark, sf_dir):
     rows = reports.scatter_pairs(V.archive_view(spark, sf_dir))
