@@ -869,6 +869,13 @@ for _name, _of in _ONCE_FROM.items():
     ORACLES[_name] = f"WITH {ARC} " + ORACLES[_of].removeprefix(f"WITH {ARC}").replace(
         "FROM arc", "FROM arc_once"
     )
+ORACLES["archive_reconciled"] = ORACLES["archive_incremental"]
+ORACLES["stream_latest_state"] = ORACLES["latest_state"]
+ORACLES["stream_once"] = f"""WITH {REPORTS}
+    SELECT strftime(min(ts), {SECOND}) || '_' || vehicle_number AS row_key, vehicle_number, gps_time,
+           lat, lon
+    FROM reports WHERE vehicle_number IS NOT NULL AND lat IS NOT NULL
+    GROUP BY lines, vehicle_number, brigade, gps_time, lat, lon"""
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

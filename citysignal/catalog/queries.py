@@ -210,6 +210,24 @@ def archive_incremental(spark, sf_dir):
     )
 
 
+@query("archive_reconciled")
+def archive_reconciled(spark, sf_dir):
+    """Decisions that come behind the mark, and others that were archived in another state, are mended."""
+    path = scratch(spark, "archive-rec")
+    rows = V.decisions(spark, sf_dir)
+    late = F.pmod("seq", F.lit(10)) == 3
+    wrong = F.pmod("seq", F.lit(50)) == 7
+    known = rows.filter(~late).withColumn(
+        "global_score", F.when(wrong, F.lit(0.0)).otherwise(F.col("global_score"))
+    )
+    archive.archive_increment(spark, known, path, "20240115_000000")
+    archive.archive_increment(spark, known, path, "20240201_000000")
+    archive.reconcile(spark, rows, path)
+    return archive.read(spark, path).select(
+        "decision_id", "decision_result", "dt", "hr", *rounded("global_score")
+    )
+
+
 # --- Stores and sinks ---------------------------------------------------------
 
 
@@ -752,9 +770,12 @@ def end_to_end(spark, sf_dir):
 
 @query("latest_state")
 def latest_state(spark, sf_dir):
+    return state.latest_state(_district_decisions(spark, sf_dir), order=["decision_id", "seq"])
+
+
+def _district_decisions(spark, sf_dir) -> DataFrame:
     district = F.concat(F.lit("district_"), F.pmod("user_id", F.lit(V.DISTRICTS)).cast("string"))
-    rows = V.decisions(spark, sf_dir).withColumn("area", district)
-    return state.latest_state(rows, order=["decision_id", "seq"])
+    return V.decisions(spark, sf_dir).withColumn("area", district)
 
 
 # --- Reports ------------------------------------------------------------------
@@ -959,6 +980,49 @@ def stream_replay_idempotent(spark, sf_dir):
     )
 
 
+REDELIVERED_AFTER = "1 hour"
+
+
+@query("stream_once")
+def stream_once(spark, sf_dir):
+    """The feed is delivered twice, under keys cut from the time of processing: one row a report."""
+    inbox, checkpoint = scratch(spark, "inbox"), scratch(spark, "checkpoint")
+    table = store.KeyedTable(spark, scratch(spark, "vehicles"))
+    records = V.vehicle_records(V.events(spark, sf_dir))
+    later = (F.col("timestamp") + F.expr(f"INTERVAL {REDELIVERED_AFTER}")).alias("timestamp")
+    for delivery in (records, records.select("value", later)):
+        delivery.write.mode("append").parquet(inbox)
+        messages = envelopes.read_envelopes(spark, inbox, format="parquet")
+        rows = parse.parse_vehicles(
+            messages, "bus", event_time="processing", ingested_at=F.col("kafka_ts")
+        )
+        good, _ = parse.quarantine_vehicles(rows)
+        timed = good.withColumn("at", F.try_to_timestamp("gps_time", F.lit(keys.CLOCK_TIME)))
+        reported = ["lines", "vehicle_number", "brigade", "at", "lat", "lon"]
+        first = ingest.once(timed, reported, "at")
+        first = first.withColumn("seq", F.unix_micros("ingestion_timestamp"))
+        ingest.ingest_all(first, table, checkpoint)
+    return table.log().select("row_key", "vehicle_number", "gps_time", "lat", "lon")
+
+
+@query("stream_latest_state")
+def stream_latest_state(spark, sf_dir):
+    """The serving record kept by a stream whose deliveries come newest first."""
+    rows = _district_decisions(spark, sf_dir).select(
+        "area", "decision_id", *schemas.SCORES, "decision_result", "seq"
+    )
+    inbox, checkpoint = scratch(spark, "inbox"), scratch(spark, "checkpoint")
+    table = store.KeyedTable(
+        spark, scratch(spark, "state"), "area", ["decision_id", "seq"], source_order=True
+    )
+    early = F.col("decision_id") < RANGE[1]
+    for delivery in (rows.filter(~early), rows.filter(early)):
+        delivery.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        ingest.keep_latest(stream, table, checkpoint, every=None).awaitTermination()
+    return state.served(table.latest())
+
+
 @query("stream_shared_table")
 def stream_shared_table(spark, sf_dir):
     """Two feeds write one table; one of them restarts on a fresh checkpoint."""

@@ -24,7 +24,11 @@ def latest_state(
     decisions: DataFrame, area: str = "area", order: Sequence[str] = ("decision_id",)
 ) -> DataFrame:
     """Congestion, weather and sentiment level and the decision of each area."""
-    newest = latest_per_key(decisions, area, order)
+    return served(latest_per_key(decisions, area, order), area)
+
+
+def served(newest: DataFrame, area: str = "area") -> DataFrame:
+    """The record of each area from its latest decision."""
     return newest.select(
         area,
         "decision_id",

@@ -6,7 +6,10 @@ A table is a folder of change batches::
 
 ``dt`` is the date the keys start with, so key ranges prune days. Several writers can feed
 one table: batch ids count per writer, and every row carries the time of its write. The last
-write of a key wins, as in a key-value store; within a write the order columns decide.
+write of a key wins, as in a key-value store; within a write the order columns decide. With
+``source_order`` the order columns decide first, whoever wrote when: give them the source's own time or
+offset, and neither a slow clock nor a replay of old batches can bring back an older row. The
+time of the write is then a tie-break.
 Compaction is a plain job: it writes the current rows into a new table that the caller
 names, after which the old folder can be removed.
 """
@@ -79,8 +82,14 @@ class KeyedTable:
     """Upserts, reads and compaction of one table with time-ordered keys."""
 
     def __init__(
-        self, spark: SparkSession, path: str, key: str = "row_key", order: Sequence[str] = ("seq",)
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str = "row_key",
+        order: Sequence[str] = ("seq",),
+        source_order: bool = False,
     ):
+        self.source_order = source_order
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
@@ -125,6 +134,8 @@ class KeyedTable:
     def _newest(self, rows: DataFrame) -> DataFrame:
         """Last row of every key with the time of its write."""
         rows = rows.drop("writer", "batch_id", "dt")
+        if self.source_order:
+            return latest_per_key(rows, self.key, [*self.order, "written_at"])
         if len(self.order) == 1 and isinstance(rows.schema[self.order[0]].dataType, T.IntegralType):
             rank = packed.pack(F.col("written_at"), F.col(self.order[0]))
             ranked = rows.withColumn("write_order", rank)
@@ -151,7 +162,7 @@ class KeyedTable:
         interrupted compaction leaves the old table as it was; use another path for the
         next attempt.
         """
-        fresh = KeyedTable(self.spark, path, self.key, self.order)
+        fresh = KeyedTable(self.spark, path, self.key, self.order, self.source_order)
         (
             self._dated(self._newest(self.changes()))
             .repartitionByRange("dt", self.key)

@@ -116,18 +116,75 @@ def archive_increment(spark: SparkSession, decisions: DataFrame, path: str, stop
     start = high_water_mark(spark, marks)
     fresh = scans.scan_range(decisions, start, stop, key="decision_id")
     hours = _hours_covered(fresh)
-    if "seq" in fresh.columns:
-        fresh = latest_per_key(fresh, "decision_id", ["seq"])
-    else:
-        whole = F.struct(*(c for c in fresh.columns if c != "decision_id"))
-        fresh = fresh.groupBy("decision_id").agg(F.max(whole).alias("row"))
-        fresh = fresh.select("decision_id", "row.*")
-    append(archive_rows(fresh, campaign=True), path, start, hours)
+    append(archive_rows(current_rows(fresh), campaign=True), path, start, hours)
     spark.range(1).select(F.lit(start).alias("start"), F.lit(stop).alias("stop")).write.mode(
         "append"
     ).parquet(marks)
 
 
+def hour_digests(rows: DataFrame) -> DataFrame:
+    """Number of rows and an order-free digest of every ``(dt, hr)``."""
+    columns = [column.split()[0] for column in schemas.ARCHIVE_BASE_COLUMNS.split(",")]
+    # Nulls are hashed as marks of their own: a hash skips plain nulls.
+    each = F.xxhash64(*[F.struct(F.col(c), F.col(c).isNull().alias("none")) for c in columns])
+    return rows.groupBy(*schemas.ARCHIVE_PARTITIONS).agg(
+        F.count("*").alias("n"),
+        F.bit_xor(each).alias("mixed"),
+        F.sum(each.bitwiseAND(F.lit(0xFFFFFFFF))).alias("summed"),
+    )
+
+
+def current_rows(decisions: DataFrame) -> DataFrame:
+    """One row a decision: by the rows' ``seq`` column where they have one, else the greatest."""
+    if "seq" in decisions.columns:
+        return latest_per_key(decisions, "decision_id", ["seq"])
+    whole = F.struct(*(c for c in decisions.columns if c != "decision_id"))
+    newest = decisions.groupBy("decision_id").agg(F.max(whole).alias("row"))
+    return newest.select("decision_id", "row.*")
+
+
+def reconcile(spark: SparkSession, decisions: DataFrame, path: str) -> list[tuple[str, str]]:
+    """Bring archived hours up to date with late and corrected decisions.
+
+    Decisions that came behind the mark, or changed since their hour was archived, show in the
+    hour's count or digest, which both sides work out in parallel; only hours that differ
+    are written again. Returns those hours.
+
+    A rewritten hour is one run; its older runs are emptied after it is in place. A reconciliation that
+    fails between the two leaves hours that differ, so the next one repairs them.
+    """
+    done = high_water_mark(spark, f"{path}/_marks")
+    behind = scans.scan_range(decisions, FIRST_KEY, done, key="decision_id")
+    wanted = archive_rows(current_rows(behind), campaign=True)
+    by = list(schemas.ARCHIVE_PARTITIONS)
+    kept = hour_digests(read_base(spark, path)).withColumnsRenamed(
+        {name: f"{name}_kept" for name in ("n", "mixed", "summed")}
+    )
+    same = F.lit(True)
+    for name in ("n", "mixed", "summed"):
+        same = same & F.col(name).eqNullSafe(F.col(f"{name}_kept"))
+    differing = hour_digests(wanted).join(kept, by, "full").filter(~same).select(*by)
+    hours = sorted((row.dt, row.hr) for row in differing.collect())
+    if not hours:
+        return []
+    slots = [f"{dt}_{hr}" for dt, hr in hours]
+    slot = F.concat_ws("_", *by)
+    days = sorted({dt for dt, _ in hours})
+    chosen = F.col("dt").isin(days) & slot.isin(slots)
+    schema = f"{schemas.ARCHIVE_BASE_COLUMNS}, dt STRING, hr STRING, run STRING"
+    stale = spark.read.schema(schema).parquet(path).filter(chosen).select(*by, "run").distinct()
+    stale = [(row.dt, row.hr, row.run) for row in stale.collect()]
+    # A name that no run of the hours has.
+    numbers = [int(run[1:]) for *_, run in stale if run.startswith("r") and run[1:].isdigit()]
+    fresh = f"r{max(numbers, default=0) + 1}"
+    append(wanted.filter(chosen), path, fresh, len(hours))
+    columns = schemas.ARCHIVE_BASE_COLUMNS
+    nothing = spark.createDataFrame([], columns)
+    for dt, hr, run in stale:
+        nothing.write.mode("overwrite").parquet(f"{path}/dt={dt}/hr={hr}/run={run}")
+    return hours
+
+
 def create_table(spark: SparkSession, name: str, path: str) -> None:
     """External table over the archive folder."""
     spark.sql(

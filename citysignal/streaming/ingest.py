@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citysignal.operators.store import KeyedTable
@@ -16,6 +17,43 @@ def writer_of(checkpoint: str) -> str:
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
+def once(rows: DataFrame, identity: Sequence[str], ts: str, lateness: str = "1 day") -> DataFrame:
+    """The first delivery of every row of a stream.
+
+    For keys cut from the time of processing: a message that is delivered again would get another
+    key. Rows with the same ``identity`` count as one. State is kept for ``lateness`` behind
+    the newest ``ts``, the time the row speaks of; what is older is late, and dropped whether it
+    was seen or not. ``ts`` must be the same in every delivery.
+    """
+    return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(identity))
+
+
+def keep_latest(
+    rows: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    *,
+    every: str | None = "30 seconds",
+) -> StreamingQuery:
+    """Keep the last row of every key of ``table`` up to date, by the table's order columns.
+
+    State holds one row a key. Each batch emits the keys that changed (update mode) and merges them
+    into the table; rows that come out of order change nothing.
+    """
+    rest = [name for name in rows.columns if name != table.key]
+    order = F.struct(*table.order)
+    newest = rows.groupBy(table.key).agg(F.max_by(F.struct(*rest), order).alias("newest"))
+    started = (
+        newest.select(table.key, "newest.*")
+        .writeStream.foreachBatch(batch_writer(table, writer_of(checkpoint)))
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+    )
+    if every is None:
+        return started.trigger(availableNow=True).start()
+    return started.trigger(processingTime=every).start()
+
+
 def batch_writer(table: KeyedTable, writer: str = "main") -> Callable[[DataFrame, int], None]:
     """Upsert of a micro-batch. Executors write; nothing is brought to the driver.
 
