@@ -4,8 +4,8 @@ Words and pairs of neighbouring words fall into ``BUCKETS`` hash buckets. Two
 multinomials over the buckets are counted from all documents: the corpus, and the
 trusted target in it. A document's score is the mean over its n-grams of the log ratio
 of the two. Counted by rows, copies without labels move their text away from the target;
-counted ``by_text``, a text counts once however many copies it has, and is trusted if any
-copy is. Ratios are kept as whole millionths, so a score never depends on the order of
+counted ``by_text``, as the query and the pipeline do, a text counts once however many copies it has,
+and is trusted if any copy is. Ratios are kept as whole millionths, so a score never depends on the order of
 summing, and every document is decided by the same fixed threshold.
 
 Nulls, empty texts and texts without words have no n-grams: their score is 0 and the base

@@ -109,6 +109,16 @@ def test_base_scores_match_brute_force_and_the_model_beats_them(spark, texts):
     assert len(found) == len(texts)
 
 
+def test_small_tables_are_scored(spark):
+    """Tables without a word of several customers, or without any word to learn from."""
+    kind = "doc_id long, text string"
+    for rows in ([(1, "a b")], [(1, None)], [(1, "word"), (2, None), (3, "")], [(i, f"w{i}") for i in range(30)]):
+        docs = spark.createDataFrame(rows, kind)
+        for held_out in (F.lit(False), F.lit(True)):
+            got = lm.score(docs, held_out).collect()
+            assert len(got) == len(rows) and all(r.score <= 0 and math.isfinite(r.score) for r in got)
+
+
 def test_model_is_a_probability(spark):
     """Over all words, known or not, the probabilities after a context sum to 1."""
     rows = [(i, "a b a c", False) for i in range(3)] + [(9, "b b", False)]
@@ -321,10 +331,12 @@ def test_quality_rules_match_brute_force(spark, texts):
 
     by_doc = {i: grams(t) for i, t in texts.items()}
     raw, target = collections.Counter(), collections.Counter()
-    for i, g in by_doc.items():
-        raw.update(g)
-        if i in good:
-            target.update(g)
+    # Each distinct text once; trusted if any of its copies is.
+    trusted_texts = {texts[i] for i in good}
+    for text in set(texts):
+        raw.update(grams(text))
+        if text in trusted_texts:
+            target.update(grams(text))
     a = sum(raw.values()) + likelihood.BUCKETS
     b = sum(target.values()) + likelihood.BUCKETS
     for r in found.itertuples():
@@ -338,7 +350,7 @@ def test_quality_rules_match_brute_force(spark, texts):
             assert r.kept == (not failed and mean * 1e6 >= likelihood.THRESHOLD)
 
 
-def test_copies_of_clean_texts_are_kept(spark):
+def test_copies_of_clean_texts_are_kept(spark, tmp_path):
     """Copies without labels, or with one label among them, leave the pipeline's verdicts as they were."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
@@ -348,6 +360,10 @@ def test_copies_of_clean_texts_are_kept(spark):
     many = docs.unionByName(hot)
     left = corpus_pipeline.quality_rules(spark, many, SF)
     assert left.where("doc_id >= 10000").count() == 300 and left.count() == kept.count() + 300
+    for name, table in (("documents", many), ("labels", spark.read.parquet(f"{SF}/labels.parquet"))):
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    judged = QUERIES["op5_likelihood_rules"](spark, str(tmp_path))
+    assert judged.where("doc_id >= 10000 and kept").count() == 300
     one, copy = (spark.createDataFrame([(i,)], "doc_id long") for i in (clean.doc_id, 10_007))
     ratio = likelihood.weights(docs, good.union(one), by_text=True)
     assert likelihood.weights(many, good.union(copy), by_text=True) == ratio != likelihood.weights(docs, good, by_text=True)
@@ -561,11 +577,14 @@ def test_pipeline_stages_act(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     verdicts = QUERIES["op5_likelihood_rules"](spark, SF)
     counts, stage_docs = [], docs
+    kept = {r.doc_id for r in verdicts.where("kept").collect()}
+    first = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert {r.doc_id for r in first.collect()} == kept
     for name, stage in corpus_pipeline.STAGES[:-1]:
         stage_docs = stage(spark, stage_docs, SF).cache()
         assert stage_docs.columns == docs.columns, name
         counts.append(stage_docs.count())
-    assert counts[0] == verdicts.where("kept").count() > 0
+    assert counts[0] == len(kept) > 0
     assert counts[1] < counts[0] and counts[2] <= counts[1] and counts[3] == counts[2]
     left = jaccard.grouped(stage_docs.select("doc_id", "text"))
     assert left.where("doc_id <> component_id").count() <= 1
