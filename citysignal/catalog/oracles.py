@@ -876,6 +876,18 @@ ORACLES["stream_once"] = f"""WITH {REPORTS}
            lat, lon
     FROM reports WHERE vehicle_number IS NOT NULL AND lat IS NOT NULL
     GROUP BY lines, vehicle_number, brigade, gps_time, lat, lon"""
+_ITEM_WORDS = "regexp_extract_all(lower(text), '\\p{L}+(?:''\\p{L}+)*')"
+ORACLES["filter_keyword_table"] = f"""WITH {POSTS},
+    items AS (SELECT {_ITEM_WORDS} AS w FROM benchmark),
+    listed AS (
+        SELECT DISTINCT unnest([array_to_string(w[1:1], ' '), array_to_string(w[2:3], ' '),
+                                array_to_string(w[4:6], ' ')]) AS keyword FROM items)
+    SELECT tweet_id, lang, string_agg(keyword, '|' ORDER BY keyword) AS keywords
+    FROM posts JOIN listed
+         ON keyword <> '' AND contains(lower(text), keyword)
+            AND regexp_matches(lower(text), '(^|{_BOUND})' || regexp_escape(keyword) || '($|{_BOUND})')
+    GROUP BY tweet_id, lang"""
+ORACLES["filter_geo_cells"] = ORACLES["filter_geo_radius"]
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]
 ORACLES["stream_ingest_weather"] = ORACLES["forecast_latest"]

@@ -11,7 +11,7 @@ from citysignal import config as C
 from citysignal import schemas
 from citysignal.catalog import views as V
 from citysignal.functions import decision, geo, keys, sentiment, text
-from citysignal.operators import combine, parse, search, state, store, traffic, weather
+from citysignal.operators import cells, combine, parse, search, state, store, traffic, weather
 from citysignal.operators import sentiment as mood
 from citysignal.plans import archive, feeds, partials, reports
 from citysignal.plans.decisions import decide_windows, decision_plan
@@ -82,21 +82,32 @@ def scan_key_range(spark, sf_dir):
 
 @query("get_by_key")
 def get_by_key(spark, sf_dir):
-    changes = V.forecast(spark, sf_dir)
-    hour = scans.get_row(changes, POINT)
-    return store.latest_per_key(hour, "row_key", ["seq"]).select(
+    return _stored(spark, sf_dir, "forecast", V.forecast, "row_key").get(POINT).select(
         "row_key", *rounded("temp_2m", "wind_speed"), "weather_code", "seq"
     )
 
 
 @query("scan_limit")
 def scan_limit(spark, sf_dir):
-    current = store.latest_per_key(V.decisions(spark, sf_dir), "decision_id", ["seq"])
-    return scans.scan_limit(current, 5, key="decision_id").select(
+    return _stored(spark, sf_dir, "decisions", V.decisions, "decision_id").head(5).select(
         "decision_id", "decision_result", *rounded("global_score")
     )
 
 
+_TABLES: dict[tuple[str, str, str], store.KeyedTable] = {}
+
+
+def _stored(spark, sf_dir, name, rows, key) -> store.KeyedTable:
+    """A keyed table, written once per session and input."""
+    configure(spark)
+    place = (spark.sparkContext.applicationId, sf_dir, name)
+    if place not in _TABLES:
+        table = store.KeyedTable(spark, scratch(spark, name), key, ["seq"])
+        table.upsert(rows(spark, sf_dir), 0)
+        _TABLES[place] = table
+    return _TABLES[place]
+
+
 @query("load_recent")
 def load_recent(spark, sf_dir):
     stored = archive.read(spark, _archive_path(spark, sf_dir)).withColumns(
@@ -495,6 +506,29 @@ def filter_keywords(spark, sf_dir):
     return search.with_keywords(V.posts(spark, sf_dir), V.KEYWORDS).select("tweet_id", "lang")
 
 
+def _keyword_table(spark, sf_dir) -> DataFrame:
+    """Words and phrases from the benchmark's texts: the first word, words 2-3, words 4-6."""
+    words = sentiment.words(F.col("text"))
+    cut = [F.array_join(F.slice(words, start, size), " ") for start, size in ((1, 1), (2, 2), (4, 3))]
+    listed = V.table(spark, sf_dir, "benchmark").select(F.explode(F.array(*cut)).alias("keyword"))
+    return listed.filter("keyword <> ''").distinct()
+
+
+@query("filter_keyword_table")
+def filter_keyword_table(spark, sf_dir):
+    posts = V.posts(spark, sf_dir)
+    found = search.with_keyword_table(posts, _keyword_table(spark, sf_dir))
+    return found.select("tweet_id", "lang", F.array_join("keywords", "|").alias("keywords"))
+
+
+@query("filter_geo_cells")
+def filter_geo_cells(spark, sf_dir):
+    """The radius over positions that are stored in the order of their cells."""
+    path = scratch(spark, "cells")
+    cells.write(V.positions(spark, sf_dir), path)
+    return cells.within_radius(spark.read.parquet(path)).select("seq", "vn", "lat", "lon")
+
+
 @query("filter_geo_radius")
 def filter_geo_radius(spark, sf_dir):
     near = search.within_radius(V.positions(spark, sf_dir))

@@ -22,6 +22,22 @@ def mentions_any(text: Column, keywords: Iterable[str]) -> Column:
     return F.lower(text).rlike(keyword_pattern(keywords))
 
 
+WORD = r"[\p{L}\p{N}]+"
+
+
+def search_words(text: Column) -> Column:
+    """Runs of letters and digits in lower case, as keywords are bounded by."""
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
+
+
+def mentions(text: Column, keyword: Column) -> Column:
+    """``mentions_any`` for a keyword from a column."""
+    quoted = F.replace(F.lower(keyword), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    edge = r"[^\p{L}\p{N}]"
+    pattern = F.concat(F.lit(rf"(^|{edge})\Q"), quoted, F.lit(rf"\E($|{edge})"))
+    return F.rlike(F.lower(text), pattern)
+
+
 def joined_hashtags(tags: Column, prefix: str = "") -> Column:
     """Comma-joined texts of a hashtag array, empty string for none.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from citysignal import config as C
 from citysignal.functions import geo
 from citysignal.functions import text as text_functions
+from citysignal.operators.joins import SMALL_ROWS
 
 
 def with_keywords(
@@ -18,6 +19,41 @@ def with_keywords(
     return posts.filter(text_functions.mentions_any(F.col(text), keywords))
 
 
+def with_keyword_table(
+    posts: DataFrame,
+    keywords: DataFrame,
+    text: str = "text",
+    broadcast_words: int = SMALL_ROWS,
+) -> DataFrame:
+    """Posts that mention at least one of a table of keywords, with the sorted ``keywords`` they mention.
+
+    ``keywords`` has words and phrases in a column ``keyword``, as many as wanted; they match like those of
+    ``with_keywords``. Texts meet keywords by the keyword's first word, and only keywords
+    that meet a text are tested on it. Keywords without a letter or digit are left out.
+    A text's digest stands for it in between, so repeated ids are no matter.
+    """
+    listed = keywords.select(F.lower("keyword").alias("keyword")).distinct()
+    first = F.get(text_functions.search_words(F.col("keyword")), 0)
+    listed = listed.withColumn("first", first).filter(F.col("first").isNotNull())
+    digest = F.sha2(text, 256).alias("_digest")
+    words = F.explode(F.array_distinct(text_functions.search_words(F.col(text)))).alias("first")
+    if listed.limit(broadcast_words + 1).count() <= broadcast_words:
+        # The text stays beside its words, which do not move, so most keywords are refused at once.
+        near = posts.select(digest, F.lower(text).alias("_lower"), words)
+        met = near.join(F.broadcast(listed), "first").filter(F.contains("_lower", "keyword"))
+    else:
+        met = posts.select(digest, words).join(listed, "first")
+    candidates = met.groupBy("_digest").agg(F.collect_set("keyword").alias("_candidates"))
+    found = F.filter("_candidates", lambda keyword: text_functions.mentions(F.col(text), keyword))
+    return (
+        posts.select("*", digest)
+        .join(candidates, "_digest")
+        .withColumn("keywords", F.array_sort(found))
+        .filter(F.size("keywords") > 0)
+        .drop("_digest", "_candidates")
+    )
+
+
 def within_radius(
     rows: DataFrame,
     centre: tuple[float, float] = C.SEARCH_CENTRE,

@@ -16,8 +16,10 @@ names, after which the old folder can be removed.
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +29,11 @@ from pyspark.sql import types as T
 from citysignal import config as C
 from citysignal.functions import keys
 from citysignal.operators import packed
+from citysignal.session import cut_lineage
 from citysignal.sources import scans
 
+# Keys that a row group's Bloom filter is made for, some 120 KB.
+BLOOM_KEYS = 100_000
 FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -105,9 +110,18 @@ class KeyedTable:
         Rows without a key are refused: the write fails and leaves nothing.
         """
         stamped = rows.withColumn("written_at", F.lit(time.time_ns() // 1000).cast("bigint"))
-        self._dated(stamped).hint("rebalance", "dt").write.mode("overwrite").partitionBy(
-            "dt"
-        ).parquet(f"{self.log_path}/writer={writer}/batch_id={batch_id}")
+        placed = self._dated(stamped).hint("rebalance", "dt").sortWithinPartitions("dt", self.key)
+        self._write(placed, f"{self.log_path}/writer={writer}/batch_id={batch_id}", "overwrite")
+
+    def _write(self, placed: DataFrame, path: str, mode: str) -> None:
+        """Files sorted by key: row groups have narrow key ranges, and a Bloom filter of their keys."""
+        (
+            placed.write.mode(mode)
+            .partitionBy("dt")
+            .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+            .option(f"parquet.bloom.filter.expected.ndv#{self.key}", str(BLOOM_KEYS))
+            .parquet(path)
+        )
 
     def _dated(self, rows: DataFrame) -> DataFrame:
         key = F.col(self.key)
@@ -147,9 +161,37 @@ class KeyedTable:
         return self._newest(self.changes()).drop("written_at")
 
     def get(self, value: str) -> DataFrame:
-        """Current row of one key; the key test reaches the scan, not just the result."""
+        """Current row of one key.
+
+        The key test reaches the scan: it opens the key's day, and of its files only the row groups whose
+        key range and Bloom filter admit the key.
+        """
         return self._newest(scans.get_row(self.changes(), value, self.key)).drop("written_at")
 
+    def days(self) -> list[str]:
+        """The ``dt`` folders in order, from the listing of files alone."""
+        found = re.findall(r"/dt=([^/]*)/", "\n".join(self.changes().inputFiles()))
+        return sorted({unquote(day) for day in found})
+
+    def head(self, n: int) -> DataFrame:
+        """The first ``n`` current rows in key order.
+
+        Keys start with their day, so the first days hold the first keys: days are read in order, one,
+        then two, four and so on, until ``n`` keys are found. The rows of later days are not read.
+        """
+        days, taken = self.days(), 1
+        while True:
+            rows = self.changes()
+            if taken < len(days):
+                rows = rows.filter(F.col("dt") <= days[taken - 1])
+            first = self._newest(rows).drop("written_at").orderBy(self.key).limit(n)
+            if taken >= len(days):
+                return first
+            first = cut_lineage(first)
+            if first.count() >= n:
+                return first
+            taken *= 2
+
     def scan(self, start: str, stop: str) -> DataFrame:
         """Current rows of a key range, in no particular order."""
         rows = scans.scan_range(self.changes(), start, stop, self.key)
@@ -163,12 +205,7 @@ class KeyedTable:
         next attempt.
         """
         fresh = KeyedTable(self.spark, path, self.key, self.order, self.source_order)
-        (
-            self._dated(self._newest(self.changes()))
-            .repartitionByRange("dt", self.key)
-            .sortWithinPartitions("dt", self.key)
-            .write.mode("errorifexists")
-            .partitionBy("dt")
-            .parquet(f"{fresh.log_path}/writer=compacted/batch_id=0")
-        )
+        placed = self._dated(self._newest(self.changes())).repartitionByRange("dt", self.key)
+        placed = placed.sortWithinPartitions("dt", self.key)
+        self._write(placed, f"{fresh.log_path}/writer=compacted/batch_id=0", "errorifexists")
         return fresh
