@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from citysignal import config as C
 from citysignal.functions import keys
 from citysignal.functions.weather import WeatherFactors
+from citysignal.operators.joins import small_side
+from citysignal.session import cut_lineage
 
 
 def factors(forecast: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
@@ -26,6 +28,15 @@ def scores(
     )
 
 
+def hourly_scores(forecast: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
+    """``(row_key, weather_score)`` of the forecast's hours, worked out once."""
+    return cut_lineage(scores(forecast, config=config).select("row_key", "weather_score"))
+
+
+def _scored(forecast: DataFrame, config: C.ScoringConfig) -> DataFrame:
+    return forecast if "weather_score" in forecast.columns else hourly_scores(forecast, config)
+
+
 def explained(
     forecast: DataFrame, hour: Column, config: C.ScoringConfig = C.DEFAULT
 ) -> DataFrame:
@@ -43,13 +54,12 @@ def weather_at(
 ) -> DataFrame:
     """Score of the forecast for the very hour of each instant, no fallback.
 
-    ``forecast`` holds one row per hour key. The join strategy is left to the
-    adaptive planner, which broadcasts the hourly table while it measures small
-    and splits a hot hour when it does not.
+    ``forecast`` holds one row per hour key, or the ``hourly_scores`` made of them. Hours are few:
+    they are reduced to their scores, counted and broadcast, so instants stay where they are
+    and a busy hour is no matter. More hours than that are joined by a shuffle.
     """
-    hourly = scores(forecast, config=config).select(
-        F.col("row_key").alias("hour_key"), "weather_score"
-    )
+    hourly = _scored(forecast, config).select(F.col("row_key").alias("hour_key"), "weather_score")
+    hourly = small_side(hourly)
     return (
         instants.withColumn("hour_key", keys.hour_key(F.col(instant), tz))
         .join(hourly, "hour_key", "left")
@@ -67,7 +77,7 @@ def scored_instants(
     first, last = late - F.pmod(late, span), begin + 3599
     # A sequence that would begin behind its end is an error, so such hours have none.
     seconds = F.when(first <= last, F.sequence(first, last, span))
-    scored = scores(forecast, config=config).filter("weather_score IS NOT NULL")
+    scored = _scored(forecast, config).filter("weather_score IS NOT NULL")
     return (
         scored.select(F.explode(seconds).alias("second"))
         .select(F.timestamp_seconds("second").alias("instant"))

@@ -54,14 +54,15 @@ def decide_windows(
     a weather score but have neither vehicles nor messages; ``until`` leaves out later ends.
     """
     instant = F.col("window.end").alias("instant")
+    hourly = weather.hourly_scores(forecast, config)
     driving = traffic.scores_with_targets(moving, config)
     by_traffic = driving.select(instant, "traffic_score", "targets")
     by_mood = negative.select(instant, F.col("sentiment_ratio").alias("sentiment_score"))
 
     instants = by_traffic.join(by_mood, "instant", "full")
     if step:
-        instants = instants.join(weather.scored_instants(forecast, step, config, tz=tz), "instant", "full")
+        instants = instants.join(weather.scored_instants(hourly, step, config, tz=tz), "instant", "full")
     if until:
         instants = instants.filter(F.col("instant") <= F.lit(until).cast("timestamp"))
-    weathered = weather.weather_at(instants, forecast, config=config, tz=tz).drop("weather_found")
+    weathered = weather.weather_at(instants, hourly, config=config, tz=tz).drop("weather_found")
     return combine.decide(combine.fill_signals(weathered), config, tz=tz)
