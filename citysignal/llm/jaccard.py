@@ -97,8 +97,13 @@ def parity(made: np.ndarray, bits: int) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _digest():
+    """Finds the rows of a text again; texts that share it by chance are only read in vain."""
+    return F.xxhash64("text").alias("digest")
+
+
 def profiles(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, set_id for each row; prefix and bits once for each set in a task."""
+    """doc_id, digest, n_shingles, set_id for each row; prefix and bits once for each set in a task."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def profile(batches):
@@ -125,19 +130,20 @@ def profiles(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, rows),
+                        batch.column("digest").slice(first, rows),
                         pa.array(sizes, pa.int64()),
                         pa.array(set_id, pa.int64()),
                         pa.array(prefix, pa.list_(pa.int64())),
                         pa.array(bits, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "prefix", "bits"],
+                    ["doc_id", "digest", "n_shingles", "set_id", "prefix", "bits"],
                 )
 
-    narrow = _narrow(docs)
+    narrow = _narrow(docs).select("*", _digest())
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(
         profile,
-        f"doc_id {kind}, n_shingles bigint, set_id bigint, prefix array<bigint>, bits binary",
+        f"doc_id {kind}, digest bigint, n_shingles bigint, set_id bigint, prefix array<bigint>, bits binary",
     )
 
 
@@ -362,8 +368,8 @@ def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | Non
     return rows.groupBy("tile").applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def arrays(docs: DataFrame) -> DataFrame:
-    """set_id and the sorted shingles of each distinct set of a task."""
+def arrays(docs: DataFrame, digests: DataFrame) -> DataFrame:
+    """set_id and the sorted shingles of each distinct set of a task, of texts with these digests."""
 
     def make(batches):
         import pyarrow as pa
@@ -388,14 +394,15 @@ def arrays(docs: DataFrame) -> DataFrame:
                         ["set_id", "shingles"],
                     )
 
-    return _narrow(docs).mapInArrow(make, "set_id bigint, shingles binary")
+    wanted = _narrow(docs).select("*", _digest()).join(digests, "digest", "left_semi")
+    return wanted.select("text").mapInArrow(make, "set_id bigint, shingles binary")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that do link, by exact intersection.
 
-    Pairs are grouped by their first set, in stars of about ``STAR`` partners, so that an
-    array travels once a star.
+    Only texts whose set is in a pair are made into arrays. Pairs are grouped by their first set, in stars of
+    about ``STAR`` partners, so that an array travels once a star.
     """
     pairs = written(pairs, "jaccard-candidates")
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("stars"))
@@ -406,7 +413,10 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = split.select("a", "star", F.col("b").alias("set_id")).unionByName(
         split.select("a", "star", F.col("a").alias("set_id")).distinct()
     )
-    rows = arrays(docs).join(small_side(wanted, ID_ROWS), "set_id")
+    wanted = small_side(wanted, ID_ROWS)
+    digests = marks.select("set_id", "digest").join(wanted.select("set_id"), "set_id", "left_semi")
+    digests = written(digests.select("digest").distinct(), "jaccard-texts")
+    rows = arrays(docs, small_side(digests, ID_ROWS)).join(wanted, "set_id")
 
     def intersect(table):
         import pyarrow as pa
@@ -431,11 +441,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     table = written(profiles(docs, sketch(docs)), "jaccard-sets")
     made = written(tiles(table), "jaccard-tiles")
     marks = table.where("bits is not null").select(
-        "set_id", F.col("n_shingles").alias("n"), "bits"
+        "set_id", F.col("n_shingles").alias("n"), "bits", "digest"
     ).dropDuplicates(["set_id"])
-    links = written(verified(docs, proposed(made, marks, None)), "jaccard-links")
+    links = written(verified(docs, proposed(made, marks, None), marks), "jaccard-links")
     rest = proposed(made, marks, components(links))
-    more = written(verified(docs, rest), "jaccard-links")
+    more = written(verified(docs, rest, marks), "jaccard-links")
     joined = components(links.unionByName(more))
     classes = (
         table.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
