@@ -50,6 +50,8 @@ TOGETHER = 1_000_000
 # Not a code point: fills chunks up to their width. Edges without a piece of their own.
 PAD = 0x110000
 NOTHING, BYTES = -1, -2
+# Choices that leave less than this are worked out from what they leave.
+CERTAIN = 1e-10
 MARK = "▁"
 STOPS = ".,;:!?"
 _MODELS: dict[tuple[str, float], Lattice] = {}
@@ -361,49 +363,62 @@ class Lattice:
             found = self.edges[i] = self.edges_of(self.names[i])
         return found
 
+    def excluded(self, i: int, without: set) -> list[dict]:
+        """Chunk ``i``'s excluded segmentations as a tree, going backward: nodes with their ``end``, the
+        shares of the edges into it, ``next`` nodes by edge, and ``left``, the share of what is not excluded.
+
+        Shares of edges off the tree are summed, not subtracted from 1, so a remainder far below
+        rounding stays what it is, and is 0 only where nothing is left.
+        """
+        known = self.known(i)
+        into, last = known[0], len(self.names[i])
+        nodes = [{"end": last, "share": self.shares(known, last), "next": {}}]
+        for ids in without:
+            node, left = nodes[0], list(ids)
+            while node["end"]:
+                k = self._step(i, node["end"], left, into)
+                start, part, _ = into[node["end"]][k]
+                del left[len(left) - len(part) :]
+                if k not in node["next"]:
+                    node["next"][k] = len(nodes)
+                    share = self.shares(known, start) if start else []
+                    nodes.append({"end": start, "share": share, "next": {}})
+                node = nodes[node["next"][k]]
+        for node in reversed(nodes):
+            weights = [
+                x * nodes[node["next"][k]]["left"] if k in node["next"] else x
+                for k, x in enumerate(node["share"])
+            ]
+            node["weights"], node["left"] = weights, math.fsum(weights)
+        return nodes
+
     def other(self, i: int, rng, without: set) -> tuple[tuple, float] | None:
         """A segmentation of chunk ``i`` that is not in ``without``, and its probability.
 
-        The best one is excluded by construction: the step that leaves its path is drawn
-        from what that path leaves over. Others in ``without`` are drawn again.
+        The others are excluded by construction, however many: going backward, a step is drawn by
+        what its excluded segmentations leave of it. None where none is left.
         """
-        best = self.best(i)
         known = self.known(i)
-        into = known[0]
-        for _ in range(2000):
-            end, done, p = len(self.names[i]), [], 1.0
-            # u lies above the probability of the whole best path; it says where to leave it.
-            follow = best in without
-            u = self.p_best[i] + (1.0 - self.p_best[i]) * rng.random() if follow else 0.0
-            kept, left = 1.0, list(best)
-            while end:
-                share = self.shares(known, end)
-                at = None
-                if follow:
-                    at = next(
-                        k
-                        for k, (_, ids, _) in enumerate(into[end])
-                        if tuple(left[len(left) - len(ids) :]) == ids and self._on(i, end, k, left, into)
-                    )
-                    if u <= kept * share[at] and len(share) >= 1:
-                        kept *= share[at]
-                        del left[len(left) - len(into[end][at][1]) :]
-                    else:
-                        rest = [0.0 if k == at else x for k, x in enumerate(share)]
-                        if sum(rest) <= 0.0:
-                            kept *= share[at]
-                            del left[len(left) - len(into[end][at][1]) :]
-                        else:
-                            at, follow = self._pick(rest, rng), False
-                else:
-                    at = self._pick(share, rng)
-                done.append(into[end][at][1])
-                p *= share[at]
-                end = into[end][at][0]
-            found = tuple(x for part in reversed(done) for x in part)
-            if found not in without:
-                return found, p
-        return None
+        into, nodes = known[0], self.excluded(i, without)
+        node, end, done, p = nodes[0], len(self.names[i]), [], 1.0
+        if nodes[0]["left"] <= 0.0:
+            return None
+        while end:
+            share = node["share"] if node else self.shares(known, end)
+            k = self._pick(node["weights"] if node else share, rng)
+            p *= share[k]
+            done.append(into[end][k][1])
+            end = into[end][k][0]
+            node = nodes[node["next"][k]] if node and k in node["next"] else None
+        return tuple(x for part in reversed(done) for x in part), p
+
+    def _step(self, i: int, end: int, left: list, into: list) -> int:
+        """The edge into ``end`` that a segmentation with these ids ahead takes."""
+        return next(
+            k
+            for k, (_, ids, _) in enumerate(into[end])
+            if tuple(left[len(left) - len(ids) :]) == ids and self._on(i, end, k, left, into)
+        )
 
     def _on(self, i: int, end: int, k: int, left: list, into: list) -> bool:
         """Whether edge ``k`` into ``end`` is of the best path: its length in characters fits."""
@@ -551,6 +566,12 @@ class Lattice:
             with np.errstate(divide="ignore"):
                 mass = before + np.log1p(-np.minimum(taken, 1.0))
             mass[~free[start:]] = -np.inf
+            # What rounding leaves of nearly certain choices is no measure of the rest.
+            for j in np.flatnonzero((taken > 1.0 - CERTAIN) & free[start:]).tolist():
+                chunk = int(at[start + j])
+                held = (without if j == 0 else frozenset()) | {changed.get(start + j) or self.best(chunk)}
+                left = self.excluded(chunk, held)[0]["left"]
+                mass[j] = before[j] + math.log(left) if left > 0.0 else -np.inf
             noise = -np.log(rng.random(count - start))
             with np.errstate(over="ignore"):
                 cut = mass - np.log(noise + np.exp(np.minimum(mass + value, 700.0)))

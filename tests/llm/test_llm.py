@@ -215,6 +215,39 @@ def test_samples_follow_gumbel_top_k():
         assert second[path] / n == pytest.approx(after, abs=0.03)
 
 
+def test_short_texts_give_all_their_segmentations():
+    own = lattice.loaded(public_tokenizers.path(PIECES))
+    for text in ("the", "hello", "a b", "ü", "z\U0001f600z"):
+        whole = 1
+        for chunk in own.split([text])[0].tolist():
+            name = own.names[chunk]
+            into, counts = own.edges_of(name)[0], [1]
+            for end in range(1, len(name) + 1):
+                counts.append(sum(counts[start] for start, _, _ in into[end]))
+            whole *= counts[-1]
+        for k in sorted({1, 2, 3, whole // 2 + 1, whole, whole + 5}):
+            samples = own.sample(text, lattice.row_key(text, k), k)
+            assert len({tuple(x["ids"].tolist()) for x in samples}) == len(samples) == min(k, whole)
+            if k >= whole:
+                assert sum(math.exp(x["log_prob"]) for x in samples) == pytest.approx(1.0)
+                assert all(x["log_inclusion"] == 0 for x in samples)
+
+
+def test_draws_without_several_follow_the_law_of_the_rest():
+    own = lattice.loaded(public_tokenizers.path(PIECES), 1.0)
+    chunk = int(own.split(["hello"])[0][0])
+    rng, n = np.random.default_rng(3), 20_000
+    everything = [own.other(chunk, rng, set()) for _ in range(n)]
+    share = {ids: p for ids, p in everything}
+    frequent = sorted(share, key=share.get)[-3:]
+    without = {own.best(chunk), *frequent[:2]}
+    rest = 1.0 - sum(share[ids] for ids in without)
+    drawn = collections.Counter(own.other(chunk, rng, without)[0] for _ in range(n))
+    assert not without & drawn.keys()
+    for ids in sorted(set(share) - without, key=share.get)[-4:]:
+        assert drawn[ids] / n == pytest.approx(share[ids] / rest, abs=0.015)
+
+
 def test_ids_are_returned_and_decoded(spark, texts, awkward):
     model = public_tokenizers.path(PIECES)
     found = QUERIES["op2_sampled_segmentations"](spark, SF)
