@@ -124,6 +124,7 @@ class Lattice:
         self.word_starts, self.word_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.names: list[str] = []
         self.edges: dict[int, tuple] = {}
+        self.besides: dict[int, float] = {}
         # By chunk: probability of the best segmentation, its logarithm, whether there are
         # others, and where its ids are.
         self.p_best, self.log_best = np.zeros(0), np.zeros(0)
@@ -392,6 +393,13 @@ class Lattice:
             node["weights"], node["left"] = weights, math.fsum(weights)
         return nodes
 
+    def beside_best(self, i: int) -> float:
+        """The share of all segmentations of chunk ``i`` but the best."""
+        left = self.besides.get(i)
+        if left is None:
+            left = self.besides[i] = self.excluded(i, {self.best(i)})[0]["left"]
+        return left
+
     def other(self, i: int, rng, without: set) -> tuple[tuple, float] | None:
         """A segmentation of chunk ``i`` that is not in ``without``, and its probability.
 
@@ -568,9 +576,12 @@ class Lattice:
             mass[~free[start:]] = -np.inf
             # What rounding leaves of nearly certain choices is no measure of the rest.
             for j in np.flatnonzero((taken > 1.0 - CERTAIN) & free[start:]).tolist():
-                chunk = int(at[start + j])
-                held = (without if j == 0 else frozenset()) | {changed.get(start + j) or self.best(chunk)}
-                left = self.excluded(chunk, held)[0]["left"]
+                chunk, other = int(at[start + j]), changed.get(start + j)
+                if other is None and not (without and j == 0):
+                    left = self.beside_best(chunk)
+                else:
+                    held = (without if j == 0 else frozenset()) | {other or self.best(chunk)}
+                    left = self.excluded(chunk, held)[0]["left"]
                 mass[j] = before[j] + math.log(left) if left > 0.0 else -np.inf
             noise = -np.log(rng.random(count - start))
             with np.errstate(over="ignore"):
