@@ -34,6 +34,8 @@ from citysignal.llm.common import only, text_of, written
 
 FILE_BYTES = 64 << 20
 STEP = 1 << 20
+# What is unpacked at once; a broken member loses no more than that before the break.
+PIECE = 1 << 16
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 VERSIONS = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
@@ -221,36 +223,60 @@ def parsed(record: bytes) -> tuple[dict[str, str], bytes, int]:
     return headers, block, stop + 4
 
 
-def _member(stream: _Stream, offset: int) -> tuple[dict, bytes, int]:
-    """The record in the gzip member at ``offset`` and where the member ends."""
-    unpack, out, at = zlib.decompressobj(wbits=31), [], offset
-    try:
-        while not unpack.eof:
-            part = stream.at(at, STEP)
-            if not part:
-                raise Damaged("member cut short")
-            out.append(unpack.decompress(part))
-            at += len(part)
-            if len(out) == 1 and len(out[0]) >= 10 and not out[0].startswith(VERSIONS):
-                raise Damaged("no version line")
-    except zlib.error as error:
-        raise Damaged("gzip check failed") from error
-    record = b"".join(out)
-    headers, block, length = parsed(record)
-    if length != len(record):
-        raise Damaged("bytes after the record in its member")
-    return headers, block, at - len(unpack.unused_data)
-
-
-def _plain(stream: _Stream, offset: int) -> tuple[dict, bytes, int]:
-    # Damage in a length must not make the reader hold the rest of the file: headers come first.
+class _Unpacked:
+    """The bytes of the gzip member at ``offset``, unpacked as far as they are asked for."""
+
+    def __init__(self, stream: _Stream, offset: int):
+        self.stream, self.at, self.unpack = stream, offset, zlib.decompressobj(wbits=31)
+        self.buffer, self.packed = b"", b""
+        # Why the member cannot be unpacked any further, if so.
+        self.broken = ""
+
+    @property
+    def ended(self) -> bool:
+        return self.unpack.eof or bool(self.broken)
+
+    @property
+    def end(self) -> int:
+        """Where the member ends in the file, or how far it was read."""
+        return self.at - len(self.unpack.unused_data) - len(self.packed)
+
+    def fill(self, length: int) -> bytes:
+        """The buffer with at least ``length`` bytes, fewer only at the member's end or where it breaks."""
+        parts, held = [self.buffer], len(self.buffer)
+        try:
+            while held < length and not self.ended:
+                if not self.packed:
+                    self.packed = self.stream.at(self.at, PIECE)
+                    self.at += len(self.packed)
+                    if not self.packed:
+                        self.broken = "member cut short"
+                        break
+                parts.append(self.unpack.decompress(self.packed, STEP))
+                self.packed = b"" if self.unpack.eof else self.unpack.unconsumed_tail
+                held += len(parts[-1])
+        except zlib.error:
+            self.broken = "gzip check failed"
+        self.buffer = b"".join(parts)
+        return self.buffer
+
+    def drop(self, length: int) -> None:
+        self.buffer = self.buffer[length:]
+
+
+def _head(fill) -> tuple[bytes, int]:
+    """The first bytes from ``fill``, up to the end of the headers if they have one, and where that is."""
     length = STEP
     while True:
-        part = stream.at(offset, length)
+        part = fill(length)
         head = part.find(CLOSING)
         if head >= 0 or len(part) < length or not part.startswith(VERSIONS):
-            break
+            return part, head
         length *= 2
+
+
+def _length(part: bytes, head: int) -> int | None:
+    """Of the record whose headers end at ``head``: its length in all, by its headers."""
     stated = next(
         (
             line.partition(b":")[2].strip()
@@ -259,12 +285,71 @@ def _plain(stream: _Stream, offset: int) -> tuple[dict, bytes, int]:
         ),
         b"",
     )
-    if stated.isdigit():
-        if offset + head + 8 + int(stated) > stream.size:
+    return head + 8 + int(stated) if stated.isdigit() else None
+
+
+def _member(stream: _Stream, offset: int):
+    """Yields (start, stop, reason, headers, block) of what the gzip member at ``offset`` holds, returns its end.
+
+    A member may hold several records. One that breaks off or fails its check loses its last record and what
+    follows; those before it came whole. In a member that unpacks, a damaged record is passed over up to the next
+    version line. Places are those of the file: the member's start, and how far it was read.
+    """
+    inside, held, gap = _Unpacked(stream, offset), None, None
+    while inside.fill(1):
+        try:
+            part, head = _head(inside.fill)
+            length = _length(part, head) if part.startswith(VERSIONS) else None
+            headers, block, used = parsed(inside.fill(length) if length else part)
+            inside.drop(used)
+        except Damaged as error:
+            gap = gap or str(error)
+            if not _skip(inside):
+                break
+            continue
+        if held:
+            yield held
+        if gap:
+            yield offset, inside.end, gap, None, None
+            gap = None
+        held = (offset, inside.end, None, headers, block)
+    if inside.broken:
+        raise Damaged(inside.broken)
+    if held:
+        yield (*held[:1], inside.end, *held[2:])
+    if gap:
+        yield offset, inside.end, gap, None, None
+    return inside.end
+
+
+def _skip(inside: _Unpacked) -> bool:
+    """Moves on to the next version line in the member; False if there is none."""
+    longest = len(VERSIONS[0])
+    inside.drop(1)
+    while True:
+        part = inside.fill(STEP)
+        found = [n for n in map(part.find, VERSIONS) if n >= 0]
+        if found:
+            inside.drop(min(found))
+            return True
+        if inside.ended:
+            inside.drop(len(part))
+            return False
+        inside.drop(max(1, len(part) - longest + 1))
+
+
+def _plain(stream: _Stream, offset: int):
+    """The same for the record that stands unpacked at ``offset``."""
+    # Damage in a length must not make the reader hold the rest of the file: headers come first.
+    part, head = _head(lambda length: stream.at(offset, length))
+    length = _length(part, head)
+    if length is not None:
+        if offset + length > stream.size:
             raise Damaged("record cut short")
-        part = stream.at(offset, head + 8 + int(stated))
+        part = stream.at(offset, length)
     headers, block, used = parsed(part)
-    return headers, block, offset + used
+    yield offset, offset + used, None, headers, block
+    return offset + used
 
 
 def salvage(file, size: int):
@@ -274,9 +359,18 @@ def salvage(file, size: int):
     """
     stream, at, gap, reason = _Stream(file, size), 0, None, ""
     while at < size:
-        packed = stream.at(at, 3) == MEMBER
+        found = (_member if stream.at(at, 3) == MEMBER else _plain)(stream, at)
         try:
-            headers, block, stop = (_member if packed else _plain)(stream, at)
+            while True:
+                try:
+                    item = next(found)
+                except StopIteration as end:
+                    stop = end.value
+                    break
+                if gap is not None:
+                    yield gap, at, reason, None, None
+                    gap = None
+                yield item
         except Damaged as error:
             if gap is None:
                 gap, reason = at, str(error)
@@ -285,7 +379,6 @@ def salvage(file, size: int):
         if gap is not None:
             yield gap, at, reason, None, None
             gap = None
-        yield at, stop, None, headers, block
         at = stop
     if gap is not None:
         yield gap, size, reason, None, None

@@ -493,6 +493,38 @@ def test_salvage_recovers_what_follows_damage(packed):
     assert list(warc.salvage(io.BytesIO(b""), 0)) == []
 
 
+def member_of(*parts):
+    made = zlib.compressobj(wbits=31)
+    return made.compress(b"".join(parts)) + made.flush()
+
+
+def test_members_of_several_records():
+    """Also a whole archive packed as one stream, with damaged records in it."""
+    rng = random.Random(8)
+    bodies = [bytes(rng.choices(b"abcdefgh\n", k=rng.randrange(0, 400_000))) for _ in range(12)]
+    parts = [record(i, b) for i, b in enumerate(bodies)]
+    torn = bytearray(parts[4])
+    torn[len(torn) // 2] ^= 1
+
+    def salvaged(raw):
+        found = list(warc.salvage(io.BytesIO(raw), len(raw)))
+        good = [int(h["X-Page-ID"]) for *_, gap, h, _ in found if gap is None]
+        assert all(b == bodies[int(h["X-Page-ID"])] for *_, gap, h, b in found if gap is None)
+        return good, [(a, b) for a, b, gap, _, _ in found if gap]
+
+    assert salvaged(member_of(*parts)) == (list(range(12)), [])
+    first, second = member_of(*parts[:6]), member_of(*parts[6:])
+    assert salvaged(first + second) == (list(range(12)), [])
+    good, gaps = salvaged(member_of(*parts[:4], bytes(torn), *parts[5:], b"rest") + second)
+    assert good == [0, 1, 2, 3, *range(5, 12), *range(6, 12)] and len(gaps) == 2
+    # The first member breaks: what came whole before stays, and the second is found again.
+    broken = bytearray(first)
+    broken[len(first) * 2 // 3] ^= 0xFF
+    good, gaps = salvaged(bytes(broken) + second)
+    assert good[-6:] == [6, 7, 8, 9, 10, 11] and good[:2] == [0, 1] and gaps[0][0] == 0 and gaps[0][1] == len(first)
+    assert salvaged(member_of(b"")) == ([], [])
+
+
 def test_pages_round_trip(spark):
     rows = [(3, "u", "same"), (1, None, "same"), (2, "u", None), (4, "u", ""), (None, "u", "é" * 10), (5, "u\r\nx: y", LONG), (5, "u", LONG)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
