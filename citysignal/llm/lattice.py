@@ -46,7 +46,7 @@ WIDTHS = (4, 8, 12, 16, 24)
 SHORT = WIDTHS[-1]
 SLICE = 8192
 # Characters of texts searched together.
-TOGETHER = 1_000_000
+TOGETHER = 400_000
 # Not a code point: fills chunks up to their width. Edges without a piece of their own.
 PAD = 0x110000
 NOTHING, BYTES = -1, -2
@@ -706,18 +706,9 @@ def encode(
         import pyarrow.compute as pc
 
         lattice = loaded(model, alpha)
-        types = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        types.append(pa.string() if digest else pa.list_(pa.int32()))
-        types += [pa.bool_()] * verify
         names = ["doc_id", *(part.split()[0] for part in schema.split(", ")[1:])]
-
-        def batch_of(source, rows, values):
-            columns = [source.take(pa.array(rows, pa.int64()))]
-            columns += [pa.array(c, t) for c, t in zip(zip(*values, strict=True), types, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, names)
-
         for batch in batches:
-            source, rows, values, held = batch.column("doc_id"), [], [], 0
+            source = batch.column("doc_id")
             ends = np.cumsum(pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False))
             begin = 0
             while begin < len(batch):
@@ -726,27 +717,28 @@ def encode(
                 texts = batch.column("text").slice(begin, end - begin).to_pylist()
                 keys = [row_key(x, seed) for x in source.slice(begin, end - begin).to_pylist()]
                 sampled = lattice.samples(texts, keys, k)
-                same = iter(())
+                counts = np.fromiter(map(len, sampled), np.int64, len(sampled))
+                every = list(itertools.chain.from_iterable(sampled))
+                sizes = np.fromiter((len(s["ids"]) for s in every), np.int64, len(every))
+                flat = np.concatenate([s["ids"] for s in every]) if every else np.zeros(0, np.int32)
+                rows = np.repeat(np.arange(len(texts)), counts)
+                first = np.repeat(np.cumsum(counts) - counts, counts)
+                columns = [
+                    source.slice(begin, end - begin).take(pa.array(rows)),
+                    pa.array((np.arange(len(every)) - first + 1).astype(np.int32)),
+                    pa.array(sizes),
+                    *(pa.array([s[name] for s in every], pa.float64()) for name in ("log_prob", "perturbed", "log_inclusion")),
+                ]
+                if digest:
+                    columns.append(pa.array([hashlib.sha256(s["ids"].astype("<i4").tobytes()).hexdigest() for s in every], pa.string()))
+                else:
+                    bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                    columns.append(pa.ListArray.from_arrays(bounds, pa.array(flat.astype(np.int32, copy=False))))
                 if verify:
-                    every = [s["ids"] for samples in sampled for s in samples]
-                    sizes = np.fromiter(map(len, every), np.int64, len(every))
-                    flat = np.concatenate(every) if every else np.zeros(0, np.int32)
-                    wanted = [t for t, samples in zip(texts, sampled, strict=True) for _ in samples]
-                    same = iter(pc.equal(lattice.decoded(flat, sizes), pa.array(wanted, pa.large_string())).to_pylist())
-                for r, samples in enumerate(sampled, begin):
-                    for n, s in enumerate(samples, 1):
-                        ids = s["ids"]
-                        shown = hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() if digest else ids
-                        rows.append(r)
-                        value = (n, len(ids), s["log_prob"], s["perturbed"], s["log_inclusion"], shown)
-                        values.append((*value, next(same)) if verify else value)
-                        held += 100 if digest else len(ids)
+                    wanted = batch.column("text").slice(begin, end - begin).take(pa.array(rows)).cast(pa.large_string())
+                    columns.append(pc.equal(lattice.decoded(flat, sizes), wanted))
+                yield pa.RecordBatch.from_arrays(columns, names)
                 begin = end
-                if held > 1_000_000:
-                    yield batch_of(source, rows, values)
-                    rows, values, held = [], [], 0
-            if rows:
-                yield batch_of(source, rows, values)
 
     return narrow.mapInArrow(run, schema)
 
