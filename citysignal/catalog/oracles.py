@@ -877,16 +877,19 @@ ORACLES["stream_once"] = f"""WITH {REPORTS}
     FROM reports WHERE vehicle_number IS NOT NULL AND lat IS NOT NULL
     GROUP BY lines, vehicle_number, brigade, gps_time, lat, lon"""
 _ITEM_WORDS = "regexp_extract_all(lower(text), '\\p{L}+(?:''\\p{L}+)*')"
+# Every character that bounds words stands between bars, so a bounded keyword is a plain substring.
+_BARRED = "regexp_replace({0}, '([^\\p{{L}}\\p{{N}}])', '|\\1|', 'g')"
 ORACLES["filter_keyword_table"] = f"""WITH {POSTS},
     items AS (SELECT {_ITEM_WORDS} AS w FROM benchmark),
     listed AS (
         SELECT DISTINCT unnest([array_to_string(w[1:1], ' '), array_to_string(w[2:3], ' '),
-                                array_to_string(w[4:6], ' ')]) AS keyword FROM items)
+                                array_to_string(w[4:6], ' ')]) AS keyword FROM items),
+    barred AS MATERIALIZED (
+        SELECT keyword, '|' || {_BARRED.format("keyword")} || '|' AS sought FROM listed WHERE keyword <> ''),
+    texts AS MATERIALIZED (
+        SELECT tweet_id, lang, '|' || {_BARRED.format("lower(text)")} || '|' AS held FROM posts)
     SELECT tweet_id, lang, string_agg(keyword, '|' ORDER BY keyword) AS keywords
-    FROM posts JOIN listed
-         ON keyword <> '' AND contains(lower(text), keyword)
-            AND regexp_matches(lower(text), '(^|{_BOUND})' || regexp_escape(keyword) || '($|{_BOUND})')
-    GROUP BY tweet_id, lang"""
+    FROM texts JOIN barred ON contains(held, sought) GROUP BY tweet_id, lang"""
 ORACLES["filter_geo_cells"] = ORACLES["filter_geo_radius"]
 # However many writers fed a table, its current rows are the same.
 ORACLES["stream_shared_table"] = ORACLES["stream_ingest"]

@@ -38,20 +38,18 @@ def with_keyword_table(
     digest = F.sha2(text, 256).alias("_digest")
     words = F.explode(F.array_distinct(text_functions.search_words(F.col(text)))).alias("first")
     if listed.limit(broadcast_words + 1).count() <= broadcast_words:
-        # The text stays beside its words, which do not move, so most keywords are refused at once.
+        # The text stays beside its words, which do not move.
         near = posts.select(digest, F.lower(text).alias("_lower"), words)
-        met = near.join(F.broadcast(listed), "first").filter(F.contains("_lower", "keyword"))
+        met = near.join(F.broadcast(listed), "first")
     else:
-        met = posts.select(digest, words).join(listed, "first")
-    candidates = met.groupBy("_digest").agg(F.collect_set("keyword").alias("_candidates"))
-    found = F.filter("_candidates", lambda keyword: text_functions.mentions(F.col(text), keyword))
-    return (
-        posts.select("*", digest)
-        .join(candidates, "_digest")
-        .withColumn("keywords", F.array_sort(found))
-        .filter(F.size("keywords") > 0)
-        .drop("_digest", "_candidates")
-    )
+        near = posts.select(digest, words).join(listed, "first").select("_digest", "keyword").distinct()
+        texts = posts.select(digest, F.lower(text).alias("_lower")).dropDuplicates(["_digest"])
+        met = near.join(texts, "_digest")
+    # Most keywords are refused by the cheaper test.
+    hits = met.filter(F.contains("_lower", "keyword"))
+    hits = hits.filter(text_functions.mentions(F.col("_lower"), F.col("keyword")))
+    found = hits.groupBy("_digest").agg(F.array_sort(F.collect_set("keyword")).alias("keywords"))
+    return posts.select("*", digest).join(found, "_digest").drop("_digest")
 
 
 def within_radius(

@@ -65,9 +65,13 @@ def append(rows: DataFrame, path: str, run: str, hours: int = 1) -> None:
         configured = int(session.conf.get("spark.sql.shuffle.partitions"))
         tasks = max(configured, -(-hours // HOURS_PER_TASK))
         placed = rows.repartitionByRange(tasks, "decision_id")
+    _replace_runs(placed.withColumn("run", F.lit(run)), path)
+
+
+def _replace_runs(placed: DataFrame, path: str) -> None:
+    """Write rows over the runs that they name, hour by hour; others stay."""
     (
-        placed.withColumn("run", F.lit(run))
-        .sortWithinPartitions("dt", "hr", "run", "decision_id")
+        placed.sortWithinPartitions("dt", "hr", "run", "decision_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*schemas.ARCHIVE_PARTITIONS, "run")
@@ -150,8 +154,8 @@ def reconcile(spark: SparkSession, decisions: DataFrame, path: str) -> list[tupl
     hour's count or digest, which both sides work out in parallel; only hours that differ
     are written again. Returns those hours.
 
-    A rewritten hour is one run; its older runs are emptied after it is in place. A reconciliation that
-    fails between the two leaves hours that differ, so the next one repairs them.
+    A rewritten hour is one run, in place of one it had; its other runs are emptied after that. A
+    reconciliation that fails between the two leaves hours that differ, so the next one repairs them.
     """
     done = high_water_mark(spark, f"{path}/_marks")
     behind = scans.scan_range(decisions, FIRST_KEY, done, key="decision_id")
@@ -167,21 +171,26 @@ def reconcile(spark: SparkSession, decisions: DataFrame, path: str) -> list[tupl
     hours = sorted((row.dt, row.hr) for row in differing.collect())
     if not hours:
         return []
-    slots = [f"{dt}_{hr}" for dt, hr in hours]
     slot = F.concat_ws("_", *by)
     days = sorted({dt for dt, _ in hours})
-    chosen = F.col("dt").isin(days) & slot.isin(slots)
+    chosen = F.col("dt").isin(days) & slot.isin([f"{dt}_{hr}" for dt, hr in hours])
     schema = f"{schemas.ARCHIVE_BASE_COLUMNS}, dt STRING, hr STRING, run STRING"
-    stale = spark.read.schema(schema).parquet(path).filter(chosen).select(*by, "run").distinct()
-    stale = [(row.dt, row.hr, row.run) for row in stale.collect()]
-    # A name that no run of the hours has.
-    numbers = [int(run[1:]) for *_, run in stale if run.startswith("r") and run[1:].isdigit()]
-    fresh = f"r{max(numbers, default=0) + 1}"
-    append(wanted.filter(chosen), path, fresh, len(hours))
-    columns = schemas.ARCHIVE_BASE_COLUMNS
-    nothing = spark.createDataFrame([], columns)
-    for dt, hr, run in stale:
-        nothing.write.mode("overwrite").parquet(f"{path}/dt={dt}/hr={hr}/run={run}")
+    runs = spark.read.schema(schema).parquet(path).filter(chosen).select(*by, "run").distinct()
+    held: dict[tuple[str, str], list[str]] = {hour: [] for hour in hours}
+    for row in runs.collect():
+        held[row.dt, row.hr].append(row.run)
+    # An hour keeps one run, which the rows replace; hours that are new to the archive get one.
+    kept_runs = [(dt, hr, max(found, default=done)) for (dt, hr), found in held.items()]
+    named = F.broadcast(spark.createDataFrame(kept_runs, "dt STRING, hr STRING, run STRING"))
+    fresh = wanted.filter(chosen)
+    filled = {(row.dt, row.hr) for row in fresh.select(*by).distinct().collect()}
+    _replace_runs(fresh.join(named, by).hint("rebalance", *by), path)
+    # What is left over: second runs of an hour, and hours without decisions.
+    nothing = spark.createDataFrame([], schemas.ARCHIVE_BASE_COLUMNS)
+    for (dt, hr), found in held.items():
+        for run in found:
+            if run != max(found) or (dt, hr) not in filled:
+                nothing.write.mode("overwrite").parquet(f"{path}/dt={dt}/hr={hr}/run={run}")
     return hours
 
 
