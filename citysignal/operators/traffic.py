@@ -74,21 +74,21 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     copied into the overlapping windows. ``length`` must be a multiple of
     ``slide``.
 
-    In batch the steps are placed by vehicle before they are copied, so the copies
-    meet where they are and are never shuffled. By then a vehicle has one row per
-    step at most, whatever it sent.
+    In batch the steps are placed by vehicle, and each looks back over the steps before it: a
+    window comes from the last step it holds, once and whole. The copies are neither shuffled nor
+    aggregated, sorted or kept, so they cost no memory or disk. By then a vehicle has one row per
+    step at most, whatever it sent. Ends come as seconds of the window, ``first_second`` and
+    ``last_second``, in place of packed orders.
     """
-    uneven = reports.sparkSession.range(1).select(
-        F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {length}) % unix_micros(timestamp_micros(0) + INTERVAL {slide})")
-    )
-    if uneven.first()[0]:
+    micros = [F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {i})") for i in (length, slide)]
+    span, every = reports.sparkSession.range(1).select(*micros).first()
+    if span % every:
         raise ValueError(f"the window ({length}) must be a multiple of the slide ({slide})")
     steps = sightings(reports, slide).withColumnRenamed("window", "step")
-    if reports.isStreaming:
-        # Only the built-in window keeps the watermark.
-        copied = steps.withColumn("window", F.window(F.window_time("step"), length, slide))
-    else:
-        copied = steps.repartition("vn").withColumn("window", _covering("step", length, slide))
+    if not reports.isStreaming:
+        return _looking_back(steps.repartition("vn"), span, every)
+    # Only the built-in window keeps the watermark.
+    copied = steps.withColumn("window", F.window(F.window_time("step"), length, slide))
     spread = (
         copied.withColumn("shift", _seconds_since(F.col("window.start"), F.col("step.start")))
         .withColumn("shift", packed.raised(F.col("shift")))
@@ -101,31 +101,75 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     )
 
 
-def _covering(step: str, length: str, slide: str) -> Column:
-    """All sliding windows that hold a slide step, one row each."""
-    span, every = F.expr(f"INTERVAL {length}"), F.expr(f"INTERVAL {slide}")
-    start = F.col(f"{step}.start")
-    starts = F.sequence(start - span + every, start, every)
-    return F.explode(
-        F.transform(starts, lambda at: F.struct(at.alias("start"), (at + span).alias("end")))
+def _looking_back(steps: DataFrame, span: int, every: int) -> DataFrame:
+    """Ends of all sliding windows, of ``span`` microseconds each, from a vehicle's steps.
+
+    A step is the last one of the windows that hold it and end before the vehicle's next step does.
+    """
+    timed = steps.select(
+        "vn",
+        F.unix_micros("step.start").alias("at"),
+        *[
+            (F.unix_seconds("step.start") + packed.high_of(F.col(f"{end}_order"))).alias(end)
+            for end in ("first", "last")
+        ],
+        *["first_lat", "first_lon", "last_lat", "last_lon", "reports"],
+    )
+    track = Window.partitionBy("vn").orderBy("at")
+    back = track.rangeBetween(every - span, Window.currentRow)
+    step = F.struct(*[name for name in timed.columns if name != "vn"])
+    recent = timed.select(
+        "vn", "at", F.lead("at").over(track).alias("next"), F.collect_list(step).over(back).alias("steps")
+    )
+    # The next step is null behind the last one, and ``least`` passes over it.
+    latest = F.least(F.col("at"), F.col("next") - span)
+    starts = F.sequence(F.col("at") + (every - span), latest, F.lit(every))
+    held = recent.select("vn", "steps", F.explode(starts).alias("start")).select(
+        "vn",
+        "start",
+        F.filter("steps", lambda step: step["at"] >= F.col("start")).alias("held"),
+    )
+    located = F.filter("held", lambda step: step["first"].isNotNull())
+    ends = held.withColumn("located", located).select(
+        F.struct(
+            F.timestamp_micros("start").alias("start"), F.timestamp_micros(F.col("start") + span).alias("end")
+        ).alias("window"),
+        "vn",
+        F.get("located", 0).alias("a"),
+        F.get("located", F.size("located") - 1).alias("z"),
+        F.aggregate("held", F.lit(0).cast("bigint"), lambda n, step: n + step["reports"]).alias("reports"),
+    )
+    began = F.unix_seconds("window.start")
+    return ends.select(
+        "window",
+        "vn",
+        *[F.col(f"a.first_{c}").alias(f"first_{c}") for c in ("lat", "lon")],
+        *[F.col(f"z.last_{c}").alias(f"last_{c}") for c in ("lat", "lon")],
+        (F.col("a.first") - began).alias("first_second"),
+        (F.col("z.last") - began).alias("last_second"),
+        "reports",
     )
 
 
 def speeds(ends: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
     """Speed between the first and last report; null when no time passed."""
-    elapsed = packed.high_of(F.col("last_order")) - packed.high_of(F.col("first_order"))
+
+    def second(end: str) -> Column:
+        timed = f"{end}_second"
+        return F.col(timed) if timed in ends.columns else packed.high_of(F.col(f"{end}_order"))
+
+    elapsed = second("last") - second("first")
     distance = haversine_km(
         F.col("first_lat"), F.col("first_lon"), F.col("last_lat"), F.col("last_lon")
     )
 
-    def instant(order: str) -> Column:
-        start = F.unix_seconds(F.col("window.start"))
-        return F.timestamp_seconds(start + packed.high_of(F.col(order)))
+    def instant(end: str) -> Column:
+        return F.timestamp_seconds(F.unix_seconds(F.col("window.start")) + second(end))
 
     speed = F.col("speed_kmh")
     return (
-        ends.withColumn("first_ts", instant("first_order"))
-        .withColumn("last_ts", instant("last_order"))
+        ends.withColumn("first_ts", instant("first"))
+        .withColumn("last_ts", instant("last"))
         .withColumn("distance_km", distance)
         .withColumn(
             "speed_kmh", F.when(elapsed > 0, F.col("distance_km") / (elapsed / F.lit(3600.0)))
@@ -138,7 +182,7 @@ def speeds(ends: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
                 F.lit(False),
             ),
         )
-        .drop("first_order", "last_order")
+        .drop("first_order", "last_order", "first_second", "last_second")
     )
 
 

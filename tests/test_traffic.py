@@ -336,6 +336,42 @@ def test_copies_into_sliding_windows_are_not_shuffled(spark):
     assert len(shuffles) == 2 and "hashpartitioning(vn" in shuffles[0]
 
 
+def test_copies_into_sliding_windows_are_not_kept(spark):
+    reports = spark.createDataFrame(random_reports(3), SCHEMA)
+    text = plan(traffic.sliding_sightings(reports, "10 minutes", "1 minute"))
+    tree = text.split("Initial Plan")[-1]
+    # Steps are aggregated, in two parts; windows come from them one by one.
+    assert tree.count("HashAggregate(") == 2
+    above = tree[: tree.index("Generate explode")]
+    assert "Sort [" not in above and "Aggregate" not in above
+
+
+def test_sliding_ends_over_gaps_and_reports_without_a_position(spark):
+    data = [
+        ("a", T0 + timedelta(seconds=s), lat, lat and 21.0, i)
+        for i, (s, lat) in enumerate([(5, 52.0), (125, None), (126, 52.1), (400, None), (1230, 52.2), (6000, None)])
+    ] + [("b", T0 + timedelta(seconds=3), None, None, 9)]
+    got = traffic.speeds(
+        traffic.sliding_sightings(spark.createDataFrame(data, SCHEMA), "10 minutes", "1 minute")
+    ).collect()
+    want = {}
+    for start in range(-600, 6060, 60):
+        for vn in "ab":
+            inside = [r for r in data if r[0] == vn and start <= (r[1] - T0).total_seconds() < start + 600]
+            if inside:
+                placed = [r for r in inside if r[2] is not None] or [(vn, None, None, None, None)]
+                want[T0 + timedelta(seconds=start), vn] = (
+                    len(inside), placed[0][1], placed[0][2], placed[-1][1], placed[-1][2]
+                )
+    found = {
+        (r["window"]["start"], r["vn"]): tuple(
+            r[c] for c in ("reports", "first_ts", "first_lat", "last_ts", "last_lat")
+        )
+        for r in got
+    }
+    assert len(got) == len(found) and found == want
+
+
 def test_a_window_that_is_no_multiple_of_the_slide_is_refused(spark):
     reports = spark.createDataFrame([], "vn string, ts timestamp, seq long, lat double, lon double")
     with pytest.raises(ValueError, match="multiple"):
