@@ -222,13 +222,14 @@ def targets(moving: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame
 def scores_with_targets(moving: DataFrame, config: C.ScoringConfig = C.DEFAULT) -> DataFrame:
     """Traffic score and targets of every window.
 
-    Both sides have all windows, so this is an inner join on a window that is
-    rebuilt to be never null: no filter gets derived for one side only, the plans
-    below stay equal, and the reports are read and shuffled once for both.
+    Only congested vehicles are ranked, so no others are sorted; a window without any gets its
+    empty list from the join. The window is rebuilt to be never null: no filter gets derived for
+    one side only, the plans below stay equal, and the reports are read and shuffled once for both.
     """
     bounds = F.struct(F.col("window.start").alias("start"), F.col("window.end").alias("end"))
     moving = moving.withColumn("window", bounds)
-    return traffic_scores(moving).join(targets(moving, config), "window")
+    scored = traffic_scores(moving).join(targets(moving.filter("congested"), config), "window", "left")
+    return scored.withColumn("targets", F.coalesce("targets", F.array().cast("array<string>")))
 
 
 def tumbling_traffic(

@@ -346,6 +346,13 @@ def test_copies_into_sliding_windows_are_not_kept(spark):
     assert "Sort [" not in above and "Aggregate" not in above
 
 
+def test_only_congested_vehicles_are_ranked_for_the_plan(spark):
+    df = traffic.sliding_sightings(spark.createDataFrame(random_reports(3), SCHEMA), "10 minutes", "1 minute")
+    text = plan(traffic.scores_with_targets(traffic.speeds(df)))
+    below = text[text.index("row_number(), 5, Partial") :]
+    assert "Filter" in below[: below.index("Generate explode")]
+
+
 def test_sliding_ends_over_gaps_and_reports_without_a_position(spark):
     data = [
         ("a", T0 + timedelta(seconds=s), lat, lat and 21.0, i)
