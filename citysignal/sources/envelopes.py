@@ -60,12 +60,24 @@ def read_table_stream(
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the source has fewer splits than there are cores.
+# Costly rows that one task is dealt at most.
+ROWS_A_TASK = 100_000
+
+
+def spread(df: DataFrame, rows: int = ROWS_A_TASK) -> DataFrame:
+    """Deal rows out to all cores, in tasks of at most about ``rows``.
 
     For batch reads ahead of costly per-row work, where a handful of files would
-    otherwise keep most of the cluster idle. A source with enough splits is
-    returned as it is, without a shuffle.
+    otherwise keep most of the cluster idle. Splits are cut by bytes, but a Parquet row group
+    is read whole by one of them, and tables of numbers have many rows a byte: so the rows of
+    each split are counted, which reads no columns. A source whose splits are many and even
+    enough is returned as it is, without a shuffle.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    counted = df.groupBy(F.spark_partition_id().alias("split")).count()
+    most, total = counted.agg(F.max("count"), F.sum("count")).first()
+    wanted = max(cores, -(-(total or 0) // rows))
+    # No split may hold more than two tasks' share.
+    if df.rdd.getNumPartitions() >= cores and (most or 0) * wanted <= 2 * (total or 0):
+        return df
+    return df.repartition(wanted)
