@@ -30,6 +30,32 @@ def search_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
+# Words of a keyword by which it meets texts.
+SPAN_WORDS = 3
+_APART = r"[^\p{L}\p{N}]"
+
+
+def first_span(keyword: Column) -> Column:
+    """The first words of a keyword with what is between them, empty for a keyword without words."""
+    return F.regexp_extract(keyword, rf"{WORD}(?:{_APART}+{WORD}){{0,{SPAN_WORDS - 1}}}", 0)
+
+
+def cut_words(text: Column, words: str, pieces: str) -> list[Column]:
+    """The words of a text in lower case, and each with what follows it up to the next."""
+    follows = F.regexp_extract_all(F.lower(text), F.lit(f"({WORD}{_APART}*)"), F.lit(1))
+    return [search_words(text).alias(words), follows.alias(pieces)]
+
+
+def spans(words: str, pieces: str, size: int) -> Column:
+    """All stretches of ``size`` words of a text as they are written; null where fewer words precede."""
+
+    def ending(word: Column, at: Column) -> Column:
+        before = [F.get(F.col(pieces), at - back) for back in range(size - 1, 0, -1)]
+        return F.concat(*before, word)
+
+    return F.transform(F.col(words), ending)
+
+
 def mentions(text: Column, keyword: Column) -> Column:
     """``mentions_any`` for a keyword from a column."""
     quoted = F.replace(F.lower(keyword), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))

@@ -19,6 +19,12 @@ def with_keywords(
     return posts.filter(text_functions.mentions_any(F.col(text), keywords))
 
 
+def _mentioned() -> Column:
+    """Most keywords are refused by the cheaper test."""
+    exact = text_functions.mentions(F.col("_lower"), F.col("keyword"))
+    return F.contains("_lower", "keyword") & exact
+
+
 def with_keyword_table(
     posts: DataFrame,
     keywords: DataFrame,
@@ -28,26 +34,31 @@ def with_keyword_table(
     """Posts that mention at least one of a table of keywords, with the sorted ``keywords`` they mention.
 
     ``keywords`` has words and phrases in a column ``keyword``, as many as wanted; they match like those of
-    ``with_keywords``. Texts meet keywords by the keyword's first word, and only keywords
-    that meet a text are tested on it. Keywords without a letter or digit are left out.
+    ``with_keywords``. Texts meet keywords by the keyword's first words, as they are written and apart, up to
+    ``text_functions.SPAN_WORDS``; a keyword of no more than those is found by that, and only a longer or
+    punctuated one that meets a text is tested on it. Keywords without a letter or digit are left out.
     A text's digest stands for it in between, so repeated ids are no matter.
     """
     listed = keywords.select(F.lower("keyword").alias("keyword")).distinct()
-    first = F.get(text_functions.search_words(F.col("keyword")), 0)
-    listed = listed.withColumn("first", first).filter(F.col("first").isNotNull())
+    listed = listed.withColumn("first", text_functions.first_span(F.col("keyword"))).filter("first <> ''")
+    sizes = listed.select(F.size(text_functions.search_words(F.col("first"))).alias("size")).distinct()
+    sizes = sorted(row["size"] for row in sizes.collect())
     digest = F.sha2(text, 256).alias("_digest")
-    words = F.explode(F.array_distinct(text_functions.search_words(F.col(text)))).alias("first")
+    lower = F.lower(text).alias("_lower")
+    cut = posts.select(digest, lower, *text_functions.cut_words(F.col(text), "_words", "_pieces"))
+    spans = F.flatten(F.array(*[text_functions.spans("_words", "_pieces", size) for size in sizes]))
+    spans = spans if sizes else F.array().cast("array<string>")
+    first = F.explode(F.array_distinct(spans)).alias("first")
+    whole = F.col("first") == F.col("keyword")
     if listed.limit(broadcast_words + 1).count() <= broadcast_words:
         # The text stays beside its words, which do not move.
-        near = posts.select(digest, F.lower(text).alias("_lower"), words)
-        met = near.join(F.broadcast(listed), "first")
+        met = cut.select("_digest", "_lower", first).join(F.broadcast(listed), "first")
+        hits = met.filter(whole | _mentioned())
     else:
-        near = posts.select(digest, words).join(listed, "first").select("_digest", "keyword").distinct()
-        texts = posts.select(digest, F.lower(text).alias("_lower")).dropDuplicates(["_digest"])
-        met = near.join(texts, "_digest")
-    # Most keywords are refused by the cheaper test.
-    hits = met.filter(F.contains("_lower", "keyword"))
-    hits = hits.filter(text_functions.mentions(F.col("_lower"), F.col("keyword")))
+        near = cut.select("_digest", first).join(listed, "first").distinct()
+        texts = posts.select(digest, lower).dropDuplicates(["_digest"])
+        tested = near.filter(~whole).join(texts, "_digest").filter(_mentioned())
+        hits = near.filter(whole).select("_digest", "keyword").unionAll(tested.select("_digest", "keyword"))
     found = hits.groupBy("_digest").agg(F.array_sort(F.collect_set("keyword")).alias("keywords"))
     return posts.select("*", digest).join(found, "_digest").drop("_digest")
 

@@ -126,3 +126,21 @@ def test_ten_thousand_keywords(spark):
     keywords = spark.range(10_000).select(F.concat(F.lit("w"), F.col("id"), F.when(F.col("id") % 200 == 0, " x").otherwise("")).alias("keyword"))
     found = search.with_keyword_table(posts, keywords)
     assert found.count() == 100
+
+
+def test_plain_keywords_that_share_a_word_are_not_tested_on_texts(spark, monkeypatch):
+    """Keywords of few words are met by all of them, so a common first word costs nothing."""
+    refuse = lambda text, keyword: F.raise_error(F.concat(F.lit("tested: "), keyword)).cast("boolean")
+    monkeypatch.setattr(search.text_functions, "mentions", refuse)
+    posts = spark.createDataFrame([(1, "The end, the w7  and the w8 end"), (2, "the, w9")], "id long, text string")
+    keywords = spark.range(2000).select(F.concat(F.lit("the w"), F.col("id")).alias("keyword"))
+    found = {r.id: r.keywords for r in search.with_keyword_table(posts, keywords).collect()}
+    assert found == {1: ["the w7", "the w8"]}
+
+
+@pytest.mark.parametrize("broadcast_words", [1_000_000, 0])
+def test_long_and_punctuated_keywords_are_tested_behind_their_first_words(spark, broadcast_words):
+    posts = spark.createDataFrame([(1, "a b c d e, f"), (2, "a b c e"), (3, "a  b c d e"), (4, "a b")], "id long, text string")
+    keywords = spark.createDataFrame([("a b c d e",), ("a b!",), ("e, f",), ("(a b c",)], "keyword string")
+    found = search.with_keyword_table(posts, keywords, broadcast_words=broadcast_words)
+    assert {r.id: r.keywords for r in found.collect()} == {1: ["a b c d e", "e, f"]}
