@@ -1118,10 +1118,11 @@ def stream_traffic(spark, sf_dir):
 
 @query("stream_sliding_traffic")
 def stream_sliding_traffic(spark, sf_dir):
-    scored = windows.stream_traffic(V.positions_of(_event_stream(spark, sf_dir)))
-    out = scratch(spark, "traffic")
-    windows.run_to_files(scored, out, scratch(spark, "checkpoint"))
-    return spark.read.parquet(out).select(
+    """The stream writes closed steps, windows over them follow."""
+    steps = windows.stream_steps(V.positions_of(_event_stream(spark, sf_dir)))
+    out = scratch(spark, "steps")
+    until = windows.run_to_files(steps, out, scratch(spark, "checkpoint"))
+    return windows.sliding_traffic_of(spark.read.schema(steps.schema).parquet(out), until).select(
         window_key(), "vehicles", "congested", *rounded("traffic_score")
     )
 

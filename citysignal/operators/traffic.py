@@ -80,13 +80,11 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     step at most, whatever it sent. Ends come as seconds of the window, ``first_second`` and
     ``last_second``, in place of packed orders.
     """
-    micros = [F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {i})") for i in (length, slide)]
-    span, every = reports.sparkSession.range(1).select(*micros).first()
-    if span % every:
-        raise ValueError(f"the window ({length}) must be a multiple of the slide ({slide})")
-    steps = sightings(reports, slide).withColumnRenamed("window", "step")
+    steps = sightings(reports, slide)
     if not reports.isStreaming:
-        return _looking_back(steps.repartition("vn"), span, every)
+        return sliding_ends(steps, length, slide)
+    _span_and_step(reports, length, slide)
+    steps = steps.withColumnRenamed("window", "step")
     # Only the built-in window keeps the watermark.
     copied = steps.withColumn("window", F.window(F.window_time("step"), length, slide))
     spread = (
@@ -101,6 +99,21 @@ def sliding_sightings(reports: DataFrame, length: str, slide: str) -> DataFrame:
     )
 
 
+def _span_and_step(rows: DataFrame, length: str, slide: str) -> tuple[int, int]:
+    """Both in microseconds."""
+    micros = [F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {i})") for i in (length, slide)]
+    span, every = rows.sparkSession.range(1).select(*micros).first()
+    if span % every:
+        raise ValueError(f"the window ({length}) must be a multiple of the slide ({slide})")
+    return span, every
+
+
+def sliding_ends(steps: DataFrame, length: str, slide: str) -> DataFrame:
+    """First and last report per vehicle and sliding window, in batch, from its ``sightings`` per slide step."""
+    span, every = _span_and_step(steps, length, slide)
+    return _looking_back(steps.withColumnRenamed("window", "step").repartition("vn"), span, every)
+
+
 def _looking_back(steps: DataFrame, span: int, every: int) -> DataFrame:
     """Ends of all sliding windows, of ``span`` microseconds each, from a vehicle's steps.
 

@@ -42,6 +42,30 @@ def stream_speeds(
     return traffic.speeds(ends, config)
 
 
+def stream_steps(
+    reports: DataFrame, lateness: str = LATENESS, config: C.ScoringConfig = C.DEFAULT
+) -> DataFrame:
+    """First and last report per vehicle and closed slide step; the input of ``sliding_traffic_of``.
+
+    State is one row per vehicle and step, where ``stream_traffic`` keeps one for every sliding
+    window over it as well.
+    """
+    return traffic.sightings(reports.withWatermark("ts", lateness), config.slide)
+
+
+def sliding_traffic_of(
+    steps: DataFrame, until: str | None, config: C.ScoringConfig = C.DEFAULT
+) -> DataFrame:
+    """Traffic score of the sliding windows that are closed, from the table of closed steps, in batch.
+
+    ``until`` is the watermark of the stream that wrote the steps: a window is closed once its last
+    step is. The rows are those that ``stream_traffic`` emits.
+    """
+    ends = traffic.sliding_ends(steps, config.window, config.slide)
+    closed = ends.filter(F.col("window.end") <= F.lit(until).cast("timestamp"))
+    return traffic.traffic_scores(traffic.speeds(closed, config))
+
+
 # Windows are reduced in this many parts by vehicle before they are put together.
 LANES = 64
 

@@ -267,3 +267,20 @@ def test_sliding_share_in_batch_and_on_a_stream(spark, tmp_path):
     windows.run_to_files(share, out, str(tmp_path / "c"))
     closed = data[-1][0] - timedelta(minutes=20)
     assert found(spark.read.parquet(out)) == {s: n for s, n in want.items() if s <= closed}
+
+
+def test_windows_over_closed_steps_equal_those_of_the_stream(spark, tmp_path):
+    """One state row a vehicle and step is enough: windows are made of the closed steps."""
+    path = str(tmp_path / "reports")
+    in_time_order(spark, path, random_reports(12, n=200))
+    stream = read_table_stream(spark, path, SCHEMA, max_files=1)
+    steps, out = windows.stream_steps(stream), str(tmp_path / "steps")
+    until = windows.run_to_files(steps, out, str(tmp_path / "c"))
+    got = windows.sliding_traffic_of(spark.read.parquet(out), until).collect()
+    whole = str(tmp_path / "whole")
+    windows.run_to_files(windows.stream_traffic(stream), whole, str(tmp_path / "d"))
+    want = spark.read.parquet(whole).collect()
+    key = lambda r: (r["window"]["start"], r["vehicles"], r["congested"], r["traffic_score"])
+    assert want and sorted(map(key, got)) == sorted(map(key, want))
+    once = spark.read.parquet(out).groupBy("window", "vn").count().filter("count > 1")
+    assert once.count() == 0
