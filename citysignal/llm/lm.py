@@ -11,14 +11,16 @@ model would hold more rows than the corpus has words.
 
 How the work is dealt out:
 
-1. A first pass counts tokens and finds contexts with a large share of them.
+1. A first pass counts tokens and finds contexts with a large share of them, and common words,
+   which are sent by number from then on.
 2. Each task counts its pairs and sends them, packed, to the part that owns the context.
    Heavy contexts are spread over several parts by the following word. Parts seat their
    customers; the tables per word go to the owners of the words.
 3. Word owners sum counts and customers, seat them in the parent, and answer the parts that
    asked. Driver and tasks exchange only totals and sums of heavy contexts.
-4. Pairs with their documents go to the same parts, which sample on with the parent's
-   probabilities, score every pair and send one sum a document.
+4. Pairs with their documents go to the same parts, which find their seating again by the pairs' order,
+   sample on with the parent's probabilities, score every pair and send one sum a document, packed by
+   blocks of documents.
 
 Packed rows hold numpy arrays; a part holds about ``PART_TOKENS`` tokens at any size of
 the input, and sampling is seeded by part, so a lost task draws the same again. The parent is
@@ -48,6 +50,8 @@ FIRST_SWEEPS = 2
 PART_TOKENS = 2_000_000
 FLUSH_TOKENS = 1_000_000
 HEAVY = 0.25  # of a part
+COMMON = 65_536
+BLOCK = 12  # rows whose numbers differ in so many low bits are summed up together
 SEED = 29
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 PACKED = "part int, kind int, body binary"
@@ -104,10 +108,13 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Shares:
-    """Which part owns a pair: by context; contexts with a large share by their followers too."""
+    """Which part owns a pair: by context; contexts with a large share by their followers too.
 
-    def __init__(self, parts: int, heavy: dict[int, int]):
-        self.parts = parts
+    ``common`` are words, rising, that are sent by their number in it; which ones changes no result.
+    """
+
+    def __init__(self, parts: int, heavy: dict[int, int], common: np.ndarray):
+        self.parts, self.common = parts, common
         self.heavy = np.array(sorted(heavy), np.uint64)
         self.spread = np.array([heavy[int(h)] for h in self.heavy], np.uint64)
 
@@ -121,38 +128,62 @@ class Shares:
         salt = (blocks.mixed(token) >> np.uint64(20)) % self.spread_of(context)
         return ((blocks.mixed(context) + salt) % np.uint64(self.parts)).astype(np.int64)
 
+    def numbers(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each name's number among the common words, and whether it is one."""
+        if not len(self.common):
+            return np.zeros(len(names), np.int32), np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(self.common, names), len(self.common) - 1)
+        return at.astype(np.int32), self.common[at] == names
+
+    def pairs(self, body: bytes) -> tuple:
+        """Names, the numbers in them of the contexts and of the tokens, and what else a body holds."""
+        known, names, a, b, *rest = unpack(body)
+        names = np.concatenate([self.common[np.cumsum(known)], np.cumsum(names)])
+        return names, np.cumsum(a), b, *rest
+
     def of_word(self, word: np.ndarray) -> np.ndarray:
         return (blocks.mixed(word ^ np.uint64(blocks.BASE)) % np.uint64(self.parts)).astype(np.int64)
 
 
 def first_pass(rows: DataFrame) -> Shares:
-    """Parts and heavy contexts. Tasks send contexts with a thousandth of their tokens."""
+    """Parts, heavy contexts and common words. Tasks send contexts with a thousandth of their tokens,
+    and the words they meet most among the first ones."""
 
     def count(batches):
-        import pyarrow as pa
-
-        total, held, heavy = 0, {}, {}
+        total, held, heavy, met = 0, {}, {}, [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for batch in batches:
             for _, _, context, _, _ in tokens(batch):
-                total += len(context)
                 own, n = np.unique(context, return_counts=True)
+                if total < FLUSH_TOKENS:
+                    met.append((own, n))
+                total += len(context)
                 large = n * 1000 >= len(context)
                 for h, x in zip(own[large].tolist(), n[large].tolist(), strict=True):
                     held[h] = held.get(h, 0) + x
         heavy = {h: n for h, n in held.items() if n * 1000 >= total}
         names = np.array(list(heavy), np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_pydict(
-            {"h": pa.array([None, *names.tolist()], pa.int64()), "n": pa.array([total, *heavy.values()], pa.int64())}
-        )
+        yield batch_of(0, [None, *names.tolist()], [total, *heavy.values()])
+        words, n = summed(*map(np.concatenate, zip(*met, strict=True)))
+        most = np.argsort(-n, kind="stable")[: COMMON // 4]
+        most = most[n[most] > 1]
+        yield batch_of(1, words[most].view(np.int64), n[most])
+
+    def batch_of(kind, h, n):
+        import pyarrow as pa
+
+        whole = {"kind": pa.array([kind] * len(h), pa.int32()), "h": pa.array(h, pa.int64()), "n": pa.array(n, pa.int64())}
+        return pa.RecordBatch.from_pydict(whole)
 
-    counted = rows.select("text").mapInArrow(count, "h bigint, n bigint")
-    counted = counted.groupBy("h").agg(F.sum("n").alias("n"))
-    total = counted.where("h is null").first()
+    counted = rows.select("text").mapInArrow(count, "kind int, h bigint, n bigint")
+    counted = written(counted.groupBy("kind", "h").agg(F.sum("n").alias("n")), "lm-counts")
+    total = counted.where("kind = 0 and h is null").first()
     parts = max(2, math.ceil((total.n if total else 0) / PART_TOKENS))
     least = HEAVY * (total.n if total else 0) / parts
-    large = counted.where("h is not null").where(F.col("n") > least).collect()
+    large = counted.where("kind = 0 and h is not null").where(F.col("n") > least).collect()
     spread = {r.h % (1 << 64): min(parts, math.ceil(r.n / least)) for r in large}
-    return Shares(parts, {h: s for h, s in spread.items() if s > 1})
+    common = counted.where("kind = 1").orderBy(F.desc("n"), "h").limit(COMMON).select("h").collect()
+    words = np.sort(np.array([r.h for r in common], np.int64).view(np.uint64))
+    return Shares(parts, {h: s for h, s in spread.items() if s > 1}, words)
 
 
 def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame:
@@ -170,10 +201,17 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
             held.clear()
             part = shared.value.of(context, token)
             names, where = np.unique(np.concatenate([context, token]), return_inverse=True)
+            # Common words get the first numbers, so that they need no name.
+            number, is_common = shared.value.numbers(names)
+            order = np.argsort(~is_common, kind="stable")
+            names, number, common = names[order], number[order], int(is_common.sum())
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            where = place[where]
             key = (where[: len(context)].astype(np.uint64) << np.uint64(32)) | where[len(context) :].astype(np.uint64)
             del context, token, where
-            keys = (row, key, part) if with_rows else (key, part)
-            order = np.lexsort(keys)
+            # A row's tokens lie together, and the sort keeps their order.
+            order = np.lexsort((key, part))
             key, part, row, n = key[order], part[order], row[order], n[order]
             fresh = np.append(True, (key[1:] != key[:-1]) | (with_rows & (row[1:] != row[:-1])))
             at = np.flatnonzero(fresh)
@@ -185,8 +223,8 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
                     np.concatenate([key[i:j] >> np.uint64(32), key[i:j] & np.uint64(0xFFFFFFFF)]),
                     return_inverse=True,
                 )
-                to = to.astype(np.int32)
-                body = [rising(names[own]), rising(to[: j - i]), to[j - i :]]
+                to, at = to.astype(np.int32), int(np.searchsorted(own, common))
+                body = [rising(number[own[:at]]), rising(names[own[at:]]), rising(to[: j - i]), to[j - i :]]
                 body += [row[i:j], n[i:j]] if with_rows else [n[i:j]]
                 out.append((int(part[i]), 2 if with_rows else 0, pack(*body)))
             columns = list(zip(*out, strict=True))
@@ -214,32 +252,43 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
 
 
 class Part:
-    """The distinct pairs of a part, sorted by context and token, and their seating."""
+    """The distinct pairs of a part, sorted by context and token, and their seating.
+
+    The pairs are those of the packed bodies, of either kind: both passes make the same list of them,
+    so that counts and tables of the first go to the second without the pairs.
+    """
 
-    def __init__(self, bodies: list[bytes]):
+    def __init__(self, bodies: list[bytes], shares: Shares, counted: bool):
         contexts, words, counts = [], [], []
         for body in bodies:
-            names, a, b, n = unpack(body)
-            names = np.cumsum(names)
-            contexts.append(names[np.cumsum(a)])
+            names, a, b, *rest = shares.pairs(body)
+            if counted:
+                counts.append(rest[0])
+            else:
+                at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+                a, b = a[at], b[at]
+            contexts.append(names[a])
             words.append(names[b])
-            counts.append(n)
-        context, word = np.concatenate(contexts), np.concatenate(words)
-        order = np.lexsort((word, context))
-        context, word, n = context[order], word[order], np.concatenate(counts)[order]
-        at = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
-        self._set(context[at], word[at], np.add.reduceat(n, at).astype(np.int64))
-
-    def _set(self, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
-        self.context, self.word, self.n = context, word, n
-        self.tables = (n > 0).astype(np.int64)
-        self.contexts, self.c = np.unique(context, return_inverse=True)
-        self.words, self.w = np.unique(word, return_inverse=True)
+        self.contexts, c = np.unique(np.concatenate(contexts), return_inverse=True)
+        self.words, w = np.unique(np.concatenate(words), return_inverse=True)
+        del contexts, words
+        pair = c.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64)
+        order = np.argsort(pair) if counted else None
+        pair = pair[order] if counted else np.sort(pair)
+        at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        pair = pair[at]
+        self.c, self.w = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        if counted:
+            n = np.add.reduceat(np.concatenate(counts)[order], at).astype(np.int64)
+            self.seat(n, n > 0)
+
+    def seat(self, n: np.ndarray, tables: np.ndarray) -> None:
+        self.n, self.tables = n.astype(np.int64), tables.astype(np.int64)
         self.customers = np.bincount(self.c, n, len(self.contexts))
         self.movable = np.flatnonzero(n > 1)
 
     def key(self) -> np.ndarray:
-        return blocks.mixed(self.context * np.uint64(blocks.BASE) + self.word)
+        return blocks.mixed(self.contexts[self.c] * np.uint64(blocks.BASE) + self.words[self.w])
 
     def sweep(self, p: np.ndarray, factor: np.ndarray, rng) -> np.ndarray:
         """Draws the tables of all pairs; returns tables by context. ``p``: the parent's
@@ -256,8 +305,16 @@ class Part:
         return np.bincount(self.w, values, len(self.words)).astype(np.int64)
 
 
+def by_owner(owner: np.ndarray):
+    """Each owner of words, rising, and where its words are, in order."""
+    order = np.argsort(owner, kind="stable")
+    bounds = np.flatnonzero(np.append(True, owner[order][1:] != owner[order][:-1]))
+    for i, j in zip(bounds.tolist(), [*bounds[1:].tolist(), len(owner)], strict=True):
+        yield int(owner[order[i]]), order[i:j]
+
+
 def seat_parts(packed: DataFrame, shares: Shares) -> DataFrame:
-    """The parts' states (kind 1), their words for the word owners (kind 3) and the sums of
+    """The parts' counts and tables (kind 1), their words for the word owners (kind 3) and the sums of
     heavy contexts (kind 4), packed."""
     shared = packed.sparkSession.sparkContext.broadcast(shares)
 
@@ -265,16 +322,14 @@ def seat_parts(packed: DataFrame, shares: Shares) -> DataFrame:
         import pyarrow as pa
 
         own = table.column("part")[0].as_py()
-        part, rng = Part(table.column("body").to_pylist()), np.random.default_rng([SEED, own])
+        part, rng = Part(table.column("body").to_pylist(), shared.value, True), np.random.default_rng([SEED, own])
         spread = shared.value.spread_of(part.contexts)
         for _ in range(FIRST_SWEEPS):
             served = part.by_word(part.tables) + 1.0 / len(part.words)
             totals = part.sweep(served / served.sum(), spread.astype(float), rng)
-        out = [(own, 1, pack(rising(part.contexts), rising(part.c.astype(np.int32)), part.word, part.n.astype(np.int32), part.tables.astype(np.int32)))]
+        out = [(own, 1, pack(part.n.astype(np.int32), part.tables.astype(np.int32)))]
         count, tables = part.by_word(part.n), part.by_word(part.tables)
-        owner = shared.value.of_word(part.words)
-        for o in np.unique(owner).tolist():
-            at = owner == o
+        for o, at in by_owner(shared.value.of_word(part.words)):
             body = pack(np.array([own], np.int64), rising(part.words[at]), count[at].astype(np.int32), tables[at].astype(np.int32))
             out.append((o, 3, body))
         large = spread > 1
@@ -296,8 +351,8 @@ def sums(seated: DataFrame) -> dict[int, tuple[int, int]]:
 
 
 def word_owners(seated: DataFrame) -> DataFrame:
-    """For each asking part: words, training counts, customers and tables in the parent (kind
-    5); totals of each owner's words (kind 6): N, V, customers, tables."""
+    """For each asking part, in the order of the words it asked for: training counts, customers and
+    tables in the parent (kind 5); totals of each owner's words (kind 6): N, V, customers, tables."""
 
     def own(table):
         import pyarrow as pa
@@ -327,7 +382,7 @@ def word_owners(seated: DataFrame) -> DataFrame:
         out = [(0, 6, pack(whole, np.array([mean.sum()])))]
         for part, mine, _, _ in asked:
             at = np.searchsorted(words, mine)
-            out.append((part, 5, pack(rising(mine), count[at], customers[at], mean[at].astype(np.float32))))
+            out.append((part, 5, pack(np.array([owner], np.int64), count[at], customers[at], mean[at].astype(np.float32))))
         return pa.table({"part": pa.array([o[0] for o in out], pa.int32()), "kind": pa.array([o[1] for o in out], pa.int32()), "body": pa.array([o[2] for o in out], pa.binary())})
 
     return seated.where("kind = 3").groupBy("part").applyInArrow(own, PACKED)
@@ -343,7 +398,7 @@ def totals_of(answers: DataFrame) -> tuple[int, int, int, float]:
 
 
 def scored_parts(packed: DataFrame, totals, heavy: dict, shares: Shares) -> DataFrame:
-    """Sums by row of what each part's pairs add: score, base score and known tokens."""
+    """What each part's pairs add to rows: score, base score and known tokens, packed by blocks of rows."""
     shared = packed.sparkSession.sparkContext.broadcast((totals, heavy, shares))
 
     def score(table):
@@ -354,14 +409,12 @@ def scored_parts(packed: DataFrame, totals, heavy: dict, shares: Shares) -> Data
         by_kind: dict[int, list[bytes]] = {1: [], 2: [], 5: []}
         for kind, body in zip(table.column("kind").to_pylist(), table.column("body").to_pylist(), strict=True):
             by_kind[kind].append(body)
-        part = Part.__new__(Part)
-        contexts, c, word, n, t = unpack(by_kind[1][0])
-        part._set(np.cumsum(contexts)[np.cumsum(c)], word, n.astype(np.int64))
-        part.tables = t.astype(np.int64)
-        answers = [unpack(body) for body in by_kind[5]]
-        words = np.concatenate([np.cumsum(a[0]) for a in answers])
-        order = np.argsort(words)
-        count, served, mean = (np.concatenate([a[k] for a in answers])[order] for k in (1, 2, 3))
+        part = Part(by_kind[2], where, False)
+        part.seat(*unpack(by_kind[1][0]))
+        answers = {int(a[0][0]): a[1:] for a in map(unpack, by_kind[5])}
+        count, served, mean = np.zeros(len(part.words), np.int64), np.zeros(len(part.words), np.int64), np.zeros(len(part.words), np.float32)
+        for o, at in by_owner(where.of_word(part.words)):
+            count[at], served[at], mean[at] = answers[o]
         even = 1.0 / (distinct + 1)
         p = np.maximum(served - ROOT_DISCOUNT * mean, 0.0)
         p = (p + (ROOT_STRENGTH + ROOT_DISCOUNT * tables) * even) / (ROOT_STRENGTH + customers)
@@ -387,19 +440,41 @@ def scored_parts(packed: DataFrame, totals, heavy: dict, shares: Shares) -> Data
         key = key[order]
         sums_by: list[tuple] = []
         for body in by_kind[2]:
-            names, a, b, row, times = unpack(body)
-            names = np.cumsum(names)
-            asked = blocks.mixed(names[np.cumsum(a)] * np.uint64(blocks.BASE) + names[b])
+            names, a, b, row, times = where.pairs(body)
+            asked = blocks.mixed(names[a] * np.uint64(blocks.BASE) + names[b])
             at = order[np.searchsorted(key, asked)]
             rows, inverse = np.unique(row, return_inverse=True)
             weigh = lambda x: np.bincount(inverse, x[at] * times, len(rows))  # noqa: B023, E731
             sums_by.append((rows, weigh(value), weigh(base), weigh(known)))
-        if not sums_by:
-            return pa.table({"row": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "base": pa.array([], pa.float64()), "known": pa.array([], pa.int64())})
-        rows, value, base, known = (np.concatenate(x) for x in zip(*sums_by, strict=True))
-        return pa.table({"row": rows, "score": value, "base": base, "known": known.astype(np.int64)})
+        blocks_of: dict[str, list] = {"block": [], "body": []}
+        if sums_by:
+            rows, where_to = np.unique(np.concatenate([x[0] for x in sums_by]), return_inverse=True)
+            value, base, known = (
+                np.bincount(where_to, np.concatenate([x[k] for x in sums_by]), len(rows)) for k in (1, 2, 3)
+            )
+            bounds = np.flatnonzero(np.append(True, np.diff(rows >> BLOCK) > 0))
+            for i, j in zip(bounds.tolist(), [*bounds[1:].tolist(), len(rows)], strict=True):
+                blocks_of["block"].append(int(rows[i] >> BLOCK))
+                blocks_of["body"].append(pack(rising(rows[i:j]), value[i:j], base[i:j], known[i:j].astype(np.int32)))
+        return pa.table({"block": pa.array(blocks_of["block"], pa.int64()), "body": pa.array(blocks_of["body"], pa.binary())})
 
-    return packed.groupBy("part").applyInArrow(score, "row bigint, score double, base double, known bigint")
+    return packed.groupBy("part").applyInArrow(score, "block bigint, body binary")
+
+
+def summed_rows(scored: DataFrame) -> DataFrame:
+    """Each row's sums over all parts."""
+
+    def total(table):
+        import pyarrow as pa
+
+        bodies = [unpack(body) for body in table.column("body").to_pylist()]
+        rows, where = np.unique(np.concatenate([np.cumsum(b[0]) for b in bodies]), return_inverse=True)
+        value, base, known = (
+            np.bincount(where, np.concatenate([b[k] for b in bodies]), len(rows)) for k in (1, 2, 3)
+        )
+        return pa.table({"row": rows, "score": value, "base_score": base, "n_known": known.astype(np.int64)})
+
+    return scored.groupBy("block").applyInArrow(total, "row bigint, score double, base_score double, n_known bigint")
 
 
 def numbered(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -444,10 +519,7 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         .unionByName(seated.where("kind = 1"))
         .unionByName(answers.where("kind = 5"))
     )
-    parts = scored_parts(packed, totals, sums(seated), shares)
-    summed_up = parts.groupBy("row").agg(
-        F.sum("score").alias("score"), F.sum("base").alias("base_score"), F.sum("known").alias("n_known")
-    )
+    summed_up = summed_rows(scored_parts(packed, totals, sums(seated), shares))
     return sizes(rows).join(summed_up, "row").select(
         "doc_id",
         "held_out",

@@ -130,6 +130,42 @@ def test_model_is_a_probability(spark):
     assert all(0 < p < 1 for p in score.values()) and start.count() == 8
 
 
+def test_pairs_travel_by_common_words_and_states_without_them(spark):
+    rows = lm.numbered(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(False))
+    shares = lm.first_pass(rows)
+    plain = lm.Shares(shares.parts, {}, np.zeros(0, np.uint64))
+    packed = {}
+    for name, by in (("common", shares), ("plain", plain)):
+        for with_rows in (False, True):
+            found = collections.defaultdict(list)
+            for r in lm.pairs_by_part(rows, by, with_rows).collect():
+                found[r.part].append(bytes(r.body))
+            packed[name, with_rows] = found
+    size = lambda key: sum(len(b) for bodies in packed[key].values() for b in bodies)
+    assert len(shares.common) and size(("common", True)) < 0.9 * size(("plain", True))
+    for part, bodies in packed["common", False].items():
+        first, same = lm.Part(bodies, shares, True), lm.Part(packed["plain", False][part], plain, True)
+        again = lm.Part(packed["common", True][part], shares, False)
+        for other in (same, again):
+            assert (first.key() == other.key()).all() and (first.words == other.words).all()
+        assert (first.n == same.n).all()
+    seated = lm.seat_parts(lm.pairs_by_part(rows, shares, False), shares)
+    states = sum(len(r.body) for r in seated.where("kind = 1").collect())
+    pairs = sum(len(lm.Part(b, shares, True).n) for b in packed["common", False].values())
+    assert states < 2 * pairs
+
+
+def test_parts_send_their_sums_by_blocks_of_rows(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(lm, "summed_rows", lambda scored, was=lm.summed_rows: made.append(scored) or was(scored))
+    monkeypatch.setattr(lm, "PART_TOKENS", 20_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
+    assert lm.score(docs).count() == docs.count()
+    parts = lm.first_pass(lm.numbered(docs, F.lit(False))).parts
+    # One row a part, for all rows are of one block; it was one a part and document.
+    assert 2 < made[0].count() <= parts
+
+
 def test_tables_are_drawn_from_their_law():
     rng = np.random.default_rng(1)
     n, c, p, others, d = 20_000, 5, 0.01, 7.0, 0.8
