@@ -8,14 +8,15 @@ when their sets' intersection is at least 75 % of their union.
    sets share a shingle among their first ``n - ceil(0.75 n) + 1``. Rarity is read from
    counts in ``SKETCH`` hash buckets, a table of fixed size; any order is exact.
 3. Tiles. A group is sorted by set size and cut into blocks of ``TILE`` sets; only blocks
-   whose sizes can still reach the threshold form a tile. Equal tiles are made once.
+   whose sizes can still reach the threshold form a tile. Equal tiles are made once, and small
+   ones that share their least or their greatest set become one, for near copies share many shingles.
 4. Bitmaps. Each set has a parity bitmap of two to four bits a shingle. The bits in
    which two differ are at most the shingles in which the sets differ, which bounds the
    overlap from above; pairs below the threshold stop here.
 5. Exact check of what is left by intersecting sorted arrays. First each tile proposes a
    spanning tree of its candidates; components of the links found leave the pairs between
-   different components, which are checked all. No link between components is lost, and
-   copies of one text in thousands do not cost all pairs.
+   different components, which are checked all, but in tiles whose tree was all they had. No link
+   between components is lost, and copies of one text in thousands do not cost all pairs.
 6. Components of all links give each class its smallest document id.
 
 Texts without words have no set, link with nothing, and are their own component. Null
@@ -38,6 +39,7 @@ PERCENT = 75
 SKETCH = 1 << 16
 TILE = 1024
 STAR = 1024
+MERGED = 128
 LEAST_BITS = 256
 
 
@@ -249,7 +251,24 @@ def tiles(table: DataFrame) -> DataFrame:
     made = sorted_keys.select("key", "set_id", "n").mapInArrow(
         groups, "tile bigint, left array<bigint>, right array<bigint>"
     )
-    return made.groupBy("tile").agg(F.first("left").alias("left"), F.first("right").alias("right"))
+    made = made.groupBy("tile").agg(F.first("left").alias("left"), F.first("right").alias("right"))
+    return merged(merged(made, F.array_min), F.array_max)
+
+
+def merged(table: DataFrame, end) -> DataFrame:
+    """The tiles, with blocks of the same ``end`` as one where that has at most ``MERGED`` sets.
+
+    Every pair of sets in a tile is still in one; more pairs may meet, which the exact check sorts out.
+    """
+    small = F.col("right").isNull() & (F.size("left") <= MERGED)
+    own = table.withColumn("anchor", F.when(small, end("left")).otherwise(F.col("tile")))
+    own = own.groupBy("anchor", small.alias("small")).agg(
+        F.collect_list(F.struct("tile", "left", "right")).alias("own")
+    )
+    union = F.array_distinct(F.flatten("own.left"))
+    one = F.array(F.struct(F.array_min("own.tile").alias("tile"), union.alias("left"), F.lit(None).cast("array<bigint>").alias("right")))
+    fits = F.col("small") & (F.size(union) <= MERGED)
+    return own.select(F.inline(F.when(fits, one).otherwise(F.col("own"))))
 
 
 def differing(bits: list[bytes], others: list[bytes]) -> np.ndarray:
@@ -324,8 +343,8 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray):
 
 
 def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | None) -> DataFrame:
-    """Distinct pairs (a, b) that pass the bitmaps: spanning trees, or with ``labelled`` (node,
-    component) all pairs of different components."""
+    """Pairs (a, b) that pass the bitmaps: spanning trees, or with ``labelled`` (node, component)
+    all pairs of different components. Where trees leave pairs out, a row names the ``tile`` and no pair."""
     members = tiles_table.select(
         "tile", F.explode("left").alias("set_id"), F.lit(0).alias("side")
     ).unionByName(
@@ -342,7 +361,11 @@ def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | Non
         members = members.join(several.where("least <> most").select("tile"), "tile")
     else:
         members = members.withColumn("component", F.col("set_id"))
-    rows = members.join(marks, "set_id").select("tile", "side", "set_id", "component", "n", "bits")
+    # Bitmaps travel for sets in tiles only.
+    members = written(members, "jaccard-members")
+    wanted = small_side(members.select("set_id").distinct(), ID_ROWS)
+    wanted_marks = marks.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
+    rows = members.join(wanted_marks, "set_id").select("tile", "side", "set_id", "component", "n", "bits")
     all_pairs = labelled is not None
 
     def compare(table):
@@ -357,15 +380,26 @@ def proposed(tiles_table: DataFrame, marks: DataFrame, labelled: DataFrame | Non
             table.column("bits").to_pylist(),
             0 if split == len(ids) else split,
         )
+        left_out = []
         if all_pairs:
             label = table.column("component").to_numpy()
             apart = label[i] != label[j]
             i, j = i[apart], j[apart]
         else:
+            whole = len(i)
             i, j = spanning(len(ids), i, j, ids)
-        return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+            left_out = [table.column("tile")[0].as_py()] * (len(i) < whole)
+        pairs = [np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]
+        none = [None] * len(left_out)
+        return pa.table(
+            {
+                "a": pa.array([*pairs[0].tolist(), *none], pa.int64()),
+                "b": pa.array([*pairs[1].tolist(), *none], pa.int64()),
+                "tile": pa.array([*[None] * len(i), *left_out], pa.int64()),
+            }
+        )
 
-    return rows.groupBy("tile").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return rows.groupBy("tile").applyInArrow(compare, "a bigint, b bigint, tile bigint").distinct()
 
 
 def arrays(docs: DataFrame, digests: DataFrame) -> DataFrame:
@@ -414,7 +448,7 @@ def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame) -> DataFrame:
         split.select("a", "star", F.col("a").alias("set_id")).distinct()
     )
     wanted = small_side(wanted, ID_ROWS)
-    digests = marks.select("set_id", "digest").join(wanted.select("set_id"), "set_id", "left_semi")
+    digests = marks.select("set_id", "digest").dropDuplicates(["set_id"]).join(wanted.select("set_id"), "set_id", "left_semi")
     digests = written(digests.select("digest").distinct(), "jaccard-texts")
     rows = arrays(docs, small_side(digests, ID_ROWS)).join(wanted, "set_id")
 
@@ -442,10 +476,12 @@ def grouped(docs: DataFrame) -> DataFrame:
     made = written(tiles(table), "jaccard-tiles")
     marks = table.where("bits is not null").select(
         "set_id", F.col("n_shingles").alias("n"), "bits", "digest"
-    ).dropDuplicates(["set_id"])
-    links = written(verified(docs, proposed(made, marks, None), marks), "jaccard-links")
-    rest = proposed(made, marks, components(links))
-    more = written(verified(docs, rest, marks), "jaccard-links")
+    )
+    first = written(proposed(made, marks, None), "jaccard-trees")
+    trees, several = first.where("a is not null").select("a", "b"), first.where("a is null").select("tile")
+    links = written(verified(docs, trees, marks), "jaccard-links")
+    rest = proposed(made.join(several, "tile", "left_semi"), marks, components(links))
+    more = written(verified(docs, rest.select("a", "b"), marks), "jaccard-links")
     joined = components(links.unionByName(more))
     classes = (
         table.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

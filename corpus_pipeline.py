@@ -34,8 +34,12 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact(docs)
 
 
+# What a worker remembers, less than where no earlier stage has left workers beside it.
+MEMO = 100_000
+
+
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lattice.encode(docs, public_tokenizers.path(PIECES))
+    return lattice.encode(docs, public_tokenizers.path(PIECES), memo=MEMO)
 
 
 STAGES = [

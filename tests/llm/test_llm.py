@@ -618,6 +618,37 @@ def test_words_and_shingles_match_brute_force():
         assert len(a & b) == len(x & y)
 
 
+def test_tiles_of_near_copies_become_few_and_keep_every_pair(spark):
+    far, big = list(range(1000, 1000 + jaccard.MERGED)), list(range(5000, 5000 + jaccard.MERGED + 1))
+    tiles = [[1, 2], [1, 3], [1, 2, 3], [2, 3], [7, 8], [1, *far], big]
+    rows = [(i, t, None) for i, t in enumerate(tiles)] + [(90, [1, 2], [3, 4])]
+    table = spark.createDataFrame(rows, "tile bigint, left array<bigint>, right array<bigint>")
+    got = jaccard.merged(jaccard.merged(table, F.array_min), F.array_max).collect()
+    pairs = lambda left: {(a, b) for a in left for b in left if a < b}
+    held = set().union(*(pairs(r.left) for r in got if r.right is None))
+    assert held == set().union(*map(pairs, tiles))
+    assert sum(len(r.left) for r in got if max(r.left) < 1000 and r.right is None) == 5
+    assert [(r.left, r.right) for r in got if r.right] == [([1, 2], [3, 4])] and len({r.tile for r in got}) == len(got)
+
+
+def test_settled_tiles_are_not_compared_again(spark):
+    """A tree that has all pairs of its tile names no tile; one that leaves pairs out does."""
+    bits = bytes([255] * 32)
+    sets = spark.createDataFrame([(i, 100, bytearray(bits)) for i in range(6)], "set_id bigint, n bigint, bits binary")
+    tiles = spark.createDataFrame([(1, [0, 1], None), (2, [3, 4, 5], None)], "tile bigint, left array<bigint>, right array<bigint>")
+    got = {tuple(r) for r in jaccard.proposed(tiles, sets, None).collect()}
+    assert got == {(0, 1, None), (3, 4, None), (3, 5, None), (None, None, 2)}
+
+
+def test_samples_do_not_depend_on_what_workers_remember(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    wanted, got = (
+        {(r.doc_id, r.sample): r.ids for r in lattice.encode(docs, model, memo=m).collect()} for m in (lattice.MEMO, 500)
+    )
+    assert wanted == got
+
+
 def test_large_groups_need_no_all_pairs(spark):
     """A family of near copies, copies of one text, and texts that share a passage only."""
     rng = random.Random(9)
