@@ -40,6 +40,11 @@ def vehicle_key(ts: Column, vehicle: Column, tz: str = "UTC") -> Column:
     return F.concat_ws("_", second_key(ts, tz), vehicle)
 
 
+def key_vehicle(key: Column) -> Column:
+    """The vehicle number in a vehicle key, null in a bare second key."""
+    return F.get(F.split(key, "_", 3), F.lit(2))
+
+
 def tweet_key(ts: Column, tweet_id: Column, tz: str = "UTC") -> Column:
     """Second key plus message id; null when either is null."""
     return F.concat(second_key(ts, tz), F.lit("_"), tweet_id)

@@ -156,9 +156,16 @@ class KeyedTable:
             return latest_per_key(ranked, self.key, ["write_order"]).drop("write_order")
         return latest_per_key(rows, self.key, ["written_at", *self.order])
 
-    def latest(self) -> DataFrame:
-        """Current row of every key."""
-        return self._newest(self.changes()).drop("written_at")
+    def latest(self, *values: Column | str) -> DataFrame:
+        """Current row of every key; with ``values``, its key and order columns and these only.
+
+        Values are taken from every logged row before rows compete: with none but numbers and times,
+        rows are reduced by hashing, without their strings.
+        """
+        rows = self.changes()
+        if values:
+            rows = rows.select(self.key, *self.order, "written_at", *values)
+        return self._newest(rows).drop("written_at")
 
     def get(self, value: str) -> DataFrame:
         """Current row of one key.

@@ -72,11 +72,15 @@ def decide_stored(
     length: str | None = None,
     tz: str = "UTC",
 ) -> DataFrame:
-    """Decisions from the current rows of the feeds' tables."""
-    current = {feed: table.latest() for feed, table in tables(spark, root).items()}
-    at = F.try_to_timestamp("gps_time", F.lit(keys.CLOCK_TIME))
-    reports = traffic.positions(
-        current["vehicles"].withColumn("at", at), vehicle="vehicle_number", ts="at", seq=ARRIVED
-    )
-    tweets = current["tweets"].select(F.timestamp_micros(ARRIVED).alias("ts"), "sentiment_score")
-    return decision_plan(reports, tweets, current["weather"], config, length=length, tz=tz)
+    """Decisions from the current rows of the feeds' tables.
+
+    Of vehicles and messages only numbers and times are read beside the key, which holds the vehicle.
+    """
+    stored = tables(spark, root)
+    at = F.try_to_timestamp("gps_time", F.lit(keys.CLOCK_TIME)).alias("at")
+    seen = stored["vehicles"].latest(at, "lat", "lon")
+    seen = seen.withColumn("vehicle_number", keys.key_vehicle(F.col("row_key")))
+    reports = traffic.positions(seen, vehicle="vehicle_number", ts="at", seq=ARRIVED)
+    tweets = stored["tweets"].latest("sentiment_score")
+    tweets = tweets.select(F.timestamp_micros(ARRIVED).alias("ts"), "sentiment_score")
+    return decision_plan(reports, tweets, stored["weather"].latest(), config, length=length, tz=tz)

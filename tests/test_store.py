@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from citysignal.functions import keys
 from citysignal.operators.state import latest_state
 from citysignal.operators.store import KeyedTable, latest_per_key, retained
 from citysignal.plans import archive
@@ -281,3 +282,17 @@ def test_backfill_of_many_hours_with_a_crowded_one(spark, tmp_path, rows):
     assert stored.select("dt", "hr").distinct().count() == 60
     crowded = list((tmp_path / "archive/dt=20260102/hr=06").glob("run=*/part-*.parquet"))
     assert len(crowded) > 1
+
+
+def test_latest_of_numbers_hashes_and_leaves_strings_unread(spark, tmp_path):
+    rows = [("20240101_000000_7_a", 1, "x", 2.0), ("20240101_000000_7_a", 2, "y", None), ("20240101_000001", 1, "z", 3.0)]
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    table.upsert(spark.createDataFrame(rows, "row_key string, seq long, name string, v double"), 0)
+    got = table.latest("v", (F.col("v") * 2).alias("w"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "name" not in plan
+    got = got.withColumn("vehicle", keys.key_vehicle(F.col("row_key"))).orderBy("row_key")
+    assert [tuple(r) for r in got.collect()] == [
+        ("20240101_000000_7_a", 2, None, None, "7_a"),
+        ("20240101_000001", 1, 3.0, 6.0, None),
+    ]
