@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,11 @@ NO_SPACES = r"[^\x20\x09-\x0D]"
 # Rows of a table of one or two numbers that may be broadcast: some 16 bytes each.
 ID_ROWS = 2_000_000
 
+# Rows of whole texts that go to Python at once; Spark's own 10,000 are held several times beside the heap.
+TEXT_BATCH = 1_000
+
 __all__ = [
-    "ID_ROWS", "NO_SPACES", "SPACES", "UPPER", "cut_lineage", "fold", "lower_ascii",
+    "ID_ROWS", "NO_SPACES", "SPACES", "TEXT_BATCH", "UPPER", "arrow_rows", "cut_lineage", "fold", "lower_ascii",
     "occurrences", "only", "read_table", "restored", "scratch", "shielded", "small_side", "text_of", "words_of",
     "written",
 ]
@@ -76,6 +80,19 @@ def fold(name: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % parts
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int = TEXT_BATCH):
+    """What runs inside hands batches of at most ``rows`` rows to Python; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    least = rows if int(own) <= 0 else min(rows, int(own))
+    spark.conf.set(name, str(least))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: computed once, lineage cut."""
     path = scratch(df.sparkSession, purpose)

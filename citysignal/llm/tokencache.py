@@ -29,7 +29,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citysignal.llm.common import only, text_of
+from citysignal.llm.common import arrow_rows, only, text_of
 
 MEMO = 400_000
 SCHEMA = "content binary, n_tokens bigint"
@@ -112,7 +112,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, chunked: bool = Fa
         else keyed
     )
     missing = missing.groupBy("content").agg(F.first("body").alias("body"))
-    missing.mapInArrow(encoder(tokenizer, chunked), SCHEMA).write.mode("append").parquet(store)
+    with arrow_rows(spark):
+        missing.mapInArrow(encoder(tokenizer, chunked), SCHEMA).write.mode("append").parquet(store)
     known = (
         spark.read.schema(SCHEMA)
         .parquet(store)

@@ -33,6 +33,7 @@ from citysignal.llm import (
     toolcalls,
     warc,
 )
+from citysignal.llm.common import TEXT_BATCH
 from citysignal.llm.oracles import ORACLES
 from citysignal.llm.queries import PIECES, QUERIES, WORDS
 from citysignal.session import scratch
@@ -597,6 +598,25 @@ def test_counts_equal_the_library_and_are_stored_once(spark, texts, awkward):
         assert {r.doc_id: r.n_tokens for r in got.itertuples()} == {i: count(t) for i, t in enumerate(odd)}
 
 
+def test_texts_go_to_the_encoder_in_small_batches(spark, monkeypatch):
+    def sizes(path, chunked):
+        def count(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                n = pa.array([len(batch)] * len(batch), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("content"), n], ["content", "n_tokens"])
+
+        return count
+
+    monkeypatch.setattr(tokencache, "encoder", sizes)
+    own = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(6 * TEXT_BATCH).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    got = tokencache.token_counts(docs, public_tokenizers.path(WORDS), scratch(spark, "test-cache"))
+    assert got.count() == 6 * TEXT_BATCH and got.agg(F.max("n_tokens")).first()[0] <= TEXT_BATCH
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == own
+
+
 # --- 10 Jaccard join
 
 
