@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citysignal.llm import blocks
-from citysignal.llm.common import ID_ROWS, only, restored, shielded, small_side, written
+from citysignal.llm.common import ID_ROWS, arrow_rows, only, restored, shielded, small_side, written
 from citysignal.llm.components import components
 
 WORDS = 5
@@ -40,6 +40,9 @@ SKETCH = 1 << 16
 TILE = 1024
 STAR = 1024
 MERGED = 128
+# Rows of a tile compared at once, and bytes of texts hashed at once: both bound what a worker holds.
+COMPARED = 128
+SLICE_BYTES = 1 << 18
 LEAST_BITS = 256
 
 
@@ -49,7 +52,7 @@ def bucket(h: np.ndarray) -> np.ndarray:
 
 def distinct_sets(batch):
     """(first row, row of each shingle, shingle) by slice, distinct, sorted by row and hash."""
-    for first, data, offsets in blocks.slices(batch.column("text")):
+    for first, data, offsets in blocks.slices(batch.column("text"), SLICE_BYTES):
         h, counts = blocks.hashed_words(data, offsets)
         made, owner = blocks.shingle_sets(h, counts, WORDS)
         order = np.lexsort((made, owner))
@@ -271,15 +274,13 @@ def merged(table: DataFrame, end) -> DataFrame:
     return own.select(F.inline(F.when(fits, one).otherwise(F.col("own"))))
 
 
-def differing(bits: list[bytes], others: list[bytes]) -> np.ndarray:
-    """Bits that differ, for all pairs; wider bitmaps are folded to the narrowest width."""
-    width = min(map(len, [*bits, *others]))
+def folded(bits: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps row by row, wider ones folded to ``width`` bytes."""
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), 0) for b in bits])
 
-    def folded(all_bits: list[bytes]) -> np.ndarray:
-        rows = [np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), 0) for b in all_bits]
-        return np.stack(rows)
 
-    a, b = folded(bits), folded(others)
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ, for all pairs of bitmaps of one width."""
     out = np.empty((len(a), len(b)), np.int32)
     for i in range(len(a)):
         out[i] = np.bitwise_count(a[i] ^ b).sum(1, dtype=np.int32)
@@ -290,7 +291,7 @@ def bounded_pairs(ids, sizes, bits, split: int) -> tuple[np.ndarray, np.ndarray]
     """Positions (i, j) whose sizes and bitmaps allow the threshold; ``split`` parts left and right.
 
     Members are sorted by size, so each row looks only at the following rows it can reach,
-    in runs of equal bitmap width.
+    in runs of equal bitmap width, of which ``COMPARED`` rows are compared at once.
     """
     found_i, found_j = [], []
     n = len(ids)
@@ -301,18 +302,22 @@ def bounded_pairs(ids, sizes, bits, split: int) -> tuple[np.ndarray, np.ndarray]
     while at < n:
         # Rows of one width against all later rows within reach.
         stop = at + int(np.argmax(np.append(widths[at:] != widths[at], True)))
-        reach = int(np.searchsorted(PERCENT * size, 100 * size[stop - 1], "right"))
-        mine, theirs = where[at:stop], where[at:max(reach, stop)]
-        differ = differing([bits[k] for k in mine], [bits[k] for k in theirs])
-        a, b = size[at:stop, None].astype(np.int64), size[None, at:max(reach, stop)].astype(np.int64)
-        overlap = np.minimum((a + b - differ) // 2, a)
-        fits = 100 * overlap >= PERCENT * (a + b - overlap)
-        fits &= np.arange(len(theirs))[None, :] > np.arange(len(mine))[:, None]
-        if split:
-            fits &= (mine < split)[:, None] != (theirs < split)[None, :]
-        i, j = np.nonzero(fits)
-        found_i.append(mine[i])
-        found_j.append(theirs[j])
+        reach = max(int(np.searchsorted(PERCENT * size, 100 * size[stop - 1], "right")), stop)
+        narrow = folded([bits[k] for k in where[at:reach]], int(widths[at:reach].min()))
+        for first in range(at, stop, COMPARED):
+            last = min(first + COMPARED, stop)
+            end = max(int(np.searchsorted(PERCENT * size, 100 * size[last - 1], "right")), last)
+            mine, theirs = where[first:last], where[first:end]
+            differ = differing(narrow[first - at : last - at], narrow[first - at : end - at])
+            a, b = size[first:last, None].astype(np.int64), size[None, first:end].astype(np.int64)
+            overlap = np.minimum((a + b - differ) // 2, a)
+            fits = 100 * overlap >= PERCENT * (a + b - overlap)
+            fits &= np.arange(len(theirs))[None, :] > np.arange(len(mine))[:, None]
+            if split:
+                fits &= (mine < split)[:, None] != (theirs < split)[None, :]
+            i, j = np.nonzero(fits)
+            found_i.append(mine[i])
+            found_j.append(theirs[j])
         at = stop
     if not found_i:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -433,12 +438,11 @@ def arrays(docs: DataFrame, digests: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that do link, by exact intersection.
+    """The stored pairs (a, b) of sets that do link, by exact intersection.
 
     Only texts whose set is in a pair are made into arrays. Pairs are grouped by their first set, in stars of
     about ``STAR`` partners, so that an array travels once a star.
     """
-    pairs = written(pairs, "jaccard-candidates")
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).alias("stars"))
     split = pairs.join(degree, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("stars")).alias("star")
@@ -470,18 +474,26 @@ def verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame) -> DataFrame:
     return rows.groupBy("a", "star").applyInArrow(intersect, "a bigint, b bigint")
 
 
+def linked(docs: DataFrame, pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    pairs = written(pairs, "jaccard-candidates")
+    with arrow_rows(docs.sparkSession):
+        return written(verified(docs, pairs, marks), "jaccard-links")
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
-    table = written(profiles(docs, sketch(docs)), "jaccard-sets")
+    # What reads whole texts gets them in small batches; the narrow rows of tiles go by Spark's own.
+    with arrow_rows(docs.sparkSession):
+        table = written(profiles(docs, sketch(docs)), "jaccard-sets")
     made = written(tiles(table), "jaccard-tiles")
     marks = table.where("bits is not null").select(
         "set_id", F.col("n_shingles").alias("n"), "bits", "digest"
     )
     first = written(proposed(made, marks, None), "jaccard-trees")
     trees, several = first.where("a is not null").select("a", "b"), first.where("a is null").select("tile")
-    links = written(verified(docs, trees, marks), "jaccard-links")
+    links = linked(docs, trees, marks)
     rest = proposed(made.join(several, "tile", "left_semi"), marks, components(links))
-    more = written(verified(docs, rest.select("a", "b"), marks), "jaccard-links")
+    more = linked(docs, rest.select("a", "b"), marks)
     joined = components(links.unionByName(more))
     classes = (
         table.where("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

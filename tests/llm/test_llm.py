@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -651,6 +652,30 @@ def test_tiles_of_near_copies_become_few_and_keep_every_pair(spark):
     assert [(r.left, r.right) for r in got if r.right] == [([1, 2], [3, 4])] and len({r.tile for r in got}) == len(got)
 
 
+@pytest.mark.parametrize("split", [0, 900])
+def test_large_tiles_are_compared_by_blocks_of_rows(split):
+    rng = np.random.default_rng(4)
+    base, sets = rng.integers(0, 2**63, 300, np.uint64), []
+    for _ in range(2048):
+        n = int(rng.integers(90, 300))
+        sets.append(np.unique(np.concatenate([base[: n - n // 8], rng.integers(0, 2**63, n // 8, np.uint64)])))
+    sizes = np.array([len(x) for x in sets])
+    bits = [jaccard.parity(x, jaccard.bitmap_bits(len(x))) for x in sets]
+    tracemalloc.start()
+    i, j = jaccard.bounded_pairs(np.arange(len(sets)), sizes, bits, split)
+    peak = tracemalloc.get_traced_memory()[1] - 16 * len(i) * 2
+    tracemalloc.stop()
+    assert peak < 30e6
+    got = set(zip(np.minimum(i, j).tolist(), np.maximum(i, j).tolist(), strict=True))
+    assert len(got) == len(i)
+    for a in rng.integers(0, len(sets), 60).tolist():
+        for b in rng.integers(0, len(sets), 60).tolist():
+            common = len(np.intersect1d(sets[a], sets[b]))
+            near = 100 * common >= jaccard.PERCENT * (len(sets[a]) + len(sets[b]) - common)
+            if near and a < b and (not split or (a < split) != (b < split)):
+                assert (a, b) in got
+
+
 def test_settled_tiles_are_not_compared_again(spark):
     """A tree that has all pairs of its tile names no tile; one that leaves pairs out does."""
     bits = bytes([255] * 32)
