@@ -15,7 +15,7 @@ log(1 - exp(-exp(log_prob - threshold))).
 
 Pieces never run over a boundary between a character and a following space mark or over a
 line end, so the sum over the lattice is a product over chunks, each kept in a bounded memo of
-its worker; a document is walked as arrays over its chunks, whole, at any length. Chunks new to
+its worker, which forgets what is rare when it is full; a document is walked as arrays over its chunks, whole, at any length. Chunks new to
 the memo, and the draws of many texts, are worked on side by side as arrays. The random
 numbers are seeded by the row's key: repeated rows are sampled alike, null keys share
 a seed. Null and empty texts have one segmentation, the empty one. Texts with fewer than k
@@ -46,7 +46,7 @@ WIDTHS = (4, 8, 12, 16, 24)
 SHORT = WIDTHS[-1]
 SLICE = 8192
 # Characters of texts searched together.
-TOGETHER = 400_000
+TOGETHER = 1_600_000
 # Not a code point: fills chunks up to their width. Edges without a piece of their own.
 PAD = 0x110000
 NOTHING, BYTES = -1, -2
@@ -123,13 +123,16 @@ class Lattice:
         self.words: dict[str, int] = {}
         self.word_flat = np.zeros(0, np.int64)
         self.word_starts, self.word_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # In how many calls each word was met.
+        self.word_met = np.zeros(0, np.int64)
         self.names: list[str] = []
         self.edges: dict[int, tuple] = {}
-        self.besides: dict[int, float] = {}
         # By chunk: probability of the best segmentation, its logarithm, whether there are
         # others, and where its ids are.
         self.p_best, self.log_best = np.zeros(0), np.zeros(0)
         self.several = np.zeros(0, bool)
+        # The logarithm of the share of all segmentations but the best, where it was asked for.
+        self.log_beside = np.zeros(0)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
@@ -298,6 +301,8 @@ class Lattice:
         self.log_best = np.log(np.maximum(self.p_best, 1e-300))
         self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        fresh = np.full(len(self.names) - len(self.log_beside), np.nan)
+        self.log_beside = np.concatenate([self.log_beside, fresh])
 
     def others(self, asked: np.ndarray, seeds: np.ndarray) -> list[tuple[tuple, float] | None]:
         """For each chunk asked for, a segmentation other than the best one, and its probability.
@@ -394,12 +399,16 @@ class Lattice:
             node["weights"], node["left"] = weights, math.fsum(weights)
         return nodes
 
-    def beside_best(self, i: int) -> float:
-        """The share of all segmentations of chunk ``i`` but the best."""
-        left = self.besides.get(i)
-        if left is None:
-            left = self.besides[i] = self.excluded(i, {self.best(i)})[0]["left"]
-        return left
+    def beside_best(self, chunks: np.ndarray) -> np.ndarray:
+        """The logarithm of the share of all segmentations of each chunk but the best."""
+        found = self.log_beside[chunks]
+        missing = np.isnan(found)
+        if missing.any():
+            for i in set(chunks[missing].tolist()):
+                left = self.excluded(i, {self.best(i)})[0]["left"]
+                self.log_beside[i] = math.log(left) if left > 0.0 else -math.inf
+            found = self.log_beside[chunks]
+        return found
 
     def other(self, i: int, rng, without: set) -> tuple[tuple, float] | None:
         """A segmentation of chunk ``i`` that is not in ``without``, and its probability.
@@ -448,44 +457,85 @@ class Lattice:
     def split(self, texts: list[str]) -> list[np.ndarray]:
         """The chunks' numbers of each text; all stay valid until the next call.
 
-        Where spaces are single, chunks lie within words: those of a word are looked up by it.
+        Where spaces are single, chunks lie within words: those of a word are looked up by it, once a call.
         """
-        cut, new_words, new = [], set(), set()
-        for text in texts:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cut: dict[int, list[str]] = {}
+        spaced = []
+        for i, text in enumerate(texts):
             if text[:1] in ("", " ") or not self.dummy_prefix or "  " in text or MARK in text:
                 marked = text.replace(" ", MARK)
-                chunks = self.chunks.findall(MARK + marked if text and self.dummy_prefix else marked)
-                new.update(itertools.filterfalse(self.index.__contains__, chunks))
-                cut.append((None, chunks))
+                cut[i] = self.chunks.findall(MARK + marked if text and self.dummy_prefix else marked)
             else:
-                words = text.split(" ")
-                new_words.update(itertools.filterfalse(self.words.__contains__, words))
-                cut.append((words, None))
-        parts = {w: self.chunks.findall(MARK + w) for w in new_words}
-        new.update(c for chunks in parts.values() for c in chunks if c not in self.index)
-        if max(len(self.names) + len(new), len(self.words) + len(parts)) > self.memo and self.names:
-            self.reset()
-            words = {w for words, _ in cut for w in words or ()}
-            parts = {w: self.chunks.findall(MARK + w) for w in words}
-            new = {c for _, chunks in cut for c in chunks or ()}
-            new.update(c for chunks in parts.values() for c in chunks)
+                spaced.append(i)
+        lists = pc.split_pattern(pa.array([texts[i] for i in spaced], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        chunks = set(itertools.chain.from_iterable(cut.values()))
+        fresh, parts, new = self.missing(words, chunks)
+        for make_room in (self.trim, self.reset):
+            if max(len(self.names) + len(new), len(self.words) + len(fresh)) > self.memo and self.names:
+                make_room()
+                fresh, parts, new = self.missing(words, chunks)
         if new:
             self.add(sorted(new))
-        if parts:
-            for w in parts:
-                self.words[w] = len(self.words)
-            sizes = np.fromiter(map(len, parts.values()), np.int64, len(parts))
-            within = itertools.chain.from_iterable(parts.values())
-            numbers = np.fromiter(map(self.index.__getitem__, within), np.int64, int(sizes.sum()))
+        if fresh:
+            self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh)), strict=True))
+            numbers = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+            # A word's chunks are those that end within it.
+            inside = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+            ends = np.cumsum(np.fromiter(map(len, fresh), np.int64, len(fresh)) + 1)
+            sizes = np.diff(np.searchsorted(inside, ends, "right"), prepend=0)
             self.word_flat = np.concatenate([self.word_flat, numbers])
             self.word_sizes = np.concatenate([self.word_sizes, sizes])
             self.word_starts = np.cumsum(self.word_sizes) - self.word_sizes
-        return [
-            np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-            if words is None
-            else self.within(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
-            for words, chunks in cut
-        ]
+            self.word_met = np.concatenate([self.word_met, np.zeros(len(fresh), np.int64)])
+        known = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        self.word_met[known] += 1
+        every = known[coded.indices.to_numpy(zero_copy_only=False)]
+        ends = np.append(0, np.cumsum(self.word_sizes[every]))[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
+        numbers = self.within(every)
+        out: list = [None] * len(texts)
+        for i, begin, end in zip(spaced, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            out[i] = numbers[begin:end]
+        for i, own in cut.items():
+            out[i] = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))
+        return out
+
+    def missing(self, words: list[str], chunks: set[str]) -> tuple[list[str], list[str], set[str]]:
+        """Words not yet known, their chunks in a row, and all chunks not yet known.
+
+        A space mark always begins a chunk, so words are cut in one go; the empty one, whose mark
+        would join the next word's, is the last.
+        """
+        fresh = [w for w in words if w and w not in self.words]
+        if "" in words and "" not in self.words:
+            fresh.append("")
+        parts = self.chunks.findall(MARK + MARK.join(fresh)) if fresh else []
+        return fresh, parts, {c for c in chunks.union(parts) if c not in self.index}
+
+    def trim(self) -> None:
+        """Forget words that one call alone has met lately, and chunks that no other word has.
+
+        Of the words left at most half as many as may be remembered stay, those met most.
+        """
+        kept = np.flatnonzero(self.word_met > 1)
+        kept = np.sort(kept[np.argsort(-self.word_met[kept], kind="stable")[: self.memo // 2]])
+        names, met, sizes = list(self.words), self.word_met[kept] // 2, self.word_sizes[kept]
+        chunks, flat = np.unique(self.within(kept), return_inverse=True)
+        begins = np.cumsum(self.sizes[chunks]) - self.sizes[chunks]
+        pick = np.arange(int(self.sizes[chunks].sum())) + np.repeat(self.starts[chunks] - begins, self.sizes[chunks])
+        held = [x[chunks] for x in (self.p_best, self.log_best, self.several, self.log_beside, self.sizes)]
+        texts, ids = [self.names[i] for i in chunks.tolist()], self.flat[pick]
+        self.reset()
+        self.words = {names[i]: n for n, i in enumerate(kept.tolist())}
+        self.word_flat, self.word_sizes, self.word_met = flat.astype(np.int64), sizes, met
+        self.word_starts = np.cumsum(sizes) - sizes
+        self.names, self.index = texts, {c: n for n, c in enumerate(texts)}
+        self.p_best, self.log_best, self.several, self.log_beside, self.sizes = held
+        self.starts, self.flat = begins, ids
 
     def within(self, words: np.ndarray) -> np.ndarray:
         """The chunks' numbers of words given by number."""
@@ -576,14 +626,19 @@ class Lattice:
                 mass = before + np.log1p(-np.minimum(taken, 1.0))
             mass[~free[start:]] = -np.inf
             # What rounding leaves of nearly certain choices is no measure of the rest.
-            for j in np.flatnonzero((taken > 1.0 - CERTAIN) & free[start:]).tolist():
-                chunk, other = int(at[start + j]), changed.get(start + j)
-                if other is None and not (without and j == 0):
-                    left = self.beside_best(chunk)
-                else:
+            certain = np.flatnonzero((taken > 1.0 - CERTAIN) & free[start:])
+            if len(certain):
+                touched = np.zeros(count, bool)
+                touched[list(changed)] = True
+                touched[start] |= bool(without)
+                touched = touched[start + certain]
+                plainly = certain[~touched]
+                mass[plainly] = before[plainly] + self.beside_best(at[start + plainly])
+                for j in certain[touched].tolist():
+                    chunk, other = int(at[start + j]), changed.get(start + j)
                     held = (without if j == 0 else frozenset()) | {other or self.best(chunk)}
                     left = self.excluded(chunk, held)[0]["left"]
-                mass[j] = before[j] + math.log(left) if left > 0.0 else -np.inf
+                    mass[j] = before[j] + math.log(left) if left > 0.0 else -np.inf
             noise = -np.log(rng.random(count - start))
             with np.errstate(over="ignore"):
                 cut = mass - np.log(noise + np.exp(np.minimum(mass + value, 700.0)))
@@ -614,14 +669,18 @@ class Lattice:
         if not len(at):
             return np.zeros(0, np.int32)
         sizes = self.sizes[at]
-        for j, ids in changed.items():
-            sizes[j] = len(ids)
+        if changed:
+            places = np.fromiter(changed, np.int64, len(changed))
+            own = np.fromiter(map(len, changed.values()), np.int64, len(changed))
+            sizes[places] = own
         begins = np.cumsum(sizes) - sizes
         total = int(begins[-1] + sizes[-1])
         pick = np.arange(total) + np.repeat(self.starts[at] - begins, sizes)
         out = self.flat[np.minimum(pick, len(self.flat) - 1)]
-        for j, ids in changed.items():
-            out[begins[j] : begins[j] + len(ids)] = ids
+        if changed:
+            first = np.cumsum(own) - own
+            where = np.arange(int(own.sum())) + np.repeat(begins[places] - first, own)
+            out[where] = np.fromiter(itertools.chain.from_iterable(changed.values()), np.int32, len(where))
         return out
 
     def decoded(self, flat: np.ndarray, sizes: np.ndarray):
@@ -689,12 +748,13 @@ def row_key(key, seed: int) -> int:
 
 def encode(
     docs: DataFrame, model: str, k: int = SAMPLES, alpha: float = ALPHA, seed: int = SEED, digest: bool = False,
-    verify: bool = False, memo: int = MEMO,
+    verify: bool = False, memo: int = MEMO, together: int = TOGETHER,
 ) -> DataFrame:
     """doc_id, sample (1 to k), n_pieces, log_prob, perturbed, log_inclusion and ids, or with
     ``digest`` the SHA-256 of the ids as little-endian 32-bit numbers. With ``verify`` every
     sample is decoded, and ``round_trip`` is whether that gives the text. ``memo`` bounds the chunks and
-    words that a worker remembers; it costs memory and saves time, and changes no sample."""
+    words that a worker remembers, ``together`` the characters of texts that are searched side by side;
+    they cost memory and save time, and change no sample."""
     narrow = only(docs, "doc_id", "text").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     last = "ids_sha256 string" if digest else "ids array<int>"
@@ -718,7 +778,7 @@ def encode(
             begin = 0
             while begin < len(batch):
                 before = ends[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+                end = max(begin + 1, int(np.searchsorted(ends, before + together, "right")))
                 texts = batch.column("text").slice(begin, end - begin).to_pylist()
                 keys = [row_key(x, seed) for x in source.slice(begin, end - begin).to_pylist()]
                 sampled = lattice.samples(texts, keys, k)

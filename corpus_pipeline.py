@@ -34,12 +34,14 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact(docs)
 
 
-# What a worker remembers, less than where no earlier stage has left workers beside it.
+# What a worker remembers and the characters it searches side by side, less than where no earlier
+# stage has left workers beside it.
 MEMO = 100_000
+TOGETHER = 400_000
 
 
 def segmentations(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lattice.encode(docs, public_tokenizers.path(PIECES), memo=MEMO)
+    return lattice.encode(docs, public_tokenizers.path(PIECES), memo=MEMO, together=TOGETHER)
 
 
 STAGES = [

@@ -694,6 +694,20 @@ def test_samples_do_not_depend_on_what_workers_remember(spark):
     assert wanted == got
 
 
+def test_common_words_are_kept_when_the_memo_is_full():
+    model = lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"), lattice.ALPHA)
+    wanted = lattice.Lattice(public_tokenizers.path("piece_bpe_32k.model"), lattice.ALPHA)
+    model.memo, learnt, add = 300, [], model.add
+    model.add = lambda chunks: (learnt.extend(chunks), add(chunks))
+    for i in range(40):
+        texts = [f"the common words, of every text {i}x{k} own{k}.{i}\nsecond line ends here " for k in range(10)]
+        texts += ["", " two  spaces ", f"▁marks▁{i}"]
+        got, full = model.samples(texts, list(range(len(texts))), 2), wanted.samples(texts, list(range(len(texts))), 2)
+        assert [[(s["ids"].tolist(), s["perturbed"]) for s in x] for x in got] == [[(s["ids"].tolist(), s["perturbed"]) for s in x] for x in full]
+        assert len(model.names) <= 300 and len(model.words) <= 300
+    assert learnt.count("▁common") == 1
+
+
 def test_large_groups_need_no_all_pairs(spark):
     """A family of near copies, copies of one text, and texts that share a passage only."""
     rng = random.Random(9)
