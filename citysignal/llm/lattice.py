@@ -46,7 +46,7 @@ WIDTHS = (4, 8, 12, 16, 24)
 SHORT = WIDTHS[-1]
 SLICE = 8192
 # Characters of texts searched together.
-TOGETHER = 1_600_000
+TOGETHER = 800_000
 # Not a code point: fills chunks up to their width. Edges without a piece of their own.
 PAD = 0x110000
 NOTHING, BYTES = -1, -2
