@@ -16,7 +16,7 @@ log(1 - exp(-exp(log_prob - threshold))).
 Pieces never run over a boundary between a character and a following space mark or over a
 line end, so the sum over the lattice is a product over chunks, each kept in a bounded memo of
 its worker, which forgets what is rare when it is full; a document is walked as arrays over its chunks, whole, at any length. Chunks new to
-the memo, and the draws of many texts, are worked on side by side as arrays. The random
+the memo, and the searches and draws of many texts, are worked on side by side as arrays. The random
 numbers are seeded by the row's key: repeated rows are sampled alike, null keys share
 a seed. Null and empty texts have one segmentation, the empty one. Texts with fewer than k
 segmentations give all of them.
@@ -41,15 +41,16 @@ ALPHA = 2.0
 SEED = 17
 MEMO = 400_000
 EDGES = 20_000
-# Widths to which chunks are padded to be worked on side by side; longer ones go one by one.
-WIDTHS = (4, 8, 12, 16, 24)
-SHORT = WIDTHS[-1]
+# Characters of chunks that are worked on side by side; longer ones go one by one.
+SHORT = 24
 SLICE = 8192
 # Characters of texts searched together.
 TOGETHER = 800_000
-# Not a code point: fills chunks up to their width. Edges without a piece of their own.
-PAD = 0x110000
+CODES = 0x110000
+# Edges without a piece of their own.
 NOTHING, BYTES = -1, -2
+# Below this, sums are not trusted.
+LEAST = 1e-280
 # Choices that leave less than this are worked out from what they leave.
 CERTAIN = 1e-10
 MARK = "▁"
@@ -79,19 +80,7 @@ class Lattice:
             for c in self.pieces[i]:
                 at = at.setdefault(c, {})
             at[""] = (i, weight(n))
-        moves: dict[tuple[int, int], int] = {}
-        ends = {}
-        for n, i in enumerate(ranks):
-            state = 0
-            for c in self.pieces[i]:
-                state = moves.setdefault((state, ord(c)), len(moves) + 1)
-            ends[state] = (i, weight(n))
-        keys = np.array([state << 21 | code for state, code in moves], np.int64)
-        order = np.argsort(keys)
-        self.move_keys, self.move_to = keys[order], np.array(list(moves.values()), np.int64)[order]
-        self.weight_of, self.id_of = np.zeros(len(moves) + 1), np.full(len(moves) + 1, NOTHING, np.int32)
-        for state, (i, w) in ends.items():
-            self.id_of[state], self.weight_of[state] = i, w
+        self._lay_out(ranks, weight)
         self.longest = max((len(self.pieces[i]) for i in ranks), default=1)
         for i, p in enumerate(model.pieces):
             if p.type == 6:
@@ -117,6 +106,53 @@ class Lattice:
         self.memo = MEMO
         self.reset()
 
+    def _lay_out(self, ranks: list[int], weight) -> None:
+        """The trie as arrays: ``base`` of a state plus a character's ``kind`` is the next state, if
+        ``came_from`` there is the first; kind 0 leads nowhere."""
+        next_of: list[dict[int, int]] = [{}]
+        ends = {}
+        for n, i in enumerate(ranks):
+            state = 0
+            for c in self.pieces[i]:
+                to = next_of[state].setdefault(ord(c), len(next_of))
+                if to == len(next_of):
+                    next_of.append({})
+                state = to
+            ends[state] = (i, weight(n))
+        codes = sorted({c for moves in next_of for c in moves})
+        self.kind = np.zeros(CODES, np.int32)
+        self.kind[codes] = np.arange(1, len(codes) + 1)
+        kinds = [sorted(self.kind[list(moves)].tolist()) for moves in next_of]
+        # States with many moves choose first, and leave where it is crowded; the others fill the gaps.
+        taken, base, free, top = bytearray(b"\1"), np.zeros(len(next_of), np.int64), 1, len(codes)
+        by_moves = sorted((x for x in range(len(next_of)) if kinds[x]), key=lambda x: -len(kinds[x]))
+        for turn, state in enumerate(by_moves):
+            own, tries = kinds[state], 0
+            if turn and len(own) == 1 < len(kinds[by_moves[turn - 1]]):
+                free = 1
+            if top + len(codes) + 2 > len(taken):
+                taken.extend(bytes(top + len(codes) + 2))
+            spot = taken.find(0, max(free, own[0]))
+            while any(taken[spot - own[0] + k] for k in own):
+                spot, tries = taken.find(0, spot + 1), tries + 1
+            at = spot - own[0]
+            base[state], top = at, max(top, at + own[-1])
+            for k in own:
+                taken[at + k] = 1
+            free = taken.find(0, spot if tries > 8 else free)
+        place = np.zeros(len(next_of), np.int64)
+        for state, moves in enumerate(next_of):
+            for code, to in moves.items():
+                place[to] = base[state] + self.kind[code]
+        size = int(base.max()) + len(codes) + 1
+        self.base, self.came_from = np.zeros(size, np.int32), np.full(size, NOTHING, np.int32)
+        self.base[place] = base
+        for state, moves in enumerate(next_of):
+            self.came_from[place[list(moves.values())]] = place[state]
+        self.weight_of, self.id_of = np.zeros(size), np.full(size, NOTHING, np.int32)
+        for state, (i, w) in ends.items():
+            self.id_of[place[state]], self.weight_of[place[state]] = i, w
+
     def reset(self) -> None:
         self.index: dict[str, int] = {}
         # Words by number, and the chunks' numbers of each.
@@ -131,8 +167,9 @@ class Lattice:
         # others, and where its ids are.
         self.p_best, self.log_best = np.zeros(0), np.zeros(0)
         self.several = np.zeros(0, bool)
-        # The logarithm of the share of all segmentations but the best, where it was asked for.
+        # The logarithm of the share of all segmentations but the best; what is no number yet is worked out when asked for.
         self.log_beside = np.zeros(0)
+        self.lengths = np.zeros(0, np.int64)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
@@ -176,73 +213,91 @@ class Lattice:
             sums[s] * w * math.exp(scale[s] - scale[end]) / sums[end] for s, _, w in into[end]
         ]
 
-    def forward(self, chunks: list[str], width: int, keep: bool = False) -> dict:
+    def forward(self, chunks: list[str]) -> dict:
         """Sums over segmentations and the best ones' last edges, by end, of short chunks side by side.
 
-        Padding is an edge of weight 1 a position. With ``keep``, weights and ids of all edges
-        by their end and length.
+        Chunks are numbered by falling length (``order``), so that those that reach an end are the
+        first ones (``reach`` of them). ``weights`` and ``ids`` hold the edges by end, then length, then
+        chunk (``at`` is where). ``rest`` are the sums without the best segmentation, each an own
+        sum of other edges, not a difference.
         """
-        n = len(chunks)
-        lengths = np.fromiter(map(len, chunks), np.int64, n)
-        codes = np.full((n, width), PAD, np.int64)
-        inside = np.arange(width) < lengths[:, None]
-        codes[inside] = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
-        sums, best = np.zeros((width + 1, n)), np.zeros((width + 1, n))
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(-lengths, kind="stable")
+        lengths, n = lengths[order], len(chunks)
+        width = int(lengths[0])
+        reach = np.searchsorted(-lengths, -np.arange(width + 1), "right")
+        longest = np.minimum(np.arange(width + 1), self.longest)
+        ends = np.cumsum(longest * reach)
+        at = ends[:, None] - (longest * reach)[:, None] + (np.arange(self.longest + 1) - 1) * reach[:, None]
+        # Chunks in a row with a mark of their end.
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        text = "\0".join([chunks[i] for i in order.tolist()]) + "\0"
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        row = np.repeat(np.arange(n), lengths + 1)
+        inside = np.arange(len(row)) - starts[row]
+        kind = self.kind[code]
+        kind[starts + lengths] = 0
+        weights, ids = np.zeros(int(ends[-1])), np.full(int(ends[-1]), NOTHING, np.int32)
+        several, used = np.zeros(n, bool), set()
+        spot = np.flatnonzero(inside < lengths[row])
+        state, alone = np.zeros(len(spot), np.int32), np.ones(len(row), bool)
+        for length in range(1, self.longest + 1):
+            to = self.base[state] + kind[spot + (length - 1)]
+            hit = np.flatnonzero(self.came_from[to] == state)
+            if not len(hit):
+                break
+            spot, state = spot[hit], to[hit]
+            w = self.weight_of[state]
+            full = np.flatnonzero(w > 0.0)
+            found, end = row[spot[full]], inside[spot[full]] + length
+            cell = at[end, length] + found
+            weights[cell], ids[cell] = w[full], self.id_of[state[full]]
+            used.update((e, length) for e in np.flatnonzero(np.bincount(end)).tolist())
+            if length == 1:
+                alone[spot[full]] = False
+            else:
+                several[found] = True
+        spelled = np.flatnonzero(alone & (inside < lengths[row]))
+        if len(spelled):
+            size = utf8_size(code[spelled])
+            end = inside[spelled] + 1
+            cell = at[end, 1] + row[spelled]
+            weights[cell], ids[cell] = self.byte_weight**size, BYTES
+            used.update((e, 1) for e in np.flatnonzero(np.bincount(end)).tolist())
+        sums, best, rest = (np.zeros((width + 1, n)) for _ in range(3))
+        back = np.zeros((width + 1, n), np.int64)
         sums[0] = best[0] = 1.0
-        back, back_id = np.zeros((width + 1, n), np.int64), np.full((width + 1, n), NOTHING, np.int32)
-        several = np.zeros(n, bool)
-        reach = [min(end, self.longest) for end in range(width + 1)]
-        weights = [np.zeros((r, n)) for r in reach] if keep else None
-        ids = [np.full((r, n), NOTHING, np.int32) for r in reach] if keep else None
-
-        def edges(start, end, rows, w, i):
-            sums[end, rows] += sums[start, rows] * w
-            value = best[start, rows] * w
-            better = value > best[end, rows]
-            at = rows[better]
-            best[end, at], back[end, at] = value[better], end - start
-            back_id[end, at] = i[better]
-            if keep:
-                weights[end][end - start - 1, rows] = w
-                ids[end][end - start - 1, rows] = i
-
-        for start in range(width):
-            rows = np.flatnonzero(lengths > start)
-            state, single = np.zeros(len(rows), np.int64), np.zeros(n, bool)
-            for end in range(start + 1, min(width, start + self.longest) + 1):
-                wanted = state << 21 | codes[rows, end - 1]
-                at = np.searchsorted(self.move_keys, wanted)
-                at[at == len(self.move_keys)] = 0
-                hit = self.move_keys[at] == wanted
-                rows, state = rows[hit], self.move_to[at[hit]]
-                if not len(rows):
-                    break
-                w = self.weight_of[state]
-                full = w > 0.0
-                to = rows[full]
-                if len(to):
-                    edges(start, end, to, w[full], self.id_of[state[full]])
-                    (single if end == start + 1 else several)[to] = True
-            rows = np.flatnonzero(~single)
-            code = codes[rows, start]
-            pad = code == PAD
-            size = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-            w = np.where(pad, 1.0, self.byte_weight**size)
-            edges(start, start + 1, rows, w, np.where(pad, NOTHING, BYTES).astype(np.int32))
+        for end in range(1, width + 1):
+            m = int(reach[end])
+            total, top, beside, last = sums[end, :m], best[end, :m], rest[end, :m], back[end, :m]
+            for length in range(int(longest[end]), 0, -1):
+                if (end, length) not in used:
+                    continue
+                w = weights[at[end, length] : at[end, length] + m]
+                summed, value = sums[end - length, :m] * w, best[end - length, :m] * w
+                total += summed
+                better = value > top
+                beside += np.where(better, top + rest[end - length, :m] * w, summed)
+                np.maximum(top, value, out=top)
+                last[better] = length
+        whole = np.arange(n)
         return {
-            "codes": codes, "sums": sums, "best": best, "back": back, "back_id": back_id,
-            "several": several, "weights": weights, "ids": ids,
+            "order": order, "lengths": lengths, "reach": reach, "longest": longest, "at": at, "text": code, "starts": starts,
+            "sums": sums, "back": back, "weights": weights, "ids": ids, "several": several,
+            "sum": sums[lengths, whole], "best": best[lengths, whole], "rest": rest[lengths, whole],
         }
 
-    def spelled(self, marks: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids row by row and their numbers; ``marks`` has an edge's id in the column of its end."""
-        size = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
-        counts = np.where(marks == BYTES, size, marks >= 0)
+    def spelled(self, marks: np.ndarray, known: dict, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids row by row and their numbers; ``marks`` has an edge's id in the column of its end, and a
+        row is of the chunk ``rows`` of ``known``."""
+        counts = (marks >= 0).astype(np.int64)
+        cells = np.nonzero(marks == BYTES)
+        codes = known["text"][known["starts"][rows[cells[0]]] + cells[1]]
+        counts[cells] = utf8_size(codes)
         flat = np.repeat(marks.ravel(), counts.ravel()).astype(np.int32)
-        cells = np.flatnonzero(marks.ravel() == BYTES)
-        if len(cells):
-            first = np.cumsum(counts.ravel()) - counts.ravel()
-            for at, code in zip(first[cells].tolist(), codes.ravel()[cells].tolist(), strict=True):
+        if len(codes):
+            first = (np.cumsum(counts.ravel()) - counts.ravel())[cells[0] * marks.shape[1] + cells[1]]
+            for at, code in zip(first.tolist(), codes.tolist(), strict=True):
                 own = [self.bytes_of[b] for b in chr(code).encode()]
                 flat[at : at + len(own)] = own
         return flat, counts.sum(axis=1)
@@ -266,78 +321,89 @@ class Lattice:
     def add(self, chunks: list[str]) -> None:
         """Take new chunks up, with their best segmentations."""
         shares, several, flats, sizes = [self.p_best], [self.several], [self.flat], [self.sizes]
+        besides, lengths = [self.log_beside], [self.lengths]
 
-        def put(names, share, more, flat, counts):
-            for name in names:
-                self.index[name] = len(self.names)
-                self.names.append(name)
+        def put(names, share, more, flat, counts, beside):
+            self.index.update(zip(names, range(len(self.names), len(self.names) + len(names)), strict=True))
+            self.names.extend(names)
             shares.append(np.where(more, np.minimum(share, 1.0), 1.0))
             several.append(np.asarray(more, bool))
             flats.append(np.asarray(flat, np.int32))
             sizes.append(np.asarray(counts, np.int64))
+            besides.append(np.asarray(beside, float))
+            lengths.append(np.fromiter(map(len, names), np.int64, len(names)))
 
         alone = [c for c in chunks if len(c) > SHORT]
-        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            fitting = [c for c in chunks if low < len(c) <= width]
-            for begin in range(0, len(fitting), SLICE):
-                names = fitting[begin : begin + SLICE]
-                known = self.forward(names, width)
-                good = known["best"][width] >= 1e-280
-                alone += [names[r] for r in np.flatnonzero(~good).tolist()]
-                marks = np.full((len(names), width), NOTHING, np.int32)
-                at = np.full(len(names), width)
-                for end in range(width, 0, -1):
-                    rows = np.flatnonzero(at == end)
-                    marks[rows, end - 1] = known["back_id"][end, rows]
-                    at[rows] -= known["back"][end, rows]
-                flat, counts = self.spelled(marks[good], known["codes"][good])
-                kept = [names[r] for r in np.flatnonzero(good).tolist()]
-                share = known["best"][width, good] / known["sums"][width, good]
-                put(kept, share, known["several"][good], flat, counts)
+        fitting = [c for c in chunks if len(c) <= SHORT]
+        for begin in range(0, len(fitting), SLICE):
+            part = fitting[begin : begin + SLICE]
+            known = self.forward(part)
+            names = [part[i] for i in known["order"].tolist()]
+            good = np.flatnonzero(known["best"] >= LEAST)
+            alone += [names[r] for r in np.flatnonzero(known["best"] < LEAST).tolist()]
+            at, width = known["lengths"].copy(), int(known["lengths"][0])
+            marks = np.full((len(names), width), NOTHING, np.int32)
+            for end in range(width, 0, -1):
+                rows = np.flatnonzero(at == end)
+                step = known["back"][end, rows]
+                marks[rows, end - 1] = known["ids"][known["at"][end, step] + rows]
+                at[rows] -= step
+            flat, counts = self.spelled(marks[good], known, good)
+            rest = known["rest"][good]
+            with np.errstate(divide="ignore"):
+                beside = np.where(rest >= LEAST, np.log(rest / known["sum"][good]), np.nan)
+            share = known["best"][good] / known["sum"][good]
+            put([names[r] for r in good.tolist()], share, known["several"][good], flat, counts, beside)
         for name in alone:
             ids, share, more = self._best_of_long(name)
-            put([name], [share], [more], ids, [len(ids)])
+            put([name], [share], [more], ids, [len(ids)], [np.nan])
         self.p_best, self.several = np.concatenate(shares), np.concatenate(several)
-        self.log_best = np.log(np.maximum(self.p_best, 1e-300))
+        self.log_best = np.concatenate([self.log_best, np.log(np.maximum(self.p_best[len(self.log_best) :], 1e-300))])
         self.flat, self.sizes = np.concatenate(flats), np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        fresh = np.full(len(self.names) - len(self.log_beside), np.nan)
-        self.log_beside = np.concatenate([self.log_beside, fresh])
+        self.log_beside, self.lengths = np.concatenate(besides), np.concatenate(lengths)
 
-    def others(self, asked: np.ndarray, seeds: np.ndarray) -> list[tuple[tuple, float] | None]:
-        """For each chunk asked for, a segmentation other than the best one, and its probability.
+    def others(self, asked: np.ndarray, seeds: np.ndarray) -> tuple:
+        """For each chunk asked for, a segmentation other than the best one: its probability, where its
+        ids are, how many, and all ids.
 
         The best one is excluded by construction: the step that leaves its path, going
-        backward, is drawn from what that path leaves over. None where the shares' rounding
-        allowed no other; the caller then draws by ``other``.
+        backward, is drawn from what that path leaves over. No probability where the shares'
+        rounding allowed no other; the caller then draws by ``other``.
         """
-        out: list = [None] * len(asked)
-        lengths = np.fromiter((len(self.names[i]) for i in asked.tolist()), np.int64, len(asked))
-        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            fitting = np.flatnonzero((lengths > low) & (lengths <= width))
-            fitting = fitting[np.argsort(asked[fitting], kind="stable")]
-            for begin in range(0, len(fitting), SLICE):
-                part = fitting[begin : begin + SLICE]
-                self._others(part, asked[part], seeds[part], width, out)
-        return out
-
-    def _others(self, part, asked, seeds, width: int, out: list) -> None:
+        p, starts, sizes = np.full(len(asked), np.nan), np.zeros(len(asked), np.int64), np.zeros(len(asked), np.int64)
+        flats, total = [], 0
+        fitting = np.flatnonzero(self.lengths[asked] <= SHORT)
+        fitting = fitting[np.argsort(asked[fitting], kind="stable")]
+        for begin in range(0, len(fitting), SLICE):
+            part = fitting[begin : begin + SLICE]
+            p[part], flat, counts = self._others(asked[part], seeds[part])
+            starts[part], sizes[part] = total + np.cumsum(counts) - counts, counts
+            flats.append(flat)
+            total += len(flat)
+        return p, starts, sizes, np.concatenate(flats) if flats else np.zeros(0, np.int32)
+
+    def _others(self, asked: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         own, where = np.unique(asked, return_inverse=True)
-        known = self.forward([self.names[i] for i in own.tolist()], width, keep=True)
-        sums, n = known["sums"], len(asked)
-        at, marks = np.full(n, width), np.full((n, width), NOTHING, np.int32)
+        known = self.forward([self.names[i] for i in own.tolist()])
+        place = np.empty(len(own), np.int64)
+        place[known["order"]] = np.arange(len(own))
+        where = place[where]
+        sums, n, width = known["sums"], len(asked), int(known["lengths"][0])
+        at, marks = known["lengths"][where], np.full((n, width), NOTHING, np.int32)
         kept, p, follow = np.ones(n), np.ones(n), np.ones(n, bool)
         # The draw lies above the probability of the whole best path; it says where to leave it.
         leave = self.p_best[asked]
         leave = leave + (1.0 - leave) * uniform(seeds, 0)
-        usable = sums[width][where] >= 1e-280
+        usable = known["sum"][where] >= LEAST
         for end in range(width, 0, -1):
             rows = np.flatnonzero((at == end) & usable)
             if not len(rows):
                 continue
             d, column = where[rows], np.arange(len(rows))
-            weights = known["weights"][end]
-            reach = len(weights)
+            reach, m = int(known["longest"][end]), int(known["reach"][end])
+            first = int(known["at"][end, 1])
+            weights = known["weights"][first : first + reach * m].reshape(reach, m)
             share = weights[:, d] * sums[end - reach : end][::-1][:, d] / sums[end, d]
             step = known["back"][end, d] - 1
             on, best = follow[rows], share[step, column]
@@ -352,14 +418,10 @@ class Lattice:
             p[rows] *= taken
             kept[rows] *= np.where(stay, taken, 1.0)
             follow[rows] = stay
-            marks[rows, end - 1] = known["ids"][end][step, d]
+            marks[rows, end - 1] = known["ids"][known["at"][end, step + 1] + d]
             at[rows] -= step + 1
-        flat, counts = self.spelled(marks, known["codes"][where])
-        good, values, begin = (usable & ~follow).tolist(), flat.tolist(), 0
-        for r, count in enumerate(counts.tolist()):
-            if good[r]:
-                out[part[r]] = (tuple(values[begin : begin + count]), float(p[r]))
-            begin += count
+        flat, counts = self.spelled(marks, known, where)
+        return np.where(usable & ~follow, p, np.nan), flat, counts
 
     def known(self, i: int) -> tuple:
         """Edges of chunk ``i``; a few of the last ones are kept."""
@@ -474,13 +536,13 @@ class Lattice:
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         chunks = set(itertools.chain.from_iterable(cut.values()))
-        fresh, parts, new = self.missing(words, chunks)
+        known, fresh, parts, new = self.missing(words, chunks)
         for make_room in (self.trim, self.reset):
             if max(len(self.names) + len(new), len(self.words) + len(fresh)) > self.memo and self.names:
                 make_room()
-                fresh, parts, new = self.missing(words, chunks)
+                known, fresh, parts, new = self.missing(words, chunks)
         if new:
-            self.add(sorted(new))
+            self.add(list(new))
         if fresh:
             self.words.update(zip(fresh, range(len(self.words), len(self.words) + len(fresh)), strict=True))
             numbers = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
@@ -492,7 +554,6 @@ class Lattice:
             self.word_sizes = np.concatenate([self.word_sizes, sizes])
             self.word_starts = np.cumsum(self.word_sizes) - self.word_sizes
             self.word_met = np.concatenate([self.word_met, np.zeros(len(fresh), np.int64)])
-        known = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         self.word_met[known] += 1
         every = known[coded.indices.to_numpy(zero_copy_only=False)]
         ends = np.append(0, np.cumsum(self.word_sizes[every]))[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
@@ -504,17 +565,23 @@ class Lattice:
             out[i] = np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))
         return out
 
-    def missing(self, words: list[str], chunks: set[str]) -> tuple[list[str], list[str], set[str]]:
-        """Words not yet known, their chunks in a row, and all chunks not yet known.
+    def missing(self, words: list[str], chunks: set[str]) -> tuple[np.ndarray, list[str], list[str], set[str]]:
+        """The words' numbers, those not yet known by the next ones; these words, their chunks in a row, and
+        all chunks not yet known.
 
-        A space mark always begins a chunk, so words are cut in one go; the empty one, whose mark
-        would join the next word's, is the last.
+        Words of letters are one chunk. A space mark always begins a chunk, so the others are cut in one go; the
+        empty one, whose mark would join the next word's, is the last.
         """
-        fresh = [w for w in words if w and w not in self.words]
-        if "" in words and "" not in self.words:
-            fresh.append("")
-        parts = self.chunks.findall(MARK + MARK.join(fresh)) if fresh else []
-        return fresh, parts, {c for c in chunks.union(parts) if c not in self.index}
+        numbers = np.fromiter(map(self.words.get, words, itertools.repeat(-1)), np.int64, len(words))
+        at = np.flatnonzero(numbers < 0).tolist()
+        whole = [i for i in at if words[i].isalpha()]
+        cut = sorted((i for i in at if not words[i].isalpha()), key=lambda i: not words[i])
+        numbers[whole + cut] = np.arange(len(self.words), len(self.words) + len(at))
+        fresh = [words[i] for i in whole + cut]
+        parts = [MARK + w for w in fresh[: len(whole)]]
+        if cut:
+            parts += self.chunks.findall(MARK + MARK.join(fresh[len(whole) :]))
+        return numbers, fresh, parts, {c for c in chunks.union(parts) if c not in self.index}
 
     def trim(self) -> None:
         """Forget words that one call alone has met lately, and chunks that no other word has.
@@ -527,14 +594,14 @@ class Lattice:
         chunks, flat = np.unique(self.within(kept), return_inverse=True)
         begins = np.cumsum(self.sizes[chunks]) - self.sizes[chunks]
         pick = np.arange(int(self.sizes[chunks].sum())) + np.repeat(self.starts[chunks] - begins, self.sizes[chunks])
-        held = [x[chunks] for x in (self.p_best, self.log_best, self.several, self.log_beside, self.sizes)]
+        held = [x[chunks] for x in (self.p_best, self.log_best, self.several, self.log_beside, self.lengths, self.sizes)]
         texts, ids = [self.names[i] for i in chunks.tolist()], self.flat[pick]
         self.reset()
         self.words = {names[i]: n for n, i in enumerate(kept.tolist())}
         self.word_flat, self.word_sizes, self.word_met = flat.astype(np.int64), sizes, met
         self.word_starts = np.cumsum(sizes) - sizes
         self.names, self.index = texts, {c: n for n, c in enumerate(texts)}
-        self.p_best, self.log_best, self.several, self.log_beside, self.sizes = held
+        self.p_best, self.log_best, self.several, self.log_beside, self.lengths, self.sizes = held
         self.starts, self.flat = begins, ids
 
     def within(self, words: np.ndarray) -> np.ndarray:
@@ -547,141 +614,179 @@ class Lattice:
     def samples(self, texts: list[str], keys: list[int], k: int) -> list[list[dict]]:
         """Up to ``k`` distinct segmentations of each text, by falling perturbed log probability.
 
-        The texts' searches take turns, so that what they draw is drawn together; each has
+        The texts' searches take their steps together, as arrays over their chunks in a row; each has
         its own random numbers, and its result does not depend on the others.
         """
-        searches = [self.search(at, key, k) for at, key in zip(self.split(texts), keys, strict=True)]
-        done: list = [None] * len(texts)
-        answers: dict = dict.fromkeys(range(len(texts)))
-        while answers:
-            asked = {}
-            for i, answer in answers.items():
-                try:
-                    asked[i] = searches[i].send(answer)
-                except StopIteration as end:
-                    done[i] = end.value
-            answers, begin = {}, 0
-            if asked:
-                drawn = self.others(*map(np.concatenate, zip(*asked.values(), strict=True)))
-                for i, (chunks, _) in asked.items():
-                    answers[i] = drawn[begin : begin + len(chunks)]
-                    begin += len(chunks)
-        return done
+        searches = [Search(at, key) for at, key in zip(self.split(texts), keys, strict=True)]
+        drawn = Drawn()
+        active = searches
+        while active:
+            popped = []
+            for search in active:
+                step = heapq.heappop(search.queue)
+                if len(search.out) == k:
+                    search.threshold = -step[0]
+                else:
+                    popped.append((search, *step))
+            if popped:
+                self.step(popped, drawn, k)
+            active = [p[0] for p in popped if p[0].queue]
+        self.ids(searches, drawn)
+        for search in searches:
+            for sample in search.out:
+                gap = sample["log_prob"] - search.threshold
+                sample["log_inclusion"] = (
+                    0.0 if gap > 30 else gap if gap < -30 else math.log(-math.expm1(-math.exp(gap)))
+                )
+        return [search.out for search in searches]
 
     def sample(self, text: str, key: int, k: int) -> list[dict]:
         return self.samples([text], [key], k)[0]
 
-    def search(self, at: np.ndarray, key: int, k: int):
-        """The search of one text: gives chunks and seeds out, takes ``others`` of them in."""
-        rng = np.random.Generator(np.random.Philox(key=key))
-        count = len(at)
-        p_best, log_best, free = self.p_best[at], self.log_best[at], self.several[at]
-        top = float(-np.log(-np.log(rng.random())))
-        # A set: (-largest value, tie, prefix's path, position, log mass of the prefix, excluded, their mass)
-        queue: list = [(-top, 0, None, 0, 0.0, frozenset(), 0.0)]
-        out: list[dict] = []
-        ties = 0
-        while queue and len(out) <= k:
-            value, _, path, start, prefix, without, gone = heapq.heappop(queue)
-            if len(out) == k:
-                out.append({"perturbed": -value})
-                break
-            changed = {} if path is None else {j: x for j, x in path["changed"].items() if j < start}
-            log_p = log_best.copy()
+    def step(self, popped: list[tuple], drawn: Drawn, k: int) -> None:
+        """For each search its popped set's member, added to its samples, and the sets left beside it."""
+        sizes = np.array([len(p[0].at) - p[4] for p in popped], np.int64)
+        ends = np.cumsum(sizes)
+        begins = (ends - sizes).tolist()
+        chunk = np.concatenate([p[0].at[p[4] :] for p in popped])
+        p_best, log_p, free = self.p_best[chunk], self.log_best[chunk], self.several[chunk]
+        u = np.full(len(chunk), -1.0)
+        plain = np.zeros(len(popped), bool)
+        for i, (search, _, _, _, start, _, without, _) in enumerate(popped):
+            if sizes[i]:
+                search.rng.random(out=u[begins[i] + bool(without) : begins[i] + sizes[i]])
+            plain[i] = bool(without) and without == {self.best(int(search.at[start]))}
+        leaf = (u >= p_best) & free
+        leaf[ends[plain] - sizes[plain]] = True
+        leaves = np.flatnonzero(leaf)
+        cuts = np.searchsorted(leaves, ends).tolist()
+        seeds, low = np.empty(len(leaves), np.uint64), 0
+        for (search, *_), high in zip(popped, cuts, strict=True):
+            if high > low:
+                seeds[low:high] = search.rng.integers(0, 2**64, high - low, np.uint64)
+            low = high
+        p, *found = self.others(chunk[leaves], seeds)
+        number = np.where(np.isnan(p), -1, len(drawn.sizes) + np.arange(len(p)))
+        drawn.take(*found)
+        log_p[leaves] = np.log(np.maximum(p, 1e-300))
+        # Draws that are left go one by one.
+        empty, more, single = set(), {}, []
+        lacking = np.isnan(p)
+        by_search = np.searchsorted(ends, leaves[lacking], "right").tolist()
+        one_by_one = [(i, int(x)) for i, x in zip(by_search, np.flatnonzero(lacking), strict=True)]
+        one_by_one += [(i, -1) for i, x in enumerate(popped) if x[6] and not plain[i]]
+        for i, x in sorted(one_by_one):
+            search, without, spot = popped[i][0], popped[i][6], int(leaves[x]) if x >= 0 else begins[i]
+            if i in empty:
+                continue
+            first = bool(without) and spot == begins[i]
+            found = self.other(int(chunk[spot]), search.rng, without if first else {self.best(int(chunk[spot]))})
+            log_p[spot] = self.log_best[chunk[spot]]
+            if found is not None:
+                log_p[spot] = math.log(max(found[1], 1e-300))
+                more[spot] = len(drawn.sizes) + len(single)
+                single.append(found[0])
+                if x >= 0:
+                    number[x] = more[spot]
+            elif first:
+                empty.add(i)
+        own = np.fromiter(map(len, single), np.int64, len(single))
+        drawn.take(np.cumsum(own) - own, own, np.fromiter(itertools.chain.from_iterable(single), np.int32, int(own.sum())))
+        # What is left at each position from the start on, with values below this one's.
+        before, noise = np.empty(len(chunk)), np.empty(len(chunk))
+        taken = np.exp(log_p)
+        here: list = [None] * len(popped)
+        low = 0
+        for i, (search, value, _, path, start, _, without, gone) in enumerate(popped):
+            a, b, high = begins[i], begins[i] + int(sizes[i]), cuts[i]
+            places, numbers = leaves[low:high] - a + start, number[low:high]
+            low = high
+            if i in empty:
+                before[a:b], noise[a:b] = 0.0, 0.5
+                continue
+            valid = numbers >= 0
+            if not valid.all():
+                places, numbers = places[valid], numbers[valid]
+            if without and not plain[i]:
+                places, numbers = np.append(start, places), np.append(more[a], numbers)
+            whole = log_p[a:b]
             if path is not None:
-                log_p[:start] = path["log_p"][:start]
-            first = start + bool(without)
-            u = rng.random(count - first)
-            leaves = first + np.flatnonzero((u >= p_best[first:]) & free[first:])
-            plain = bool(without) and without == {self.best(int(at[start]))}
-            if plain:
-                leaves = np.concatenate([[start], leaves])
-            drawn = []
-            if len(leaves):
-                drawn = yield at[leaves], rng.integers(0, 2**64, len(leaves), np.uint64)
-            leaves = leaves.tolist()
-            if without and not plain:
-                leaves, drawn = [start, *leaves], [None, *drawn]
-            empty = False
-            for j, found in zip(leaves, drawn, strict=True):
-                if found is None:
-                    held = without if without and j == start else {self.best(int(at[j]))}
-                    found = self.other(int(at[j]), rng, held)
-                if found is not None:
-                    changed[j] = found[0]
-                    log_p[j] = math.log(max(found[1], 1e-300))
-                elif without and j == start:
-                    empty = True
-                    break
-            if empty:
+                kept = int(np.searchsorted(path["places"], start))
+                places = np.concatenate([path["places"][:kept], places])
+                numbers = np.concatenate([path["numbers"][:kept], numbers])
+                whole = np.concatenate([path["log_p"][:start], whole])
+            here[i] = {"places": places, "numbers": numbers, "log_p": whole}
+            search.out.append(here[i] | {"perturbed": -value, "log_prob": float(whole.sum())})
+            if b > a:
+                before[a] = 0.0
+                np.cumsum(log_p[a : b - 1], out=before[a + 1 : b])
+                search.rng.random(out=noise[a:b])
+                if without:
+                    taken[a] += gone
+        before += np.repeat([x[5] for x in popped], sizes)
+        with np.errstate(divide="ignore"):
+            mass = before + np.log1p(-np.minimum(taken, 1.0))
+        mass[~free] = -np.inf
+        # What rounding leaves of nearly certain choices is no measure of the rest.
+        certain = np.flatnonzero((taken > 1.0 - CERTAIN) & free)
+        if len(certain):
+            touched = np.zeros(len(chunk), bool)
+            touched[leaves] = number >= 0
+            touched[list(more)] = True
+            touched[[a for a, x in zip(begins, popped, strict=True) if x[6]]] = True
+            plainly = certain[~touched[certain]]
+            mass[plainly] = before[plainly] + self.beside_best(chunk[plainly])
+            certain = certain[touched[certain]]
+            for i, spot in zip(np.searchsorted(ends, certain, "right").tolist(), certain.tolist(), strict=True):
+                if i not in empty:
+                    left = self.excluded(int(chunk[spot]), self.held(popped[i], here[i], spot - begins[i], drawn))[0]["left"]
+                    mass[spot] = before[spot] + math.log(left) if left > 0.0 else -np.inf
+        with np.errstate(over="ignore"):
+            bound = np.exp(np.minimum(mass + np.repeat([x[1] for x in popped], sizes), 700.0))
+            cut = mass - np.log(bound - np.log(noise))
+        for i, popped_set in enumerate(popped):
+            if i in empty:
                 continue
-            here = {"changed": changed, "log_p": log_p}
-            out.append(here | {"perturbed": -value, "log_prob": float(log_p.sum())})
-            # What is left at each position from ``start`` on, with values below this one's.
-            before = prefix + np.concatenate([[0.0], np.cumsum(log_p[start:])[:-1]]) if count > start else np.zeros(0)
-            taken = np.exp(log_p[start:])
-            if without:
-                taken[0] += gone
-            with np.errstate(divide="ignore"):
-                mass = before + np.log1p(-np.minimum(taken, 1.0))
-            mass[~free[start:]] = -np.inf
-            # What rounding leaves of nearly certain choices is no measure of the rest.
-            certain = np.flatnonzero((taken > 1.0 - CERTAIN) & free[start:])
-            if len(certain):
-                touched = np.zeros(count, bool)
-                touched[list(changed)] = True
-                touched[start] |= bool(without)
-                touched = touched[start + certain]
-                plainly = certain[~touched]
-                mass[plainly] = before[plainly] + self.beside_best(at[start + plainly])
-                for j in certain[touched].tolist():
-                    chunk, other = int(at[start + j]), changed.get(start + j)
-                    held = (without if j == 0 else frozenset()) | {other or self.best(chunk)}
-                    left = self.excluded(chunk, held)[0]["left"]
-                    mass[j] = before[j] + math.log(left) if left > 0.0 else -np.inf
-            noise = -np.log(rng.random(count - start))
-            with np.errstate(over="ignore"):
-                cut = mass - np.log(noise + np.exp(np.minimum(mass + value, 700.0)))
-            wanted = k + 1 - len(out)
-            for j in largest(cut, wanted + 1):
-                if not math.isfinite(cut[j]):
-                    continue
-                position = start + j
-                chosen = changed.get(position) or self.best(int(at[position]))
-                held = (without if j == 0 else frozenset()) | {chosen}
-                ties += 1
-                heapq.heappush(
-                    queue,
-                    (-float(cut[j]), ties, here, position, float(before[j]), held, float(taken[j])),
-                )
-        threshold = out.pop()["perturbed"] if out and "log_prob" not in out[-1] else -math.inf
-        for sample in out:
-            sample["ids"] = self.ids(at, sample.pop("changed"))
+            search, start, a = popped_set[0], popped_set[4], begins[i]
+            own = cut[a : a + int(sizes[i])]
+            for j in largest(own, k + 2 - len(search.out)):
+                if math.isfinite(own[j]):
+                    search.ties += 1
+                    held = self.held(popped_set, here[i], j, drawn)
+                    left = (start + j, float(before[a + j]), held, float(taken[a + j]))
+                    heapq.heappush(search.queue, (-float(own[j]), search.ties, here[i], *left))
+
+    def held(self, popped_set: tuple, path: dict, j: int, drawn: Drawn) -> frozenset:
+        """What is excluded at ``j`` after the start of a popped set once its member ``path`` is out."""
+        search, _, _, _, start, _, without, _ = popped_set
+        at = int(np.searchsorted(path["places"], start + j))
+        changed = at < len(path["places"]) and path["places"][at] == start + j
+        chosen = drawn.ids(int(path["numbers"][at])) if changed else self.best(int(search.at[start + j]))
+        return (without if j == 0 else frozenset()) | {chosen}
+
+    def ids(self, searches: list[Search], drawn: Drawn) -> None:
+        """All ids of each sample: the best ones of its text's chunks but where it differs."""
+        every = [(s, sample) for s in searches for sample in s.out]
+        if not every:
+            return
+        chunk = np.concatenate([s.at for s, _ in every])
+        counts = np.array([len(s.at) for s, _ in every], np.int64)
+        ends = np.cumsum(counts)
+        places = [sample.pop("places") for _, sample in every]
+        changed = np.concatenate(places) + np.repeat(ends - counts, [len(x) for x in places])
+        numbers = np.concatenate([sample.pop("numbers") for _, sample in every])
+        sizes, own = self.sizes[chunk], drawn.sizes[numbers]
+        sizes[changed] = own
+        after = np.cumsum(sizes)
+        pick = np.arange(int(sizes.sum())) + np.repeat(self.starts[chunk] - after + sizes, sizes)
+        flat = self.flat[np.minimum(pick, len(self.flat) - 1)] if len(pick) else np.zeros(0, np.int32)
+        first = np.cumsum(own) - own
+        within = np.arange(int(own.sum()))
+        flat[within + np.repeat((after - sizes)[changed] - first, own)] = drawn.flat[within + np.repeat(drawn.starts[numbers] - first, own)]
+        bounds = np.append(0, after)[np.append(0, ends)].tolist()
+        for (_, sample), begin, end in zip(every, bounds, bounds[1:], strict=False):
             sample.pop("log_p")
-            gap = sample["log_prob"] - threshold
-            sample["log_inclusion"] = (
-                0.0 if gap > 30 else gap if gap < -30 else math.log(-math.expm1(-math.exp(gap)))
-            )
-        return out
-
-    def ids(self, at: np.ndarray, changed: dict[int, tuple]) -> np.ndarray:
-        """All ids of a text: the best ones of its chunks but where the sample differs."""
-        if not len(at):
-            return np.zeros(0, np.int32)
-        sizes = self.sizes[at]
-        if changed:
-            places = np.fromiter(changed, np.int64, len(changed))
-            own = np.fromiter(map(len, changed.values()), np.int64, len(changed))
-            sizes[places] = own
-        begins = np.cumsum(sizes) - sizes
-        total = int(begins[-1] + sizes[-1])
-        pick = np.arange(total) + np.repeat(self.starts[at] - begins, sizes)
-        out = self.flat[np.minimum(pick, len(self.flat) - 1)]
-        if changed:
-            first = np.cumsum(own) - own
-            where = np.arange(int(own.sum())) + np.repeat(begins[places] - first, own)
-            out[where] = np.fromiter(itertools.chain.from_iterable(changed.values()), np.int32, len(where))
-        return out
+            sample["ids"] = flat[begin:end]
 
     def decoded(self, flat: np.ndarray, sizes: np.ndarray):
         """The texts of segmentations, as an Arrow array; ``flat`` has their ids in a row."""
@@ -718,6 +823,39 @@ class Lattice:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
+class Search:
+    """One text's search: its chunks, random numbers, sets still to pop and samples so far.
+
+    A set: (-largest value, tie, prefix's path, position, log mass of the prefix, excluded, their mass).
+    """
+
+    def __init__(self, at: np.ndarray, key: int):
+        self.at, self.rng = at, np.random.Generator(np.random.Philox(key=key))
+        top = float(-np.log(-np.log(self.rng.random())))
+        self.queue: list = [(-top, 0, None, 0, 0.0, frozenset(), 0.0)]
+        self.out: list[dict] = []
+        self.ties, self.threshold = 0, -math.inf
+
+
+class Drawn:
+    """Segmentations of chunks that were drawn, by number."""
+
+    def __init__(self):
+        self.flat, self.starts, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def take(self, starts: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + starts])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+
+    def ids(self, number: int) -> tuple:
+        return tuple(self.flat[self.starts[number] : self.starts[number] + self.sizes[number]].tolist())
+
+
+def utf8_size(codes: np.ndarray) -> np.ndarray:
+    """Bytes in UTF-8 of each code point."""
+    return 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+
+
 def loaded(path: str, alpha: float = ALPHA) -> Lattice:
     if (path, alpha) not in _MODELS:
         _MODELS[path, alpha] = Lattice(path, alpha)

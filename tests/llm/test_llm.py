@@ -708,6 +708,25 @@ def test_common_words_are_kept_when_the_memo_is_full():
     assert learnt.count("▁common") == 1
 
 
+def test_what_lies_beside_best_segmentations_is_known_with_them(texts):
+    """Short chunks' remainders come with their sums: no tree is built for one that is nearly certain."""
+    own, built = lattice.Lattice(public_tokenizers.path(PIECES), lattice.ALPHA), []
+    plain = own.excluded
+    own.excluded = lambda i, without: (built.append((i, without)), plain(i, without))[1]
+    some = [t for _, t in sorted(texts.items()) if t]
+    together = own.samples(some, list(range(len(some))), 2)
+    assert any((own.p_best > 1 - lattice.CERTAIN) & own.several)
+    assert not [i for i, without in built if len(own.names[i]) <= lattice.SHORT and without == {own.best(i)}]
+    for i in np.flatnonzero(own.several & (own.lengths <= lattice.SHORT))[:300].tolist():
+        assert math.exp(own.log_beside[i]) == pytest.approx(plain(i, {own.best(i)})[0]["left"], rel=1e-9)
+    # Searches side by side: each is as it is alone.
+    for k in (0, 7, len(some) - 1):
+        alone = own.sample(some[k], k, 2)
+        assert [(x["ids"].tolist(), x["perturbed"], x["log_inclusion"]) for x in alone] == [
+            (x["ids"].tolist(), x["perturbed"], x["log_inclusion"]) for x in together[k]
+        ]
+
+
 def test_large_groups_need_no_all_pairs(spark):
     """A family of near copies, copies of one text, and texts that share a passage only."""
     rng = random.Random(9)
