@@ -54,20 +54,33 @@ def slices(texts, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, n
         first = last
 
 
-def hashed_words(data: np.ndarray, offsets: np.ndarray, words_are: str = "no spaces"):
-    """Hashes of all words and how many each row has."""
-    n, rows = len(data), len(offsets) - 1
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(rows, np.int64)
+def _starts(data: np.ndarray, offsets: np.ndarray, words_are: str) -> tuple:
+    """Lowered bytes, which are in words, which begin a row, and where words start."""
+    n = len(data)
     lowered = np.frombuffer(byte_table(words_are), np.uint8)[data]
     inside = lowered != 0x20
     begins = np.zeros(n + 1, bool)
     begins[offsets] = True
     starts = inside.copy()
     starts[1:] &= ~inside[:-1] | begins[1:n]
+    return lowered, inside, begins, np.flatnonzero(starts)
+
+
+def word_counts(data: np.ndarray, offsets: np.ndarray, words_are: str = "no spaces") -> np.ndarray:
+    """How many words each row has."""
+    if not len(data):
+        return np.zeros(len(offsets) - 1, np.int64)
+    return np.diff(np.searchsorted(_starts(data, offsets, words_are)[-1], offsets))
+
+
+def hashed_words(data: np.ndarray, offsets: np.ndarray, words_are: str = "no spaces"):
+    """Hashes of all words and how many each row has."""
+    n, rows = len(data), len(offsets) - 1
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(rows, np.int64)
+    lowered, inside, begins, at = _starts(data, offsets, words_are)
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | begins[1:n]
-    at = np.flatnonzero(starts)
     stop = np.flatnonzero(ends) + 1
     up, down = _powers(n)
     total = np.zeros(n + 1, np.uint64)

@@ -34,7 +34,6 @@ other than id and text are not read.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -59,26 +58,63 @@ PACKED = "part int, kind int, body binary"
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes, each array's bytes put in planes, which compresses sorted numbers."""
+    import pyarrow as pa
+
     out = []
     for a in arrays:
         planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
-        body = zlib.compress(planes.tobytes(), 1)
+        body = pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(a) else b""
         head = np.array([len(body), len(a)], np.int64).tobytes()
         out.append(head + a.dtype.str.encode().ljust(8) + body)
     return b"".join(out)
 
 
-def unpack(body: bytes) -> list[np.ndarray]:
-    out, at = [], 0
-    while at < len(body):
-        size, count = np.frombuffer(body, np.int64, 2, at)
-        kind = np.dtype(body[at + 16 : at + 24].decode().strip())
-        raw = np.frombuffer(zlib.decompress(body[at + 24 : at + 24 + size]), np.uint8)
-        out.append(np.ascontiguousarray(raw.reshape(kind.itemsize, count).T).view(kind).reshape(count))
-        at += 24 + int(size)
+def unpack(body: bytes, first: int = 0, last: int | None = None) -> list[np.ndarray]:
+    """The arrays of a packed body, or those from ``first`` up to ``last`` alone."""
+    import pyarrow as pa
+
+    out, at, number, view = [], 0, 0, memoryview(body)
+    while at < len(body) and (last is None or number < last):
+        size, count = np.frombuffer(body, np.int64, 2, at).tolist()
+        if number >= first:
+            kind = np.dtype(body[at + 16 : at + 24].decode().strip())
+            raw = np.zeros(0, np.uint8)
+            if count:
+                packed = pa.py_buffer(view[at + 24 : at + 24 + size])
+                raw = np.frombuffer(pa.decompress(packed, count * kind.itemsize, codec="zstd"), np.uint8)
+            out.append(np.ascontiguousarray(raw.reshape(kind.itemsize, count).T).view(kind).reshape(count))
+        at, number = at + 24 + size, number + 1
     return out
 
 
+def ordered(keys: np.ndarray, width: int = 64) -> np.ndarray:
+    """Where unsigned keys below ``2**width`` go when they are sorted, equal ones as they stand.
+
+    Values with their places in the low bits are sorted, which is faster than to sort places; where
+    keys differ in those bits alone, places are sorted after all.
+    """
+    places = len(keys).bit_length()
+    low = np.uint64((1 << places) - 1)
+    packed = keys << np.uint64(64 - width) & ~low | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    if width + places > 64:
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            return np.argsort(keys, kind="stable")
+    return order
+
+
+def ranked(keys: np.ndarray, width: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and the number of each key among them."""
+    order = ordered(keys, width)
+    found = keys[order]
+    fresh = np.append(True, found[1:] != found[:-1])[: len(keys)]
+    where = np.empty(len(keys), np.int64)
+    where[order] = np.cumsum(fresh) - 1
+    return found[fresh], where
+
+
 def rising(a: np.ndarray) -> np.ndarray:
     """Differences of a sorted array, the first value in front."""
     return np.diff(a, prepend=np.zeros(1, a.dtype))
@@ -103,7 +139,7 @@ def tokens(batch):
 
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own, where = np.unique(keys, return_inverse=True)
+    own, where = ranked(keys)
     return own, np.bincount(where, values, len(own)).astype(np.int64)
 
 
@@ -136,10 +172,10 @@ class Shares:
         return at.astype(np.int32), self.common[at] == names
 
     def pairs(self, body: bytes) -> tuple:
-        """Names, the numbers in them of the contexts and of the tokens, and what else a body holds."""
-        known, names, a, b, *rest = unpack(body)
+        """Names, and the numbers in them of the contexts and of the tokens."""
+        known, names, a, b = unpack(body, 0, 4)
         names = np.concatenate([self.common[np.cumsum(known)], np.cumsum(names)])
-        return names, np.cumsum(a), b, *rest
+        return names, np.cumsum(a), b
 
     def of_word(self, word: np.ndarray) -> np.ndarray:
         return (blocks.mixed(word ^ np.uint64(blocks.BASE)) % np.uint64(self.parts)).astype(np.int64)
@@ -197,35 +233,50 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
         held: list[tuple] = []
 
         def flush():
-            context, token, row, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            token, row, n = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            part = shared.value.of(context, token)
-            names, where = np.unique(np.concatenate([context, token]), return_inverse=True)
+            names, where = ranked(np.append(token, START))
             # Common words get the first numbers, so that they need no name.
             number, is_common = shared.value.numbers(names)
             order = np.argsort(~is_common, kind="stable")
             names, number, common = names[order], number[order], int(is_common.sum())
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
+            place = np.empty(len(order), np.uint64)
+            place[order] = np.arange(len(order), dtype=np.uint64)
             where = place[where]
-            key = (where[: len(context)].astype(np.uint64) << np.uint64(32)) | where[len(context) :].astype(np.uint64)
-            del context, token, where
-            # A row's tokens lie together, and the sort keeps their order.
-            order = np.lexsort((key, part))
-            key, part, row, n = key[order], part[order], row[order], n[order]
-            fresh = np.append(True, (key[1:] != key[:-1]) | (with_rows & (row[1:] != row[:-1])))
-            at = np.flatnonzero(fresh)
-            key, part, row, n = key[at], part[at], row[at], np.add.reduceat(n, at).astype(np.int32)
+            # A context is the token before, the start in front of a row.
+            word, context = where[:-1], np.append(where[-1], where[:-2])
+            context[1:][row[1:] != row[:-1]] = where[-1]
+            if len(shared.value.heavy):
+                part = shared.value.of(names[context], token)
+            else:
+                part = shared.value.of(names, names)[context]
+            bits = len(names).bit_length()
+            shift, low = np.uint64(bits), np.uint64((1 << bits) - 1)
+            key = context << shift | word
+            del token, where, word, context
+            by_part = ordered(part.astype(np.uint64), shared.value.parts.bit_length())
+            part = part[by_part]
             bounds = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            out = []
+            out, rank = [], np.empty(len(names), np.int32)
             for i, j in zip(bounds.tolist(), [*bounds[1:].tolist(), len(part)], strict=True):
-                own, to = np.unique(
-                    np.concatenate([key[i:j] >> np.uint64(32), key[i:j] & np.uint64(0xFFFFFFFF)]),
-                    return_inverse=True,
-                )
-                to, at = to.astype(np.int32), int(np.searchsorted(own, common))
-                body = [rising(number[own[:at]]), rising(names[own[at:]]), rising(to[: j - i]), to[j - i :]]
-                body += [row[i:j], n[i:j]] if with_rows else [n[i:j]]
+                # A row's tokens lie together, and the sort keeps their order.
+                own = by_part[i:j]
+                own = own[ordered(key[own], 2 * bits)]
+                pair, owner = key[own], row[own]
+                fresh = np.append(True, (pair[1:] != pair[:-1]) | (with_rows & (owner[1:] != owner[:-1])))
+                at = np.flatnonzero(fresh)
+                times = np.add.reduceat(n[own], at).astype(np.int32)
+                a, b = (pair[at] >> shift).astype(np.int64), (pair[at] & low).astype(np.int64)
+                if len(names) < 16 * len(at):
+                    used = np.zeros(len(names), bool)
+                    used[a] = used[b] = True
+                    met = np.flatnonzero(used)
+                else:
+                    met = np.unique(np.concatenate([a, b]))
+                rank[met] = np.arange(len(met), dtype=np.int32)
+                split = int(np.searchsorted(met, common))
+                body = [rising(number[met[:split]]), rising(names[met[split:]]), rising(rank[a]), rank[b]]
+                body += [owner[at], times] if with_rows else [times]
                 out.append((int(part[i]), 2 if with_rows else 0, pack(*body)))
             columns = list(zip(*out, strict=True))
             return pa.RecordBatch.from_arrays(
@@ -237,10 +288,10 @@ def pairs_by_part(rows: DataFrame, shares: Shares, with_rows: bool) -> DataFrame
         for batch in batches:
             number = batch.column("row").to_numpy()
             train = ~np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
-            for first, _, context, token, row in tokens(batch):
+            for first, _, _, token, row in tokens(batch):
                 n = train[first + row].astype(np.int64) if not with_rows else np.ones(len(row), np.int64)
                 # Packed by whole slices: pairs of a slice are summed when it is flushed.
-                held.append((context, token, number[first + row], n))
+                held.append((token, number[first + row], n))
                 size += len(token)
                 if size >= FLUSH_TOKENS:
                     yield flush()
@@ -255,32 +306,48 @@ class Part:
     """The distinct pairs of a part, sorted by context and token, and their seating.
 
     The pairs are those of the packed bodies, of either kind: both passes make the same list of them,
-    so that counts and tables of the first go to the second without the pairs.
+    so that counts and tables of the first go to the second without the pairs. Of bodies with rows,
+    ``spots`` has which pair each entry is.
     """
 
     def __init__(self, bodies: list[bytes], shares: Shares, counted: bool):
-        contexts, words, counts = [], [], []
-        for body in bodies:
-            names, a, b, *rest = shares.pairs(body)
-            if counted:
-                counts.append(rest[0])
-            else:
-                at = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-                a, b = a[at], b[at]
-            contexts.append(names[a])
-            words.append(names[b])
-        self.contexts, c = np.unique(np.concatenate(contexts), return_inverse=True)
-        self.words, w = np.unique(np.concatenate(words), return_inverse=True)
-        del contexts, words
-        pair = c.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64)
-        order = np.argsort(pair) if counted else None
-        pair = pair[order] if counted else np.sort(pair)
-        at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        found = [shares.pairs(body) for body in bodies]
+        sizes = [len(names) for names, _, _ in found]
+        every, to = ranked(np.concatenate([names for names, _, _ in found]))
+        contexts, words, fresh = [], [], []
+        for (_, a, b), begin, size in zip(found, np.cumsum([0, *sizes]).tolist(), sizes, strict=False):
+            if not counted:
+                fresh.append(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+                a, b = a[fresh[-1]], b[fresh[-1]]
+            contexts.append(to[begin : begin + size][a])
+            words.append(to[begin : begin + size][b])
+        del found
+        c, w = np.concatenate(contexts), np.concatenate(words)
+        is_context, is_word = np.zeros(len(every), bool), np.zeros(len(every), bool)
+        is_context[c] = is_word[w] = True
+        self.contexts, self.words = every[is_context], every[is_word]
+        bits = len(every).bit_length()
+        shift, low = np.uint64(bits), np.uint64((1 << bits) - 1)
+        c, w = (np.cumsum(is_context) - 1)[c].astype(np.uint64), (np.cumsum(is_word) - 1)[w].astype(np.uint64)
+        pair = c << shift | w
+        del c, w, contexts, to
+        order = ordered(pair, 2 * bits)
+        pair = pair[order]
+        new = np.append(True, pair[1:] != pair[:-1])
+        at = np.flatnonzero(new)
         pair = pair[at]
-        self.c, self.w = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        self.c, self.w = (pair >> shift).astype(np.int64), (pair & low).astype(np.int64)
         if counted:
-            n = np.add.reduceat(np.concatenate(counts)[order], at).astype(np.int64)
+            n = np.concatenate([unpack(body, 4, 5)[0] for body in bodies])[order]
+            n = np.add.reduceat(n, at).astype(np.int64)
             self.seat(n, n > 0)
+        else:
+            place = np.empty(len(order), np.int32)
+            place[order] = (np.cumsum(new) - 1).astype(np.int32)
+            ends = np.cumsum([len(x) for x in words]).tolist()
+            self.spots = [
+                place[end - len(x) : end][np.cumsum(f) - 1] for end, x, f in zip(ends, words, fresh, strict=True)
+            ]
 
     def seat(self, n: np.ndarray, tables: np.ndarray) -> None:
         self.n, self.tables = n.astype(np.int64), tables.astype(np.int64)
@@ -435,20 +502,18 @@ def scored_parts(packed: DataFrame, totals, heavy: dict, shares: Shares) -> Data
         value = np.log10(predicted)
         base = np.log10((count[part.w] + 1.0) / (tokens_all + 1.0 * (distinct + 1)))
         known = count[part.w] > 0
-        key = part.key()
-        order = np.argsort(key)
-        key = key[order]
         sums_by: list[tuple] = []
-        for body in by_kind[2]:
-            names, a, b, row, times = where.pairs(body)
-            asked = blocks.mixed(names[a] * np.uint64(blocks.BASE) + names[b])
-            at = order[np.searchsorted(key, asked)]
-            rows, inverse = np.unique(row, return_inverse=True)
+        for body, at in zip(by_kind[2], part.spots, strict=True):
+            row, times = unpack(body, 4)
+            rows, inverse = ranked(row.astype(np.uint64), int(row.max()).bit_length() or 1)
+            rows = rows.astype(np.int64)
             weigh = lambda x: np.bincount(inverse, x[at] * times, len(rows))  # noqa: B023, E731
             sums_by.append((rows, weigh(value), weigh(base), weigh(known)))
         blocks_of: dict[str, list] = {"block": [], "body": []}
         if sums_by:
-            rows, where_to = np.unique(np.concatenate([x[0] for x in sums_by]), return_inverse=True)
+            every = np.concatenate([x[0] for x in sums_by])
+            rows, where_to = ranked(every.astype(np.uint64), int(every.max()).bit_length() or 1)
+            rows = rows.astype(np.int64)
             value, base, known = (
                 np.bincount(where_to, np.concatenate([x[k] for x in sums_by]), len(rows)) for k in (1, 2, 3)
             )
@@ -497,7 +562,7 @@ def sizes(rows: DataFrame) -> DataFrame:
         for batch in batches:
             n = np.zeros(len(batch), np.int64)
             for first, data, offsets in blocks.slices(batch.column("text")):
-                _, counts = blocks.hashed_words(data, offsets)
+                counts = blocks.word_counts(data, offsets)
                 n[first : first + len(counts)] = counts + 1
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("row", "doc_id", "held_out")), pa.array(n)],

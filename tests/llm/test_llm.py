@@ -14,6 +14,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -157,6 +158,41 @@ def test_pairs_travel_by_common_words_and_states_without_them(spark):
     assert states < 2 * pairs
 
 
+def test_keys_are_ranked_by_sorted_values():
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**64, 300, np.uint64)[rng.integers(0, 300, 5000)]
+    close = np.append(hashes, np.uint64(7) + np.arange(3000, dtype=np.uint64)[::-1] % np.uint64(11))
+    small = rng.integers(0, 2**20, 5000).astype(np.uint64)
+    for keys, width in ((hashes, 64), (close, 64), (small, 20), (small[:1], 20), (small[:0], 20)):
+        assert (lm.ordered(keys, width) == np.argsort(keys, kind="stable")).all()
+        own, where = lm.ranked(keys, width)
+        assert (own == np.unique(keys)).all() and (own[where] == keys).all()
+
+
+def test_rows_meet_their_pairs_without_search(spark):
+    rows = lm.numbered(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(False))
+    common = lm.first_pass(rows).common
+    word = int(common[0])
+    for shares in (lm.Shares(3, {}, common), lm.Shares(3, {int(lm.START): 2, word: 3}, common)):
+        wanted, got = collections.Counter(), collections.Counter()
+        for r in rows.select("row", "text").collect():
+            batch = pa.RecordBatch.from_pydict({"text": [r.text]})
+            for _, _, context, token, _ in lm.tokens(batch):
+                wanted.update((r.row, a, b) for a, b in zip(context.tolist(), token.tolist(), strict=True))
+        bodies = collections.defaultdict(list)
+        for r in lm.pairs_by_part(rows, shares, True).collect():
+            bodies[r.part].append(bytes(r.body))
+        for number, held in bodies.items():
+            part = lm.Part(held, shares, False)
+            contexts, words = part.contexts[part.c], part.words[part.w]
+            assert (shares.of(contexts, words) == number).all()
+            for body, at in zip(held, part.spots, strict=True):
+                row, times = lm.unpack(body, 4)
+                for key in zip(row.tolist(), contexts[at].tolist(), words[at].tolist(), times.tolist(), strict=True):
+                    got[key[:3]] += key[3]
+        assert got == wanted
+
+
 def test_parts_send_their_sums_by_blocks_of_rows(spark, monkeypatch):
     made = []
     monkeypatch.setattr(lm, "summed_rows", lambda scored, was=lm.summed_rows: made.append(scored) or was(scored))
